@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmill.llm import secrets, simhash, urlfilter
+from pitmill.llm import hnsw, langid, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    index = hnsw.build_index(rows, k=20)
+    return hnsw.search_index(index, rows.where("vec_id % 20 = 0"), k=20)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    found = langid.identify(docs, langid.fit_languages(docs, learn=part != 2))
+    return found.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    found = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels, learn=part != 0))
+    return found.select("doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(urlfilter.RULES), "host string, path string, verdict string")
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), rules)
@@ -68,5 +88,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op7_url_filters, op8_secret_scans, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_hnsw, op5_language_id, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash)}
 ORACLE_SQL = {"op7_url_filters": _op7_sql(), "op8_secret_scans": _op8_sql()}
