@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmill.llm import hnsw, langid, secrets, simhash, toxicity, urlfilter
+from pitmill.llm import decontaminate, hnsw, langid, pieces, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,30 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search_index(index, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "shared", "item_shingles", F.round("containment", 6).alias("containment"))
+
+
+def _op3_sql() -> str:
+    words = r"list_filter(string_split_regex(lower(text), '[\x00-\x2f\x3a-\x60\x7b-\x7f]+'), lambda x: x <> '')"
+    shingles = "unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END)"
+    return f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS n, {words} AS w FROM documents),
+v AS (SELECT item_id, row_number() OVER () AS m, {words} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+d AS (SELECT DISTINCT doc_id, n, {shingles} AS s FROM w),
+i AS (SELECT DISTINCT item_id, m, {shingles} AS s FROM v),
+k AS (SELECT m, count(*) AS item_shingles FROM i GROUP BY m)
+SELECT doc_id, item_id, count(*) AS shared, item_shingles, round(count(*) / item_shingles, 6) AS containment
+FROM d JOIN i USING (s) JOIN k USING (m) GROUP BY doc_id, n, item_id, m, item_shingles HAVING count(*) >= 0.8 * item_shingles"""
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents")))
+    same = F.xxhash64(F.col("text").cast("binary")) == F.col("text_hash")
+    return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", same.alias("lossless"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -88,5 +112,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_hnsw, op5_language_id, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash)}
-ORACLE_SQL = {"op7_url_filters": _op7_sql(), "op8_secret_scans": _op8_sql()}
+QUERIES = {f.__name__: f for f in (op1_hnsw, op3_decontaminate, op4_sentencepiece, op5_language_id, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash)}
+ORACLE_SQL = {"op3_decontaminate": _op3_sql(), "op7_url_filters": _op7_sql(), "op8_secret_scans": _op8_sql()}

@@ -66,8 +66,8 @@ def batches(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
         yield own, held
 
 
-def hashes(pieces: list[bytes], prefix: int = 0) -> tuple[np.ndarray, ...]:
-    """(hash of each word, index of its piece), and with ``prefix`` the hash of each word's first bytes too. A-Z count as a-z."""
+def hashes(pieces: list[bytes], prefix: int = 0, suffix: int = 0) -> tuple[np.ndarray, ...]:
+    """(hash of each word, index of its piece), and with ``prefix`` or ``suffix`` the hash of so many first or last bytes of each. A-Z count as a-z."""
     raw = b"\n".join([*pieces, b""])
     data = _LOWER[np.frombuffer(raw, np.uint8)]
     step = np.diff(WORD[data].astype(np.int8), prepend=np.int8(0))
@@ -81,6 +81,9 @@ def hashes(pieces: list[bytes], prefix: int = 0) -> tuple[np.ndarray, ...]:
     out = [mix((total[end] - total[begin]) * inverse[begin]), own]
     if prefix:
         out.append(mix((total[np.minimum(end, begin + prefix)] - total[begin]) * inverse[begin]))
+    if suffix:
+        tail = np.maximum(begin, end - suffix)
+        out.append(mix((total[end] - total[tail]) * inverse[tail]))
     return tuple(out)
 
 
