@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmill.llm import decontaminate, hnsw, langid, pieces, secrets, simhash, toxicity, urlfilter
+from pitmill.llm import decontaminate, hnsw, langid, licenses, lmscore, pieces, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search_index(index, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lmscore.score(docs, lmscore.fit(docs))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "shared", "item_shingles", F.round("containment", 6).alias("containment"))
@@ -49,6 +54,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.find_licenses(docs, licenses.fit_licenses(docs))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -112,5 +122,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_hnsw, op3_decontaminate, op4_sentencepiece, op5_language_id, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_hnsw, op2_lm_scoring, op3_decontaminate, op4_sentencepiece, op5_language_id, op6_license_scans, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash)}
 ORACLE_SQL = {"op3_decontaminate": _op3_sql(), "op7_url_filters": _op7_sql(), "op8_secret_scans": _op8_sql()}
