@@ -50,6 +50,10 @@ UNION ALL
 SELECT security_id, listing_episode_id, concat(symbol, 'N') AS symbol, isin, company_name, concat('ISS', company_name) AS issuer_id, instrument_type, 'NSE' AS exchange, 'EQ' AS series,
   date '1999-01-01' AS first_seen, last_seen, date '1999-01-01' AS effective_from, last_seen AS effective_to, 'RECONSTRUCTED_HIGH_CONFIDENCE' AS identity_quality
 FROM {spans} WHERE length(security_id) = 3 AND last_seen >= date '1999-01-01'""",
+    # symbols that pass from one entity to another at a year's turn
+    "handover": """
+SELECT symbol, security_id, effective_from, effective_to FROM {master} WHERE length(security_id) = 3 AND security_id <= 'S49' AND effective_from < date '1999-01-01'
+UNION ALL SELECT replace(symbol, 'N', '') AS symbol, security_id, effective_from, effective_to FROM {master} WHERE length(security_id) = 3 AND security_id BETWEEN 'S50' AND 'S89' AND effective_from >= date '1999-01-01'""",
     # corporate actions
     "raw_actions": """
 SELECT o_orderkey AS ordinal, CASE WHEN o_orderkey % 7 = 0 THEN 'BE' ELSE 'EQ' END AS series, concat('SYM', cast(o_custkey % 40 AS string)) AS symbol,
@@ -92,6 +96,31 @@ SELECT doc_id, concat(substr(text, 1, 200), CASE doc_id % 6 WHEN 0 THEN ' Suspen
   WHEN 2 THEN ' Delisting of Green Cog Limited, dated June 2, 2003, compulsory delisting ' WHEN 3 THEN ' Trading recommenced effective from July 9, 2000 in Small Widget Ltd ' WHEN 4 THEN ' Annual report ' ELSE ' Voluntary Delisting ' END, substr(text, 201, 300)) AS body
 FROM {documents}""",
     "holdings": "SELECT DISTINCT concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id FROM {orders} WHERE o_orderkey % 17 = 0",
+    # month-end snapshots with ranks and flags, and a second release that differs from them
+    "month_in": """
+SELECT cast(date_trunc('month', date) AS date) AS month, security_id, min(symbol_at_date) AS symbol_at_date, min(isin) AS isin, min(listing_episode_id) AS listing_episode_id, min(instrument_type) AS instrument_type, min(company_name) AS company_name, max(date) AS last_trade, count(*) AS days,
+  cast(sum(cast(coalesce(traded_value, 0) AS decimal(18, 2))) AS double) AS traded, max(raw_close) AS price FROM {panel} GROUP BY 1, 2""",
+    "snapshots": """
+SELECT max(last_trade) OVER (PARTITION BY month) AS date, month, security_id, symbol_at_date, isin, listing_episode_id, instrument_type, company_name, price, traded, days,
+  cast(sum(days) OVER (PARTITION BY security_id ORDER BY month) AS bigint) AS history_sessions, cast(row_number() OVER (PARTITION BY month ORDER BY traded DESC, security_id) AS bigint) AS rank_126 FROM {month_in}""",
+    "monthly_in": """
+SELECT date, month, security_id, symbol_at_date, isin, listing_episode_id, instrument_type, company_name, price, history_sessions, history_sessions AS listing_age_sessions, days AS positive_volume_days_60, traded AS median_traded_value_60, traded AS median_traded_value_126, rank_126,
+  CASE WHEN history_sessions % 37 = 0 THEN 'SUSPENDED' ELSE 'ACTIVE_TRADING' END AS trading_status, CASE WHEN history_sessions % 41 = 0 THEN 'UNRESOLVED' ELSE 'OBSERVED_TRADING_RECORD' END AS status_quality,
+  CASE WHEN history_sessions % 13 = 0 THEN 'UNVERIFIED' ELSE 'MULTI_SOURCE_VERIFIED' END AS research_identity_quality, history_sessions % 13 <> 0 AS research_identity_ok,
+  CASE WHEN history_sessions % 17 = 0 THEN 'RAW_ONLY_UNKNOWN' ELSE 'NO_ADJUSTMENT_REQUIRED' END AS price_adjustment_quality, history_sessions % 17 <> 0 AS price_adjustment_ok,
+  history_sessions >= 100 AND traded >= 200000 AS liquid_v1_eligible, rank_126 <= 10 AS top10_liquidity, rank_126 <= 25 AS top25_liquidity, CASE WHEN history_sessions % 53 = 0 THEN true ELSE rank_126 <= 50 END AS top50_liquidity
+FROM {snapshots}""",
+    "candidate_in": """
+SELECT date, month, CASE WHEN security_id LIKE '%5' THEN concat('N', security_id) ELSE security_id END AS security_id, symbol_at_date, isin, listing_episode_id, instrument_type, company_name, price,
+  CASE WHEN security_id LIKE '%8' THEN history_sessions + 150 ELSE history_sessions END AS history_sessions, CASE WHEN security_id LIKE '%8' THEN listing_age_sessions + 150 ELSE listing_age_sessions END AS listing_age_sessions,
+  positive_volume_days_60, median_traded_value_60, median_traded_value_126, rank_126 + 2 AS rank_126, trading_status, status_quality, research_identity_quality, research_identity_ok, price_adjustment_quality, price_adjustment_ok,
+  history_sessions >= 110 AND median_traded_value_60 >= 190000 AS liquid_v1_eligible, rank_126 + 2 <= 10 AS top10_liquidity, rank_126 + 2 <= 25 AS top25_liquidity, rank_126 + 2 <= 50 AS top50_liquidity
+FROM {monthly_in} WHERE security_id NOT LIKE '%7'""",
+    "required_in": """
+SELECT security_id, min(date) AS first_research_date, max(date) AS last_research_date, bool_or(liquid_v1_eligible) AS enters_liquid_v1, bool_or(top25_liquidity) AS enters_top750, min(rank_126) AS best_rank_126, max(rank_126) + CASE WHEN security_id LIKE '%3' THEN 1 ELSE 0 END AS worst_rank_126,
+  max(median_traded_value_60) AS max_median_traded_value_60, max(positive_volume_days_60) AS max_positive_volume_days_60, min(research_identity_quality) AS research_identity_quality, min(price_adjustment_quality) AS price_adjustment_quality, bool_and(price_adjustment_ok) AS price_adjustment_ok,
+  max(status_quality) AS status_quality, bool_and(trading_status = 'ACTIVE_TRADING') AS active_trading_ok
+FROM {monthly_in} WHERE (liquid_v1_eligible OR top25_liquidity) AND security_id NOT LIKE '%9' GROUP BY security_id""",
     # discovered identity rows: spells of a symbol under an ISIN
     "discovered": """
 SELECT 'NSE' AS exchange, symbol, 'EQ' AS series, candidate_isin, min(date) AS first_seen, max(date) AS last_seen, max(instrument_type) AS instrument_type, min(company_name) AS company_name
