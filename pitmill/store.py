@@ -36,18 +36,22 @@ class PanelStore:
         return at
 
     def active_on(self, at) -> DataFrame:
-        return universe.active_on(self.table("daily_prices_raw"), self._on(at))
+        at = self._on(at)
+        return universe.active_on(self.table("daily_prices_raw"), at)
 
     def eligible_on(self, at, **thresholds) -> DataFrame:
-        return universe.eligible_on(self.table("liquidity_features"), self._on(at), **thresholds)
+        at = self._on(at)
+        return universe.eligible_on(self.table("liquidity_features"), at, **thresholds)
 
     def ranked_liquid_on(self, at, n: int) -> DataFrame:
-        return universe.top_n(self.table("liquidity_features"), self._on(at), n)
+        at = self._on(at)
+        return universe.top_n(self.table("liquidity_features"), at, n)
 
     def profile_on(self, at, profile: str | None = None) -> DataFrame:
         if profile not in (None, self.spec.profile_id):
             raise ValueError(f"unknown profile {profile}")
-        return universe.profile_on(self.table("research_universe_monthly"), self.spec, self._on(at))
+        at = self._on(at)
+        return universe.profile_on(self.table("research_universe_monthly"), self.spec, at)
 
     get_active_universe, get_investable_universe = active_on, profile_on
 
