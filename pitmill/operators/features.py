@@ -26,12 +26,14 @@ def session_grid(rows: DataFrame, sessions: DataFrame, key: str = "security_id")
     return grid.join(placed.withColumn("observed", F.lit(True)), [key, "session_number"], "left").withColumn("observed", F.coalesce("observed", F.lit(False)))
 
 
+def _middle(v: Column) -> Column:
+    """Interpolated median of sorted values; the sorted array is made once."""
+    return F.get(F.transform(F.array(v), lambda s: F.when(F.size(s) > 0, (F.get(s, F.floor((F.size(s) - 1) / 2).cast("int")) + F.get(s, F.floor(F.size(s) / 2).cast("int"))) / 2)), F.lit(0))
+
+
 def _median(x: Column, w) -> Column:
     """Interpolated median over a frame: the middle of the sorted values."""
-    v = F.sort_array(F.collect_list(x).over(w))
-    n = F.size(v)
-    at = lambda k: F.get(v, F.floor(k).cast("int"))
-    return F.when(n > 0, (at((n - 1) / 2) + at(n / 2)) / 2)
+    return _middle(F.sort_array(F.collect_list(x).over(w)))
 
 
 def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[int, ...] = WINDOWS, rank_window: int = 126, stale_window: int = 60) -> DataFrame:
@@ -45,33 +47,39 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
     grid = session_grid(rows, number_sessions(calendar))
     by = Window.partitionBy("security_id").orderBy("session_number")
     so_far = by.rowsBetween(Window.unboundedPreceding, 0)
-    seen, volume = F.col("observed"), F.coalesce(F.col("volume"), F.lit(0))
+    seen, volume, value = F.col("observed"), F.coalesce(F.col("volume"), F.lit(0)), F.col("traded_value")
     grid = grid.withColumn("previous_close", F.lag("raw_close").over(by))
-    out = {
-        "history_sessions": F.count(F.lit(1)).over(so_far),
-        "observed_history_sessions": F.count_if(seen).over(so_far),
-        "first_session": F.min("date").over(Window.partitionBy("security_id")),
+    # running totals, whose differences are the windows' counts and sums; only the medians need the values of a frame
+    totals = {
+        "valid_": F.count(value), "positive_": F.count_if(seen & (volume > 0)), "zero_": F.count_if(seen & (volume <= 0)), "absent_": F.count_if(~seen),
+        "stale_": F.count_if(seen & (F.col("raw_close") == F.col("previous_close"))), "sum_": F.sum(F.coalesce(value, F.lit(0.0))),
     }
+    run = {k: v.over(so_far) for k, v in totals.items()}
+    run["values_"] = F.collect_list(F.coalesce(value, F.lit(float("nan")))).over(by.rowsBetween(1 - max(windows), 0))
+    run["first_session"] = F.min("date").over(Window.partitionBy("security_id"))
+    run["history_sessions"] = F.count(F.lit(1)).over(so_far)
+    run["observed_history_sessions"] = F.count_if(seen).over(so_far)
+    grid = grid.withColumns(run)
+    within = lambda c, n: F.col(c) - F.coalesce(F.lag(c, n).over(by), F.lit(0))
+    spans = sorted({*windows, stale_window})
+    grid = grid.withColumns({f"{c}{n}": within(c, n) for n in spans for c in totals})
+    out = {}
     for n in windows:
-        w = by.rowsBetween(1 - n, 0)
+        last = F.slice("values_", F.greatest(F.size("values_") - n + 1, F.lit(1)), F.lit(n))
         out |= {
-            f"valid_trade_days_{n}": F.count("traded_value").over(w),
-            f"positive_volume_days_{n}": F.count_if(seen & (volume > 0)).over(w),
-            f"zero_volume_days_{n}": F.count_if(seen & (volume <= 0)).over(w),
-            f"absent_observation_days_{n}": F.count_if(~seen).over(w),
-            f"median_traded_value_{n}": _median(F.col("traded_value"), w),
-            f"average_traded_value_{n}": F.avg("traded_value").over(w),
+            f"valid_trade_days_{n}": F.col(f"valid_{n}"), f"positive_volume_days_{n}": F.col(f"positive_{n}"), f"zero_volume_days_{n}": F.col(f"zero_{n}"), f"absent_observation_days_{n}": F.col(f"absent_{n}"),
+            f"median_traded_value_{n}": _middle(F.sort_array(F.filter(last, lambda x: ~F.isnan(x)))),
+            f"average_traded_value_{n}": F.when(F.col(f"valid_{n}") > 0, F.col(f"sum_{n}") / F.col(f"valid_{n}")),
         }
-    stale = by.rowsBetween(1 - stale_window, 0)
-    out[f"stale_price_days_{stale_window}"] = F.count_if(seen & (F.col("raw_close") == F.col("previous_close"))).over(stale)
-    made = grid.withColumns(out).where("observed")
+    out[f"stale_price_days_{stale_window}"] = F.col(f"stale_{stale_window}")
+    made = grid.where("observed").withColumns(out)
     metric = f"median_traded_value_{rank_window}"
     day = Window.partitionBy("date")
     pct = F.cume_dist().over(day.orderBy(F.asc_nulls_last(metric)))
     rank = F.row_number().over(day.orderBy(F.desc_nulls_last(metric), "security_id"))
     ranked = made.withColumns({f"liquidity_percentile_{rank_window}": pct, f"liquidity_rank_{rank_window}": rank.cast("long")})
     return ranked.select(
-        *keep, *[c for c in out if c != "first_session"],
+        *keep, "history_sessions", "observed_history_sessions", *out,
         F.col("history_sessions").alias("listing_age_sessions"),
         F.datediff("date", "first_session").cast("long").alias("listing_age_calendar_days"),
         F.col("raw_close").alias("price"),
