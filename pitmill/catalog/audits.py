@@ -303,3 +303,29 @@ def h53_pit_audit(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "panel")
     op = lambda x: observation_liquidity(x, (60,)).select("security_id", "date", "median_traded_value_60")
     return audit.pit_audit(op, p, "1999-06-30", p.withColumn("traded_value", F.col("traded_value") * 7 + 1))
+
+
+@query("""WITH s AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM {calendar}), me AS (SELECT max(date) AS date FROM {calendar} GROUP BY date_trunc('month', date)), e AS (SELECT s.date AS month_end, s.n FROM s JOIN me USING (date))
+SELECT month_end AS date, upper(symbol_at_date) AS symbol, count(DISTINCT security_id) AS ids FROM e JOIN s ON s.n BETWEEN e.n - 60 AND e.n JOIN {panel} p ON p.date = s.date GROUP BY 1, 2 HAVING count(DISTINCT security_id) > 1""")
+def h34_recent_id_changes(spark: SparkSession, d: str) -> DataFrame:
+    return audit.recent_id_changes(table(spark, d, "panel"), table(spark, d, "calendar"))
+
+
+@query("SELECT date, upper(symbol_at_date) AS symbol, count(DISTINCT security_id) AS ids FROM {monthly_in} GROUP BY 1, 2 HAVING count(DISTINCT security_id) > 1")
+def h34_duplicate_symbols(spark: SparkSession, d: str) -> DataFrame:
+    return audit.duplicate_symbols(table(spark, d, "monthly_in"))
+
+
+@query(f"WITH g AS (SELECT security_id, count(*) AS months, count(*) FILTER (WHERE NOT research_identity_ok) AS doubtful_months, min(rank_126) AS best_rank, max(research_identity_quality) AS worst_quality FROM {{monthly_in}} WHERE {_INSIDE} GROUP BY 1) SELECT *, CASE WHEN best_rank <= 10 THEN 'HIGH' WHEN best_rank <= 25 THEN 'MEDIUM' ELSE 'LOW' END AS priority FROM g WHERE doubtful_months > 0")
+def h42_identity_priority(spark: SparkSession, d: str) -> DataFrame:
+    return audit.identity_priority(table(spark, d, "monthly_in"), "top25_liquidity")
+
+
+@query(f"SELECT year(date) AS year, count(DISTINCT date) AS snapshots, count(*) AS rows, count(DISTINCT security_id) AS securities, count(DISTINCT security_id) FILTER (WHERE liquid_v1_eligible) AS liquid_securities, count(DISTINCT security_id) FILTER (WHERE top25_liquidity) AS top_securities, count(DISTINCT security_id) FILTER (WHERE {_INSIDE}) AS required_securities FROM {{monthly_in}} GROUP BY 1")
+def h44_scope_summary(spark: SparkSession, d: str) -> DataFrame:
+    return audit.scope_summary(table(spark, d, "monthly_in"), "top25_liquidity")
+
+
+@query(f"WITH {_BOUNDARIES}, r AS (SELECT event_id, coalesce(o1, c1) / nullif(c0, 0) - 1 AS raw FROM bx) SELECT e.event_id, e.security_id, e.event_type, e.event_date, e.price_factor, coalesce(b.validation_status, 'NO_BOUNDARY_VALIDATION') AS validation_status, round(raw + 1e-9, 6) AS raw_return, round(residual_adjusted_return + 1e-9, 6) AS adjusted_return FROM {{events_in}} e LEFT JOIN bounds b USING (event_id) LEFT JOIN r USING (event_id) WHERE e.price_factor IS NOT NULL")
+def h44_event_detail(spark: SparkSession, d: str) -> DataFrame:
+    return audit.event_detail(table(spark, d, "events_in"), boundaries_of(spark, d)).select("event_id", "security_id", "event_type", "event_date", "price_factor", "validation_status", _R("raw_return"), _R("adjusted_return"))

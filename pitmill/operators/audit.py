@@ -355,3 +355,40 @@ def pit_audit(op, panel: DataFrame, at, changed: DataFrame) -> DataFrame:
     a = op(panel).where(F.col("date") <= cut)
     b = op(panel.where(F.col("date") <= cut).unionByName(changed.where(F.col("date") > cut).select(*panel.columns))).where(F.col("date") <= cut)
     return a.exceptAll(b).withColumn("side", F.lit("BEFORE")).unionByName(b.exceptAll(a).withColumn("side", F.lit("AFTER")))
+
+
+def recent_id_changes(prices: DataFrame, calendar: DataFrame, sessions: int = 60) -> DataFrame:
+    """``(date, symbol, ids)``: symbols that several entities had within ``sessions`` sessions up to a month's end.
+
+    The few month ends are exploded to the sessions of their windows and meet the prices in an equi join.
+    """
+    days = calendar.select("date").distinct().withColumn("n", F.row_number().over(Window.orderBy("date")))
+    ends = month_ends(calendar).join(days, "date").select(F.col("date").alias("month_end"), F.explode(F.sequence(F.greatest(F.col("n") - sessions, F.lit(1)), F.col("n"))).alias("n"))
+    window = F.broadcast(ends.join(days, "n").select("month_end", "date"))
+    used = prices.select("date", F.upper("symbol_at_date").alias("symbol"), "security_id").join(window, "date")
+    return used.groupBy(F.col("month_end").alias("date"), "symbol").agg(F.count_distinct("security_id").alias("ids")).where("ids > 1")
+
+
+def duplicate_symbols(monthly: DataFrame) -> DataFrame:
+    """``(date, symbol, ids)``: symbols of a snapshot that belong to several entities."""
+    return monthly.groupBy("date", F.upper("symbol_at_date").alias("symbol")).agg(F.count_distinct("security_id").alias("ids")).where("ids > 1")
+
+
+def identity_priority(monthly: DataFrame, top: str) -> DataFrame:
+    """Entities of the required scope with a doubtful identity: months, best rank, worst quality and a priority."""
+    inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
+    g = inside.groupBy("security_id").agg(F.count("*").alias("months"), F.count_if(~_yes("research_identity_ok")).alias("doubtful_months"), F.min("rank_126").alias("best_rank"), F.max("research_identity_quality").alias("worst_quality")).where("doubtful_months > 0")
+    return g.withColumn("priority", F.when(F.col("best_rank") <= 10, "HIGH").when(F.col("best_rank") <= 25, "MEDIUM").otherwise("LOW"))
+
+
+def scope_summary(monthly: DataFrame, top: str) -> DataFrame:
+    """A row a year: snapshots, rows, entities, and entities of each scope."""
+    y = F.year("date").alias("year")
+    some = lambda c: F.count_distinct(F.when(c, F.col("security_id")))
+    return monthly.groupBy(y).agg(F.count_distinct("date").alias("snapshots"), F.count("*").alias("rows"), F.count_distinct("security_id").alias("securities"), some(_yes("liquid_v1_eligible")).alias("liquid_securities"), some(_yes(top)).alias("top_securities"), some(_yes("liquid_v1_eligible") | _yes(top)).alias("required_securities"))
+
+
+def event_detail(events: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """Priced events with the raw and the adjusted return over their date."""
+    b = boundaries.select("event_id", "validation_status", (F.try_divide(F.coalesce("post_event_open", "post_event_close"), "pre_event_close") - 1).alias("raw_return"), F.col("residual_adjusted_return").alias("adjusted_return"))
+    return events.where("price_factor is not null").select("event_id", "security_id", "event_type", "event_date", "price_factor").join(b, "event_id", "left").withColumn("validation_status", F.coalesce("validation_status", F.lit("NO_BOUNDARY_VALIDATION")))

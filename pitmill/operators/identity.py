@@ -151,3 +151,7 @@ def reclassify(master: DataFrame, prices: DataFrame) -> DataFrame:
     kinds = master.select("security_id", "instrument_type").unionByName(prices.select("security_id", "instrument_type"))
     odd = F.collect_set(F.when(F.col("instrument_type") != "ORDINARY_EQUITY", F.col("instrument_type")))
     return kinds.groupBy("security_id").agg(odd.alias("k")).select("security_id", F.when(F.size("k") == 0, "ORDINARY_EQUITY").when(F.size("k") == 1, F.get("k", F.lit(0))).otherwise("UNKNOWN").alias("instrument_type"))
+
+
+def symbol_history(identities: DataFrame) -> DataFrame:
+    return identities.select("security_id", "symbol", "series", "effective_from", "effective_to")

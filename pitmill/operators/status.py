@@ -121,3 +121,16 @@ def resolve_notices(notices: DataFrame, master: DataFrame, id_col: str = "doc_id
 
 def compact_key(col: str):
     return compact_name(F.col(col))
+
+
+def suspension_event_blocks(notices: DataFrame, master: DataFrame, id_col: str = "doc_id", text_col: str = "body", pattern: str = r"\n") -> DataFrame:
+    """Event table of notice blocks: type, effective date, and the only entity whose whole name the block holds on that date."""
+    from pitmill.functions.text import effective_date, explode_blocks, normalize_name, suspension_type
+
+    blocks = explode_blocks(notices, id_col, text_col, pattern).withColumn("block_id", F.concat_ws("#", F.col(id_col).cast("string"), F.col("block_no").cast("string")))
+    events = blocks.select("block_id", id_col, "block_no", suspension_type(F.col("block")).alias("event_type"), effective_date(F.col("block")).alias("effective_date"))
+    hit = names_in_texts(blocks, master, "block_id", "block", "company_name")
+    ids = master.select(normalize_name(F.col("company_name")).alias("name"), "security_id", "effective_from", "effective_to")
+    dated = hit.join(events, "block_id").join(ids, "name").where((F.col("effective_date") >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col("effective_date") <= F.col("effective_to"))))
+    one = dated.groupBy("block_id").agg(F.count_distinct("security_id").alias("n_"), F.min("security_id").alias("security_id"))
+    return events.join(one, "block_id", "left").select(id_col, "block_no", "event_type", "effective_date", F.when(F.col("n_") == 1, F.col("security_id")).alias("security_id"), F.when(F.col("n_") == 1, "EXACT_NAME").when(F.col("n_") > 1, "AMBIGUOUS").otherwise("UNRESOLVED").alias("identity_match"))

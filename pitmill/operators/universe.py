@@ -143,3 +143,9 @@ def observation_status_on(requests: DataFrame, calendar: DataFrame, master: Data
     p = prices.groupBy("security_id", "date").agg(F.max(F.coalesce("volume", F.lit(0))).alias("volume_"))
     x = r.join(listed, ["security_id", "date"], "left").join(held, ["security_id", "date"], "left").join(p, ["security_id", "date"], "left")
     return x.select("security_id", "date", F.when(F.col("session_").isNull(), "NO_MARKET_SESSION").when(F.col("listed_").isNull(), "SECURITY_NOT_LISTED").when(F.col("suspended_"), "SECURITY_SUSPENDED").when(F.col("delisted_"), "SECURITY_NOT_LISTED").when(F.col("volume_") > 0, "TRADED").when(F.col("volume_").isNotNull(), "NO_TRADE").otherwise("UNKNOWN").alias("observation_status"))
+
+
+def enrich(snapshot: DataFrame, features: DataFrame, columns: list[str]) -> DataFrame:
+    """The snapshot with those of ``columns`` that the features have and it lacks."""
+    there = [c for c in columns if c in features.columns and c not in snapshot.columns]
+    return snapshot.join(features.select("security_id", "date", *there), ["security_id", "date"], "left")
