@@ -20,19 +20,20 @@ either side gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
 from pitmill.plans.staging import stage
 
 SHINGLE, BLOCK, HASHES = 5, 16, 64
-#: The Bloom filter has 64 bits a value, and between these many bits in all (the upper bound is 32 MB).
-BLOOM_BITS = (1 << 20, 1 << 28)
+#: The Bloom filter has so many bits and probes a value, and between these many bits in all (the upper bound is 32 MB).
+BITS_PER_KEY, PROBES, BLOOM_BITS = 256, 4, (1 << 20, 1 << 28)
 _A = (wordvec.mix(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32)) | np.uint32(1)
 _B = wordvec.mix(np.arange(1001, 1001 + HASHES, dtype=np.uint64)).astype(np.uint32)
 
@@ -90,22 +91,19 @@ def window_keys(shingles: np.ndarray, parts: list[int]) -> Iterator[np.ndarray]:
         low = low.reshape(-1, 2, HASHES).min(axis=1) if len(low) > 1 else low
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+"), lambda w: w != "")
-
-
-def shingles_of(text: Column) -> Column:
-    """The distinct shingles, as text."""
-    w = _words(text)
-    each = F.transform(F.sequence(F.lit(1), F.size(w) - SHINGLE + 1), lambda i: F.array_join(F.slice(w, i, F.lit(SHINGLE)), " "))
-    return F.when(F.size(w) >= SHINGLE, F.array_distinct(each)).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+def shingles_of(text: str) -> set[str]:
+    """The distinct shingles of a text in lower case, as text."""
+    w = re.findall(r"[a-z0-9\x80-\U0010ffff]+", text)
+    if len(w) < SHINGLE:
+        return {" ".join(w)} if w else set()
+    return {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
 
 
 def _bloom(keys: DataFrame) -> np.ndarray:
-    """Words of 64 bits; two bits for each key."""
+    """Words of 64 bits; ``PROBES`` bits for each key."""
     n = keys.count()
-    bits = min(max(1 << max(1, (64 * n - 1).bit_length()), BLOOM_BITS[0]), BLOOM_BITS[1])
-    places = keys.select(F.explode(F.array(F.expr(f"key & {bits - 1}"), F.expr(f"shiftrightunsigned(key, 32) & {bits - 1}"))).alias("p"))
+    bits = min(max(1 << max(1, (BITS_PER_KEY * n - 1).bit_length()), BLOOM_BITS[0]), BLOOM_BITS[1])
+    places = keys.select(F.explode(F.array(*[F.expr(f"((key & {bits - 1}) + {j} * ((shiftrightunsigned(key, 32) & {bits - 1}) | 1)) & {bits - 1}") for j in range(PROBES)])).alias("p"))
     rows = places.select(F.expr("p div 64").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b")).groupBy("w").agg(F.expr("bit_or(b)").alias("b")).collect()  # at most BLOOM_BITS / 64 rows
     out = np.zeros(bits // 64, np.uint64)
     if rows:
@@ -115,10 +113,10 @@ def _bloom(keys: DataFrame) -> np.ndarray:
 
 def _passes(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
     mask = np.uint64(len(bloom) * 64 - 1)
-    p = keys & mask
-    maybe = keys[(bloom[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1]
-    p = (maybe >> np.uint64(32)) & mask
-    return maybe[(bloom[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1]
+    for j in range(PROBES):
+        p = ((keys & mask) + np.uint64(j) * (((keys >> np.uint64(32)) & mask) | np.uint64(1))) & mask
+        keys = keys[(bloom[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1]
+    return keys
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: float = 0.8) -> DataFrame:
@@ -155,10 +153,26 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lower(text_col).cast("binary").alias("lower"))
     hits = stage(rows.mapInArrow(of_docs, "doc_id long, text string, keys array<long>").withColumn("row", F.monotonically_increasing_id()), "hits")
     pairs = hits.select("row", F.explode("keys").alias("key")).join(spread, "key").select("row", "item_id").distinct()
-    both = pairs.join(hits.select("row", "doc_id", "text"), "row").join(tests, "item_id")
-    exact = both.withColumn("of_item", shingles_of(F.col("item"))).withColumn("shared", F.size(F.array_intersect("of_item", shingles_of(F.col("text")))))
-    n = F.size("of_item")
-    return exact.where((n > 0) & (F.col("shared") >= share * n - 1e-9)).select("doc_id", "item_id", F.col("shared").cast("long"), n.cast("long").alias("item_shingles"), (F.col("shared") / n).alias("containment"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    both = pairs.join(hits.select("row", "doc_id", F.lower("text").alias("lower"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "row").join(tests.select("item_id", F.lower("item").alias("item")), "item_id")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, items = None, set(), {}
+        for batch in batches:
+            out = []
+            for row, doc, item_id, sha, text, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row != last:
+                    last, held = row, shingles_of(text)
+                if item not in items:
+                    items = {} if len(items) > 10_000 else items
+                    items[item] = shingles_of(item)
+                n, shared = len(items[item]), len(items[item] & held)
+                if n and shared >= share * n - 1e-9:
+                    out.append((doc, item_id, shared, n, shared / n, sha))
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "item_id", "shared", "item_shingles", "containment", "text_sha256"])
+
+    return both.select("row", "doc_id", "item_id", "text_sha256", "lower", "item").sortWithinPartitions("row").mapInArrow(verify, "doc_id long, item_id long, shared long, item_shingles long, containment double, text_sha256 string")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
