@@ -30,7 +30,7 @@ from pitmill.llm.wordvec import mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, PLAIN_MARK = 0x2581, 0x110000
-CHARS = 1 << 20
+CHARS = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
