@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitmill.plans.staging import staged_path
+from pitmill.plans.staging import stage, staged_path
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,7 @@ def find_secrets(versions: DataFrame, path_cols: tuple[str, ...] = ("doc_id",),
         .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
         .select("blob", F.array_sort(F.transform(F.filter("spans", lambda s: s.rule.isin(keys)), lambda s: F.struct(s.start.alias("start"), order[s.rule].alias("ord"), s.kind.alias("kind"), s.rule.alias("rule"), s.end.alias("end")))).alias("spans"))
     )
+    found = stage(found, "findings")  # read as a table, so that the join may split a blob that many paths hold
     paths = versions.select(*path_cols, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).alias("blob"))
     none = F.expr("cast(array() as array<struct<start: long, ord: int, kind: string, rule: string, end: long>>)")
     return paths.join(found, "blob", "left").select(*path_cols, F.coalesce("spans", none).alias("spans"))
@@ -158,7 +159,7 @@ def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     path = ledger or staged_path(docs.sparkSession, "ledger")
     update_ledger(docs, path, text_col)
-    found = read_ledger(docs.sparkSession, path).where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans_"))
+    found = stage(read_ledger(docs.sparkSession, path).where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans_")), "findings")
     blob = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     both = docs.withColumn("blob_", blob).join(found.withColumnRenamed("blob", "blob_"), "blob_", "left")
     # the text is built left to right: (end of what is done, parts)
