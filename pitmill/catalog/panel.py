@@ -201,3 +201,9 @@ def e13_session_gaps(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "panel").select("security_id", "date").join(F.broadcast(calendar.number_sessions(table(spark, d, "calendar"))), "date")
     o = o.withColumn("gap", F.col("session_number") - F.lag("session_number").over(Window.partitionBy("security_id").orderBy("session_number")) - 1)
     return o.groupBy("security_id").agg(F.coalesce(F.max("gap"), F.lit(0).cast("long")).alias("max_gap"), F.count_if(F.col("gap") > 20).alias("long_gaps"))
+
+
+@query("""WITH ses AS (SELECT date, row_number() OVER (ORDER BY date) AS sno FROM (SELECT DISTINCT date FROM {calendar})), pp AS (SELECT p.*, sno FROM {panel} p JOIN ses USING (date)), bb AS (SELECT security_id, min(sno) AS lo, max(sno) AS hi FROM pp GROUP BY 1)
+SELECT b.security_id, s.sno AS session_number, p.security_id IS NOT NULL AS observed, p.volume FROM bb b JOIN ses s ON s.sno BETWEEN b.lo AND b.hi LEFT JOIN pp p ON p.security_id = b.security_id AND p.sno = s.sno""")
+def c4_session_grid(spark: SparkSession, d: str) -> DataFrame:
+    return features.session_grid(table(spark, d, "panel"), calendar.number_sessions(table(spark, d, "calendar"))).select("security_id", "session_number", "observed", "volume")

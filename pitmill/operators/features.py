@@ -40,39 +40,36 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
     """Rolling counts, medians and averages over official sessions, for each observed row.
 
     Windows count sessions, absent ones too, between an entity's first and last session; EQ rows
-    only, where there is a series. One shuffle by entity serves all windows, one by date the ranks.
+    only, where there is a series. A window of n sessions is a RANGE frame over session numbers, so
+    absent sessions need no rows: they are the sessions of the window less the observed ones. One
+    shuffle by entity serves all windows, one by date the ranks.
     """
     rows = prices.where("series = 'EQ'") if "series" in prices.columns else prices
     keep = rows.columns
-    grid = session_grid(rows, number_sessions(calendar))
-    by = Window.partitionBy("security_id").orderBy("session_number")
-    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
-    seen, volume, value = F.col("observed"), F.coalesce(F.col("volume"), F.lit(0)), F.col("traded_value")
-    grid = grid.withColumn("previous_close", F.lag("raw_close").over(by))
-    # running totals, whose differences are the windows' counts and sums; only the medians need the values of a frame
-    totals = {
-        "valid_": F.count(value), "positive_": F.count_if(seen & (volume > 0)), "zero_": F.count_if(seen & (volume <= 0)), "absent_": F.count_if(~seen),
-        "stale_": F.count_if(seen & (F.col("raw_close") == F.col("previous_close"))), "sum_": F.sum(F.coalesce(value, F.lit(0.0))),
-    }
-    run = {k: v.over(so_far) for k, v in totals.items()}
-    run["values_"] = F.collect_list(F.coalesce(value, F.lit(float("nan")))).over(by.rowsBetween(1 - max(windows), 0))
-    run["first_session"] = F.min("date").over(Window.partitionBy("security_id"))
-    run["history_sessions"] = F.count(F.lit(1)).over(so_far)
-    run["observed_history_sessions"] = F.count_if(seen).over(so_far)
-    grid = grid.withColumns(run)
-    within = lambda c, n: F.col(c) - F.coalesce(F.lag(c, n).over(by), F.lit(0))
-    spans = sorted({*windows, stale_window})
-    grid = grid.withColumns({f"{c}{n}": within(c, n) for n in spans for c in totals})
+    placed = rows.join(F.broadcast(number_sessions(calendar)), "date")
+    entity = Window.partitionBy("security_id")
+    by = entity.orderBy("session_number")
+    session, volume = F.col("session_number"), F.coalesce(F.col("volume"), F.lit(0))
+    before = F.when(F.lag("session_number").over(by) == session - 1, F.lag("raw_close").over(by))
+    placed = placed.withColumns({
+        "stale_": F.coalesce(F.col("raw_close") == before, F.lit(False)),
+        "history_sessions": session - F.min("session_number").over(entity) + 1,
+        "observed_history_sessions": F.row_number().over(by).cast("long"),
+        "first_session": F.min("date").over(entity),
+    })
     out = {}
     for n in windows:
-        last = F.slice("values_", F.greatest(F.size("values_") - n + 1, F.lit(1)), F.lit(n))
+        w = by.rangeBetween(1 - n, 0)
         out |= {
-            f"valid_trade_days_{n}": F.col(f"valid_{n}"), f"positive_volume_days_{n}": F.col(f"positive_{n}"), f"zero_volume_days_{n}": F.col(f"zero_{n}"), f"absent_observation_days_{n}": F.col(f"absent_{n}"),
-            f"median_traded_value_{n}": _middle(F.sort_array(F.filter(last, lambda x: ~F.isnan(x)))),
-            f"average_traded_value_{n}": F.when(F.col(f"valid_{n}") > 0, F.col(f"sum_{n}") / F.col(f"valid_{n}")),
+            f"valid_trade_days_{n}": F.count("traded_value").over(w),
+            f"positive_volume_days_{n}": F.count_if(volume > 0).over(w),
+            f"zero_volume_days_{n}": F.count_if(volume <= 0).over(w),
+            f"absent_observation_days_{n}": F.least("history_sessions", F.lit(n)) - F.count(F.lit(1)).over(w),
+            f"median_traded_value_{n}": _median(F.col("traded_value"), w),
+            f"average_traded_value_{n}": F.avg("traded_value").over(w),
         }
-    out[f"stale_price_days_{stale_window}"] = F.col(f"stale_{stale_window}")
-    made = grid.where("observed").withColumns(out)
+    out[f"stale_price_days_{stale_window}"] = F.count_if("stale_").over(by.rangeBetween(1 - stale_window, 0))
+    made = placed.withColumns(out)
     metric = f"median_traded_value_{rank_window}"
     day = Window.partitionBy("date")
     pct = F.cume_dist().over(day.orderBy(F.asc_nulls_last(metric)))
