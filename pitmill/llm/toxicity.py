@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
+from pitmill.llm.sampling import first_by_hash
 
 WORDS, STARTS, PREFIX = 1 << 15, 1 << 13, 4
 #: (width, filters)
@@ -224,8 +225,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     y = y.groupBy("doc_id").agg(F.max("y").alias("y"))
     if learn is not None:
         y = y.where(learn)
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    y = y.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows).drop("k")
+    y = first_by_hash(y, "y", "doc_id", rows)
     lang = F.col(lang_col) if lang_col in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), lang.cast("string").alias("lang"))
 
