@@ -17,9 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitmill.llm.sampling import first_by_hash
+
 SPAN, HIDDEN = 64, 8
 #: At most so many texts of each language, each with so many windows, are learned from.
 TRAIN_TEXTS, TRAIN_WINDOWS = 400, 4
@@ -190,7 +192,7 @@ def fit_languages(docs: DataFrame, learn: F.Column | None = None, id_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and doc_id is not null and text is not null and length(text) > 0")
     if learn is not None:
         rows = rows.where(learn)
-    keys = rows.select("doc_id", "lang").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("k") <= texts).select("doc_id", "lang")
+    keys = first_by_hash(rows.select("doc_id", "lang").distinct(), "lang", "doc_id", texts)
     size = F.length("text")
     places = F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda j: F.substring(F.col("text"), (1 + F.greatest(size - SPAN, F.lit(0)) * j / max(1, windows - 1)).cast("int"), F.lit(SPAN)))
     got = rows.join(F.broadcast(keys), ["doc_id", "lang"]).select("doc_id", "lang", F.explode(F.array_distinct(places)).alias("w")).select("doc_id", "lang", F.col("w").cast("binary").alias("w")).collect()
