@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
+from pitmill.llm.sampling import first_by_hash
 
 #: The usual short notices of public licence families.
 TEMPLATES = {
@@ -188,8 +189,8 @@ def judge(m: Model, lines: list[bytes]) -> list[tuple[int, str, float, float, st
 
 def fit_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train with lines of at most ``NEGATIVE_DOCS`` documents of the corpus."""
-    rows = docs.select(F.col(id_col).cast("string").alias("k"), F.col(text_col).alias("text")).where("text is not null")
-    first = rows.orderBy(F.xxhash64("k"), "k", F.length("text")).limit(NEGATIVE_DOCS)
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("k"), F.col(text_col).alias("text"), F.lit(0).alias("all")).where("text is not null")
+    first = first_by_hash(rows, "all", "k", NEGATIVE_DOCS)
     lines = first.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") > 0).select(F.xxhash64("line").alias("h"), F.substring("line", 1, 2000).alias("line")).distinct().orderBy("h", "line").limit(NEGATIVES)
     got = [r["line"] for r in lines.collect()]
     templates = [t for ts in TEMPLATES.values() for t in ts]
