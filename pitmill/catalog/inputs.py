@@ -93,7 +93,7 @@ SELECT concat('N', cast(o_orderkey AS string)) AS evidence_id, concat('S', cast(
 FROM {orders} WHERE o_orderkey % 211 = 0""",
     "notices": """
 SELECT doc_id, concat(substr(text, 1, 200), CASE doc_id % 6 WHEN 0 THEN ' Suspension of trading in Red Bolt Limited with effect from March 5, 2001. ' WHEN 1 THEN ' Revocation of suspension: Blue Ring Ltd w.e.f. January 15, 1999 '
-  WHEN 2 THEN ' Delisting of Green Cog Limited, dated June 2, 2003, compulsory delisting ' WHEN 3 THEN ' Trading recommenced effective from July 9, 2000 in Small Widget Ltd ' WHEN 4 THEN ' Annual report ' ELSE ' Voluntary Delisting ' END, substr(text, 201, 300)) AS body
+  WHEN 2 THEN ' Delisting of Green Cog Limited, dated June 2, 2003, compulsory delisting ' WHEN 3 THEN ' Trading recommenced effective from July 9, 2000 in Small Widget Ltd ' WHEN 4 THEN ' Annual report ' ELSE ' Voluntary Delisting ' END, substr(text, 201)) AS body
 FROM {documents}""",
     "holdings": "SELECT DISTINCT concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id FROM {orders} WHERE o_orderkey % 17 = 0",
     # month-end snapshots with ranks and flags, and a second release that differs from them
