@@ -9,9 +9,10 @@ class; within the class a bucket has its share of the counts. So a word's condit
 
 and a text's score is the sum of the logs over all its words.
 
-The counts and the training cover the whole corpus: each task trains on every ``STRIDE``-th word of
-each of its texts and sends its weights, which are averaged by the number of words; a second round
-starts from the average. What is sent grows with the input (counts and weights of each task), what
+The counts and the training cover the whole corpus: every word of every text is a training target
+once, those at even places of their text in the first round and the others in the second. Each task
+trains on its texts and sends its weights, which are averaged by the number of words; the second
+round starts from the average. What is sent grows with the input (counts and weights of each task), what
 the driver holds does not.
 
 Defined results: a null text or one without words has no words, a sum of 0 and a null mean;
@@ -36,7 +37,9 @@ BUCKETS = ENDINGS * PER_ENDING
 OWN = 191
 CLASSES = OWN + ENDINGS  # and one more input: beyond an end
 HIDDEN, SIDES = 32, (-2, -1, 1, 2)
-STRIDE, ROUNDS, ROWS = 16, 2, 4096
+ROUNDS, ROWS = 2, 4096
+#: Words of a training step: a ``STEPS``-th of those at hand, between these bounds.
+STEPS, STEP = 256, (64, 2048)
 
 
 @dataclass
@@ -100,6 +103,12 @@ def _log_p(n: Network, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, y
 
 
+def targets(count: np.ndarray, turn: int) -> np.ndarray:
+    """Places of the words that are trained on in a round; each word of each text is in one round."""
+    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.flatnonzero(at % ROUNDS == turn)
+
+
 def train(n: Network, cls: np.ndarray, near: np.ndarray, rate: float = 0.1) -> None:
     """One pass of Adagrad over the given words."""
     square = [np.full(x.shape, 1e-4, np.float32) for x in (n.table, n.bias, n.out, n.out_bias)]
@@ -108,21 +117,23 @@ def train(n: Network, cls: np.ndarray, near: np.ndarray, rate: float = 0.1) -> N
         square[i] += g * g
         p -= rate * g / np.sqrt(square[i])
 
-    for lo in range(0, len(cls), 256):
-        c, x = cls[lo : lo + 256], near[:, lo : lo + 256]
-        h, y = _log_p(n, x)
-        p = np.exp(y)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(c)), c] -= 1
-        p /= len(c)
+    size = min(max(len(cls) // STEPS, STEP[0]), STEP[1])
+    for lo in range(0, len(cls), size):
+        c, x = cls[lo : lo + size], near[:, lo : lo + size]
+        at = np.arange(len(c))
+        h, p = _log_p(n, x)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True) * np.float32(len(c))
+        p[at, c] -= np.float32(1 / len(c))
         d_h = (p @ n.out.T) * (1 - h * h)
         step(2, n.out, h.T @ p)
         step(3, n.out_bias, p.sum(axis=0))
         step(1, n.bias, d_h.sum(axis=0))
         for k in range(len(SIDES)):
-            rows, inverse = np.unique(x[k], return_inverse=True)
-            g = np.zeros((len(rows), HIDDEN), np.float32)
-            np.add.at(g, inverse, d_h)
+            order = np.argsort(x[k].astype(np.int16), kind="stable")
+            near_k = x[k][order]
+            first = np.flatnonzero(np.append(True, near_k[1:] != near_k[:-1]))
+            rows, g = near_k[first], np.add.reduceat(d_h[order], first, axis=0)
             s = square[0][k]
             s[rows] += g * g
             n.table[k, rows] -= rate * g / np.sqrt(s[rows])
@@ -180,7 +191,7 @@ def fit(docs: DataFrame, text_col: str = "text", seed: int = 3) -> tuple[Network
             for batch in batches:
                 bucket, count = buckets([x or b"" for x in batch.column(0).to_pylist()])
                 c = held_cls.value[bucket]
-                take = np.arange(turn * STRIDE // ROUNDS, len(c), STRIDE)
+                take = targets(count, turn)
                 train(n, c[take], _neighbours(c, count)[:, take], 0.1 / (1 + turn))
                 seen += len(take)
             if seen:

@@ -174,3 +174,13 @@ def test_pipeline_decisions(spark, tmp_path):
     masked = pieces.decode_ids(v, np.array(got[103])).decode()
     assert "[SECRET]" in masked and "24be64439e3e" not in masked
     assert pieces.decode_ids(v, np.array(got[5])).decode() == rows[5][1]
+
+
+def test_every_word_is_a_training_target(spark):
+    count = np.array([0, 1, 5, 0, 8, 2, 33])
+    taken = np.concatenate([lmscore.targets(count, t) for t in range(lmscore.ROUNDS)])
+    assert sorted(taken) == list(range(count.sum()))
+    # eight words a text: a stride of eight or more would learn some of the places only
+    docs = spark.createDataFrame([(i, "ka le mi no pu ra se ti") for i in range(2000)], "doc_id long, text string").coalesce(1)
+    row = lmscore.score(docs.limit(1), lmscore.fit(docs)).first()
+    assert row.mean_log_likelihood > -1
