@@ -5,8 +5,9 @@ shingles are its distinct runs of five words (fewer words: all of them as one).
 contaminated by an item if it holds at least ``share`` of the item's shingles.
 
 Containment of a short item in a long text has a tiny Jaccard similarity, so sizes are matched
-first. Items are partitioned by size: part c holds those of up to ``BLOCK * 2**c`` shingles. For
-part c a document is read in blocks of that many shingles, and every two neighbouring blocks are one
+first. Items of at most ``BLOCK // 2`` shingles are part -1: their shingles themselves are the keys, so
+whatever document holds one of them is found. Larger items are partitioned by size: part c holds those of
+up to ``BLOCK * 2**c`` shingles. For part c a document is read in blocks of that many shingles, and every two neighbouring blocks are one
 window, so that a passage as long as an item of the part lies whole in a window at most four times
 the item's size. A contained item then has a similarity of 0.19 or more to its window, and one of
 64 MinHash values agrees in all but about one case in a million. A document's window values pass a
@@ -67,18 +68,28 @@ def _keys(minima: np.ndarray, part: int) -> np.ndarray:
     return wordvec.mix((minima.astype(np.uint64) << np.uint64(16)) + place)
 
 
+def _own_keys(shingles: np.ndarray) -> np.ndarray:
+    return wordvec.mix(shingles + np.uint64(0x632BE59BD9B4E019))
+
+
 def part_of(n: int) -> int:
-    """The size part of an item with ``n`` shingles."""
-    return max(0, -(-n // BLOCK) - 1).bit_length()
+    """The size part of an item with ``n`` shingles; -1 where the shingles are the keys."""
+    return -1 if n <= BLOCK // 2 else max(0, -(-n // BLOCK) - 1).bit_length()
 
 
 def item_keys(shingles: np.ndarray) -> np.ndarray:
-    """The item's MinHash values, as keys of its part."""
+    """The item's MinHash values, or its few shingles, as keys of its part."""
+    if part_of(len(shingles)) < 0:
+        return _own_keys(shingles)
     return _keys(_minima(shingles).min(axis=0, keepdims=True), part_of(len(shingles)))[0]
 
 
 def window_keys(shingles: np.ndarray, parts: list[int]) -> Iterator[np.ndarray]:
-    """The keys of all windows of a document, for each part that has items."""
+    """The keys of all windows of a document, for each part that has items, and of its shingles for part -1."""
+    if -1 in parts:
+        yield _own_keys(shingles)
+    if max(parts) < 0:
+        return
     low, part = _minima(shingles), 0
     while len(low):
         if part in parts:

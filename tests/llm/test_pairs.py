@@ -134,3 +134,13 @@ def test_nearest_neighbours(spark):
     assert hit / total >= 0.95
     assert {r.query_id for r in got} == set(ids[ids % 20 == 0].tolist()) | {2080} - {2080}
     assert hnsw.build_index(df.limit(0)).count() == 0
+
+
+def test_short_items_in_long_documents_are_all_found(spark):
+    rng = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(5000)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    items = [(k, text(5 + k % 8)) for k in range(400)]
+    docs = [(k, f"{text(300)} {t} {text(300)}" if k % 2 else f"{t} {text(300)}") for k, t in items]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(k, k) for k, _ in items} <= {(r.doc_id, r.item_id) for r in got}
