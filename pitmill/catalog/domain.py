@@ -423,7 +423,7 @@ def c3_enriched_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return universe.enrich(table(spark, d, "monthly_in"), features_of(spark, d), ["positive_volume_days_20", "liquidity_rank_126", "liquidity_bucket_126", "not_there", "price"]).select("security_id", "date", "rank_126", "positive_volume_days_20", "liquidity_rank_126", "liquidity_bucket_126")
 
 
-_ISSUERS = "(SELECT concat('C', CAST(p_partkey AS {s})) AS security_id, concat(p_name, CASE p_partkey % 2 WHEN 0 THEN ' Limited' ELSE ' Ltd' END) AS company_name, CASE WHEN p_partkey % 3 = 0 THEN date '2001-01-01' ELSE date '1998-01-01' END AS effective_from, CASE WHEN p_partkey % 5 = 0 THEN date '1999-06-30' ELSE CAST(NULL AS date) END AS effective_to FROM {{part}} WHERE p_partkey <= 60)"
+_ISSUERS = "(SELECT concat('C', CAST(p_partkey AS {s})) AS security_id, concat(p_name, CASE p_partkey % 2 WHEN 0 THEN ' Limited' ELSE ' Ltd' END) AS company_name, CASE WHEN p_partkey % 3 = 0 THEN date '2001-01-01' ELSE date '1998-01-01' END AS effective_from, CASE WHEN p_partkey % 5 = 0 THEN date '1999-06-30' ELSE CAST(NULL AS date) END AS effective_to FROM {{part}})"
 
 
 @query(r"""WITH nb AS (SELECT doc_id, string_split(replace(body, '. ', '.' || chr(10)), chr(10)) AS parts FROM {notices}), u AS (SELECT doc_id, unnest(parts) AS block, generate_subscripts(parts, 1) AS pos FROM nb), k AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS block_no, block FROM u WHERE regexp_matches(block, '(?i)suspen|revoc|recommenc')),

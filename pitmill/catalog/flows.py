@@ -25,7 +25,7 @@ def query(oracle: str | None = None):
     return keep
 
 
-_MARKET = "SELECT date, concat(symbol, ' ') AS SYMBOL, series AS SERIES, CASE WHEN source_row % 10 = 0 THEN '-' ELSE cast(close AS {s}) END AS CLOSE_PRICE, cast(volume AS {s}) AS TOTTRDQTY, coalesce(isin, '') AS ISIN FROM {{observations}} WHERE date <= date '1995-01-20'"
+_MARKET = "SELECT date, concat(symbol, ' ') AS SYMBOL, series AS SERIES, CASE WHEN source_row % 10 = 0 THEN '-' ELSE cast(close AS {s}) END AS CLOSE_PRICE, cast(volume AS {s}) AS TOTTRDQTY, coalesce(isin, '') AS ISIN FROM {{observations}}"
 
 
 @query(f"WITH m AS ({_MARKET.format(s='varchar')}) SELECT date, trim(SYMBOL) AS symbol, SERIES AS series, round(CASE WHEN CLOSE_PRICE = '-' THEN NULL ELSE CAST(CLOSE_PRICE AS DOUBLE) END, 4) AS close, CAST(TOTTRDQTY AS BIGINT) AS volume, nullif(ISIN, '') AS isin FROM m")
@@ -33,7 +33,7 @@ def a1_daily_observations(spark: SparkSession, d: str) -> DataFrame:
     """Market files written by day, read back by header era and file name."""
     rows = spark.sql(_MARKET.format(s="string").replace("{{", "{").replace("}}", "}"), observations=table(spark, d, "observations"))
     path = staged_path(spark, "market")
-    rows.withColumn("day", F.concat(F.lit("bhav-"), F.col("date").cast("string"))).drop("date").write.partitionBy("day").option("header", True).csv(path)
+    rows.withColumn("day", F.concat(F.lit("bhav-"), F.col("date").cast("string"))).drop("date").repartition("day").write.partitionBy("day").option("header", True).csv(path)
     # one folder a day: the date is read from the folder's name, as from a file's
     back = files.read_daily_observations(spark, [[f"{path}/day=*"]])
     day = F.to_date(F.regexp_extract("source_file", r"bhav-(\d\d\d\d-\d\d-\d\d)", 1))

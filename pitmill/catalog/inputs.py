@@ -64,7 +64,7 @@ SELECT o_orderkey AS ordinal, CASE WHEN o_orderkey % 7 = 0 THEN 'BE' ELSE 'EQ' E
     WHEN 3 THEN 'Interim Dividend - Rs 2.50 Per Share' WHEN 4 THEN 'DIVIDEND-35%' WHEN 5 THEN 'Consolidation of shares Rs 1 to Rs 10' WHEN 6 THEN 'RIGHTS 2:7 @ PREMIUM RS 10'
     WHEN 7 THEN 'Scheme of Arrangement / Demerger' WHEN 8 THEN 'AMALGAMATION' WHEN 9 THEN 'Buy Back' WHEN 10 THEN 'Annual General Meeting/Dividend Rs 1.5 + Special Dividend Rs.3'
     WHEN 11 THEN 'BONUS PREFERENCE SHARES 5:1 NCRPS' WHEN 12 THEN 'CHANGE OF NAME' WHEN 13 THEN 'FV SPL-10 TO 5 AND BON 1:2' WHEN 14 THEN 'Bonus Debentures 1:1' ELSE 'Annual General Meeting' END AS subject
-FROM {orders} WHERE o_orderkey % 3 = 0""",
+FROM {orders}""",
     "resolutions": """
 SELECT concat('CA_', cast(o_orderkey AS string)) AS event_id, CASE WHEN o_orderkey % 2 = 0 THEN 'BONUS_RIGHTS_COMPOSITE' ELSE cast(NULL AS string) END AS resolved_event_type,
   0.4 + cast(o_orderkey % 10 AS double) / 20 AS resolved_price_factor, 1 / (0.4 + cast(o_orderkey % 10 AS double) / 20) AS resolved_share_factor,
@@ -79,7 +79,7 @@ SELECT concat('E', cast(o_orderkey AS string)) AS event_id, concat('S', cast(o_c
   CASE WHEN o_orderkey % 4 > 1 THEN cast(o_orderkey % 9 AS double) ELSE cast(NULL AS double) END AS cash_dividend_per_share,
   CASE WHEN o_orderkey % 40 = 0 THEN 'VERIFIED_FACTOR_GENUINE_MARKET_MOVE' WHEN o_orderkey % 40 = 1 THEN 'RESOLVED_COMPOSITE_ACTION' ELSE cast(NULL AS string) END AS review_classification,
   CASE WHEN o_orderkey % 24 = 0 THEN 2.0 ELSE cast(NULL AS double) END AS post_share_count_per_old_share, CASE WHEN o_orderkey % 24 = 0 THEN 5.0 ELSE cast(NULL AS double) END AS cash_contribution_per_old_share
-FROM {orders} WHERE o_orderkey % 29 = 0""",
+FROM {orders}""",
     # official terminal events and status patches
     "terminal_events": """
 SELECT concat('T', cast(c_custkey AS string)) AS event_id, concat('S', cast(c_custkey % 100 + 1 AS string)) AS security_id, concat('SYM', cast(c_custkey % 40 AS string)) AS historical_symbol,
@@ -90,7 +90,7 @@ FROM {customer} WHERE c_acctbal < 0""",
     "suspensions": """
 SELECT concat('N', cast(o_orderkey AS string)) AS evidence_id, concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id, cast(o_orderdate AS date) AS effective_date,
   CASE WHEN o_orderkey % 2 = 0 THEN 'SUSPENSION_START' ELSE 'SUSPENSION_REVOKED' END AS event_type
-FROM {orders} WHERE o_orderkey % 211 = 0""",
+FROM {orders}""",
     "notices": """
 SELECT doc_id, concat(substr(text, 1, 200), CASE doc_id % 6 WHEN 0 THEN ' Suspension of trading in Red Bolt Limited with effect from March 5, 2001. ' WHEN 1 THEN ' Revocation of suspension: Blue Ring Ltd w.e.f. January 15, 1999 '
   WHEN 2 THEN ' Delisting of Green Cog Limited, dated June 2, 2003, compulsory delisting ' WHEN 3 THEN ' Trading recommenced effective from July 9, 2000 in Small Widget Ltd ' WHEN 4 THEN ' Annual report ' ELSE ' Voluntary Delisting ' END, substr(text, 201)) AS body
@@ -125,7 +125,7 @@ FROM {monthly_in} WHERE (liquid_v1_eligible OR top25_liquidity) AND security_id
     "discovered": """
 SELECT 'NSE' AS exchange, symbol, 'EQ' AS series, candidate_isin, min(date) AS first_seen, max(date) AS last_seen, max(instrument_type) AS instrument_type, min(company_name) AS company_name
 FROM (SELECT concat('P', cast(l_partkey % 60 AS string)) AS symbol, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE concat('IN', cast(l_partkey % 25 AS string)) END AS candidate_isin,
-    cast(l_shipdate AS date) AS date, 'ORDINARY_EQUITY' AS instrument_type, concat('CO', cast(l_partkey % 30 AS string)) AS company_name, floor((year(l_shipdate) * 12 + month(l_shipdate)) / 7) AS era FROM {lineitem} WHERE l_partkey <= 200) AS t
+    cast(l_shipdate AS date) AS date, 'ORDINARY_EQUITY' AS instrument_type, concat('CO', cast(l_partkey % 30 AS string)) AS company_name, floor((year(l_shipdate) * 12 + month(l_shipdate)) / 7) AS era FROM {lineitem}) AS t
 GROUP BY symbol, candidate_isin, era""",
 }
 
