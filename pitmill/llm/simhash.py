@@ -227,10 +227,11 @@ def trie_self_join(fps: DataFrame, budget: int = 3, max_node: int = MAX_NODE) ->
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs``; see the module for edge cases."""
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    found = connected_components(trie_self_join(reps.where("rep is not null"), budget)).withColumnRenamed("node", "rep")
-    classes = reps.join(found, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
+    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("first_"))
+    found = connected_components(trie_self_join(reps.select("fp", F.col("fp").alias("rep")), budget)).withColumnRenamed("node", "fp")
+    placed = reps.join(found, "fp", "left").select("fp", "first_", F.coalesce("component", "fp").alias("c_"))
+    least = placed.groupBy("c_").agg(F.min("first_").alias("component_id"))
+    return prints.join(placed.join(least, "c_").select("fp", "component_id"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: str = "fp") -> F.Column:
@@ -238,10 +239,12 @@ def hex_digits(fp: str = "fp") -> F.Column:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pipeline stage: the rows of ``docs`` that hold the smallest id of their component; one row of a repeated one.
+    """Pipeline stage: the rows of ``docs`` that hold the smallest id of their component; one row of each text.
 
     Rows without an id can't be compared by it and stay.
     """
-    first = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(first, id_col, "left_semi").select(*docs.columns)
-    return named.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    first = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_")).distinct()
+    signed = F.udf(lambda x: (fingerprint(x) ^ 1 << 63) - (1 << 63), "long")
+    named = docs.where(F.col(id_col).isNotNull()).withColumns({"id_": F.col(id_col).cast("long"), "fp_": signed(F.col(text_col).cast("binary"))})
+    kept = named.join(first, ["id_", "fp_"], "left_semi").select(*docs.columns)
+    return kept.dropDuplicates([id_col, text_col]).unionByName(docs.where(F.col(id_col).isNull()))

@@ -144,3 +144,15 @@ def test_short_items_in_long_documents_are_all_found(spark):
     docs = [(k, f"{text(300)} {t} {text(300)}" if k % 2 else f"{t} {text(300)}") for k, t in items]
     got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(k, k) for k, _ in items} <= {(r.doc_id, r.item_id) for r in got}
+
+
+def test_rows_without_ids_link_and_repeated_ids_keep_their_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c"), (None, "d e f"), (2, "g h i"), (None, "j k l"), (7, "x"), (7, "y")], "doc_id long, text string")
+    rows = [(1, 0b11), (None, 0), (2, 0b11000), (None, -1), (7, 0xFFFF << 20), (7, 0xFFFF << 40)]
+    prints = spark.createDataFrame(rows, "doc_id long, fp long")
+    with monkeypatch.context() as m:
+        m.setattr(simhash, "fingerprints", lambda *_: prints)
+        got = sorted((str(r.doc_id), r.fp, r.component_id) for r in simhash.near_duplicates(docs).collect())
+    assert [g[2] for g in got if g[1] in (0b11, 0, 0b11000)] == [1, 1, 1]
+    assert [g[2] for g in got if g[1] == -1] == [None]
+    assert sorted(r.text for r in simhash.keep_first(docs.where("doc_id = 7")).collect()) == ["x", "y"]
