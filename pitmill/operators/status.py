@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pitmill.functions.text import compact_name
 from pitmill.operators.intervals import overlay_intervals
+from pitmill.plans.staging import stage
 
 _ATTRS = ["trading_status", "status_quality", "source_reference"]
 
@@ -57,9 +58,13 @@ def suspension_overlay(base: DataFrame, notices: DataFrame, prices: DataFrame) -
 def unknown_terminal_events(master: DataFrame, coverage_end=None) -> DataFrame:
     """An unresolved event for every entity last seen before the end of coverage; ids count all entities in order."""
     last = master.groupBy("security_id").agg(F.max(F.struct("last_seen", "symbol", "issuer_id")).alias("m")).select("security_id", "m.*")
-    end = F.max("last_seen").over(Window.partitionBy()) if coverage_end is None else F.lit(coverage_end).cast("date")
-    # one row an entity: the ordinal needs their global order
-    numbered = last.withColumns({"n_": F.row_number().over(Window.orderBy("security_id")) - 1, "end_": end})
+    # numbered within ranges of entities, whose sizes give the numbers before; staged, so that the ranges stay
+    ranged = stage(last.repartitionByRange("security_id").withColumn("p_", F.spark_partition_id()), "entities")
+    sizes = ranged.groupBy("p_").agg(F.count("*").alias("k_"))
+    before = sizes.withColumn("before_", F.sum("k_").over(Window.orderBy("p_")) - F.col("k_")).drop("k_")  # one row a range
+    end = ranged.agg(F.max("last_seen").alias("end_")) if coverage_end is None else master.sparkSession.range(1).select(F.lit(coverage_end).cast("date").alias("end_"))
+    numbered = ranged.withColumn("n_", F.row_number().over(Window.partitionBy("p_").orderBy("security_id")) - 1)
+    numbered = numbered.join(F.broadcast(before), "p_").withColumn("n_", F.col("n_") + F.col("before_")).crossJoin(F.broadcast(end))
     return numbered.where("last_seen < end_").select(F.format_string("OBS_GAP_%06d", "n_").alias("event_id"), "security_id", "issuer_id", F.col("last_seen").alias("terminal_event_date"), F.col("symbol").alias("historical_symbol"), F.lit("UNKNOWN_TERMINAL_EVENT").alias("terminal_event_type"), F.lit("UNRESOLVED").alias("event_quality"))
 
 

@@ -104,3 +104,11 @@ def test_store_lookups_and_strict_dates(spark):
 def test_no_trade_is_active(spark):
     p = spark.createDataFrame([("S", D("2020-01-01"), "ORDINARY_EQUITY", "EQ", 5.0, 0), ("T", D("2020-01-01"), "ORDINARY_EQUITY", "BE", 5.0, 9)], "security_id string, date date, instrument_type string, series string, raw_close double, volume long")
     assert [(r.security_id, r.observation_status) for r in universe.active_on(p, "2020-01-01").collect()] == [("S", "NO_TRADE")]
+
+
+def test_ordinals_of_unknown_terminal_events_need_no_single_task(spark):
+    master = spark.createDataFrame([(f"S{k:03d}", D("2020-01-01") if k % 3 else D("2020-01-09"), "X", "I") for k in range(200)], "security_id string, last_seen date, symbol string, issuer_id string").repartition(4)
+    out = status.unknown_terminal_events(master)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "row_number() windowspecdefinition(p_" in plan
+    assert {(r.event_id, r.security_id) for r in out.collect()} == {(f"OBS_GAP_{k:06d}", f"S{k:03d}") for k in range(200) if k % 3}
