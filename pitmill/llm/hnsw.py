@@ -1,23 +1,28 @@
 """Nearest neighbours by inner product: one hierarchical small-world graph a shard, results merged.
 
 Equal vectors are one node (a third of all rows may be copies of one); a node keeps as many of its
-smallest ids as an answer can use. Nodes are dealt to shards by a hash of the vector, so that a
-shard holds about ``shard_rows`` of them. A shard's graph is flat arrays: an int32 matrix of
+smallest ids as an answer can use. Nodes are dealt to cells by the nearest of some centroids, which are
+fitted on a bounded sample (``SAMPLE`` vectors); every node is indexed. There are ``sqrt(nodes) / SPREAD``
+cells, so their number and their size both grow as the root of the table; a cell of more than twice the
+usual size is dealt to several shards by a hash. A shard's graph is flat arrays: an int32 matrix of
 neighbours for each level (-1: none), the level of each node, and the vectors. Inside a shard
 vectors get one more component that makes all lengths equal, so the largest inner product is the
 smallest distance. Nodes are inserted in batches that double in size: a batch searches the graph
 built so far, is linked to the diverse among what it found, and links back.
 
-Every query is sent to every shard, in blocks; a shard's answers are its ``k`` best nodes, scored
-in double precision on the original vectors, and the answers of all shards are merged.
+A query is sent to the shards of its ``probes`` nearest cells: all of them in tables of up to 262,144 different
+vectors, a falling share beyond, so that the work of a query stays bounded. A shard's answers are its ``k``
+best nodes, scored in double precision on the original vectors, and the answers of all shards are merged.
 
 Defined results: null or zero vectors and those with null or non-finite components take no part, as
-queries or as candidates; of rows with one id and several vectors each is a row; a null id takes no part;
+queries or as candidates; of rows with one id and several vectors each is a row, as a candidate and as a query
+(with a list of its own); equal query rows count once; a null id takes no part;
 fewer than ``k`` candidates give fewer rows; vectors of another length than the query's are no candidates.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitmill.llm.sampling import first_by_hash
 from pitmill.plans.staging import stage
 
-SHARD_ROWS = 4096
-LINKS, WIDTH, SEARCH, ENTRIES = 24, 96, 160, 16
+#: Cells are the root of the number of nodes divided by SPREAD; a query asks PROBES of them.
+SPREAD, PROBES = 32, 16
+#: Vectors of each length that centroids are fitted on, and components of all of them, at most.
+SAMPLE, SAMPLE_SIZE = 16_384, 1 << 23
+#: Components of the vectors of a shard at most.
+SHARD_SIZE = 1 << 25
+LINKS, WIDTH, SEARCH, ENTRIES = 24, 96, 128, 16
+#: Marks of visited nodes that a search holds at once.
+SEEN = 1 << 26
 
 
 def _entries(found: np.ndarray) -> np.ndarray:
@@ -162,14 +175,42 @@ def search(x: np.ndarray, graph: dict[str, np.ndarray], query: np.ndarray, k: in
     """Indices of the ``k`` nodes found for each query, in no order; -1 where there are fewer."""
     vec = _lengthened(x.astype(np.float64))
     ask = np.concatenate((query, np.zeros((len(query), 1))), axis=1).astype(np.float32)
-    entry = np.full((len(query), 1), graph["entry"][0])
-    for lv in range(sum(name.startswith("graph") for name in graph) - 1, -1, -1):
-        # several entries, so that tight clusters with few ways between them are all reached
-        entry, _ = _beam(vec, graph[f"graph{lv}"], ask, _entries(entry), max(width, k) if lv == 0 else ENTRIES)
-    return entry
+    levels = sum(name.startswith("graph") for name in graph)
+    out, step = [np.empty((0, max(width, k)), np.int64)], max(1, SEEN // len(x))
+    for lo in range(0, len(ask), step):
+        part = ask[lo : lo + step]
+        entry = np.full((len(part), 1), graph["entry"][0])
+        for lv in range(levels - 1, -1, -1):
+            # several entries, so that tight clusters with few ways between them are all reached
+            entry, _ = _beam(vec, graph[f"graph{lv}"], part, _entries(entry), max(width, k) if lv == 0 else ENTRIES)
+        out.append(entry)
+    return np.concatenate(out)
 
 
-_INDEX = "shard int, dim int, n int, ids binary, n_ids binary, vectors binary, level binary, entry binary, graphs array<binary>"
+def _distances(c: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Squared distances (rows, centroids), less what is the same for a row's centroids."""
+    return np.einsum("ij,ij->i", c, c) - 2 * (x @ c.T)
+
+
+def centroids(x: np.ndarray, count: int, turns: int = 8, seed: int = 1) -> np.ndarray:
+    """k-means of the rows of ``x``, from ``count`` of them at first."""
+    c = x[np.random.default_rng(seed).choice(len(x), min(count, len(x)), replace=False)]
+    for _ in range(turns):
+        own = _distances(c, x).argmin(axis=1)
+        n = np.bincount(own, minlength=len(c))
+        order = np.argsort(own, kind="stable")
+        live = np.flatnonzero(n)
+        c[live] = np.add.reduceat(x[order], (np.cumsum(n) - n)[live], axis=0) / n[live, None]
+    return c
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of a list column, all of one length."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64).reshape(len(column), -1)
+
+
+_INDEX = "shard int, dim int, cell int, centroid array<double>, top double, n int, ids binary, n_ids binary, vectors binary, level binary, entry binary, graphs array<binary>"
 
 
 def _valid(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -180,64 +221,133 @@ def _valid(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
 
 
-def build_index(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
+def _to_centroids(nodes: DataFrame, spread: float) -> dict[int, tuple[float, np.ndarray]]:
+    """For each vector length: the largest squared length, and the centroids of its lengthened vectors."""
+    own = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    sizes = {r["dim"]: (r["n"], r["top"]) for r in nodes.groupBy("dim").agg(F.count("*").alias("n"), F.max(own).alias("top")).collect()}
+    rows = max(256, min(SAMPLE, SAMPLE_SIZE // max([1, *sizes])))
+    sample = first_by_hash(nodes.select("dim", "v", F.xxhash64("v").alias("key_")), "dim", "key_", rows).select("dim", "v").collect()
+    out = {}
+    for dim, (n, top) in sizes.items():
+        x = np.array(sorted(r["v"] for r in sample if r["dim"] == dim), np.float64)
+        x = np.concatenate((x, np.sqrt(np.maximum(top - np.einsum("ij,ij->i", x, x), 0))[:, None]), axis=1)
+        cells = max(math.ceil(math.sqrt(n) / spread), math.ceil(n * dim / SHARD_SIZE))
+        out[dim] = (top, centroids(x, cells))
+    return out
+
+
+def build_index(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", spread: float = SPREAD) -> DataFrame:
     """One row a shard and vector length: the flat arrays of its graph, written to the shared folder."""
     valid = _valid(rows, id_col, vec_col)
     # -0.0 + 0.0 is 0.0: equal vectors hash alike
     valid = valid.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
     kept = valid.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1)
-    nodes = stage(kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
-    shards = max(1, -(-nodes.count() // shard_rows))
+    nodes = stage(kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("dim", F.size("v")), "vectors")
+    held = nodes.sparkSession.sparkContext.broadcast(_to_centroids(nodes, spread))  # the root of the number of nodes, and of bounded size
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, cell = np.asarray(batch.column(2)), np.zeros(batch.num_rows, np.int32)
+            for dim in np.unique(dims):
+                top, c = held.value[int(dim)]
+                at = np.flatnonzero(dims == dim)
+                x = _matrix(batch.column(0).take(pa.array(at)))
+                x = np.concatenate((x, np.sqrt(np.maximum(top - np.einsum("ij,ij->i", x, x), 0))[:, None]), axis=1)
+                cell[at] = _distances(c, x).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["v", "ids", "dim", "cell"])
+
+    placed = stage(nodes.select("v", "ids", "dim").mapInArrow(place, "v array<double>, ids array<long>, dim int, cell int"), "cells")
+    counts = placed.groupBy("dim", "cell").agg(F.count("*").alias("n")).collect()  # a row for each centroid at most
+    usual = {d: max(1, sum(r["n"] for r in counts if r["dim"] == d) // len(held.value[d][1])) for d in {r["dim"] for r in counts}}
+    first, total = [], 0
+    for r in sorted(counts):
+        parts = 1 if r["n"] <= 2 * usual[r["dim"]] else -(-r["n"] // usual[r["dim"]])
+        first.append((r["dim"], r["cell"], total, parts))
+        total += parts
+    shards = nodes.sparkSession.createDataFrame(first, "dim int, cell int, first int, parts int")
 
     def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.iloc[np.argsort([i[0] for i in pdf["ids"]])]
+        pdf = pdf.iloc[np.argsort([i[0] for i in pdf["ids"]], kind="stable")]
         x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
         g = build(x)
         ids = np.concatenate([np.asarray(i, np.int64) for i in pdf["ids"]])
         count = np.array([len(i) for i in pdf["ids"]], np.int32)
         graphs = [g[f"graph{i}"].astype(np.int32).tobytes() for i in range(sum(n.startswith("graph") for n in g))]
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "dim": [x.shape[1]], "n": [len(x)], "ids": [ids.tobytes()], "n_ids": [count.tobytes()], "vectors": [x.tobytes()], "level": [g["level"].tobytes()], "entry": [g["entry"].tobytes()], "graphs": [graphs]})
-
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")).withColumn("dim", F.size("v"))
+        top, c = held.value[x.shape[1]]
+        cell = int(pdf["cell"].iloc[0])
+        return pd.DataFrame({
+            "shard": [int(pdf["shard"].iloc[0])], "dim": [x.shape[1]], "cell": [cell], "centroid": [c[cell]], "top": [top], "n": [len(x)], "ids": [ids.tobytes()], "n_ids": [count.tobytes()],
+            "vectors": [x.tobytes()], "level": [g["level"].tobytes()], "entry": [g["entry"].tobytes()], "graphs": [graphs],
+        })
+
+    dealt = placed.join(F.broadcast(shards), ["dim", "cell"]).withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("v"), F.col("parts"))).cast("int")).drop("first", "parts")
+    dealt = dealt.repartitionByRange(max(1, total), "shard")  # by ranges, so that shards do not meet in a task by their hashes
     return stage(dealt.groupBy("shard", "dim").applyInPandas(make, _INDEX), "hnsw")
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 1024) -> DataFrame:
+def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 512, probes: int = PROBES) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query row, its own id excluded."""
     asked = _valid(queries, id_col, vec_col).select(F.col("vec_id").alias("query_id"), F.col("v"), F.size("v").alias("dim")).dropDuplicates(["query_id", "v"])
-    blocks = max(1, -(-asked.count() // block))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    asked = asked.groupBy("block", "dim").agg(F.collect_list("query_id").alias("q_ids"), F.collect_list("v").alias("q_vecs"))
-    # every block of queries meets every shard
-    pairs = index.select("shard", "dim").join(asked.select("dim", "block"), "dim").join(asked, ["dim", "block"]).join(index, ["shard", "dim"])
-    pairs = pairs.repartition("shard", "dim", "block").drop("level")
+    asked = stage(asked.withColumn("q", F.monotonically_increasing_id()), "queries")
+    shards = index.select("dim", "shard", "cell", "centroid", "top").collect()  # the root of the number of nodes
+    route: dict[int, tuple] = {}
+    for dim in {r["dim"] for r in shards}:
+        own = sorted((r["cell"], r["shard"]) for r in shards if r["dim"] == dim)
+        cells = {r["cell"]: (r["centroid"], r["top"]) for r in shards if r["dim"] == dim}
+        names = sorted(cells)
+        members = [np.array([s for c, s in own if c == name], np.int32) for name in names]
+        route[dim] = (cells[names[0]][1], np.array([cells[n][0] for n in names], np.float64), members)
+    held = index.sparkSession.sparkContext.broadcast(route)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, to = np.asarray(batch.column(2)), [np.empty(0, np.int32)] * batch.num_rows
+            for dim in np.unique(dims):
+                if int(dim) not in held.value:
+                    continue
+                top, c, members = held.value[int(dim)]
+                at = np.flatnonzero(dims == dim)
+                x = _matrix(batch.column(1).take(pa.array(at)))
+                x *= np.sqrt(top / np.einsum("ij,ij->i", x, x))[:, None]
+                near = np.argsort(_distances(c, np.concatenate((x, np.zeros((len(x), 1))), axis=1)), axis=1, kind="stable")[:, :probes]
+                for i, row in zip(at, near, strict=True):
+                    to[i] = np.concatenate([members[j] for j in row])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(to, pa.list_(pa.int32()))], ["q", "shards"])
+
+    sent = stage(asked.select("q", "v", "dim").mapInArrow(send, "q long, shards array<int>").select("q", F.explode("shards").alias("shard")), "sent")
+    # a shard's queries are cut into blocks, so that no group or task holds all queries of a busy one
+    blocks = sent.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocked = sent.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int")).drop("blocks")
+    grouped = blocked.join(asked.select("q", "query_id", "v"), "q").groupBy("shard", "block").agg(F.collect_list(F.struct("q", "query_id", "v")).alias("asked"))
+    pairs = grouped.join(index.select("shard", "dim", "n", "ids", "n_ids", "vectors", "entry", "graphs"), "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                r = {name: batch.column(name)[i].as_py() for name in ("dim", "n", "ids", "n_ids", "vectors", "entry", "graphs")}
+                here = batch.column("asked")[i].values
                 n, dim = r["n"], r["dim"]
                 x = np.frombuffer(r["vectors"], np.float64).reshape(n, dim)
                 g = {"entry": np.frombuffer(r["entry"], np.int32), **{f"graph{i}": np.frombuffer(b, np.int32).reshape(n, -1) for i, b in enumerate(r["graphs"])}}
-                q, q_ids = np.array(r["q_vecs"], np.float64), np.array(r["q_ids"], np.int64)
+                q, q_rows, q_ids = _matrix(here.field("v")), np.asarray(here.field("q")), np.asarray(here.field("query_id"))
                 found = search(x, g, q, k + 1)
-                score = (x[np.maximum(found, 0)] * q[:, None, :]).sum(axis=-1)
-                score = np.where(found >= 0, score, -np.inf)
-                best = np.argsort(-score, axis=1, kind="stable")[:, : 2 * k + 2]
-                found, score = np.take_along_axis(found, best, axis=1), np.take_along_axis(score, best, axis=1)
                 ids, count = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["n_ids"], np.int32)
                 first = np.cumsum(count) - count
-                out: list[list] = [[], [], []]
-                for i, qid in enumerate(q_ids):
-                    ok = found[i] >= 0
-                    f, s = found[i][ok], score[i][ok]
-                    mine = np.concatenate([ids[first[j] : first[j] + count[j]] for j in f]) if len(f) else np.empty(0, np.int64)
+                out: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]]
+                for j in range(len(q)):
+                    f = found[j][found[j] >= 0]
+                    s = (x[f] * q[j]).sum(axis=-1)
+                    best = np.argsort(-s, kind="stable")[: 2 * k + 2]
+                    f, s = f[best], s[best]
+                    mine = np.concatenate([ids[first[e] : first[e] + count[e]] for e in f]) if len(f) else np.empty(0, np.int64)
                     s = np.repeat(s, count[f])
-                    keep = mine != qid
+                    keep = mine != q_ids[j]
                     mine, s = mine[keep], s[keep]
                     top = np.lexsort((mine, -s))[:k]
-                    out[0].append(np.full(len(top), qid)); out[1].append(mine[top]); out[2].append(s[top])  # noqa: E702
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
+                    for column, values in zip(out, (np.full(len(top), q_rows[j]), np.full(len(top), q_ids[j]), mine[top], s[top]), strict=True):
+                        column.append(values)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["q", "query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = pairs.mapInArrow(run, "q long, query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

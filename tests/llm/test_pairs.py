@@ -119,8 +119,8 @@ def test_nearest_neighbours(spark):
     df = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<double>, score string")
     good = [(i, np.array(v)) for i, v in rows if i is not None and i < 2000]
     ids, mat = np.array([g[0] for g in good]), np.stack([g[1] for g in good])
-    index = hnsw.build_index(df, k=20, shard_rows=300)
-    assert index.count() == 5  # four shards of one length, one vector of another
+    index = hnsw.build_index(df, k=20, spread=6)
+    assert index.count() >= 6  # five cells of one length, one vector of another
     got = hnsw.search_index(index, df.where("vec_id % 20 = 0"), k=20).collect()
     hit = total = 0
     for q in ids[ids % 20 == 0]:
@@ -136,6 +136,31 @@ def test_nearest_neighbours(spark):
     assert hnsw.build_index(df.limit(0)).count() == 0
 
 
+def test_neighbours_over_many_shards(spark):
+    rng = np.random.default_rng(5)
+    mid = rng.standard_normal((40, 12)) * 3
+    x = mid[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    index = hnsw.build_index(df, k=20, spread=2)
+    assert index.count() >= 32
+    got = hnsw.search_index(index, df.where("vec_id % 20 = 0"), k=20, probes=12).collect()
+    want = set()
+    for q in range(0, 4000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        want |= {(q, int(k)) for k in np.argsort(-s)[:20]}
+    assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want) and len(got) == len(want)
+
+
+def test_queries_of_one_id_have_lists_of_their_own(spark):
+    rows = [(k, [float(k == j) + 0.1 for j in range(4)]) for k in range(4)] + [(20, [1.0, 0.0, 0.0, 0.0]), (20, [0.0, 0.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hnsw.search_index(hnsw.build_index(df), df.where("vec_id = 20"), k=3).collect()
+    assert sorted((r.rank, r.vec_id) for r in got if r.score > 1) == [(1, 0), (1, 3)] and len(got) == 6
+    index = hnsw.build_index(df.limit(0))
+    assert hnsw.search_index(index, df).count() == 0
+
+
 def test_short_items_in_long_documents_are_all_found(spark):
     rng = np.random.default_rng(6)
     words = [f"w{k}" for k in range(5000)]
