@@ -1,29 +1,32 @@
 """Masked pseudo-likelihood scores by a bidirectional window network, trained in numpy.
 
-A word is one of 2**16 buckets: six bits of its ending, ten of the whole. The buckets are counted
-over all documents; the ``OWN`` most frequent are a class each, the others are classed by their
-ending. The network sees the classes of two words on each side of a hidden one and predicts its
-class; within the class a bucket has its share of the counts. So a word's conditional probability is
+A word is one of 64 endings (a hash of its last three bytes) and, within the ending, one of 128 slots
+(a hash of the whole word). The network sees the words next to a hidden one on both sides, and the endings
+of those one further, and predicts first its ending and then, given the ending, its slot. Both
+steps read the whole context and are normalised, so a word's conditional probability is
 
-    p(class | two words before, two words after) * count(bucket) / count(class)
+    p(ending | two words before, two words after) * p(slot | ending, two words before, two words after)
 
-and a text's score is the sum of the logs over all its words.
+and a text's score is the sum of the logs over all its words. Before training both steps are the
+counts of the corpus, whatever the context.
 
 The counts and the training cover the whole corpus: every word of every text is a training target
-once, those at even places of their text in the first round and the others in the second. Each task
-trains on its texts and sends its weights, which are averaged by the number of words; the second
-round starts from the average. What is sent grows with the input (counts and weights of each task), what
-the driver holds does not.
+once, those at even places of their text in the first round and the others in the second. For
+training the texts are dealt into streams of about ``STREAM`` words by a hash of id and text, and a
+stream is read in the order of that hash, in steps of ``STEP`` words that don't depend on batches. So
+the model is the same (up to the rounding of sums) however the table is partitioned. The weights after each stream are averaged by the
+number of words, and the next round starts from the average. What is sent grows with the input (words,
+counts, and the summed weights of each task), what the driver holds does not.
 
 Defined results: a null text or one without words has no words, a sum of 0 and a null mean;
-repeated rows are scored alike; with an empty corpus there is nothing to score; other columns are
+repeated rows are scored alike, and those of one id are in one stream; with an empty corpus there is nothing to score; other columns are
 ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -31,200 +34,292 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
+from pitmill.plans.staging import stage
 
-ENDINGS, PER_ENDING, SUFFIX = 64, 1024, 3
-BUCKETS = ENDINGS * PER_ENDING
-OWN = 191
-CLASSES = OWN + ENDINGS  # and one more input: beyond an end
-HIDDEN, SIDES = 32, (-2, -1, 1, 2)
-ROUNDS, ROWS = 2, 4096
-#: Words of a training step: a ``STEPS``-th of those at hand, between these bounds.
-STEPS, STEP = 256, (64, 2048)
+ENDINGS, SLOTS, SUFFIX = 64, 128, 3
+BUCKETS = ENDINGS * SLOTS
+HIDDEN = 24
+ROUNDS, RATE = 2, 0.1
+#: Words of a stream, of the texts that are trained on together, of a training step, and of a scoring step.
+STREAM, GROUP, STEP, ROWS = 1 << 21, 1 << 16, 4096, 4096
+#: Weights are summed in so many slices, so that no task sums all of them.
+SLICES = 16
 
 
 @dataclass
 class Network:
-    table: np.ndarray  # (sides, CLASSES + 1, HIDDEN): what each neighbour adds
+    near: np.ndarray  # (2, BUCKETS + 1, HIDDEN): what the words before and after add; the last row: beyond an end
+    far: np.ndarray  # (2, ENDINGS + 1, HIDDEN): what the endings one further add
     bias: np.ndarray
-    out: np.ndarray  # (HIDDEN, CLASSES)
-    out_bias: np.ndarray
+    ending: np.ndarray  # (HIDDEN, ENDINGS)
+    ending_bias: np.ndarray
+    gate: np.ndarray  # (ENDINGS, HIDDEN): what an ending lets through to its slots
+    slot: np.ndarray  # (HIDDEN, SLOTS)
+    slot_bias: np.ndarray  # (ENDINGS, SLOTS)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.table, self.bias, self.out, self.out_bias)]).astype(np.float32)
+        return np.concatenate([getattr(self, f.name).ravel() for f in fields(self)]).astype(np.float32)
+
+
+_SHAPES = ((2, BUCKETS + 1, HIDDEN), (2, ENDINGS + 1, HIDDEN), (HIDDEN,), (HIDDEN, ENDINGS), (ENDINGS,), (ENDINGS, HIDDEN), (HIDDEN, SLOTS), (ENDINGS, SLOTS))
 
 
 def network(flat: np.ndarray) -> Network:
-    shapes = ((len(SIDES), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
-    cut = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
-    return Network(*(flat[a:b].reshape(s).copy() for a, b, s in zip(cut, cut[1:], shapes, strict=False)))
+    cut = np.cumsum([0, *(int(np.prod(s)) for s in _SHAPES)])
+    return Network(*(flat[a:b].reshape(s).astype(np.float32) for a, b, s in zip(cut, cut[1:], _SHAPES, strict=False)))
+
+
+def untrained(counts: np.ndarray, seed: int = 3) -> Network:
+    """The network whose probabilities are the counts'."""
+    rng = np.random.default_rng(seed)
+    small = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
+    smooth = (counts + 0.5).reshape(ENDINGS, SLOTS)
+    of_ending = smooth.sum(axis=1)
+    zero = [np.zeros(s, np.float32) for s in _SHAPES]
+    return Network(small(*_SHAPES[0]), small(*_SHAPES[1]), zero[2], small(*_SHAPES[3]), np.log(of_ending / of_ending.sum()).astype(np.float32), 1 + small(*_SHAPES[5]), small(*_SHAPES[6]), np.log(smooth / of_ending[:, None]).astype(np.float32))
 
 
 def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words laid end to end, and how many each text has."""
-    parts, count = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
+    parts, count = [np.empty(0, np.uint16)], np.zeros(len(texts), np.int64)
     for own, pieces in wordvec.batches(texts):
         word, piece, tail = wordvec.hashes(pieces, suffix=SUFFIX)
-        parts.append(((tail % np.uint64(ENDINGS)) * np.uint64(PER_ENDING) + word % np.uint64(PER_ENDING)).astype(np.int32))
+        parts.append(((tail % np.uint64(ENDINGS)) * np.uint64(SLOTS) + word % np.uint64(SLOTS)).astype(np.uint16))
         np.add.at(count, own, np.bincount(piece, minlength=len(pieces)))
     return np.concatenate(parts), count
 
 
-def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each bucket, and the log of its share of the class."""
-    cls = OWN + np.arange(BUCKETS) // PER_ENDING
-    top = np.lexsort((np.arange(BUCKETS), -counts))[:OWN]
-    cls[top[counts[top] > 0]] = np.flatnonzero(counts[top] > 0)
-    smooth = counts + 0.5
-    share = np.log(smooth) - np.log(np.bincount(cls, weights=smooth, minlength=CLASSES)[cls])
-    return cls.astype(np.int32), share.astype(np.float32)
-
-
-def _neighbours(cls: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """(sides, words) classes of the neighbours; CLASSES beyond an end of the text."""
+def contexts(bucket: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(2, words) buckets of the words before and after, and (2, words) endings one further; beyond an end of the text the last row."""
     end = np.repeat(np.cumsum(count), count)
     first = end - np.repeat(count, count)
-    at = np.arange(len(cls))
-    out = np.empty((len(SIDES), len(cls)), np.int32)
-    for k, o in enumerate(SIDES):
+    at = np.arange(len(bucket))
+    out = []
+    for o in (-1, 1, -2, 2):
         inside = (at + o >= first) & (at + o < end)
-        out[k] = np.where(inside, cls[np.clip(at + o, 0, max(0, len(cls) - 1))], CLASSES)
+        got = bucket[np.clip(at + o, 0, max(0, len(bucket) - 1))].astype(np.int32)
+        out.append(np.where(inside, got, BUCKETS) if abs(o) == 1 else np.where(inside, got // SLOTS, ENDINGS))
+    return np.stack(out[:2]), np.stack(out[2:])
+
+
+def _hidden(n: Network, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    h = np.take(n.near[0], near[0], axis=0)
+    for table, x in ((n.near[1], near[1]), (n.far[0], far[0]), (n.far[1], far[1])):
+        h += np.take(table, x, axis=0)
+    h += n.bias
+    return np.tanh(h, out=h)
+
+
+def _exp(y: np.ndarray) -> np.ndarray:
+    """Row sums of the exponentials, which replace ``y``; rows are shifted only where they could overflow."""
+    if len(y) and y.max() > 60:
+        y -= y.max(axis=1, keepdims=True)
+    np.exp(y, out=y)
+    return y.sum(axis=1)
+
+
+def log_p(n: Network, bucket: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Log-probability of each word in its context."""
+    out, ending, slot = np.empty(len(bucket)), bucket // SLOTS, bucket % SLOTS
+    for lo in range(0, len(bucket), ROWS):
+        e, s, at = ending[lo : lo + ROWS], slot[lo : lo + ROWS], np.arange(len(bucket[lo : lo + ROWS]))
+        h = _hidden(n, near[:, lo : lo + ROWS], far[:, lo : lo + ROWS])
+        y = h @ n.ending
+        y += n.ending_bias
+        total = _exp(y)
+        each = np.log(y[at, e] / total)
+        h *= np.take(n.gate, e, axis=0)
+        y = h @ n.slot
+        y += np.take(n.slot_bias, e, axis=0)
+        total = _exp(y)
+        out[lo : lo + ROWS] = each + np.log(np.maximum(y[at, s], 1e-37) / total)
     return out
 
 
-def _log_p(n: Network, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, HIDDEN) and normalised (rows, CLASSES) log-probabilities."""
-    h = n.bias + n.table[0, near[0]]
-    for k in range(1, len(SIDES)):
-        h += n.table[k, near[k]]
-    np.tanh(h, out=h)
-    y = h @ n.out
-    y += n.out_bias
-    y -= y.max(axis=1, keepdims=True)
-    return h, y
-
-
 def targets(count: np.ndarray, turn: int) -> np.ndarray:
     """Places of the words that are trained on in a round; each word of each text is in one round."""
     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     return np.flatnonzero(at % ROUNDS == turn)
 
 
-def train(n: Network, cls: np.ndarray, near: np.ndarray, rate: float = 0.1) -> None:
-    """One pass of Adagrad over the given words."""
-    square = [np.full(x.shape, 1e-4, np.float32) for x in (n.table, n.bias, n.out, n.out_bias)]
-
-    def step(i: int, p: np.ndarray, g: np.ndarray) -> None:
-        square[i] += g * g
-        p -= rate * g / np.sqrt(square[i])
-
-    size = min(max(len(cls) // STEPS, STEP[0]), STEP[1])
-    for lo in range(0, len(cls), size):
-        c, x = cls[lo : lo + size], near[:, lo : lo + size]
-        at = np.arange(len(c))
-        h, p = _log_p(n, x)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True) * np.float32(len(c))
-        p[at, c] -= np.float32(1 / len(c))
-        d_h = (p @ n.out.T) * (1 - h * h)
-        step(2, n.out, h.T @ p)
-        step(3, n.out_bias, p.sum(axis=0))
-        step(1, n.bias, d_h.sum(axis=0))
-        for k in range(len(SIDES)):
-            order = np.argsort(x[k].astype(np.int16), kind="stable")
-            near_k = x[k][order]
-            first = np.flatnonzero(np.append(True, near_k[1:] != near_k[:-1]))
-            rows, g = near_k[first], np.add.reduceat(d_h[order], first, axis=0)
-            s = square[0][k]
-            s[rows] += g * g
-            n.table[k, rows] -= rate * g / np.sqrt(s[rows])
-
-
-def log_likelihood(n: Network, cls: np.ndarray, share: np.ndarray, count: np.ndarray) -> np.ndarray:
+class Trainer:
+    """Adagrad steps from a network; the state is kept over all steps."""
+
+    def __init__(self, n: Network, rate: float = RATE):
+        self.n, self.rate = n, rate
+        self.square = {f.name: np.full(getattr(n, f.name).shape, 1e-4, np.float32) for f in fields(n)}
+
+    def _whole(self, name: str, g: np.ndarray) -> None:
+        s, p = self.square[name], getattr(self.n, name)
+        s += g * g
+        p -= self.rate * g / np.sqrt(s)
+
+    def _rows(self, name: str, side: int | None, rows: np.ndarray, g: np.ndarray) -> None:
+        s, p = self.square[name], getattr(self.n, name)
+        s, p = (s, p) if side is None else (s[side], p[side])
+        held = s[rows] + g * g
+        s[rows] = held
+        p[rows] -= self.rate * g / np.sqrt(held)
+
+    def step(self, bucket: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
+        order = np.argsort((bucket // SLOTS).astype(np.uint8), kind="stable")
+        bucket, near, far = bucket[order], near[:, order], far[:, order]
+        n, at, e, s = self.n, np.arange(len(bucket)), bucket // SLOTS, bucket % SLOTS
+        first = np.flatnonzero(np.append(True, e[1:] != e[:-1]))
+        live, scale = e[first], np.float32(1 / len(bucket))
+        h = _hidden(n, near, far)
+        p = h @ n.ending
+        p += n.ending_bias
+        p *= (scale / _exp(p))[:, None]
+        p[at, e] -= scale
+        d_h = p @ n.ending.T
+        self._whole("ending", h.T @ p)
+        self._whole("ending_bias", p.sum(axis=0))
+        gate = np.take(n.gate, e, axis=0)
+        through = h * gate
+        p = through @ n.slot
+        p += np.take(n.slot_bias, e, axis=0)
+        p *= (scale / _exp(p))[:, None]
+        p[at, s] -= scale
+        d = p @ n.slot.T
+        self._whole("slot", through.T @ p)
+        self._rows("slot_bias", None, live, np.add.reduceat(p, first, axis=0))
+        self._rows("gate", None, live, np.add.reduceat(d * h, first, axis=0))
+        d *= gate
+        d_h += d
+        d_h *= 1 - h * h
+        self._whole("bias", d_h.sum(axis=0))
+        for name, xs in (("near", near), ("far", far)):
+            for side in (0, 1):
+                by = np.argsort(xs[side].astype(np.uint16), kind="stable")
+                x = xs[side][by]
+                first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+                self._rows(name, side, x[first], np.add.reduceat(np.take(d_h, by, axis=0), first, axis=0))
+
+    def texts(self, words: list[np.ndarray], turn: int) -> int:
+        """Train on one group of texts; the number of its targets."""
+        count = np.array([len(w) for w in words])
+        bucket = np.concatenate(words).astype(np.int32)
+        near, far = contexts(bucket, count)
+        take = targets(count, turn)
+        for lo in range(0, len(take), STEP):
+            t = take[lo : lo + STEP]
+            self.step(bucket[t], near[:, t], far[:, t])
+        return len(take)
+
+
+def log_likelihood(n: Network, bucket: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Summed conditional log-probabilities of each text."""
-    near, each = _neighbours(cls, count), np.empty(len(cls))
-    for lo in range(0, len(cls), ROWS):
-        c = cls[lo : lo + ROWS]
-        _, y = _log_p(n, near[:, lo : lo + ROWS])
-        own = y[np.arange(len(c)), c]
-        np.exp(y, out=y)
-        each[lo : lo + ROWS] = own - np.log(y.sum(axis=1))
-    total = np.concatenate(([0.0], np.cumsum(each + share)))
+    bucket = bucket.astype(np.int32)
+    total = np.concatenate(([0.0], np.cumsum(log_p(n, bucket, *contexts(bucket, count)))))
     end = np.cumsum(count)
     return total[end] - total[end - count]
 
 
-def _bytes(docs: DataFrame, text_col: str) -> F.Column:
-    return F.col(text_col).cast("binary").alias("text")
+def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(key, words)`` of every text with words: a hash of id and text, and the buckets as bytes; written to the shared folder."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket, count = buckets([x or b"" for x in batch.column(1).to_pylist()])
+            cut = np.concatenate(([0], np.cumsum(count)))
+            words = pa.array([bucket[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), words], ["key", "words"]).filter(pa.array(count > 0))
+
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).cast("binary").alias("text"))
+    return stage(rows.mapInArrow(run, "key long, words binary"), "words")
 
 
-def count_buckets(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Words of each bucket over all documents; at most BUCKETS rows reach the driver."""
+def _count(words: DataFrame) -> np.ndarray:
+    """Words of each bucket over all texts; at most BUCKETS rows reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            total += np.bincount(buckets([x or b"" for x in batch.column(0).to_pylist()])[0], minlength=BUCKETS)
+            for w in batch.column(0).to_pylist():
+                total += np.bincount(np.frombuffer(w, np.uint16), minlength=BUCKETS) if len(w) > BUCKETS else 0
+                if len(w) <= BUCKETS:
+                    np.add.at(total, np.frombuffer(w, np.uint16), 1)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
-    rows = docs.select(_bytes(docs, text_col)).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(BUCKETS, np.int64)
-    for r in rows:
+    for r in words.select("words").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 
 
-def fit(docs: DataFrame, text_col: str = "text", seed: int = 3) -> tuple[Network, np.ndarray, np.ndarray]:
-    """(network, class of each bucket, log-share of each bucket) from all documents."""
-    cls, share = classes_of(count_buckets(docs, text_col))
-    context = docs.sparkSession.sparkContext
-    held_cls = context.broadcast(cls)
-    rng = np.random.default_rng(seed)
-    small = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
-    net = Network(small(len(SIDES), CLASSES + 1, HIDDEN), np.zeros(HIDDEN, np.float32), small(HIDDEN, CLASSES), np.zeros(CLASSES, np.float32))
+def count_buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+    """Words of each bucket over all documents."""
+    return _count(_words(docs, id_col, text_col))
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stream: int = STREAM) -> Network:
+    """The network, from all documents."""
+    words = _words(docs, id_col, text_col)
+    counts = _count(words)
+    net, streams, context = untrained(counts), max(1, -(-int(counts.sum()) // stream)), docs.sparkSession.sparkContext
+    dealt = words.withColumn("stream", F.pmod("key", F.lit(streams)))
+    tasks = min(streams, 1 << 14)
 
     for turn in range(ROUNDS):
-        start = context.broadcast(net.flat())
+        start = context.broadcast(net.flat())  # a fixed number of weights
 
         def run(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
-            n, seen = network(start.value), 0
+            total, seen = np.zeros(len(start.value)), 0
+            now, trainer, done, held, size = None, None, 0, [], 0
+
+            def end_group() -> None:
+                nonlocal done, held, size
+                if held:
+                    done += trainer.texts(held, turn)
+                held, size = [], 0
+
+            def end_stream() -> None:
+                nonlocal seen, total
+                if trainer is not None:
+                    end_group()
+                    total += trainer.n.flat() * np.float64(done)
+                    seen += done
+
             for batch in batches:
-                bucket, count = buckets([x or b"" for x in batch.column(0).to_pylist()])
-                c = held_cls.value[bucket]
-                take = targets(count, turn)
-                train(n, c[take], _neighbours(c, count)[:, take], 0.1 / (1 + turn))
-                seen += len(take)
+                for s, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if s != now:
+                        end_stream()
+                        now, trainer, done = s, Trainer(network(start.value), RATE / (1 + turn)), 0
+                    held.append(np.frombuffer(w, np.uint16))
+                    size += len(held[-1])
+                    if size >= GROUP:
+                        end_group()
+            end_stream()
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([n.flat().tobytes()], pa.binary())], ["n", "weights"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([seen] * SLICES, pa.int64()), pa.array([x.tobytes() for x in np.array_split(total, SLICES)], pa.binary())], ["slice", "n", "weights"])
 
-        def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, n = None, 0
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, list] = {}
             for batch in batches:
-                for k, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    part = np.frombuffer(w, np.float32).astype(np.float64) * k
-                    total, n = part if total is None else total + part, n + k
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], ["n", "weights"])
-
-        sent = docs.select(_bytes(docs, text_col)).mapInArrow(run, "n long, weights binary")
-        rows = sent.repartition(16).mapInArrow(average, "n long, weights binary").collect()  # 16 sets of weights at most
-        if rows:
-            weight = np.array([r["n"] for r in rows], np.float64)
-            flat = np.stack([np.frombuffer(bytes(r["weights"]), np.float32) for r in rows]).astype(np.float64)
-            net = network((flat * (weight / weight.sum())[:, None]).sum(axis=0).astype(np.float32))
-    return net, cls, share
-
-
-def score(docs: DataFrame, model: tuple[Network, np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                for k, n, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    held = sums.setdefault(k, [0, 0.0])
+                    held[0], held[1] = held[0] + n, held[1] + np.frombuffer(w, np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s[0] for s in sums.values()], pa.int64()), pa.array([s[1].tobytes() for s in sums.values()], pa.binary())], ["slice", "n", "weights"])
+
+        trained = dealt.repartitionByRange(tasks, "stream").sortWithinPartitions("stream", "key").select("stream", "words").mapInArrow(run, "slice int, n long, weights binary")
+        # a slice's sums of all tasks are added in one task, SLICES of them reach the driver
+        sums = {r["slice"]: r for r in trained.repartition(SLICES, "slice").mapInArrow(add, "slice int, n long, weights binary").collect()}
+        if sums:
+            net = network(np.concatenate([np.frombuffer(bytes(sums[k]["weights"]), np.float64) / sums[k]["n"] for k in range(SLICES)]))
+    return net
+
+
+def score(docs: DataFrame, model: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, log_likelihood, mean_log_likelihood)`` of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
+    held = docs.sparkSession.sparkContext.broadcast(model.flat())  # a fixed number of weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, cls, share = held.value
+        net = network(held.value)
         for batch in batches:
             bucket, count = buckets([x or b"" for x in batch.column(1).to_pylist()])
-            total = log_likelihood(net, cls[bucket], share[bucket], count)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(total)], ["doc_id", "n_words", "log_likelihood"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(log_likelihood(net, bucket, count))], ["doc_id", "n_words", "log_likelihood"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _bytes(docs, text_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_words long, log_likelihood double").withColumn("mean_log_likelihood", F.try_divide("log_likelihood", "n_words"))

@@ -89,27 +89,49 @@ def test_pooling_equals_a_plain_loop():
 
 
 def test_pseudo_likelihood_is_a_distribution_and_learns(spark, docs):
-    net, cls, share = lmscore.fit(docs)
     counts = lmscore.count_buckets(docs)
     assert counts.sum() == sum(len(t.split()) for _, t, _, _ in _corpus(240))
-    near = np.array([[0], [5], [lmscore.CLASSES], [2]])
-    _, y = lmscore._log_p(net, near)
-    p = np.exp(y[0]) / np.exp(y[0]).sum()
-    mass = np.bincount(cls, weights=np.exp(share.astype(np.float64)), minlength=lmscore.CLASSES)
-    assert np.allclose(mass[mass > 0], 1, atol=1e-3) and abs(p.sum() - 1) < 1e-5
-    rows = {r.doc_id: r for r in lmscore.score(docs, (net, cls, share)).collect()}
+    net = lmscore.fit(docs)
+    every = np.arange(lmscore.BUCKETS)
+    near, far = np.array([[7], [lmscore.BUCKETS]]), np.array([[lmscore.ENDINGS], [3]])
+    p = np.exp(lmscore.log_p(net, every, np.repeat(near, len(every), axis=1), np.repeat(far, len(every), axis=1)))
+    assert abs(p.sum() - 1) < 1e-4
+    rows = {r.doc_id: r for r in lmscore.score(docs, net).collect()}
     bucket, count = lmscore.buckets([_corpus(240)[7][1].encode()])
-    c, want = cls[bucket], 0.0
-    padded = [lmscore.CLASSES] * 2 + c.tolist() + [lmscore.CLASSES] * 2
-    for t in range(len(c)):
-        _, y = lmscore._log_p(net, np.array([[padded[t + 2 + o]] for o in lmscore.SIDES]))
-        want += y[0, c[t]] - np.log(np.exp(y[0]).sum()) + share[bucket[t]]
+    b, want, n = bucket.astype(int), 0.0, net
+    for t in range(len(b)):
+        at = lambda o: b[t + o] if 0 <= t + o < len(b) else None  # noqa: B023, E731
+        h = n.bias.astype(np.float64).copy()
+        for side, o in enumerate((-1, 1)):
+            h += n.near[side, lmscore.BUCKETS if at(o) is None else at(o)]
+        for side, o in enumerate((-2, 2)):
+            h += n.far[side, lmscore.ENDINGS if at(o) is None else at(o) // lmscore.SLOTS]
+        h = np.tanh(h)
+        e, s = divmod(b[t], lmscore.SLOTS)
+        for y, k in ((h @ n.ending + n.ending_bias, e), (h * n.gate[e] @ n.slot + n.slot_bias[e], s)):
+            want += y[k] - np.log(np.exp(y).sum())
     assert abs(rows[7].log_likelihood - want) < 1e-2 and rows[7].n_words == count[0]
-    flat = np.log((counts[bucket] + 0.5) / (counts + 0.5).sum()).sum()
-    assert rows[7].log_likelihood > flat
-    edge = lmscore.score(spark.createDataFrame([(1, None), (2, "...")], "doc_id long, text string"), (net, cls, share)).collect()
-    assert [(r.n_words, r.log_likelihood, r.mean_log_likelihood) for r in edge] == [(0, 0.0, None)] * 2
-    lmscore.fit(docs.limit(0))
+    flat = {r.doc_id: r.log_likelihood for r in lmscore.score(docs, lmscore.untrained(counts)).collect()}
+    assert sum(r.log_likelihood for r in rows.values()) > sum(flat.values())
+
+
+def test_scores_don_t_depend_on_partitions(spark, docs):
+    one = {r.doc_id: r.mean_log_likelihood for r in lmscore.score(docs, lmscore.fit(docs.coalesce(1), stream=1500)).collect()}
+    many = {r.doc_id: r.mean_log_likelihood for r in lmscore.score(docs, lmscore.fit(docs.repartition(8), stream=1500)).collect()}
+    assert max(abs(one[k] - many[k]) for k in one) < 1e-3
+
+
+def test_scores_of_odd_texts(spark, docs):
+    net = lmscore.fit(docs)
+    long = "word and " * 400_000
+    rows = [(1, None, "x"), (2, "...", "x"), (3, long, "x"), (3, long, "x"), (None, "and er", "x")]
+    got = lmscore.score(spark.createDataFrame(rows, "doc_id long, text string, n_words string"), net).collect()
+    assert [(r.n_words, r.log_likelihood, r.mean_log_likelihood) for r in got[:2]] == [(0, 0.0, None)] * 2
+    assert got[2] == got[3] and got[2].n_words == 800_000 and got[4].doc_id is None and got[4].log_likelihood < 0
+    empty = docs.limit(0)
+    assert lmscore.score(empty, lmscore.fit(empty)).count() == 0
+    same = lmscore.fit(spark.createDataFrame([(1, "and er")] * 6 + [(2, None)], "doc_id long, text string"))
+    assert len(lmscore.score(docs, same).collect()) == 240
 
 
 def test_licences(spark, docs):
@@ -181,6 +203,6 @@ def test_every_word_is_a_training_target(spark):
     taken = np.concatenate([lmscore.targets(count, t) for t in range(lmscore.ROUNDS)])
     assert sorted(taken) == list(range(count.sum()))
     # eight words a text: a stride of eight or more would learn some of the places only
-    docs = spark.createDataFrame([(i, "ka le mi no pu ra se ti") for i in range(2000)], "doc_id long, text string").coalesce(1)
+    docs = spark.createDataFrame([(i, "ka le mi no pu ra se ti") for i in range(8000)], "doc_id long, text string").coalesce(1)
     row = lmscore.score(docs.limit(1), lmscore.fit(docs)).first()
     assert row.mean_log_likelihood > -1
