@@ -10,10 +10,15 @@ the exact chance of every piece that ends there. Sampling walks all words backwa
 draw for a piece is a hash of the seed, the row's key and the place where the piece ends, so a row
 is segmented alike in any batch or run.
 
+A word of more than ``LONG`` characters is filtered in stretches: as no piece is longer than ``longest``,
+what a stretch does to the last ``longest`` forward sums is a matrix. The matrices of a block's stretches are made
+side by side, chained, and the stretches are then filtered side by side from their true sums, with
+a choice for each place; the walk backward follows the choices.
+
 Decoding joins the pieces' bytes and drops the first mark: every text comes back byte for byte.
 
 Defined results: a null text gives null pieces, an empty one the mark alone; a null key counts as
-0; repeated rows are segmented alike; long texts are cut between words; other columns are ignored.
+0; repeated rows are segmented alike; long texts are cut between words, long words are filtered in stretches; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from pitmill.llm.wordvec import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, PLAIN_MARK = 0x2581, 0x110000
 CHARS = 1 << 18
+#: A longer word is filtered in blocks of so many stretches of so many characters.
+LONG, STRETCHES, STRETCH = 1024, 512, 256
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,10 +131,8 @@ def _utf8(points: np.ndarray) -> list[bytes]:
     return [("▁" if p == PLAIN_MARK else chr(p)).encode("utf-8", "surrogateescape") for p in points.tolist()]
 
 
-def filter_words(v: Vocabulary, points: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Edges (begin, id) in the order of their ends, and for each a threshold: end * 2**32 + the summed chance up to it."""
-    offset = np.arange(len(points)) - np.repeat(first, size)
-    begin, end, ident = _edges(v, points, np.repeat(size, size) - offset)
+def _weights(v: Vocabulary, points: np.ndarray, begin: np.ndarray, ident: np.ndarray) -> np.ndarray:
+    """Log-weight of each edge."""
     w = v.weight[ident]
     by_bytes = ident < 0
     if by_bytes.any():
@@ -135,6 +140,69 @@ def filter_words(v: Vocabulary, points: np.ndarray, first: np.ndarray, size: np.
         width = 1 + (p > 0x7F) + (p > 0x7FF) + ((p > 0xFFFF) & (p != PLAIN_MARK))
         width = np.where((p >= 0xDC80) & (p <= 0xDCFF), 1, width)
         w[by_bytes] = v.byte_weight * width
+    return w
+
+
+def sample_long(v: Vocabulary, points: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, id) of the sampled pieces of one long word, last first; ``draw``: 32 bits for a piece that ends after each character."""
+    n, most, block = len(points), v.longest, STRETCHES * STRETCH
+    size, ident = np.empty(n, np.uint8), np.empty(n, np.int32)
+    last = np.zeros(most)  # forward sums after the last characters, newest at the end
+    last[-1] = 1
+    for lo in range(0, n, block):
+        hi, before = min(n, lo + block), max(0, lo - most)
+        part = points[before:hi]
+        begin, end, which = _edges(v, part, np.arange(len(part), 0, -1))
+        inside = end > lo - before
+        begin, end, which = begin[inside], end[inside], which[inside]
+        length = end - begin
+        stretches = -(-(hi - lo) // STRETCH)
+        # places beyond the end pass the sums on; longer pieces first, as in ``last``
+        weight, piece = np.zeros((stretches * STRETCH, most)), np.full((hi - lo, most), -2, np.int32)
+        weight[hi - lo :, most - 1] = 1
+        weight[end - 1 - (lo - before), most - length] = np.exp(_weights(v, part, begin, which))
+        piece[end - 1 - (lo - before), length - 1] = which
+        weight = weight.reshape(stretches, STRETCH, most)
+        state = np.repeat(np.eye(most)[None], stretches, axis=0)  # (stretch, first sums, last sums)
+        for t in range(STRETCH):
+            new = np.einsum("sbk,sk->sb", state, weight[:, t])
+            state = np.concatenate((state[:, :, 1:], new[:, :, None]), axis=2)
+            if t % 8 == 7:  # only ratios within a stretch count
+                state /= np.maximum(state.max(axis=(1, 2)), 1e-300)[:, None, None]
+        starts = np.empty((stretches, most))
+        for k in range(stretches):
+            starts[k] = last
+            last = last @ state[k]
+            last = last / last.max()
+        now = starts
+        for t in range(STRETCH):
+            place = np.arange(stretches) * STRETCH + t
+            chance = weight[:, t] * now
+            total = chance.sum(axis=1)
+            run = np.cumsum(chance[:, ::-1], axis=1) / total[:, None]  # shorter pieces first
+            now = np.concatenate((now[:, 1:], total[:, None]), axis=1)
+            if t % 8 == 7:
+                now /= now.max(axis=1, keepdims=True)
+            real = place < hi - lo
+            part_of = np.minimum(np.floor(run[real] * 2.0**32), 2.0**32 - 1)
+            chosen = (part_of < draw[lo + place[real], None]).sum(axis=1)
+            longest = most - 1 - (chance[real] > 0).argmax(axis=1)
+            chosen = np.minimum(chosen, longest)
+            size[lo + place[real]] = chosen + 1
+            ident[lo + place[real]] = piece[place[real], chosen]
+    begins, at, sizes = [], n, size.tolist()
+    while at:
+        at -= sizes[at - 1]
+        begins.append(at)
+    ends = np.array([n, *begins[:-1]])
+    return np.array(begins), ident[ends - 1]
+
+
+def filter_words(v: Vocabulary, points: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (begin, id) in the order of their ends, and for each a threshold: end * 2**32 + the summed chance up to it."""
+    offset = np.arange(len(points)) - np.repeat(first, size)
+    begin, end, ident = _edges(v, points, np.repeat(size, size) - offset)
+    w = _weights(v, points, begin, ident)
     # place j of a word and all others' place j are summed together; an end is kept as its last character
     step = offset[end - 1]
     order = np.argsort((step << 42) | (end << 12) | np.minimum(end - begin, 4095))
@@ -217,27 +285,18 @@ def _sample(v: Vocabulary, held: list[tuple[int, int, np.ndarray]], keys: list[i
     new[part_first] = True
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(points)))
-    total, inverse = _sums(points), _powers(len(points) + 1)[1]
-    name = mix(((total[first + size] - total[first]) * inverse[first]) ^ (size.astype(np.uint64) << np.uint64(40)))
-    _, rep, word = np.unique(name, return_index=True, return_inverse=True)
-    u_size = size[rep]
-    u_first = np.cumsum(u_size) - u_size
-    within = np.arange(u_size.sum()) - np.repeat(u_first, u_size)
-    begin, ident, threshold = filter_words(v, points[np.repeat(first[rep], u_size) + within], u_first, u_size)
-
     own = np.searchsorted(part_first, first, "right") - 1
     row_seed = mix(np.array([(keys[h[0]] ^ (seed * 0x5851F42D4C957F2D)) & (2**64 - 1) for h in held], np.uint64))
     base = np.array([h[1] for h in held]) - part_first  # character of the whole text = place here + base
     ids = np.full(len(points), -2, np.int64)
-    at_end, floor, shift = u_first[word] + u_size[word], u_first[word], first - u_first[word]
-    while len(at_end):
-        text_end = (at_end + shift + base[own]).astype(np.uint64)
-        draw = (mix(row_seed[own] + text_end * _BASE) >> np.uint64(32)).astype(np.int64)
-        edge = np.searchsorted(threshold, at_end.astype(np.int64) * 2**32 + draw)
-        b = begin[edge]
-        ids[b + shift] = ident[edge]
-        more = b > floor
-        at_end, floor, shift, own = b[more], floor[more], shift[more], own[more]
+    for k in np.flatnonzero(size > LONG):
+        ends = (np.arange(first[k] + 1, first[k] + size[k] + 1) + base[own[k]]).astype(np.uint64)
+        begin, ident = sample_long(v, points[first[k] : first[k] + size[k]], (mix(row_seed[own[k]] + ends * _BASE) >> np.uint64(32)).astype(np.int64))
+        ids[first[k] + begin] = ident
+    short = size <= LONG
+    first, size, own = first[short], size[short], own[short]
+    if len(first):
+        _sample_short(v, points, first, size, row_seed[own], base[own], ids)
     at = np.flatnonzero(ids > -2)
     got = ids[at]
     by_bytes = np.flatnonzero(got < 0)
@@ -256,6 +315,27 @@ def _sample(v: Vocabulary, held: list[tuple[int, int, np.ndarray]], keys: list[i
         out[h[0]].append(got[cut[k] : cut[k + 1]])
 
 
+def _sample_short(v: Vocabulary, points: np.ndarray, first: np.ndarray, size: np.ndarray, row_seed: np.ndarray, base: np.ndarray, ids: np.ndarray) -> None:
+    """Sample all words of at most ``LONG`` characters, distinct ones filtered once; an id is put where its piece begins."""
+    total, inverse = _sums(points), _powers(len(points) + 1)[1]
+    name = mix(((total[first + size] - total[first]) * inverse[first]) ^ (size.astype(np.uint64) << np.uint64(40)))
+    _, rep, word = np.unique(name, return_index=True, return_inverse=True)
+    u_size = size[rep]
+    u_first = np.cumsum(u_size) - u_size
+    within = np.arange(u_size.sum()) - np.repeat(u_first, u_size)
+    begin, ident, threshold = filter_words(v, points[np.repeat(first[rep], u_size) + within], u_first, u_size)
+
+    at_end, floor, shift = u_first[word] + u_size[word], u_first[word], first - u_first[word]
+    while len(at_end):
+        text_end = (at_end + shift + base).astype(np.uint64)
+        draw = (mix(row_seed + text_end * _BASE) >> np.uint64(32)).astype(np.int64)
+        edge = np.searchsorted(threshold, at_end.astype(np.int64) * 2**32 + draw)
+        b = begin[edge]
+        ids[b + shift] = ident[edge]
+        more = b > floor
+        at_end, floor, shift, row_seed, base = b[more], floor[more], shift[more], row_seed[more], base[more]
+
+
 def decode_ids(v: Vocabulary, ids: np.ndarray) -> bytes:
     """The bytes of the text; the first mark is dropped."""
     return b"".join([v.raw[i] for i in ids.tolist()])[1:]

@@ -1,6 +1,7 @@
 """Trained models: held-out accuracy, exact sums, round trips and edge cases."""
 
 import collections
+import time
 
 import numpy as np
 import pytest
@@ -182,6 +183,29 @@ def test_pieces_don_t_depend_on_batches():
     assert any(not np.array_equal(a, b) for a, b in zip(whole, pieces.encode_texts(v, texts, list(range(40)), seed=4), strict=True))
 
 
+def test_long_words_are_sampled_like_short_ones(spark, monkeypatch):
+    v = pieces.load()
+    rng = np.random.default_rng(0)
+    text = bytes(rng.choice(list(b"abcdefghijklmnopqrstuvwxyz"), 3000).astype(np.uint8)) + "é日".encode() * 700
+    by_stretches = pieces.encode_texts(v, [b"x y", text], [1, 2])[1]
+    with monkeypatch.context() as m:
+        m.setattr(pieces, "STRETCH", 24), m.setattr(pieces, "STRETCHES", 7)
+        assert np.array_equal(by_stretches, pieces.encode_texts(v, [text], [2])[0])
+    with monkeypatch.context() as m:
+        m.setattr(pieces, "LONG", 10**9)
+        assert np.array_equal(by_stretches, pieces.encode_texts(v, [text], [2])[0])
+    assert pieces.decode_ids(v, by_stretches) == text
+
+
+def test_a_million_letters_without_a_space(spark):
+    text = "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyz"), 1_000_000))
+    df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    start = time.time()
+    back = {r.doc_id: r.text for r in pieces.decode(pieces.encode(df)).collect()}
+    assert back == {1: text, 2: "short"} and time.time() - start < 60
+    assert pieces.decode(pieces.encode(df.limit(0))).count() == 0
+
+
 def test_pipeline_decisions(spark, tmp_path):
     import corpus_pipeline
 
