@@ -8,8 +8,10 @@ paths hold it, appends them, and joins the findings back to all paths.
 Spans are code points, end exclusive, leftmost and not overlapping within a kind. They come from
 the pieces between matches: a match begins where the pieces and matches before it end.
 
-Defined results: null text is the empty blob; repeated paths each get their findings; an empty
-table gives an empty result; columns other than the paths and the text are ignored.
+Defined results: null text is the empty blob; repeated paths each get their findings; a pair that two
+calls at once have put in the ledger twice counts once; an empty
+table gives an empty result; columns other than the paths and the text are ignored by ``find_secrets`` and
+kept, whatever their names, by ``mask_secrets``.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitmill.plans.staging import stage, staged_path
+from pitmill.plans.staging import maybe_broadcast, stage, staged_path
 
 
 @dataclass(frozen=True)
@@ -112,15 +114,30 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
 
 
+def _blob(text_col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+
+
+def _of(ledger: DataFrame, versions: DataFrame, text_col: str) -> DataFrame:
+    """The ledger's rows of the blobs in ``versions``."""
+    return ledger.join(versions.select(_blob(text_col).alias("blob")).distinct(), "blob", "left_semi")
+
+
+def _spans(ledger: DataFrame, keys: list[str]) -> DataFrame:
+    """``(blob, spans)`` of the blobs with findings of the rules ``keys``; a pair that the ledger holds twice counts once."""
+    ours = ledger.withColumn("spans", F.filter("spans", lambda s: s.rule.isin(keys))).where(F.size("spans") > 0)
+    return ours.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+
+
 def update_ledger(versions: DataFrame, path: str, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> None:
     """Scan the pairs of blob and rule version in ``versions`` that the ledger at ``path`` lacks, and append them."""
     spark = versions.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    every = versions.select(F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob"), text.alias("text"))
+    every = versions.select(_blob(text_col).alias("blob"), text.alias("text"))
     # a limit within each group before and after the shuffle: a blob that many paths hold is sent once a task
     once = every.withColumn("k", F.row_number().over(Window.partitionBy("blob").orderBy("blob"))).where("k = 1").drop("k")
     keys = [r.key for r in rules]
-    held = read_ledger(spark, path)
+    held = _of(read_ledger(spark, path), versions, text_col)
     seen = held.select("blob", F.explode("scanned").alias("rule")).where(F.col("rule").isin(keys)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
     unseen = once.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>"))).where(F.size("seen") < len(keys))
     scan_blobs(unseen, rules).write.mode("append").parquet(path)
@@ -135,15 +152,15 @@ def find_secrets(versions: DataFrame, path_cols: tuple[str, ...] = ("doc_id",),
     update_ledger(versions, path, text_col, rules)
     keys = [r.key for r in rules]
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
+    held = read_ledger(versions.sparkSession, path)
     found = (
-        read_ledger(versions.sparkSession, path).where(F.size("spans") > 0)
-        .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-        .select("blob", F.array_sort(F.transform(F.filter("spans", lambda s: s.rule.isin(keys)), lambda s: F.struct(s.start.alias("start"), order[s.rule].alias("ord"), s.kind.alias("kind"), s.rule.alias("rule"), s.end.alias("end")))).alias("spans"))
+        _spans(_of(held, versions, text_col) if ledger else held, keys)
+        .select("blob", F.array_sort(F.transform("spans", lambda s: F.struct(s.start.alias("start"), order[s.rule].alias("ord"), s.kind.alias("kind"), s.rule.alias("rule"), s.end.alias("end")))).alias("spans"))
     )
     found = stage(found, "findings")  # read as a table, so that the join may split a blob that many paths hold
-    paths = versions.select(*path_cols, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).alias("blob"))
+    paths = versions.select(F.struct(*path_cols).alias("path"), _blob(text_col).alias("blob"))
     none = F.expr("cast(array() as array<struct<start: long, ord: int, kind: string, rule: string, end: long>>)")
-    return paths.join(found, "blob", "left").select(*path_cols, F.coalesce("spans", none).alias("spans"))
+    return paths.join(found, "blob", "left").select("path.*", F.coalesce("spans", none).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -159,21 +176,23 @@ def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     path = ledger or staged_path(docs.sparkSession, "ledger")
     update_ledger(docs, path, text_col)
-    found = stage(read_ledger(docs.sparkSession, path).where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans_")), "findings")
-    blob = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    both = docs.withColumn("blob_", blob).join(found.withColumnRenamed("blob", "blob_"), "blob_", "left")
+    held = read_ledger(docs.sparkSession, path)
+    found = _spans(_of(held, docs, text_col) if ledger else held, [r.key for r in RULES])
+    found = stage(found.select("blob", F.array_sort("spans").alias("spans")), "findings")
+    both = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), _blob(text_col).alias("blob")).join(maybe_broadcast(found, F.size("spans") * 60 + 60), "blob", "left")
     # the text is built left to right: (end of what is done, parts)
     built = F.aggregate(
-        "spans_",
+        "spans",
         F.struct(F.lit(0).cast("long").alias("done"), F.array().cast("array<string>").alias("parts")),
         lambda a, s: F.when(s.end <= a.done, a).otherwise(F.struct(
             s.end.alias("done"),
-            F.concat(a.parts, F.when(s.start < a.done, F.array().cast("array<string>")).otherwise(F.array(F.substring(F.col(text_col), a.done.cast("int") + 1, (s.start - a.done).cast("int")), F.lit(mask)))).alias("parts"),
+            F.concat(a.parts, F.when(s.start < a.done, F.array().cast("array<string>")).otherwise(F.array(F.substring(F.col("text"), a.done.cast("int") + 1, (s.start - a.done).cast("int")), F.lit(mask)))).alias("parts"),
         )),
-        lambda a: F.concat(F.array_join(a.parts, ""), F.substring(F.col(text_col), a.done.cast("int") + 1, F.lit(2147483647))),
+        lambda a: F.concat(F.array_join(a.parts, ""), F.substring(F.col("text"), a.done.cast("int") + 1, F.lit(2147483647))),
     )
-    text = F.when(F.size("spans_") > 0, built).otherwise(F.col(text_col))
-    out = both.withColumn(text_col, text)
+    hit = F.size("spans") > 0
+    masked = both.select("row", hit.alias("hit"), F.when(hit, built).otherwise(F.col("text")).alias("text"))
+    row = F.col("row").withField(f"`{text_col}`", F.col("text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans_") > 0, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.when(F.col("hit"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")))
+    return masked.select(row.alias("row")).select("row.*")

@@ -81,3 +81,29 @@ def test_masking_keeps_the_rest(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in secrets.mask_secrets(docs).collect()}
     assert got == {1: ('é [SECRET]" x', 13), 2: (None, 0), 3: ("plain", 5)}
     assert secrets.mask_secrets(docs.limit(0)).columns == docs.columns
+
+
+def test_a_pair_that_is_in_the_ledger_twice_counts_once(spark):
+    path = f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/ledger"
+    docs = spark.createDataFrame([(1, TEXTS[5]), (2, TEXTS[0])], "doc_id long, text string")
+    secrets.update_ledger(docs, path)
+    secrets.scan_blobs(docs.select(secrets._blob("text").alias("blob"), "text", secrets.F.array().cast("array<string>").alias("seen"))).write.mode("append").parquet(path)
+    assert secrets.read_ledger(spark, path).count() == 4
+    got = {r.doc_id: r.s for r in secrets.find_secrets(docs.where("doc_id = 1"), ledger=path).select("doc_id", secrets.joined(secrets.F.col("spans")).alias("s")).collect()}
+    assert got == {1: _brute(TEXTS[5])}
+    assert secrets.mask_secrets(docs.where("doc_id = 1"), ledger=path).first().text.count("[SECRET]") == 1
+    assert secrets.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_masking_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, TEXTS[0], "s", "b", "h")], "doc_id long, text string, spans string, blob string, hit string")
+    got = secrets.mask_secrets(docs).collect()
+    assert [tuple(r) for r in got] == [(1, 'é [SECRET]" x', "s", "b", "h")] and secrets.mask_secrets(docs).columns == docs.columns
+
+
+def test_hot_places_are_swept_in_slices(spark):
+    urls = [f"http://h{k % 7}.com/{'en/' if k % 3 else ''}{k}" for k in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame([*urlfilter.RULES, ("h1.com", "/en/", "block")], "host string, path string, verdict string")
+    whole = sorted(map(tuple, urlfilter.judge_urls(pages, rules).collect()))
+    assert whole == sorted(map(tuple, urlfilter.judge_urls(pages, rules, slice_urls=4).collect())) and {r[4] for r in whole} == {"allow", "block"}
