@@ -7,10 +7,14 @@ starts at the log-odds of a bucket in the training texts, which shows the filter
 
 Thresholds are calibrated by language on rows left out of the fit: the language is guessed from the
 text (word-start buckets, naive Bayes), and the logit that divides the labels best in it becomes
-score 0.5. A language with few examples takes the threshold of all.
+score 0.5. The threshold of a language lies between its own and that of all rows, nearer to its own
+the more rows of its rarer label there are.
 
-Defined results: null and blank texts are scored as texts without words; words beyond 1 MiB of a
-text are in further pieces of it (no filter spans two pieces, the maximum is over all); without two
+What is learned from is bounded in rows and bytes: of each label the ``TRAIN_ROWS`` first ids by a hash, in that order
+as many as have ``TRAIN_BYTES`` of text together (a longer text is passed over), one text for an id.
+
+Defined results: null and blank texts are scored as texts without words; a text beyond 1 MiB is read in
+pieces, each with the last words of the one before, so that filters span the cuts; without two
 classes to learn from every score is the share of label 1; repeated rows are scored alike; rows with
 a null id are scored and never learned from; other columns are ignored.
 """
@@ -27,15 +31,16 @@ from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
 from pitmill.llm.sampling import first_by_hash
+from pitmill.plans.staging import stage
 
 WORDS, STARTS, PREFIX = 1 << 15, 1 << 13, 4
 #: (width, filters)
 FILTERS = ((1, 24), (2, 12), (3, 12))
 DIM = 12
 #: At most so many labelled rows of each label are learned from, in the order of a hash of the id.
-TRAIN_ROWS = 3000
-#: A language with fewer calibration rows of either label takes the common threshold.
-LEAST_ROWS = 20
+TRAIN_ROWS, TRAIN_BYTES = 3000, 32 << 20
+#: So many calibration rows of its rarer label weigh a language's own threshold as much as the common one.
+HALF_WEIGHT = 10
 
 
 @dataclass
@@ -57,8 +62,11 @@ def _buckets(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (word % np.uint64(WORDS)).astype(np.int32), (start % np.uint64(STARTS)).astype(np.int32), own
 
 
-def _pooled(model: Model, w: np.ndarray, s: np.ndarray, own: np.ndarray, n: int, arg: bool = False) -> tuple[np.ndarray, ...]:
-    """Largest value of each filter over each of ``n`` texts (0: none), and with ``arg`` the rows of words, and where."""
+def _pooled(model: Model, w: np.ndarray, s: np.ndarray, own: np.ndarray, n: int, arg: bool = False, left: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Largest value of each filter over each of ``n`` texts (0: none), and with ``arg`` the rows of words, and where.
+
+    ``left``: so many last words of each text start no filter.
+    """
     pad = max(width for width, _ in FILTERS) - 1
     at = np.arange(len(w)) + pad * own
     rows = np.zeros((len(w) + pad * n, DIM), np.float32)
@@ -69,7 +77,7 @@ def _pooled(model: Model, w: np.ndarray, s: np.ndarray, own: np.ndarray, n: int,
     end = np.append(begin[1:], len(rows))
     pooled, where = [], []
     real = np.zeros(len(rows), bool)
-    real[at] = True
+    real[at] = True if left is None else np.searchsorted(own, own, "right") - np.arange(len(own)) > left[own]
     for (width, count), f, b in zip(FILTERS, model.filters, model.bias, strict=True):
         value = np.zeros((len(rows), count), np.float32)
         for o in range(width):
@@ -174,8 +182,8 @@ def train(words: list[np.ndarray], starts: list[np.ndarray], y: np.ndarray, lang
     common = best_threshold(logit, y[held], 0.0)
     for k in range(len(names)):
         mine = guess == k
-        enough = min((y[held][mine] == 1).sum(), (y[held][mine] == 0).sum()) >= LEAST_ROWS
-        m.threshold[k] = best_threshold(logit[mine], y[held][mine], common) if enough else common
+        rarer = min((y[held][mine] == 1).sum(), (y[held][mine] == 0).sum())
+        m.threshold[k] = common + (best_threshold(logit[mine], y[held][mine], common) - common) * rarer / (rarer + HALF_WEIGHT)
     return m
 
 
@@ -202,16 +210,33 @@ def guess_language(m: Model, s: np.ndarray) -> int:
     return int(np.argmax(m.lang[s].sum(axis=0))) if len(s) else 0
 
 
+def _overlapping(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray]]:
+    """The pieces of ``wordvec.batches``, each after the last words of its text's piece before; how many words that is; and how many the piece leaves to the next one."""
+    most = max(width for width, _ in FILTERS) - 1
+    done, tail = np.zeros(len(texts), np.int64), []
+    for own, pieces in wordvec.batches(texts):
+        out, carried, left = [], np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        for k, (i, piece) in enumerate(zip(own, pieces, strict=True)):
+            carried[k] = len(tail)
+            out.append(b" ".join([*tail, piece]) if tail else piece)
+            done[i] += len(piece)
+            tail = (tail + wordvec.spaced(piece).split())[-most:] if done[i] < len(texts[i]) else []
+            left[k] = len(tail)
+        yield own, out, carried, left
+
+
 def score_texts(m: Model, texts: list[bytes]) -> np.ndarray:
     if m.constant is not None:
         return np.full(len(texts), m.constant)
     pooled = np.zeros((len(texts), len(m.out)), np.float32)
     lang = np.zeros((len(texts), m.lang.shape[1]))
-    for own, pieces in wordvec.batches(texts):
+    for own, pieces, carried, left in _overlapping(texts):
         w, s, piece = _buckets(pieces)
-        top = _pooled(m, w, s, piece, len(pieces))[0]
+        top = _pooled(m, w, s, piece, len(pieces), left=left)[0]
         np.maximum.at(pooled, own, top)
-        if len(w):
+        new = np.arange(len(w)) - np.searchsorted(piece, piece) >= carried[piece]  # carried words have been counted
+        s, piece = s[new], piece[new]
+        if len(s):
             live = np.unique(piece)
             sums = np.add.reduceat(m.lang[s], np.searchsorted(piece, live), axis=0)
             np.add.at(lang, np.asarray(own)[live], sums)
@@ -219,8 +244,8 @@ def score_texts(m: Model, texts: list[bytes]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logit * m.slope, -30, 30)))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", learn: F.Column | None = None, rows: int = TRAIN_ROWS) -> Model:
-    """Learn from at most ``rows`` labelled rows of each label; ``learn`` says which ids may be learned from."""
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", learn: F.Column | None = None, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> Model:
+    """Learn from at most ``rows`` ids of each label, and ``size`` bytes of their texts; ``learn`` says which ids may be learned from."""
     y = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     y = y.groupBy("doc_id").agg(F.max("y").alias("y"))
     if learn is not None:
@@ -243,7 +268,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             join = lambda x: np.concatenate(x).astype(np.int32).tobytes() if x else b""
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([join(x) for x in w]), pa.array([join(x) for x in s]), batch.column(2), batch.column(3)], ["doc_id", "w", "s", "lang", "y"])
 
-    got = texts.join(F.broadcast(y), "doc_id").select("doc_id", "text", "lang", "y").mapInArrow(buckets, "doc_id long, w binary, s binary, lang string, y int").collect()
+    # one text for an id, however often it is repeated
+    sample = stage(texts.join(F.broadcast(y), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct("text", "lang")).alias("t")).select("doc_id", "t.text", "t.lang", "y"), "toxic")
+    taken, left = [], dict.fromkeys((0, 1), size)
+    for r in sorted(sample.select(F.xxhash64("doc_id").alias("h"), "doc_id", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).collect()):
+        if r["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["n"]
+            taken.append((r["doc_id"],))
+    some = sample.sparkSession.createDataFrame(taken, "doc_id long")
+    got = sample.join(F.broadcast(some), "doc_id").select("doc_id", "text", "lang", "y").mapInArrow(buckets, "doc_id long, w binary, s binary, lang string, y int").collect()
     got = sorted(got, key=lambda r: (r["doc_id"], bytes(r["w"])))
     ids = np.array([r["doc_id"] for r in got], np.int64)
     calibrate = wordvec.mix(ids.view(np.uint64)) % np.uint64(4) == 0

@@ -16,7 +16,7 @@ PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 WORD = np.zeros(256, bool)
 WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_SPLIT = bytes(x for x in range(256) if not WORD[x])
+_SPACED = bytes(x if WORD[x] else 32 for x in range(256))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -39,6 +39,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def spaced(text: bytes) -> bytes:
+    """The text with a space for each byte that is no part of a word."""
+    return text.translate(_SPACED)
+
+
 def _cut(text: bytes) -> Iterator[bytes]:
     """Pieces of a long text, cut at separators."""
     at = 0

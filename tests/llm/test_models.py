@@ -73,6 +73,25 @@ def test_toxicity_of_held_out_texts(spark, docs):
     assert {r.score for r in toxicity.score_toxicity(docs, none).collect()} == {0.0}
 
 
+def test_scores_don_t_depend_on_cuts(spark, docs, monkeypatch):
+    model = toxicity.fit_toxicity(docs, docs.select("doc_id", "toxic"))
+    texts = [" ".join(t for _, t, _, _ in _corpus(40)[k : k + 12]).encode() for k in range(20)] + [b"", b"one"]
+    whole = toxicity.score_texts(model, texts)
+    for size in (64, 300):
+        with monkeypatch.context() as m:
+            m.setattr(toxicity.wordvec, "PIECE", size)
+            assert np.allclose(whole, toxicity.score_texts(model, texts), atol=1e-5)
+
+
+def test_training_rows_are_bounded(spark, docs):
+    again = docs.unionByName(docs.where("doc_id < 8")).unionByName(docs.where("doc_id < 8"))
+    one = toxicity.fit_toxicity(docs, docs.select("doc_id", "toxic"), rows=40, size=4000)
+    two = toxicity.fit_toxicity(again, docs.select("doc_id", "toxic"), rows=40, size=4000)
+    assert np.array_equal(one.word, two.word) and one.constant is None
+    empty = toxicity.fit_toxicity(docs.limit(0), docs.select("doc_id", "toxic"))
+    assert toxicity.score_toxicity(docs.limit(0), empty).count() == 0
+
+
 def test_pooling_equals_a_plain_loop():
     rng = np.random.default_rng(1)
     words = [rng.integers(0, toxicity.WORDS, n).astype(np.int32) for n in (5, 0, 1, 9)]
