@@ -8,8 +8,9 @@ salt, and swept once: the number of open bounds is the height of the stack, leve
 is the rule last opened at height j, and the url takes the top. Of the tops of its suffixes the
 longest rule wins (host and path together; then the longer host, then the smaller text).
 
-Hot hosts are swept in ``salts`` slices and equal (host, path) pairs once; the rules of a host are
-copied to each slice.
+Equal (host, path) pairs are swept once. The urls of a rule host are counted, and swept in as many slices as hold
+about ``slice_urls`` each, or eight times the bounds of the host's rules if that is more; the rules of the host are copied
+to each slice.
 
 Defined results: a null url or one without ``://`` has an empty host and path, no rule, and the
 default verdict; repeated rows are judged alike; of two rules for one place ``block`` wins; with no
@@ -46,7 +47,7 @@ def _bounds(rules: DataFrame) -> DataFrame:
     return one.select("place", F.explode(F.array(F.struct(key.alias("key"), F.lit(1).alias("step")), F.struct(F.concat(key, F.lit(b"\xff")).alias("key"), F.lit(-1).alias("step")))).alias("e"), "rule", "verdict").select("place", "e.*", "rule", "verdict")
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", salts: int = 16) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", slice_urls: int = 4096) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` for every row of ``pages``; ``rules`` has host, path and verdict."""
     bounds = _bounds(rules)
     up = Window.partitionBy("place").orderBy("key", F.desc("step"))
@@ -58,8 +59,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     places = urls.withColumn("labels", F.expr(_turned("host"))).withColumn("k", F.explode(F.expr(f"sequence(1, least(size(labels), {labels}))")))
     places = places.select("host", "path", F.expr("array_join(slice(labels, 1, k), '.')").alias("place"))
     places = places.join(bounds.select("place").distinct(), "place", "left_semi")
-    asked = places.select("place", F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int").alias("salt"), F.concat("place", "path").cast("binary").alias("key"), F.lit(0).alias("step"), F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"), "host", "path")
-    copied = bounds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumns({"host": F.lit(None).cast("string"), "path": F.lit(None).cast("string")})
+    own = bounds.groupBy("place").agg(F.count("*").alias("bounds"))
+    slices = F.ceil(F.col("urls") / F.greatest(F.lit(slice_urls), F.col("bounds") * 8)).cast("int")
+    hot = places.groupBy("place").agg(F.count("*").alias("urls")).join(own, "place").select("place", slices.alias("slices")).where("slices > 1")
+    places = places.join(hot, "place", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    asked = places.select("place", F.pmod(F.xxhash64("host", "path"), F.col("slices")).cast("int").alias("salt"), F.concat("place", "path").cast("binary").alias("key"), F.lit(0).alias("step"), F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"), "host", "path")
+    copied = bounds.join(hot, "place", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1))).drop("slices").withColumns({"host": F.lit(None).cast("string"), "path": F.lit(None).cast("string")})
 
     sweep = Window.partitionBy("place", "salt").orderBy("key", F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
     swept = asked.unionByName(copied).withColumn("height", F.sum("step").over(sweep))
