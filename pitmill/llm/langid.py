@@ -188,14 +188,16 @@ def train(windows: list[bytes], y: np.ndarray, langs: list[str], epochs: int = 1
 
 
 def fit_languages(docs: DataFrame, learn: F.Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = TRAIN_TEXTS, windows: int = TRAIN_WINDOWS) -> Model:
-    """Learn from at most ``texts`` rows of each language, of those that ``learn`` (a condition on ``doc_id``) allows."""
+    """Learn from at most ``texts`` ids of each language and ``windows`` stretches of ``SPAN`` bytes of each, spread evenly over its text, of those that ``learn`` (a condition on ``doc_id``) allows."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and doc_id is not null and text is not null and length(text) > 0")
     if learn is not None:
         rows = rows.where(learn)
     keys = first_by_hash(rows.select("doc_id", "lang").distinct(), "lang", "doc_id", texts)
     size = F.length("text")
     places = F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda j: F.substring(F.col("text"), (1 + F.greatest(size - SPAN, F.lit(0)) * j / max(1, windows - 1)).cast("int"), F.lit(SPAN)))
-    got = rows.join(F.broadcast(keys), ["doc_id", "lang"]).select("doc_id", "lang", F.explode(F.array_distinct(places)).alias("w")).select("doc_id", "lang", F.col("w").cast("binary").alias("w")).collect()
+    # one text for an id, however often it is repeated
+    one = rows.join(F.broadcast(keys), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    got = one.select("doc_id", "lang", F.explode(F.array_distinct(places)).alias("w")).select("doc_id", "lang", F.col("w").cast("binary").alias("w")).collect()
     got = sorted((r["lang"], r["doc_id"], bytes(r["w"])[:SPAN]) for r in got)
     langs = sorted({g[0] for g in got})
     return train([g[2] for g in got], np.array([langs.index(g[0]) for g in got], int), langs)
