@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
-from pitmill.plans.staging import stage
+from pitmill.plans.staging import maybe_broadcast, stage
 
 SHINGLE, BLOCK, HASHES = 5, 16, 64
 #: The Bloom filter has so many bits and probes a value, and between these many bits in all (the upper bound is 32 MB).
@@ -187,6 +187,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pipeline stage: the rows of ``docs`` that hold no item, with their columns; rows without an id count by their text."""
-    bad = contaminated(docs, items, id_col, text_col).select(F.col("text_sha256").alias("sha_")).distinct()
-    return docs.withColumn("sha_", F.sha2(F.col(text_col).cast("binary"), 256)).join(bad, "sha_", "left_anti").select(*docs.columns)
+    """Pipeline stage: the rows of ``docs`` that hold no item, with their columns, whatever their names; rows without an id count by their text."""
+    bad = stage(contaminated(docs, items, id_col, text_col).select(F.col("text_sha256").alias("sha")).distinct(), "bad")
+    rows = docs.select(F.struct("*").alias("row"), F.sha2(F.col(text_col).cast("binary"), 256).alias("sha"))
+    return rows.join(maybe_broadcast(bad, 100), "sha", "left_anti").select("row.*")

@@ -181,3 +181,10 @@ def test_rows_without_ids_link_and_repeated_ids_keep_their_texts(spark, monkeypa
     assert [g[2] for g in got if g[1] in (0b11, 0, 0b11000)] == [1, 1, 1]
     assert [g[2] for g in got if g[1] == -1] == [None]
     assert sorted(r.text for r in simhash.keep_first(docs.where("doc_id = 7")).collect()) == ["x", "y"]
+
+
+def test_decontamination_keeps_clashing_columns(spark):
+    item = " ".join(f"b{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"x {item} y", "s", "t"), (2, "clean text", "s", None)], "doc_id long, text string, sha string, sha_ string")
+    got = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert [tuple(r) for r in got.collect()] == [(2, "clean text", "s", None)] and got.columns == docs.columns
