@@ -1,11 +1,18 @@
-"""SimHash near-duplicates: fingerprints, and a binary-trie self-join within a Hamming error budget.
-
-Four tries are traversed, each over the fingerprints rotated by another 16 bits: two fingerprints
-within three bits of each other agree on at least one 16-bit quarter, so in that trie the pair of
-their nodes reaches level 16 without spending any error. Spark's shuffle walks those 16 levels
-(equal quarters meet), tasks walk the other 48 on pairs of nodes. A node with more than
-``max_node`` fingerprints is walked eight levels further by the shuffle, as pairs of its children
-within the budget, so that no task holds it whole.
+"""SimHash near-duplicates: fingerprints, and binary-trie self-joins within a Hamming error budget.
+
+Links within three bits of 64 (``near_duplicates``) are found whole: four tries are traversed, each over the
+fingerprints rotated by another 16 bits, since two fingerprints within three bits of each other agree on at least one
+16-bit quarter: in that trie the pair of their nodes reaches level 16 without spending any error. Spark's shuffle walks
+those 16 levels (equal quarters meet), tasks walk the other 48 on pairs of nodes. A node with more than
+``max_node`` fingerprints is dealt again by the quarters of its remaining bits, for the same reason without loss, and
+again, until no node is larger.
+
+Similarity of 0.8 (``similar_links``) is about 39 of 256 bits of a fingerprint over the set of five-word shingles, too
+many for quarters. There the tries are of the fingerprint's bits in a random order: similar texts agree on the
+first ``k`` bits of one with a known chance, so as many tries are walked as leave ``MISS`` of the pairs at
+the threshold unseen; ``k`` and the tries grow with the logarithm and a root of the number of fingerprints, so that nodes stay small.
+Tasks walk node pairs up to ``MOST`` differing bits. Pairs within ``SURE`` bits are links, the others are verified by
+the exact Jaccard similarity of their shingles. Within a node a pair is left out if closer pairs connect it already.
 
 Defined results: null or blank texts have fingerprint zero and are linked like any other; repeated
 rows get equal results; rows with a null id keep their fingerprint and, if no row of the component
@@ -14,16 +21,19 @@ has an id, a null component; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitmill.llm import wordvec
+from pitmill.llm.decontaminate import shingle_hashes
 from pitmill.operators.graph import connected_components
-from pitmill.plans.staging import stage
+from pitmill.plans.staging import maybe_broadcast, stage
 
 BITS, QUARTER = 64, 16
 MAX_NODE = 200_000
@@ -31,6 +41,10 @@ MAX_NODE = 200_000
 LEAF_PAIRS = 32
 #: Node pairs that a task holds at once.
 FRONT = 1 << 19
+#: Fingerprints of similar texts: words of 64 bits, shingle, similarity; differing bits of sure and of possible links (at a similarity of 0.8, 39 are expected, with a deviation of 5.7).
+WORDS, SHINGLE, SIMILARITY, SURE, MOST = 4, 5, 0.8, 20, 46
+#: Share of the pairs at the threshold that no trie may bring together.
+MISS = 0.05
 
 
 def fingerprint(data: bytes | None, shingle: int = 3) -> int:
@@ -45,14 +59,26 @@ def fingerprint(data: bytes | None, shingle: int = 3) -> int:
     begin = np.concatenate(([0], end[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     hashes = [digest(text[s:e], 42) for s, e in zip(begin[: 1 - shingle].tolist(), end[shingle - 1 :].tolist(), strict=True)]
-    rows = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)
-    count = np.zeros(BITS, np.int64)
+    return int.from_bytes(_majority(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)), "big")
+
+
+def _majority(rows: np.ndarray) -> bytes:
+    """The bits that are set in over half of the rows of bytes."""
+    count = np.zeros(rows.shape[1] * 8, np.int64)
     for k in range(0, len(rows), 255 * 64):  # byte counters hold 255 rows
         part = np.unpackbits(rows[k : k + 255 * 64], axis=1)
         whole = len(part) // 255 * 255
-        count += part[:whole].reshape(-1, 255, BITS).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        count += part[:whole].reshape(-1, 255, len(count)).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
         count += part[whole:].sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * count > len(rows)).tobytes(), "big")
+    return np.packbits(2 * count > len(rows)).tobytes()
+
+
+def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
+    """``WORDS`` words of majority bits over distinct shingle hashes."""
+    if not len(shingles):
+        return np.zeros(WORDS, np.uint64)
+    rows = np.stack([wordvec.mix(shingles + wordvec.mix(np.array([k + 1], np.uint64))) for k in range(WORDS)], axis=1)
+    return np.frombuffer(_majority(rows.astype(">u8").view(np.uint8).reshape(len(rows), -1)), ">u8").astype(np.uint64)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -67,46 +93,56 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
-
-
 class _Forest:
-    """Labels of links found so far; a label is the smallest index of its tree."""
+    """Trees of links found so far, by labels (the smallest index of a tree), and the links themselves."""
 
     def __init__(self, n: int):
         self.label = np.arange(n)
+        self.links: list[np.ndarray] = []
 
-    def link(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
+    def link(self, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> None:
+        """Join trees by the given pairs, nearest first; only pairs that join two trees are kept."""
+        order = np.argsort(far, kind="stable")
+        i, j, far = i[order], j[order], far[order]
+        while True:
             a, b = self.label[i], self.label[j]
             open_ = a != b
-            i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-            np.minimum.at(self.label, np.maximum(a, b), np.minimum(a, b))
-            while (up := self.label[self.label]) is not None and (up != self.label).any():
-                self.label = up
-
-
-def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budget: int, level: int = QUARTER) -> np.ndarray:
-    """Joint traversal of node pairs; the smallest index that each leaf is linked to.
-
-    ``bits``: fingerprints, ascending within a node. ``pairs``: (begin, end, begin, end, differing
+            i, j, far, a, b = i[open_], j[open_], far[open_], a[open_], b[open_]
+            if not len(i):
+                return
+            # each tree's nearest pair
+            _, first = np.unique(np.concatenate((a, b)), return_index=True)
+            pick = np.unique(first % len(i))
+            self.links.append(np.stack((i[pick], j[pick], far[pick])))
+            a, b = a[pick], b[pick]
+            while len(a):
+                np.minimum.at(self.label, np.maximum(a, b), np.minimum(a, b))
+                while (up := self.label[self.label]) is not None and (up != self.label).any():
+                    self.label = up
+                a, b = self.label[a], self.label[b]
+                a, b = a[a != b], b[a != b]
+
+
+def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budgets: tuple[int, ...], level: int) -> np.ndarray:
+    """Joint traversal of node pairs; (leaf, leaf, differing bits) of links that connect all pairs within the last budget.
+
+    ``bits``: (words, leaves) of fingerprints, ascending within a node. ``pairs``: (begin, end, begin, end, differing
     bits) of the node pairs at ``level``; a node paired with itself stands for its inner pairs.
-    The budget is raised from one bit to the whole, and pairs of nodes that are one tree already
+    The budget is raised step by step to the whole, and pairs of nodes that are one tree already
     are left out, so a dense family of copies costs few comparisons.
     """
-    forest, sums = _Forest(len(bits)), {}
+    n_bits, forest, sums = len(bits) * BITS, _Forest(bits.shape[1]), {}
 
     def ones(at: int) -> np.ndarray:
         if at not in sums:
-            sums[at] = np.concatenate(([0], np.cumsum((bits >> np.uint64(BITS - 1 - at)) & np.uint64(1), dtype=np.int32)))
+            sums[at] = np.concatenate(([0], np.cumsum((bits[at // BITS] >> np.uint64(BITS - 1 - at % BITS)) & np.uint64(1), dtype=np.int32)))
         return sums[at]
 
-    for allowed in range(1, budget + 1):
+    for allowed in budgets:
         stack = [(level, *pairs)]
         while stack:
             at, al, ah, bl, bh, diff = stack.pop()
-            change = np.concatenate(([0], np.cumsum(forest.label[1:] != forest.label[:-1]))) if len(bits) else np.zeros(1, int)
+            change = np.concatenate(([0], np.cumsum(forest.label[1:] != forest.label[:-1]))) if bits.size else np.zeros(1, int)
             one_tree = (forest.label[al] == forest.label[bl]) & (change[ah - 1] == change[al]) & (change[bh - 1] == change[bl])
             keep = ~one_tree & (diff <= allowed)
             al, ah, bl, bh, diff = (x[keep] for x in (al, ah, bl, bh, diff))
@@ -117,17 +153,16 @@ def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budget: int, lev
                 stack += [(at, *(x[half:] for x in (al, ah, bl, bh, diff))), (at, *(x[:half] for x in (al, ah, bl, bh, diff)))]
                 continue
             size = (ah - al) * (bh - bl)
-            small = (size <= LEAF_PAIRS) | (at == BITS)
+            small = (size <= LEAF_PAIRS) | (at == n_bits)  # at the last level a leaf holds one fingerprint
             if small.any():
-                if at == BITS:  # a leaf holds one fingerprint
-                    forest.link(al[small], bl[small])
-                else:
-                    n, width = size[small], (bh - bl)[small]
-                    own = np.repeat(np.arange(len(n)), n)
-                    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    i, j = al[small][own] + k // width[own], bl[small][own] + k % width[own]
-                    near = (i != j) & (_popcount(bits[i] ^ bits[j]) <= allowed)
-                    forest.link(i[near], j[near])
+                n, width = size[small], (bh - bl)[small]
+                own = np.repeat(np.arange(len(n)), n)
+                k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                i, j = al[small][own] + k // width[own], bl[small][own] + k % width[own]
+                i, j = i[i != j], j[i != j]
+                far = np.bitwise_count(bits[:, i] ^ bits[:, j]).sum(axis=0, dtype=np.int64)
+                near = far <= allowed
+                forest.link(i[near], j[near], far[near])
                 al, ah, bl, bh, diff = (x[~small] for x in (al, ah, bl, bh, diff))
                 if not len(al):
                     continue
@@ -142,59 +177,25 @@ def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budget: int, lev
             ]
             full = (made[0] < made[1]) & (made[2] < made[3])
             stack.append((at + 1, *(x[full] for x in made)))
-    return forest.label
-
-
-def _split_nodes(fps: DataFrame, budget: int, max_node: int) -> DataFrame:
-    """A row of (r, top, u, v, side) for each trie and node pair that a fingerprint takes part in."""
-    turned = fps.withColumn("r", F.explode(F.array(*[F.lit(k) for k in range(BITS // QUARTER)])))
-    rotated = F.expr(f"shiftleft(fp, r * {QUARTER}) | CASE r WHEN 0 THEN 0L ELSE shiftrightunsigned(fp, {BITS} - r * {QUARTER}) END")
-    turned = turned.withColumn("bits", rotated).withColumn("top", F.expr(f"shiftrightunsigned(bits, {BITS - QUARTER})"))
-    large = turned.groupBy("r", "top").count().where(F.col("count") > max_node).select("r", "top", F.lit(True).alias("large"))
-    child = F.expr(f"cast(shiftrightunsigned(bits, {BITS - QUARTER - 8}) & 255 AS int)")
-    near = F.array(*[F.lit(x) for x in range(256) if x.bit_count() <= budget])
-    return (
-        turned.join(large, ["r", "top"], "left")
-        .withColumn("x", F.explode(F.when(F.col("large"), near).otherwise(F.array(F.lit(-1)))))
-        .withColumn("u", F.when(F.col("x") < 0, -1).otherwise(F.least(child, child.bitwiseXOR(F.col("x")))))
-        .withColumn("v", F.when(F.col("x") < 0, -1).otherwise(F.greatest(child, child.bitwiseXOR(F.col("x")))))
-        .withColumn("side", F.when(F.col("x") < 0, 0).otherwise(F.when(child == F.col("u"), 0).otherwise(1)))
-        .select("r", "top", "u", "v", "side", "bits", "rep")
-    )
-
-
-def _links_of(rows: dict[str, np.ndarray], budget: int) -> pa.RecordBatch:
-    """Links within whole node pairs, as a forest of representatives."""
-    key = np.stack([rows[k] for k in ("r", "top", "u", "v", "side")])
-    new = np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0)))
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(new))
-    group = key[:, begin]
-    mate = np.zeros(len(begin), bool)  # sides 0 and 1 of one pair of different children
-    if len(begin) > 1:
-        mate[:-1] = (group[:4, 1:] == group[:4, :-1]).all(axis=0)
-    own = (group[2] == group[3]) & (end - begin > 1)
-    first, second = np.flatnonzero(mate), np.flatnonzero(mate) + 1
-    a, b = np.concatenate((np.flatnonzero(own), first)), np.concatenate((np.flatnonzero(own), second))
-    diff = _popcount((group[2][a] ^ group[3][b]).astype(np.uint64)).astype(np.int64)
-    label = np.arange(len(new))
-    whole = group[2][a] < 0
-    for level, part in ((QUARTER, whole), (QUARTER + 8, ~whole)):
-        if part.any():
-            found = trie_links(rows["bits"], (begin[a[part]], end[a[part]], begin[b[part]], end[b[part]], diff[part]), budget, level)
-            label = np.where(found != np.arange(len(new)), found, label)
-    got = label != np.arange(len(new))
-    return pa.RecordBatch.from_arrays([pa.array(rows["rep"][got]), pa.array(rows["rep"][label[got]])], ["a", "b"])
-
-
-def trie_self_join(fps: DataFrame, budget: int = 3, max_node: int = MAX_NODE) -> DataFrame:
-    """Links ``(a, b)`` of a forest that connects what pairs of ``(fp, rep)`` rows within ``budget`` bits connect.
-
-    ``fp`` must be distinct; ``rep`` names it. The budget is at most three, one less than the tries.
-    """
-    if not 1 <= budget < BITS // QUARTER:
-        raise ValueError("the budget must be 1, 2 or 3 bits")
-    names = ("r", "top", "u", "v", "side", "bits", "rep")
+    return np.concatenate(forest.links, axis=1) if forest.links else np.empty((3, 0), np.int64)
+
+
+def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[int, ...], max_node: int) -> DataFrame:
+    """Links ``(a, b, far)`` within the nodes of ``nodes``: columns of a node's name, the first its level, fingerprint words, and ``rep``."""
+    names = [*node, *words, "rep"]
+
+    def links(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        key = np.stack([rows[k] for k in node])
+        begin = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+        end = np.append(begin[1:], key.shape[1])
+        bits, levels, out = np.stack([rows[k] for k in words]), key[0][begin], [np.empty((3, 0), np.int64)]
+        for level in np.unique(levels):
+            mine = (levels == level) & (end - begin > 1)
+            if mine.any():
+                b, e = begin[mine], end[mine]
+                out.append(trie_links(bits, (b, e, b, e, np.zeros(len(b), np.int64)), budgets, int(level)))
+        i, j, far = np.concatenate(out, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(rows["rep"][i]), pa.array(rows["rep"][j]), pa.array(far)], ["a", "b", "far"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
@@ -203,25 +204,68 @@ def trie_self_join(fps: DataFrame, budget: int = 3, max_node: int = MAX_NODE) ->
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, n
             rows = {k: np.concatenate([h[k] for h in held]) for k in names}
-            pair = np.stack([rows[k] for k in names[:4]])
-            edge = len(pair[0]) if last else int(np.flatnonzero(np.append(True, (pair[:, 1:] != pair[:, :-1]).any(axis=0)))[-1])
+            key = np.stack([rows[k] for k in node])
+            edge = key.shape[1] if last else int(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))[-1])
             if edge:
-                yield _links_of({k: x[:edge] for k, x in rows.items()}, budget)
-            held, n = ([{k: x[edge:] for k, x in rows.items()}], len(pair[0]) - edge) if not last else ([], 0)
+                yield links({k: x[:edge] for k, x in rows.items()})
+            held, n = ([{k: x[edge:] for k, x in rows.items()}], key.shape[1] - edge) if not last else ([], 0)
 
         for batch in batches:
             if batch.num_rows:
-                held.append({k: np.asarray(batch.column(i)).view(np.uint64) if k == "bits" else np.asarray(batch.column(i)) for i, k in enumerate(names)})
+                held.append({k: np.asarray(batch.column(i)).view(np.uint64) if k in words else np.asarray(batch.column(i)) for i, k in enumerate(names)})
                 n += batch.num_rows
                 if n >= max_node:
                     yield from flush(False)
         if held:
             yield from flush(True)
 
-    # signed order of the rotated bits is not trie order: the sign bit is flipped for the sort
-    order = [*names[:5], F.expr("bits ^ (-9223372036854775807L - 1)")]
-    spread = _split_nodes(fps, budget, max_node).repartition("r", "top", "u", "v").sortWithinPartitions(*order)
-    return spread.mapInArrow(run, "a long, b long")
+    # signed order is not trie order: the sign bit is flipped for the sort
+    order = [*node, *[F.expr(f"{w} ^ (-9223372036854775807L - 1)") for w in words]]
+    return nodes.select(*names).repartition(*node).sortWithinPartitions(*order).mapInArrow(run, "a long, b long, far long")
+
+
+def _dealt_again(nodes: DataFrame, node: list[str], max_node: int, again) -> DataFrame:
+    """``nodes`` with the rows of nodes above ``max_node`` replaced by ``again(rows, turn)``, until it gives None or no node is larger."""
+    done, turn = None, 0
+    while True:
+        large = stage(nodes.groupBy(*node).agg(F.count("*").alias("n")).where(F.col("n") > max_node).drop("n"), "large")
+        more = again(nodes.join(large, node, "left_semi"), turn) if large.count() else None
+        if more is None:
+            return nodes if done is None else done.unionByName(nodes)
+        rest = nodes.join(large, node, "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        nodes, turn = stage(more, "dealt"), turn + 1
+
+
+def trie_self_join(fps: DataFrame, budget: int = 3, max_node: int = MAX_NODE) -> DataFrame:
+    """Links ``(a, b)`` of a forest that connects what pairs of ``(fp, rep)`` rows within ``budget`` bits connect.
+
+    ``fp`` must be distinct; ``rep`` names it. The budget is at most three, one less than the tries.
+    """
+    parts = BITS // QUARTER
+    if not 1 <= budget < parts:
+        raise ValueError("the budget must be 1, 2 or 3 bits")
+    turned = fps.withColumn("path", F.explode(F.array(*[F.lit(k) for k in range(parts)]))).withColumn("level", F.lit(QUARTER))
+    rotated = F.expr(f"shiftleft(fp, path * {QUARTER}) | CASE path WHEN 0 THEN 0L ELSE shiftrightunsigned(fp, {BITS} - path * {QUARTER}) END")
+    top = F.expr(f"shiftrightunsigned(bits, {BITS} - level)")
+    node = ["level", "path", "top"]
+
+    def again(rows: DataFrame, turn: int) -> DataFrame | None:
+        """Each row in a trie for each quarter of the bits below its node's level."""
+        level = QUARTER
+        for _ in range(turn):
+            level += (BITS - level) // parts
+        rest = BITS - level
+        step = rest // parts
+        if not step:
+            return None
+        low, mask = f"(bits & {(1 << rest) - 1}L)", f"{(1 << rest) - 1}L"
+        moved = F.expr(f"(bits & ~{mask}) | (CASE part WHEN 0 THEN {low} ELSE (shiftleft({low}, part * {step}) | shiftrightunsigned({low}, {rest} - part * {step})) & {mask} END)")
+        rows = rows.withColumn("part", F.explode(F.array(*[F.lit(k) for k in range(parts)]))).withColumn("bits", moved)
+        return rows.withColumns({"level": F.lit(level + step), "path": F.expr(f"path * {parts} + part")}).withColumn("top", top).drop("part")
+
+    nodes = turned.withColumn("bits", rotated).withColumn("top", top).select(*node, "bits", "rep")
+    return _walk(_dealt_again(nodes, node, max_node, again), node, ["bits"], tuple(range(1, budget + 1)), max_node).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
@@ -238,13 +282,115 @@ def hex_digits(fp: str = "fp") -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def plan_tries(n: int) -> tuple[int, int]:
+    """(bits that a trie's nodes agree on, tries) for ``n`` fingerprints: nodes of a few fingerprints, and ``MISS`` of the pairs at the threshold in none."""
+    agree = 1 - math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
+    bits = max(16, math.ceil(math.log2(max(2, n))) - 2)
+    return bits, math.ceil(math.log(MISS) / math.log(1 - agree**bits))
+
+
+def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
+    """Links ``(a, b, far)`` of at most ``MOST`` bits between ``(w0 .. w3, rep)`` rows; the fingerprints must be distinct."""
+    words, node = [f"w{k}" for k in range(WORDS)], ["level", "trie", "top"]
+    bits, tries = plan_tries(fps.count())
+    rng = np.random.default_rng(17)
+    picked = np.stack([rng.permutation(WORDS * BITS)[:bits] for _ in range(tries)])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1024):
+                batch = whole.slice(lo, 1024)
+                n = batch.num_rows
+                own = np.stack([np.asarray(batch.column(k)).view(np.uint64) for k in range(WORDS)], axis=1)
+                bit = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(n, -1), axis=1)
+                top = (bit[:, picked.T].astype(np.int64) << np.arange(bits)[:, None]).sum(axis=1)  # (rows, tries)
+                columns = [pa.array(np.zeros(n * tries, np.int32)), pa.array(np.tile(np.arange(tries, dtype=np.int32), n)), pa.array(top.ravel())]
+                at = pa.array(np.repeat(np.arange(n), tries))
+                yield pa.RecordBatch.from_arrays([*columns, *[c.take(at) for c in batch.columns]], [*node, *words, "rep"])
+
+    def again(rows: DataFrame, turn: int) -> DataFrame | None:
+        """Nodes of families with more members than a task should hold agree on another byte; their members have many others near by."""
+        if turn == 8:
+            return None
+        byte = (F.col("trie") * 7 + turn * 5) % (WORDS * 8)
+        word = F.element_at(F.array(*words), F.floor(byte / 8).cast("int") + 1)
+        value = F.expr("shiftrightunsigned(word_, cast(byte_ % 8 as int) * 8) & 255")
+        return rows.withColumns({"byte_": byte, "word_": word}).withColumn("top", F.xxhash64("top", value)).drop("byte_", "word_")
+
+    nodes = fps.select(*words, "rep").mapInArrow(spread, "level int, trie int, top long, " + ", ".join(f"{w} long" for w in words) + ", rep long")
+    nodes = _dealt_again(stage(nodes, "tries"), node, max_node, again)
+    links = _walk(nodes, node, words, (4, 10, SURE, 28, 36, MOST), max_node)
+    return links.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("far").alias("far"))
+
+
+def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, sha, w0 .. w3)`` of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros((batch.num_rows, WORDS), np.uint64)
+            for i, word in wordvec.text_words([x or b"" for x in batch.column(2).to_pylist()]):
+                out[i] = wide_fingerprint(np.unique(shingle_hashes(word, SHINGLE)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(np.ascontiguousarray(c).view(np.int64)) for c in out.T]], ["doc_id", "sha", *[f"w{k}" for k in range(WORDS)]])
+
+    text = F.col(text_col).cast("binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(F.coalesce(text, F.lit(b"")), 256).alias("sha"), text.alias("text"))
+    return stage(rows.mapInArrow(run, "doc_id long, sha string, " + ", ".join(f"w{k} long" for k in range(WORDS))), "prints")
+
+
+def _verified(links: DataFrame, reps: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """The links whose representatives' shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.empty(0, np.uint64)] * batch.num_rows
+            for i, word in wordvec.text_words([x or b"" for x in batch.column(1).to_pylist()]):
+                sets[i] = np.unique(shingle_hashes(word, SHINGLE))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "shingles"])
+
+    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps.select("rep", "sha"), "rep")
+    rows = docs.select(F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256).alias("sha"), F.col(text_col).cast("binary").alias("text"))
+    # a limit within each group before and after the shuffle: of a text that many rows hold, one is sent a task
+    one = rows.join(maybe_broadcast(stage(ends, "ends"), 100), "sha").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("rep"))).where("k = 1")
+    sets = stage(one.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>"), "sets")
+    both = links.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= SIMILARITY * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b")
+
+
+def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, sha)`` of the texts that are not the first of their group; ``sha`` is the SHA-256 of a text.
+
+    Texts of five-word shingles with a similarity of 0.8 or more are linked, groups are what links connect, and the
+    first text of a group has its smallest id (then the smaller ``sha``). Rows without an id link others and are not returned.
+    """
+    words = [f"w{k}" for k in range(WORDS)]
+    prints = _prints(docs, id_col, text_col)
+    reps = stage(prints.groupBy(*words).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("first"), F.min("sha").alias("sha")).withColumn("rep", F.monotonically_increasing_id()), "reps")
+    links = stage(similar_links(reps), "links")
+    unsure = links.where(F.col("far") > SURE)
+    found = connected_components(links.where(F.col("far") <= SURE).select("a", "b").unionByName(_verified(unsure, reps, docs, text_col))).withColumnRenamed("node", "rep")
+    placed = reps.join(found, "rep", "left").select(*words, "first", F.coalesce("component", "rep").alias("c"))
+    least = placed.groupBy("c").agg(F.min("first").alias("first"))
+    kept = placed.join(least.select("c", F.col("first").alias("kept")), "c").select(*words, "kept")
+    named = prints.where("doc_id is not null").select("doc_id", "sha", *words).distinct()
+    return named.join(kept, words).where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("sha") == F.col("kept.sha")))).select("doc_id", "sha")
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pipeline stage: the rows of ``docs`` that hold the smallest id of their component; one row of each text.
+    """Pipeline stage: of each group of similar texts (see ``later_copies``) the rows of the first, once, with their columns, whatever their names.
 
     Rows without an id can't be compared by it and stay.
     """
-    first = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_")).distinct()
-    signed = F.udf(lambda x: (fingerprint(x) ^ 1 << 63) - (1 << 63), "long")
-    named = docs.where(F.col(id_col).isNotNull()).withColumns({"id_": F.col(id_col).cast("long"), "fp_": signed(F.col(text_col).cast("binary"))})
-    kept = named.join(first, ["id_", "fp_"], "left_semi").select(*docs.columns)
-    return kept.dropDuplicates([id_col, text_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    sha = F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), sha.alias("sha"))
+    repeated = stage(rows.where("doc_id is not null").groupBy("doc_id", "sha").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
+    gone = stage(later_copies(docs, id_col, text_col), "gone")
+    kept = rows.join(maybe_broadcast(gone, 100), ["doc_id", "sha"], "left_anti")
+    once, often = kept, None
+    if repeated.count():  # rows with one id and one text: the first of them in the order of their columns
+        held = maybe_broadcast(repeated, 100)
+        once = kept.join(held, ["doc_id", "sha"], "left_anti")
+        often = kept.join(held, ["doc_id", "sha"], "left_semi").withColumn("k", F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy(F.to_json("row")))).where("k = 1")
+    out = once.select("row.*")
+    return out if often is None else out.unionByName(often.select("row.*"))

@@ -30,6 +30,17 @@ def _classes(fps):
     return [top(i) for i in range(len(fps))]
 
 
+def _similar_classes(texts):
+    sets = [decontaminate.shingles_of((t or "").lower()) for t in texts]
+    own = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = own[i], own[j]
+                own = [min(a, b) if x in (a, b) else x for x in own]
+    return own
+
+
 def test_components_of_documents(spark):
     rng = np.random.default_rng(1)
     base = [" ".join(rng.choice(["aa", "bb", "cc", "dd", "ee", "É"], 60)) for _ in range(12)]
@@ -44,10 +55,47 @@ def test_components_of_documents(spark):
     assert [got[i].fp & (2**64 - 1) for i in range(len(texts))] == fps
     assert [got[i].component_id for i in range(len(texts))] == _classes(fps)
     kept = {r.doc_id for r in simhash.keep_first(docs.union(docs)).collect()}
-    assert kept == set(_classes(fps))
+    assert kept == set(_similar_classes(texts))
+    assert simhash.keep_first(docs.limit(0)).count() == 0 and simhash.keep_first(docs).columns == docs.columns
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_similar_texts_are_grouped_like_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(3000)]
+    texts = []
+    for _ in range(60):
+        base = list(rng.choice(words, int(rng.integers(60, 400))))
+        texts.append(" ".join(base))
+        for share in (0.004, 0.01, 0.03, 0.1):
+            changed = [str(rng.choice(words)) if rng.random() < share else w for w in base]
+            texts.append(" ".join(changed))
+    docs = spark.createDataFrame([(len(texts) - i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, sha string")
+    kept = {r.doc_id for r in simhash.keep_first(docs).collect()}
+    want = {len(texts) - i for i in range(len(texts))}
+    classes = _similar_classes(texts)
+    first = {c: min(len(texts) - i for i in range(len(texts)) if classes[i] == c) for c in set(classes)}
+    assert set(first.values()) <= kept <= want  # no group is lost
+    assert len(kept) <= 1.03 * len(first)  # few pairs near the threshold stay apart
+    many = {r.doc_id for r in simhash.keep_first(docs.repartition(7)).collect()}
+    assert many == kept
+
+
+def test_a_large_family_is_dealt_again(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base = [f"w{k}" for k in rng.integers(0, 999, 300)]
+    texts = []
+    for k in range(120):
+        own = list(base)
+        own[int(rng.integers(0, 300))] = f"x{k}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + ["another text of a few words more"])], "doc_id long, text string")
+    whole = simhash.similar_links
+    with monkeypatch.context() as m:
+        m.setattr(simhash, "similar_links", lambda fps: whole(fps, 20))
+        assert {r.doc_id for r in simhash.keep_first(docs).collect()} == {0, 120}
+
+
 def test_null_ids_stay(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "e f g h"), (3, "a b c d")], "doc_id long, text string")
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(docs).collect()) == ["3", "3", "None"]
