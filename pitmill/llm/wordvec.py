@@ -71,8 +71,8 @@ def batches(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
         yield own, held
 
 
-def hashes(pieces: list[bytes], prefix: int = 0, suffix: int = 0) -> tuple[np.ndarray, ...]:
-    """(hash of each word, index of its piece), and with ``prefix`` or ``suffix`` the hash of so many first or last bytes of each. A-Z count as a-z."""
+def hashes(pieces: list[bytes], prefix: int = 0, suffix: int = 0, places: bool = False) -> tuple[np.ndarray, ...]:
+    """(hash of each word, index of its piece), and with ``prefix`` or ``suffix`` the hash of so many first or last bytes of each; with ``places`` where each word begins and ends in the pieces, joined by one byte. A-Z count as a-z."""
     raw = b"\n".join([*pieces, b""])
     data = _LOWER[np.frombuffer(raw, np.uint8)]
     step = np.diff(WORD[data].astype(np.int8), prepend=np.int8(0))
@@ -89,6 +89,8 @@ def hashes(pieces: list[bytes], prefix: int = 0, suffix: int = 0) -> tuple[np.nd
     if suffix:
         tail = np.maximum(begin, end - suffix)
         out.append(mix((total[end] - total[tail]) * inverse[tail]))
+    if places:
+        out += [begin, end]
     return tuple(out)
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitmill.llm import langid, licenses, lmscore, pieces, toxicity
+from pitmill.llm import langid, licenses, lmscore, pieces, toxicity, wordvec
 
 SYLLABLES = {"aa": ["thi", "er", "and", "wh"], "bb": ["été", "ou", "qu", "eau"], "cc": ["ung", "sch", "ü", "keit"]}
 
@@ -154,15 +154,70 @@ def test_scores_of_odd_texts(spark, docs):
     assert len(lmscore.score(docs, same).collect()) == 240
 
 
-def test_licences(spark, docs):
-    rows = [(1, "intro\nReleased under the MIT License.\nmore"), (2, "Licensed under the Apache License, Version 2.0."), (3, None), (4, ""), (5, "This work is licensed under the GNU General Public License, version 3.\n" * 2), (6, "Licensed under CC BY-NC 4.0."), (7, "thi er and wh"), (8, "Licensed under the Frobnicate Public License of Atlantis, revision 9."), (8, "All rights reserved.")]
+GPL = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+
+
+@pytest.fixture(scope="module")
+def licence_model(docs):
+    return licenses.fit_licenses(docs)
+
+
+def test_licences(spark, docs, licence_model):
+    rows = [(1, "intro\nReleased under the MIT License.\nmore"), (2, "Licensed under the Apache License, Version 2.0."), (3, None), (4, " \n\n ..."), (5, "This work is licensed under the GNU General Public License, version 3.\n\n" * 2), (6, "Licensed under CC BY-NC 4.0."), (7, "thi er and wh"), (8, "Licensed under the Frobnicate Public License of Atlantis, revision 9."), (8, "All rights reserved."), (None, "All rights reserved.")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, family string")
-    model = licenses.fit_licenses(docs)
-    got = sorted((r.doc_id, r.line, r.family, r.status) for r in licenses.find_licenses(df, model).collect())
-    sure = [g[:3] for g in got if g[3] == "confirmed"]
-    assert sure == [(1, 2, "MIT"), (2, 1, "Apache"), (5, 1, "GPL"), (5, 2, "GPL"), (6, 1, "CC-BY-NC"), (8, 1, "reserved")]
-    assert [g for g in got if g[3] != "confirmed"] in ([], [(8, 1, "unknown", "unconfirmed")])
-    assert licenses.find_licenses(docs, model).count() == 0
+    got = sorted((str(r.doc_id), r.paragraph, r.line, r.family, r.status) for r in licenses.find_licenses(df, licence_model).collect())
+    sure = [g[:4] for g in got if g[4] == "confirmed"]
+    assert sure == [("1", 1, 2, "MIT"), ("2", 1, 1, "Apache"), ("5", 1, 1, "GPL"), ("5", 2, 3, "GPL"), ("6", 1, 1, "CC-BY-NC"), ("8", 1, 1, "reserved"), ("None", 1, 1, "reserved")]
+    assert [g for g in got if g[4] != "confirmed"] == [("8", 1, 1, "unknown", "unconfirmed")]
+    assert licenses.find_licenses(docs, licence_model).count() == 0
+    assert licenses.find_licenses(df.limit(0), licence_model).count() == 0
+
+
+def test_wrapped_and_embedded_notices(spark, docs, licence_model):
+    prose = " ".join(t for _, t, _, _ in _corpus(60))
+    one_line = prose + " Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files. " + prose
+    rows = [(1, f"er thi\n\n{GPL}\n\nand wh"), (2, f"{prose} {BSD} {prose}"), (3, one_line), (4, (prose + "\n") * 120 + "Licensed under the MIT license." + ("\n" + prose) * 120), (5, f"{GPL}\n\n{BSD}"), (5, f"{GPL}\n\n{BSD}")]
+    got = licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), licence_model).collect()
+    found = collections.Counter((r.doc_id, r.family) for r in got if r.status == "confirmed")
+    assert found == {(1, "GPL"): 1, (2, "BSD"): 1, (3, "MIT"): 1, (4, "MIT"): 1, (5, "GPL"): 2, (5, "BSD"): 2}
+    assert not [r for r in got if r.status != "confirmed"]
+
+
+def test_windows_are_judged_like_a_plain_loop(licence_model):
+    m, templates = licence_model, [t for ts in licenses.TEMPLATES.values() for t in ts]
+    rng = np.random.default_rng(4)
+    words = [w for _, t, _, _ in _corpus(30) for w in t.split()]
+    for k in range(12):
+        lines = [" ".join(rng.choice(words, int(rng.integers(0, 90)))) for _ in range(8)] + [templates[k], GPL, ""]
+        text = "\n".join(np.array(lines, object)[rng.permutation(len(lines))]).encode()
+        (_, word, begin, end), = licenses._text_words([text])
+        a, b, paragraph, line = licenses.windows(text, begin)
+        # windows: by words of each paragraph, and lines
+        want, seen, n_line, n_par = set(), 0, 0, 0
+        for par in text.decode().split("\n\n"):
+            own = licenses.words_of(par)
+            starts = [0] + [s for s in range(licenses.STEP, len(own), licenses.STEP) if s + licenses.WINDOW - licenses.STEP < len(own)] if own else []
+            want |= {(seen + s, seen + min(s + licenses.WINDOW, len(own))) for s in starts}
+            at = seen
+            for ln in par.split("\n"):
+                n = len(licenses.words_of(ln))
+                if 0 < n <= licenses.WINDOW:
+                    want.add((at, at + n))
+                at += n
+            seen += len(own)
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == want
+        p = licenses._soft(licenses.window_logits(m, word, a, b))
+        for i in range(len(a)):
+            part = licenses.words_of(text[begin[a[i]] : end[b[i] - 1]].decode())
+            feats = [wordvec.word_hash(w) for w in part]
+            feats += [int(licenses._pairs(np.array([x, y], np.uint64))[0]) for x, y in zip(feats, feats[1:], strict=False)]
+            z = m.bias.astype(float).copy()
+            for f in feats:
+                slot = f % licenses.SLOTS
+                z += (m.weight[m.features[1][slot]] if m.features[0][slot] == f >> 32 else 0) / np.sqrt(len(feats))
+            q = np.exp(z - z.max())
+            assert np.allclose(p[i], q / q.sum(), atol=1e-6)
 
 
 def test_pieces_come_back_and_follow_the_lattice(spark):
