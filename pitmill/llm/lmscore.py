@@ -43,7 +43,7 @@ ROUNDS, RATE = 2, 0.1
 #: Words of a stream, of the texts that are trained on together, of a training step, and of a scoring step.
 STREAM, GROUP, STEP, ROWS = 1 << 21, 1 << 16, 4096, 4096
 #: Weights are summed in so many slices, so that no task sums all of them.
-SLICES = 16
+SLICES = 128
 
 
 @dataclass
