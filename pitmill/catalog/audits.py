@@ -164,7 +164,7 @@ df AS ({' UNION ALL '.join(f"SELECT date, symbol_at_date, '{n}' AS universe_flag
 
 
 @query(f"""WITH {_DIFFS}, tr AS (SELECT date, universe_flag, bm, string_agg(symbol_at_date, ', ' ORDER BY symbol_at_date) AS trigger_symbol FROM df WHERE cutoff IS NOT NULL GROUP BY 1, 2, 3)
-SELECT df.date, symbol_at_date, df.universe_flag, df.bm AS baseline_member, cm AS candidate_member, trigger_symbol, CASE WHEN coalesce(b.instrument_type, c.instrument_type, '') <> 'ORDINARY_EQUITY' OR regexp_matches(symbol_at_date, 'GOLD|NIFTY|ETF|BEES|LIQUID|REIT|INVIT') THEN 'NON_ORDINARY_INSTRUMENT_REMOVAL'
+SELECT df.date, symbol_at_date, df.universe_flag, df.bm AS baseline_member, cm AS candidate_member, trigger_symbol, CASE WHEN coalesce(b.instrument_type, c.instrument_type, '') <> 'ORDINARY_EQUITY' OR regexp_matches(symbol_at_date, 'GOLD|NIFTY|ETF|BEES|HANGSENG|LIQUID|MOM|NV20|PSUBNK|BANKETF') THEN 'NON_ORDINARY_INSTRUMENT_REMOVAL'
   WHEN b.security_id = c.security_id AND (b.rank_126 <= cutoff) <> (c.rank_126 <= cutoff) THEN 'RANK_CUTOFF_SECOND_ORDER_EFFECT' WHEN cm AND trigger_symbol IS NOT NULL THEN 'RANK_CUTOFF_SECOND_ORDER_EFFECT' WHEN b.security_id <> c.security_id OR b.isin <> c.isin THEN 'IDENTITY_V2_CONTINUITY_CORRECTION'
   WHEN abs(c.history_sessions - b.history_sessions) >= 100 THEN 'IDENTITY_V2_CONTINUITY_CORRECTION' WHEN df.universe_flag = 'LIQUID_V1' AND (b.listing_age_sessions >= 272) <> (c.listing_age_sessions >= 272) THEN 'SESSION_CORRECT_HISTORY_RECALCULATION' WHEN abs(c.listing_age_sessions - b.listing_age_sessions) >= 100 THEN 'LISTING_HISTORY_CONTINUITY_CORRECTION'
   WHEN b.trading_status IS DISTINCT FROM c.trading_status THEN 'TRADING_STATUS_CORRECTION' WHEN abs(c.positive_volume_days_60 - b.positive_volume_days_60) >= 5 THEN 'POSITIVE_VOLUME_RULE_CORRECTION' WHEN abs(c.median_traded_value_60 - b.median_traded_value_60) > 1000000 THEN 'SESSION_CORRECT_LIQUIDITY_RECALCULATION'
@@ -255,10 +255,10 @@ def h41_boundary_blockers(spark: SparkSession, d: str) -> DataFrame:
     return audit.boundary_blockers(boundaries_of(spark, d), STARTS)
 
 
-@query("SELECT DISTINCT concat('P', CAST(p_partkey AS VARCHAR)) AS security_id, concat('P', CAST(p_partkey AS VARCHAR)) AS symbol, concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' index' ELSE '' END) AS company_name FROM {part} WHERE p_partkey % 9 = 1 OR regexp_matches(upper(p_name), 'ETF|BEES|LIQUID|GOLD|NIFTY|SENSEX|INDEX|MUTUAL|FUND|REIT|INVIT')")
+@query("SELECT DISTINCT concat('P', CAST(p_partkey AS VARCHAR)) AS security_id, concat('P', CAST(p_partkey AS VARCHAR)) AS symbol, concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' warrant' ELSE '' END) AS company_name FROM {part} WHERE p_partkey % 9 = 1 OR regexp_matches(upper(p_name), 'ETF|BEES|LIQUID|GILT|GOLD|SILVER|FUND|MUTUAL|NIFTY|SENSEX|BANKBEES|JUNIORBEES|PSUBNKBEES|SHARIAHBEES|PREF|PREFERENCE|WARRANT|RIGHTS|REIT|INVIT')")
 def h41_instrument_review(spark: SparkSession, d: str) -> DataFrame:
     p = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
-    return audit.instrument_review(table(spark, d, "part").select(p.alias("security_id"), p.alias("symbol"), F.expr("concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' index' ELSE '' END)").alias("company_name"), F.lit("ORDINARY_EQUITY").alias("instrument_type")))
+    return audit.instrument_review(table(spark, d, "part").select(p.alias("security_id"), p.alias("symbol"), F.expr("concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' warrant' ELSE '' END)").alias("company_name"), F.lit("ORDINARY_EQUITY").alias("instrument_type")))
 
 
 @query("SELECT research_identity_quality, price_adjustment_quality, count(*) AS rows FROM {monthly_in} GROUP BY 1, 2")

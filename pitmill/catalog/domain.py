@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitmill.catalog.inputs import sql, table
-from pitmill.catalog.panel import features_of, features_sql
+from pitmill.catalog.panel import _DATE_SQL, _FROM_SQL, BLOCKS_SQL, date_sql, features_of, features_sql
 from pitmill.functions.fields import observation_status
 from pitmill.operators import actions, identity, status, universe
 from pitmill.spec import SMALL
@@ -423,16 +423,15 @@ def c3_enriched_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return universe.enrich(table(spark, d, "monthly_in"), features_of(spark, d), ["positive_volume_days_20", "liquidity_rank_126", "liquidity_bucket_126", "not_there", "price"]).select("security_id", "date", "rank_126", "positive_volume_days_20", "liquidity_rank_126", "liquidity_bucket_126")
 
 
-_ISSUERS = "(SELECT concat('C', CAST(p_partkey AS {s})) AS security_id, concat(p_name, CASE p_partkey % 2 WHEN 0 THEN ' Limited' ELSE ' Ltd' END) AS company_name, CASE WHEN p_partkey % 3 = 0 THEN date '2001-01-01' ELSE date '1998-01-01' END AS effective_from, CASE WHEN p_partkey % 5 = 0 THEN date '1999-06-30' ELSE CAST(NULL AS date) END AS effective_to FROM {{part}})"
+_ISSUERS = "(SELECT concat('C', CAST(p_partkey AS {s})) AS security_id, concat(p_name, CASE p_partkey % 2 WHEN 0 THEN ' Limited' ELSE ' Ltd' END) AS company_name, CASE WHEN p_partkey % 3 = 0 THEN date '2001-01-01' ELSE date '1998-01-01' END AS first_seen, CASE WHEN p_partkey % 5 = 0 THEN date '1999-06-30' ELSE date '2005-12-31' END AS last_seen FROM {{part}})"
+_COMPACT_SQL = "replace(replace(regexp_replace(upper(replace({x}, 'ß', 'ss')), '[^A-Z0-9]', '', 'g'), 'LIMITED', 'LTD'), 'CORPORATION', 'CORP')"
 
 
-@query(r"""WITH nb AS (SELECT doc_id, string_split(replace(body, '. ', '.' || chr(10)), chr(10)) AS parts FROM {notices}), u AS (SELECT doc_id, unnest(parts) AS block, generate_subscripts(parts, 1) AS pos FROM nb), k AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS block_no, block FROM u WHERE regexp_matches(block, '(?i)suspen|revoc|recommenc')),
-x AS (SELECT *, regexp_extract(block, '(?i)(?:w\.e\.f\.?|effective\s+from|with\s+effect\s+from)\s*:?\s*((?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d\d\d\d)', 1) AS e, concat(' ', regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(upper(strip_accents(block)), '[^\x00-\x7f]', '', 'g'), '[^A-Z0-9]+', ' ', 'g')), '\bLIMITED\b', 'LTD', 'g'), '\bCOMPANY\b', 'CO', 'g'), ' ') AS t FROM k),
-y AS (SELECT *, CASE WHEN e <> '' THEN CAST(strptime(regexp_replace(replace(e, ',', ' '), '\s+', ' ', 'g'), '%B %-d %Y') AS date) END AS effective_date FROM x),
-m AS (SELECT *, regexp_replace(trim(regexp_replace(upper(company_name), '[^A-Z0-9]+', ' ', 'g')), '\bLIMITED\b', 'LTD', 'g') AS name FROM """ + _ISSUERS.format(s="varchar").replace("{{", "{").replace("}}", "}") + r"""),
-h AS (SELECT doc_id, block_no, count(DISTINCT security_id) AS n, min(security_id) AS sid FROM y JOIN m ON contains(t, concat(' ', name, ' ')) AND length(name) >= 8 AND effective_date >= effective_from AND (effective_to IS NULL OR effective_date <= effective_to) GROUP BY 1, 2)
-SELECT doc_id, block_no, CASE WHEN regexp_matches(lower(block), 'revocation|revoked') THEN 'SUSPENSION_REVOKED' WHEN regexp_matches(lower(block), 'recommence|resumption') THEN 'TRADING_RECOMMENCED' ELSE 'SUSPENSION_START' END AS event_type, effective_date, CASE WHEN n = 1 THEN sid END AS security_id, CASE WHEN n = 1 THEN 'EXACT_NAME' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS identity_match FROM y LEFT JOIN h USING (doc_id, block_no)""")
+@query(rf"""WITH {BLOCKS_SQL}, ev AS (SELECT doc_id, block_no, lower(block) AS low, published_date, {date_sql(f"regexp_extract(block, '{_FROM_SQL}({_DATE_SQL})', 1)")} AS effective_date, {_COMPACT_SQL.format(x="substr(block, 1, 1400)")} AS focus FROM bk),
+nm AS (SELECT *, {_COMPACT_SQL.format(x="company_name")} AS name FROM {_ISSUERS.format(s="varchar").replace("{{", "{").replace("}}", "}")}),
+ht AS (SELECT doc_id, block_no, count(DISTINCT security_id) AS n, min(security_id) AS sid FROM ev JOIN nm ON contains(focus, name) AND length(name) >= 8 AND coalesce(effective_date, published_date) BETWEEN first_seen AND last_seen GROUP BY 1, 2)
+SELECT concat(CAST(doc_id AS VARCHAR), '_BLOCK_', lpad(CAST(block_no AS VARCHAR), CAST(greatest(2, length(CAST(block_no AS VARCHAR))) AS INT), '0')) AS evidence_id, doc_id, block_no, CASE WHEN regexp_matches(low, 'recommencement|available for trading') THEN 'TRADING_RECOMMENCEMENT' WHEN contains(low, 'revocation') THEN 'SUSPENSION_REVOKED' ELSE 'SUSPENSION_START' END AS event_type,
+  effective_date, CASE WHEN n = 1 THEN sid END AS security_id, CASE WHEN n = 1 THEN 'EXACT_NAME_BLOCK_DATE_MATCH' ELSE 'EVENT_LEVEL_IDENTITY_REVIEW_REQUIRED' END AS identity_match_quality FROM ev LEFT JOIN ht USING (doc_id, block_no)""")
 def h19_notice_events(spark: SparkSession, d: str) -> DataFrame:
-    notices = table(spark, d, "notices").withColumn("body", F.replace("body", F.lit(". "), F.lit(".\n")))
     issuers = spark.sql("SELECT * FROM " + _ISSUERS.format(s="string").replace("{{", "{").replace("}}", "}"), part=table(spark, d, "part"))
-    return status.suspension_event_blocks(notices, issuers)
+    return status.suspension_event_blocks(table(spark, d, "notices"), issuers, published_col="published_date")

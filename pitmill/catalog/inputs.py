@@ -92,9 +92,15 @@ SELECT concat('N', cast(o_orderkey AS string)) AS evidence_id, concat('S', cast(
   CASE WHEN o_orderkey % 2 = 0 THEN 'SUSPENSION_START' ELSE 'SUSPENSION_REVOKED' END AS event_type
 FROM {orders}""",
     "notices": """
-SELECT doc_id, concat(substr(text, 1, 200), CASE doc_id % 6 WHEN 0 THEN ' Suspension of trading in Red Bolt Limited with effect from March 5, 2001. ' WHEN 1 THEN ' Revocation of suspension: Blue Ring Ltd w.e.f. January 15, 1999 '
-  WHEN 2 THEN ' Delisting of Green Cog Limited, dated June 2, 2003, compulsory delisting ' WHEN 3 THEN ' Trading recommenced effective from July 9, 2000 in Small Widget Ltd ' WHEN 4 THEN ' Annual report ' ELSE ' Voluntary Delisting ' END, substr(text, 201)) AS body
-FROM {documents}""",
+SELECT doc_id, cast(date_add(date '1999-01-01', cast(doc_id % 900 AS int)) AS date) AS published_date, concat(substr(text, 1, 200), CASE doc_id % 10
+  WHEN 0 THEN concat(' Press Release No. 11 The shares of ', coalesce(p_name, 'Red Bolt'), ' Limited will be suspended from trading w.e.f. March 5, 2001. ')
+  WHEN 1 THEN concat(' PRESS RELEASE NO.12 Revocation of suspension: ', coalesce(p_name, 'Blue Ring'), ' Ltd w . e . f . the January 15, 1999 Press release no. 13 nothing here ')
+  WHEN 2 THEN ' Public notice for compulsory delisting by the National Stock Exchange of India, dated June 2, 2003 '
+  WHEN 3 THEN concat(' press release no. 7 Recommencement of trading effectively from July 9, 2000 in ', coalesce(p_name, 'Small Widget'), ' Corporation Limited, Big-Cog Ltd. and Securities of Nothing Limited ')
+  WHEN 4 THEN ' Annual report of April 31, 2001 ' WHEN 5 THEN ' Voluntary Delisting at the National Stock Exchange '
+  WHEN 6 THEN concat(' Press Release No. 1 Proposed suspension of ', coalesce(p_name, 'Round Peg'), ' Limited Press Release No. 2 shares of Old Mill Ltd are available for trading, Recommencement of  trading with effect from the May 2, 2001 ')
+  WHEN 7 THEN ' Red Bolt Limited, Green O''Cog Ltd and Co. Limited: suspended ' ELSE ' ' END, substr(text, 201)) AS body
+FROM {documents} LEFT JOIN {part} ON p_partkey = doc_id + 1""",
     "holdings": "SELECT DISTINCT concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id FROM {orders} WHERE o_orderkey % 17 = 0",
     # month-end snapshots with ranks and flags, and a second release that differs from them
     "month_in": """
@@ -142,7 +148,8 @@ def sql(text: str) -> str:
         if name in SELECTS and name not in made:
             for x in _needs(name):
                 need(x)
-            made[name] = re.sub(r"\{(\w+)\}", r"\1", SELECTS[name]).replace("AS string)", "AS varchar)").replace("date_add(date '2000-01-01', cast(c_custkey % 900 AS int))", "cast(date '2000-01-01' + cast(c_custkey % 900 AS int) AS date)")
+            made[name] = re.sub(r"\{(\w+)\}", r"\1", SELECTS[name]).replace("AS string)", "AS varchar)")
+            made[name] = re.sub(r"date_add\((date '[\d-]+'), cast\((\w+) % 900 AS int\)\)", r"cast(\1 + cast(\2 % 900 AS int) AS date)", made[name])
 
     body = text.strip()
     for x in re.findall(r"\{(\w+)\}", body):

@@ -117,8 +117,8 @@ def _named(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(_NAMED.replace("varchar", "string"), part=table(spark, d, "part"))
 
 
-@query(f"""SELECT p_partkey, {_KIND} AS instrument_type, regexp_matches(upper(concat_ws(' ', symbol, company_name)), 'ETF|BEES|LIQUID|GOLD|NIFTY|SENSEX|INDEX|MUTUAL|FUND|REIT|INVIT') AS product_marker,
-  regexp_matches(upper(symbol), 'GOLD|NIFTY|ETF|BEES|LIQUID|REIT|INVIT') AS has_marker FROM {_NAMED}""")
+@query(f"""SELECT p_partkey, {_KIND} AS instrument_type, regexp_matches(upper(concat(coalesce(symbol, ''), ' ', coalesce(company_name, ''))), 'ETF|BEES|LIQUID|GILT|GOLD|SILVER|FUND|MUTUAL|NIFTY|SENSEX|BANKBEES|JUNIORBEES|PSUBNKBEES|SHARIAHBEES|PREF|PREFERENCE|WARRANT|RIGHTS|REIT|INVIT') AS product_marker,
+  regexp_matches(upper(symbol), 'GOLD|NIFTY|ETF|BEES|HANGSENG|LIQUID|MOM|NV20|PSUBNK|BANKETF') AS has_marker FROM {_NAMED}""")
 def b4_instrument_type(spark: SparkSession, d: str) -> DataFrame:
     s, n = F.col("symbol"), F.col("company_name")
     return _named(spark, d).select("p_partkey", fields.classify_instrument(s, n).alias("instrument_type"), fields.product_marker(s, n).alias("product_marker"), fields.has_marker(s).alias("has_marker"))
@@ -140,15 +140,31 @@ def h32_quality_findings(spark: SparkSession, d: str) -> DataFrame:
 # texts ------------------------------------------------------------------------------------------
 
 
-@query(r"""WITH t AS (SELECT doc_id, body, regexp_extract(body, '(?i)(?:w\.e\.f\.?|effective\s+from|with\s+effect\s+from)\s*:?\s*((?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d\d\d\d)', 1) AS e,
-  regexp_extract(body, '(?i)((?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d\d\d\d)', 1) AS a FROM {notices})
-SELECT doc_id, CASE WHEN e <> '' THEN CAST(strptime(regexp_replace(replace(e, ',', ' '), '\s+', ' ', 'g'), '%B %-d %Y') AS date) END AS effective_date, CASE WHEN a <> '' THEN CAST(strptime(regexp_replace(replace(a, ',', ' '), '\s+', ' ', 'g'), '%B %-d %Y') AS date) END AS article_date,
-  CASE WHEN regexp_matches(lower(body), 'revocation|revoked') THEN 'SUSPENSION_REVOKED' WHEN regexp_matches(lower(body), 'recommence|resumption') THEN 'TRADING_RECOMMENCED' WHEN regexp_matches(lower(body), 'suspension|suspended') THEN 'SUSPENSION_START' ELSE 'UNKNOWN' END AS event_type,
-  CASE WHEN regexp_matches(lower(body), 'compulsory delisting|voluntary delisting') THEN 'HIGH' WHEN regexp_matches(lower(body), 'delisting|suspension|revocation|recommenced') THEN 'MEDIUM' ELSE 'NONE' END AS relevance,
-  array_to_string(list_distinct(regexp_extract_all(body, '\b([A-Z][A-Za-z&.]*(?:\s+[A-Z][A-Za-z&.]*){0,6}\s+(?:Limited|Ltd))\b', 1)), ';') AS names FROM t""")
+_DATE_SQL = r"(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d\d\d\d"
+_FROM_SQL = r"(?i)(?:w\s*\.\s*e\s*\.\s*f\s*\.?|effective(?:ly)?\s+from|with\s+effect\s+from)\s+(?:the\s+)?"
+_SIGNAL_SQL = r"(?i)suspension|suspended|revocation|recommencement|available\s+for\s+trading"
+_NAME_SQL = r"\b[A-Z][A-Za-z0-9&.''’()/-]*(?:\s+[A-Z][A-Za-z0-9&.''’()/-]*){0,8}\s+(?:Limited|Ltd\.?)\b"
+
+
+def date_sql(found: str) -> str:
+    return rf"CAST(try_strptime(regexp_replace({found}, '\s+', ' ', 'g'), '%B %-d, %Y') AS date)"
+
+
+@query(rf"""WITH t AS (SELECT doc_id, body, lower(body) AS low, lower(trim(regexp_replace(body, '\s+', ' ', 'g'))) AS flat, regexp_extract(body, '{_FROM_SQL}({_DATE_SQL})', 1) AS e, regexp_extract(body, '(?i)\b({_DATE_SQL})\b', 1) AS a,
+  string_split_regex(body, '{_SIGNAL_SQL}') AS b, regexp_extract_all(body, '{_SIGNAL_SQL}', 0) AS m FROM {{notices}}),
+p AS (SELECT *, list_transform(range(1, len(m) + 1), lambda i: CAST(list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT)) AS pl FROM t),
+n AS (SELECT doc_id, flatten(list_transform(pl, lambda s: list_transform(regexp_extract_all(body[greatest(s - 120, 0) + 1:s + 1000], '{_NAME_SQL}', 0), lambda c: trim(regexp_replace(c, '\s+', ' ', 'g'), ' .,-')))) AS c FROM p),
+u AS (SELECT doc_id, c[i] AS c, i FROM n, unnest(range(1, len(c) + 1)) AS g(i)),
+f AS (SELECT doc_id, c, min(i) AS i FROM u WHERE length(c) BETWEEN 3 AND 140 AND NOT regexp_matches(upper(c), 'NATIONAL STOCK EXCHANGE|PRESS RELEASE|CAPITAL MARKET|LISTING AGREEMENT|TRADING IN|SECURITIES OF') GROUP BY 1, 2),
+k AS (SELECT doc_id, string_agg(c, ';' ORDER BY i) AS names FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r FROM f) WHERE r <= 100 GROUP BY 1)
+SELECT doc_id, {date_sql('e')} AS effective_date, {date_sql('a')} AS article_date, CASE WHEN regexp_matches(low, 'revocation|recommencement|available for trading') THEN 'SUSPENSION_REVOKED' ELSE 'SUSPENSION_START' END AS event_type,
+  CASE WHEN flat = '' THEN 'SCANNED_DOCUMENT_REVIEW_REQUIRED' WHEN contains(flat, 'compulsory delist') AND contains(flat, 'national stock exchange') THEN 'RELEVANT_TEXT_EVIDENCE' WHEN contains(flat, 'delist') AND contains(flat, 'national stock exchange') THEN 'POSSIBLE_TEXT_EVIDENCE_REVIEW_REQUIRED' ELSE 'NOT_RELEVANT_TEXT' END AS relevance,
+  array_to_string(list_filter([{', '.join(f"CASE WHEN contains(flat, '{t}') THEN '{t.upper()}' END" for t in text.NOTICE_TERMS)}], lambda x: x IS NOT NULL), ';') AS terms, coalesce(names, '') AS names FROM t LEFT JOIN k USING (doc_id)""")
 def b16_notice_fields(spark: SparkSession, d: str) -> DataFrame:
     b = F.col("body")
-    return table(spark, d, "notices").select("doc_id", text.effective_date(b).alias("effective_date"), text.article_date(b).alias("article_date"), text.suspension_type(b).alias("event_type"), text.notice_relevance(b).alias("relevance"), F.array_join(text.candidate_names(b), ";").alias("names"))
+    return table(spark, d, "notices").select(
+        "doc_id", text.effective_date(b).alias("effective_date"), text.article_date(b).alias("article_date"), text.suspension_type(b).alias("event_type"), text.notice_relevance(b).alias("relevance"),
+        F.array_join(text.notice_terms(b), ";").alias("terms"), F.array_join(text.candidate_names(b), ";").alias("names"))
 
 
 @query(r"""WITH a AS (SELECT p_partkey, concat(p_name, CASE p_partkey % 4 WHEN 0 THEN ' & Company Limited' WHEN 1 THEN ' Corporation Ltd.' WHEN 2 THEN ' Société Générale' ELSE ' Limited' END) AS name FROM {part})
@@ -163,10 +179,13 @@ def b20_strip_html(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", text.strip_html(F.col("html")).alias("body"))
 
 
-@query(r"""WITH b AS (SELECT doc_id, string_split(replace(body, '. ', '.' || chr(10)), chr(10)) AS parts FROM {notices}), u AS (SELECT doc_id, unnest(parts) AS block, generate_subscripts(parts, 1) AS pos FROM b)
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS block_no, block FROM u WHERE regexp_matches(block, '(?i)suspen|revoc|recommenc')""")
+BLOCKS_SQL = r"""bl AS (SELECT doc_id, published_date, string_split_regex(body, '(?i)press\s+release\s+no\.\s*\d+') AS parts FROM {notices}), bu AS (SELECT doc_id, published_date, parts[i] AS block, i AS pos FROM bl, unnest(range(1, len(parts) + 1)) AS g(i)),
+bk AS (SELECT doc_id, published_date, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS block_no, block FROM bu WHERE regexp_matches(lower(block), 'revocation\s+of\s+(?:the\s+)?suspension|recommencement\s+of\s+trading|(?:will|shall|would|are|be)\s+suspended\s+from\s+trading|proposed suspension'))"""
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT doc_id, block_no, block FROM bk")
 def b22_notice_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return text.explode_blocks(table(spark, d, "notices").withColumn("body", F.replace("body", F.lit(". "), F.lit(".\n"))), "doc_id", "body")
+    return text.explode_blocks(table(spark, d, "notices"), "doc_id", "body")
 
 
 # intervals and as-of ----------------------------------------------------------------------------

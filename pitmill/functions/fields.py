@@ -66,11 +66,21 @@ def quality_findings(obs: DataFrame, key: tuple[str, ...] = ("date", "exchange",
     return obs.withColumn("nth_", nth).select(*key, *order, F.explode(checks).alias("check"))
 
 
+#: What marks a symbol or name as a product's, and a symbol as no ordinary share's.
+PRODUCT_MARKS = ("ETF", "BEES", "LIQUID", "GILT", "GOLD", "SILVER", "FUND", "MUTUAL", "NIFTY", "SENSEX", "BANKBEES", "JUNIORBEES", "PSUBNKBEES", "SHARIAHBEES", "PREF", "PREFERENCE", "WARRANT", "RIGHTS", "REIT", "INVIT")
+NON_ORDINARY_MARKS = ("GOLD", "NIFTY", "ETF", "BEES", "HANGSENG", "LIQUID", "MOM", "NV20", "PSUBNK", "BANKETF")
+
+
 def product_marker(symbol: Column, name: Column) -> Column:
-    """Whether a row names a fund or index product."""
-    text = F.upper(F.concat_ws(" ", F.coalesce(symbol, F.lit("")), F.coalesce(name, F.lit(""))))
-    return text.rlike(r"ETF|BEES|LIQUID|GOLD|NIFTY|SENSEX|INDEX|MUTUAL|FUND|REIT|INVIT") | F.upper(symbol).isin(*ETF_SYMBOLS)
+    """Whether a row's symbol or name looks like a product's."""
+    text = F.upper(F.concat(F.coalesce(symbol, F.lit("")), F.lit(" "), F.coalesce(name, F.lit(""))))
+    return text.rlike("|".join(PRODUCT_MARKS))
+
+
+def known_product(symbol: Column) -> Column:
+    """Whether a symbol is one of the products that do not say so."""
+    return F.upper(F.coalesce(symbol, F.lit(""))).isin(*ETF_SYMBOLS)
 
 
-def has_marker(symbol: Column, marks: tuple[str, ...] = ("GOLD", "NIFTY", "ETF", "BEES", "LIQUID", "REIT", "INVIT")) -> Column:
+def has_marker(symbol: Column, marks: tuple[str, ...] = NON_ORDINARY_MARKS) -> Column:
     return F.upper(symbol).rlike("|".join(marks))

@@ -124,18 +124,28 @@ def resolve_notices(notices: DataFrame, master: DataFrame, id_col: str = "doc_id
     return notices.select(id_col, suspension_type(body).alias("event_type"), effective_date(body).alias("effective_date"), text_col).join(one, id_col, "left").withColumn("security_id", F.when(F.col("n_") == 1, F.col("security_id"))).drop("n_", text_col)
 
 
-def compact_key(col: str):
-    return compact_name(F.col(col))
+def suspension_event_blocks(notices: DataFrame, master: DataFrame, id_col: str = "doc_id", text_col: str = "body", published_col: str | None = None, focus: int = 1400, least: int = 8) -> DataFrame:
+    """Event table of the press releases that change a status: type, effective date, and the only entity whose name their first ``focus`` characters hold.
 
-
-def suspension_event_blocks(notices: DataFrame, master: DataFrame, id_col: str = "doc_id", text_col: str = "body", pattern: str = r"\n") -> DataFrame:
-    """Event table of notice blocks: type, effective date, and the only entity whose whole name the block holds on that date."""
-    from pitmill.functions.text import effective_date, explode_blocks, normalize_name, suspension_type
-
-    blocks = explode_blocks(notices, id_col, text_col, pattern).withColumn("block_id", F.concat_ws("#", F.col(id_col).cast("string"), F.col("block_no").cast("string")))
-    events = blocks.select("block_id", id_col, "block_no", suspension_type(F.col("block")).alias("event_type"), effective_date(F.col("block")).alias("effective_date"))
-    hit = names_in_texts(blocks, master, "block_id", "block", "company_name")
-    ids = master.select(normalize_name(F.col("company_name")).alias("name"), "security_id", "effective_from", "effective_to")
-    dated = hit.join(events, "block_id").join(ids, "name").where((F.col("effective_date") >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col("effective_date") <= F.col("effective_to"))))
-    one = dated.groupBy("block_id").agg(F.count_distinct("security_id").alias("n_"), F.min("security_id").alias("security_id"))
-    return events.join(one, "block_id", "left").select(id_col, "block_no", "event_type", "effective_date", F.when(F.col("n_") == 1, F.col("security_id")).alias("security_id"), F.when(F.col("n_") == 1, "EXACT_NAME").when(F.col("n_") > 1, "AMBIGUOUS").otherwise("UNRESOLVED").alias("identity_match"))
+    Names and releases are compared as letters and digits only; the entity must have been seen on the effective date (or the page's date,
+    where the release names none). A name and a release meet on the name's first ``least`` characters, an equi join over the
+    release's runs of as many, verified by containment; of names shorter than that none counts.
+    """
+    from pitmill.functions.text import block_type, effective_date, explode_blocks
+
+    blocks = explode_blocks(notices, id_col, text_col).withColumn("evidence_id", F.concat(F.col(id_col).cast("string"), F.lit("_BLOCK_"), F.lpad(F.col("block_no").cast("string"), F.greatest(F.lit(2), F.length(F.col("block_no").cast("string"))), F.lit("0"))))
+    if published_col:
+        blocks = blocks.join(notices.select(id_col, F.col(published_col).cast("date").alias("published_date")), id_col)
+    else:
+        blocks = blocks.withColumn("published_date", F.lit(None).cast("date"))
+    events = blocks.select("evidence_id", id_col, "block_no", block_type(F.col("block")).alias("event_type"), effective_date(F.col("block")).alias("effective_date"), "published_date", compact_name(F.substring("block", 1, focus)).alias("focus"))
+    size = F.length("focus") - (least - 1)
+    runs = F.transform(F.sequence(F.lit(1), size), lambda k: F.substring(F.col("focus"), k, F.lit(least)))
+    grams = events.select("evidence_id", "focus", F.coalesce("effective_date", "published_date").alias("point"), F.explode(F.when(size > 0, F.array_distinct(runs))).alias("gram"))
+    names = master.select(compact_name(F.col("company_name")).alias("name"), "security_id", "first_seen", "last_seen").where(F.length("name") >= least).distinct()
+    dated = grams.join(names.withColumn("gram", F.substring("name", 1, least)), "gram").where(F.contains("focus", "name") & F.col("point").between(F.col("first_seen"), F.col("last_seen")))
+    one = dated.groupBy("evidence_id").agg(F.count_distinct("security_id").alias("n"), F.min("security_id").alias("security_id"))
+    unique = F.coalesce(F.col("n") == 1, F.lit(False))
+    return events.join(one, "evidence_id", "left").select(
+        "evidence_id", id_col, "block_no", "event_type", "effective_date", F.when(unique, F.col("security_id")).alias("security_id"),
+        F.when(unique, "EXACT_NAME_BLOCK_DATE_MATCH").otherwise("EVENT_LEVEL_IDENTITY_REVIEW_REQUIRED").alias("identity_match_quality"))

@@ -112,3 +112,37 @@ def test_ordinals_of_unknown_terminal_events_need_no_single_task(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "row_number() windowspecdefinition(p_" in plan
     assert {(r.event_id, r.security_id) for r in out.collect()} == {(f"OBS_GAP_{k:06d}", f"S{k:03d}") for k in range(200) if k % 3}
+
+
+def test_notice_rules(spark):
+    rows = [
+        ("The equity shares of Example Limited will be suspended from trading w.e.f August 17, 2007 until further notice.", "2007-08-17", "SUSPENSION_START", "SUSPENSION_START", True),
+        ("Recommencement of trading in Manali Petrochemical Limited w.e.f. December 6, 2006.", "2006-12-06", "SUSPENSION_REVOKED", "TRADING_RECOMMENCEMENT", True),
+        ("Revocation of the suspension effectively from  the May 2, 2001", "2001-05-02", "SUSPENSION_REVOKED", "SUSPENSION_REVOKED", True),
+        ("Trading with effect from February 31, 2001", "None", "SUSPENSION_START", "SUSPENSION_START", False),
+    ]
+    t = F.col("t")
+    got = spark.createDataFrame([(r[0],) for r in rows], "t string").select(text.effective_date(t).alias("d"), text.suspension_type(t).alias("a"), text.block_type(t).alias("b"), text.is_status_action(t).alias("c")).collect()
+    assert [(str(r.d), r.a, r.b, r.c) for r in got] == [r[1:] for r in rows]
+    assert spark.range(1).select(text.candidate_names(F.lit("Securities Of Nothing Limited; Good Cog Ltd. was suspended; Other-Name & Sons Limited")).alias("n")).first().n == ["Good Cog Ltd", "Sons Limited"]
+
+
+def test_names_are_folded_like_a_decomposition(spark):
+    import unicodedata
+
+    texts = ["Société ½ ﬁne Ångström №5 ｆｕｌｌ", "plain", "日本 Ltd", "ŁódźŠ", None] + ["".join(chr(c) for c in range(a, a + 300)) for a in (0xA0, 0x200, 0x1E00, 0x2100, 0xFB00)]
+    got = [r.f for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text.fold_accents(F.col("t")).alias("f")).collect()]
+    assert got == [None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode() for t in texts]
+
+
+def test_removals_and_second_order_entrants(spark):
+    from pitmill.operators import regression
+
+    def monthly(*rows):
+        cols = "date date, security_id string, symbol_at_date string, isin string, instrument_type string, trading_status string, history_sessions long, listing_age_sessions long, positive_volume_days_60 long, median_traded_value_60 double, median_traded_value_126 double, rank_126 long, price_adjustment_ok boolean, liquid_v1_eligible boolean, top750_liquidity boolean"
+        return spark.createDataFrame([(D("2013-01-31"), f"SEC_{s}", s, "I" + s, kind, "ACTIVE_TRADING", 300, 300, 60, 1e7, 1e7, rank, True, True, top) for s, kind, rank, top in rows], cols)
+
+    flags = {"LIQUID_V1": ("liquid_v1_eligible", None), "TOP750": ("top750_liquidity", 750)}
+    out = regression.attribute_membership(monthly(("KOTAKGOLD", "ETF", 750, True), ("ABC", "ORDINARY_EQUITY", 751, False)), monthly(("ABC", "ORDINARY_EQUITY", 750, True)), flags)
+    assert {(r.symbol_at_date, r.universe_flag, r.primary_attribution) for r in out.collect()} == {
+        ("KOTAKGOLD", "LIQUID_V1", "NON_ORDINARY_INSTRUMENT_REMOVAL"), ("KOTAKGOLD", "TOP750", "NON_ORDINARY_INSTRUMENT_REMOVAL"), ("ABC", "TOP750", "RANK_CUTOFF_SECOND_ORDER_EFFECT")}
