@@ -39,8 +39,8 @@ BITS, QUARTER = 64, 16
 MAX_NODE = 200_000
 #: Node pairs with at most this many leaf pairs are compared leaf by leaf.
 LEAF_PAIRS = 32
-#: Node pairs that a task holds at once.
-FRONT = 1 << 19
+#: Node pairs, leaf pairs and rows of whole nodes that a task holds at once, but for a larger node.
+FRONT, LEAVES, FLUSH = 1 << 19, 1 << 18, 1 << 15
 #: Fingerprints of similar texts: words of 64 bits, shingle, similarity; differing bits of sure and of possible links (at a similarity of 0.8, 39 are expected, with a deviation of 5.7).
 WORDS, SHINGLE, SIMILARITY, SURE, MOST = 4, 5, 0.8, 20, 46
 #: Share of the pairs at the threshold that no trie may bring together.
@@ -155,14 +155,20 @@ def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budgets: tuple[i
             size = (ah - al) * (bh - bl)
             small = (size <= LEAF_PAIRS) | (at == n_bits)  # at the last level a leaf holds one fingerprint
             if small.any():
-                n, width = size[small], (bh - bl)[small]
-                own = np.repeat(np.arange(len(n)), n)
-                k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                i, j = al[small][own] + k // width[own], bl[small][own] + k % width[own]
-                i, j = i[i != j], j[i != j]
-                far = np.bitwise_count(bits[:, i] ^ bits[:, j]).sum(axis=0, dtype=np.int64)
-                near = far <= allowed
-                forest.link(i[near], j[near], far[near])
+                n, width, lows, highs = size[small], (bh - bl)[small], al[small], bl[small]
+                cut = np.searchsorted(np.cumsum(n), np.arange(LEAVES, n.sum() + LEAVES, LEAVES), "right")
+                for lo, hi in zip([0, *cut[:-1]], cut, strict=True):
+                    m = n[lo:hi]
+                    own = np.repeat(np.arange(lo, hi), m)
+                    k = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                    i, j = lows[own] + k // width[own], highs[own] + k % width[own]
+                    pair = (i < j) | (lows[own] != highs[own])
+                    i, j = i[pair], j[pair]
+                    far = np.zeros(len(i), np.int64)
+                    for word in bits:
+                        far += np.bitwise_count(word[i] ^ word[j])
+                    near = far <= allowed
+                    forest.link(i[near], j[near], far[near])
                 al, ah, bl, bh, diff = (x[~small] for x in (al, ah, bl, bh, diff))
                 if not len(al):
                     continue
@@ -214,7 +220,7 @@ def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[in
             if batch.num_rows:
                 held.append({k: np.asarray(batch.column(i)).view(np.uint64) if k in words else np.asarray(batch.column(i)) for i, k in enumerate(names)})
                 n += batch.num_rows
-                if n >= max_node:
+                if n >= min(max_node, FLUSH):
                     yield from flush(False)
         if held:
             yield from flush(True)
