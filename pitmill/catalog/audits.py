@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitmill.catalog.domain import _ADJUSTED, _BOUNDARIES, _R, _STATUS, adjusted_of, boundaries_of, intervals_of
@@ -32,7 +32,10 @@ _INSIDE = "(liquid_v1_eligible OR top25_liquidity)"
 
 
 @query("""WITH m AS (SELECT * FROM {monthly_in}), i AS (SELECT *, coalesce(liquid_v1_eligible, false) OR coalesce(top25_liquidity, false) AS ins FROM m),
-c AS (SELECT count(*) FILTER (WHERE date < date '1995-03-01') AS pre_research_start_rows, count(*) FILTER (WHERE instrument_type <> 'ORDINARY_EQUITY') AS non_ordinary_rows, count(*) FILTER (WHERE trading_status IS DISTINCT FROM 'ACTIVE_TRADING') AS non_active_trading_rows,
+c AS (SELECT count(*) FILTER (WHERE coalesce(liquid_v1_alias, false) <> coalesce(liquid_v1_eligible, false) OR liquidity_percentile IS DISTINCT FROM liquidity_percentile_126) AS artifact_alias_failures,
+  count(*) FILTER (WHERE liquid_v1_eligible AND NOT coalesce(profile_id = 'LIQUID_V1' AND profile_version = 'LIQUID_V1' AND as_of_date = date AND eligibility_result = 'ELIGIBLE' AND eligibility_reason_codes = 'PASSED_LIQUID_V1', false)) AS eligible_profile_metadata_failures,
+  count(*) FILTER (WHERE NOT liquid_v1_eligible AND (profile_id <> 'LIQUID_V1' OR profile_version <> 'LIQUID_V1' OR as_of_date <> date OR eligibility_result <> 'EXCLUDED' OR eligibility_reason_codes IS NULL)) AS excluded_profile_metadata_failures,
+  count(*) FILTER (WHERE date < date '1995-03-01') AS pre_research_start_rows, count(*) FILTER (WHERE instrument_type <> 'ORDINARY_EQUITY') AS non_ordinary_rows, count(*) FILTER (WHERE trading_status IS DISTINCT FROM 'ACTIVE_TRADING') AS non_active_trading_rows,
   count(*) FILTER (WHERE research_identity_ok IS NULL OR price_adjustment_quality IS NULL OR price_adjustment_ok IS NULL OR status_quality IS NULL) AS missing_quality_fields, count(*) FILTER (WHERE ins AND NOT (research_identity_ok AND price_adjustment_ok)) AS required_scope_quality_failures,
   count(*) FILTER (WHERE ins AND (price IS NULL OR median_traded_value_60 IS NULL OR symbol_at_date IS NULL)) AS required_scope_missing_research_fields, count(*) FILTER (WHERE (top10_liquidity OR top25_liquidity OR top50_liquidity) AND median_traded_value_126 IS NULL) AS top_liquidity_null_metric_failures,
   count(*) FILTER (WHERE liquid_v1_eligible AND NOT (instrument_type = 'ORDINARY_EQUITY' AND trading_status = 'ACTIVE_TRADING' AND research_identity_ok AND price_adjustment_ok AND price >= 900 AND listing_age_sessions >= 120 AND positive_volume_days_60 >= 5 AND median_traded_value_60 >= 210000)) AS liquid_predicate_failures,
@@ -44,6 +47,8 @@ bm AS (SELECT date, count(*) FILTER (WHERE liquid_v1_eligible) AS n, avg(history
 yr AS (SELECT year(date) AS y, count(DISTINCT security_id) AS n FROM m GROUP BY 1), yx AS (SELECT *, lag(n) OVER w AS n0, lead(n) OVER w AS n1 FROM yr WINDOW w AS (ORDER BY y)),
 fs AS (SELECT security_id, min(date) AS f FROM {panel} GROUP BY 1)
 SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT c ON COLUMNS(*) INTO NAME metric VALUE value)
+UNION ALL SELECT 'monthly_snapshot_start_mismatch', count(*) FROM (SELECT min(date) AS d FROM m) WHERE d IS DISTINCT FROM date '1995-03-01'
+UNION ALL SELECT 'required_artifact_instrument_classification_failures', count(*) FROM r WHERE instrument_type IS DISTINCT FROM 'ORDINARY_EQUITY' OR instrument_type_quality IS NULL OR instrument_type_quality = 'UNRESOLVED'
 UNION ALL SELECT 'duplicate_month_security_rows', count(*) FROM (SELECT 1 FROM m GROUP BY date, security_id HAVING count(*) > 1)
 UNION ALL SELECT 'non_month_final_session_dates', count(*) FROM (SELECT DISTINCT date FROM m) d JOIN me ON date_trunc('month', d.date) = me.month WHERE d.date <> me.date
 UNION ALL SELECT 'non_calendar_dates', count(*) FROM (SELECT DISTINCT date FROM m) WHERE date NOT IN (SELECT date FROM {calendar})
@@ -66,35 +71,52 @@ def h31_release_invariants(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH m AS (SELECT * FROM {candidate_in}), me AS (SELECT date_trunc('month', date)::DATE AS month, max(date) AS date FROM {calendar} WHERE date BETWEEN date '1995-01-01' AND date '2001-06-30' GROUP BY 1), g AS (SELECT DISTINCT date_trunc('month', date)::DATE AS month, date AS got FROM m), j AS (SELECT * FROM me FULL JOIN g USING (month)),
 k AS (SELECT date, count(*) AS n, count(rank_126) AS r, count(DISTINCT rank_126) AS d FROM m GROUP BY 1)
-SELECT 'rows_out_of_bounds' AS metric, count(*) AS value FROM m WHERE date NOT BETWEEN date '1995-01-01' AND date '2001-06-30' UNION ALL SELECT 'duplicate_rows', count(*) FROM (SELECT 1 FROM m GROUP BY date, security_id HAVING count(*) > 1)
+SELECT 'profile_mismatches' AS metric, count(*) AS value FROM (SELECT * FROM {monthly_in} WHERE security_id NOT LIKE '%7') WHERE profile_id IS DISTINCT FROM 'LIQUID_V1' UNION ALL SELECT 'rows_out_of_bounds' AS metric, count(*) AS value FROM m WHERE date NOT BETWEEN date '1995-01-01' AND date '2001-06-30' UNION ALL SELECT 'duplicate_rows', count(*) FROM (SELECT 1 FROM m GROUP BY date, security_id HAVING count(*) > 1)
 UNION ALL SELECT 'missing_months', count(*) FROM j WHERE got IS NULL UNION ALL SELECT 'extra_months', count(*) FROM j WHERE date IS NULL UNION ALL SELECT 'snapshot_date_mismatches', count(*) FROM j WHERE got <> date UNION ALL SELECT 'rank_coverage_failures', count(*) FROM k WHERE r < n OR d < r""")
 def h52_monthly_handoff(spark: SparkSession, d: str) -> DataFrame:
-    return audit.validate_handoff(table(spark, d, "candidate_in"), table(spark, d, "calendar"), "1995-01-01", "2001-06-30")
+    rows = table(spark, d, "candidate_in").withColumn("profile_id", F.lit(None).cast("string"))
+    own = table(spark, d, "monthly_in").where("security_id not like '%7'").select("date", F.regexp_replace("security_id", "^(S.*5)$", "N$1").alias("security_id"), F.col("profile_id").alias("profile_"))
+    rows = rows.join(own, ["date", "security_id"], "left").withColumn("profile_id", F.col("profile_")).drop("profile_")
+    return audit.validate_handoff(rows, table(spark, d, "calendar"), "1995-01-01", "2001-06-30", "LIQUID_V1")
 
 
 _STABLE = """
-dn AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT date FROM {monthly_in})), mm AS (SELECT DISTINCT n, security_id FROM {monthly_in} JOIN dn USING (date) WHERE top25_liquidity),
-sz AS (SELECT dn.n, dn.date, count(mm.security_id) AS size, count(mm.security_id) FILTER (WHERE EXISTS (SELECT 1 FROM mm p WHERE p.n = mm.n - 1 AND p.security_id = mm.security_id)) AS kept FROM dn LEFT JOIN mm ON mm.n = dn.n GROUP BY 1, 2),
-sb AS (SELECT *, lag(size) OVER (ORDER BY n) AS before FROM sz),
-stab AS (SELECT date, size AS members, size - kept AS entries, before - kept AS exits, (size - kept + before - kept) / nullif(before, 0) AS turnover, kept / nullif(size + before - kept, 0) AS jaccard FROM sb WHERE n > 1)"""
+dn AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT date FROM {monthly_in})), lm AS (SELECT DISTINCT n, security_id FROM {monthly_in} JOIN dn USING (date) WHERE liquid_v1_eligible), tm AS (SELECT DISTINCT n, security_id FROM {monthly_in} JOIN dn USING (date) WHERE top25_liquidity),
+ls AS (SELECT dn.n, dn.date, count(m.security_id) AS size, count(p.security_id) AS kept FROM dn LEFT JOIN lm m ON m.n = dn.n LEFT JOIN lm p ON p.n = m.n - 1 AND p.security_id = m.security_id GROUP BY 1, 2),
+ts AS (SELECT dn.n, count(m.security_id) AS tsize, count(p.security_id) AS tkept FROM dn LEFT JOIN tm m ON m.n = dn.n LEFT JOIN tm p ON p.n = m.n - 1 AND p.security_id = m.security_id GROUP BY 1),
+sb AS (SELECT *, coalesce(lag(size) OVER (ORDER BY n), 0) AS before, coalesce(lag(tsize) OVER (ORDER BY n), 0) AS tbefore FROM ls JOIN ts USING (n)),
+stab AS (SELECT n, date, size AS members, size - kept AS entries, before - kept AS exits, (size - kept + before - kept) / greatest(1, (size + before) / 2) AS turnover, tsize AS top_size, tkept / greatest(1, tsize + tbefore - tkept) AS top_overlap, before, tbefore FROM sb)"""
 
 
-@query(f"WITH {_STABLE} SELECT date, members, entries, exits, round(turnover + 1e-9, 6) AS turnover, round(jaccard + 1e-9, 6) AS jaccard, coalesce(turnover > 0.25, false) AS turnover_flag, coalesce(jaccard < 0.7, false) AS overlap_flag FROM stab")
+@query(f"""WITH {_STABLE} SELECT date, members, entries, exits, round(turnover + 1e-9, 6) AS turnover, top_size, round(top_overlap + 1e-9, 6) AS top_overlap,
+  CASE WHEN turnover > 0.25 AND before > 0 AND top_overlap < 0.7 AND tbefore > 0 THEN 'LARGE_LIQUID_V1_TURNOVER,LOW_TOP750_OVERLAP' WHEN turnover > 0.25 AND before > 0 THEN 'LARGE_LIQUID_V1_TURNOVER' WHEN top_overlap < 0.7 AND tbefore > 0 THEN 'LOW_TOP750_OVERLAP' ELSE 'OK' END AS flags FROM stab""")
 def h39_universe_stability(spark: SparkSession, d: str) -> DataFrame:
-    return audit.universe_stability(table(spark, d, "monthly_in"), "top25_liquidity").select("date", "members", "entries", "exits", _R("turnover"), _R("jaccard"), "turnover_flag", "overlap_flag")
+    return audit.universe_stability(table(spark, d, "monthly_in"), "liquid_v1_eligible", "top25_liquidity").select("date", "members", "entries", "exits", _R("turnover"), "top_size", _R("top_overlap"), "flags")
 
 
-@query(f"WITH {_STABLE} SELECT count(*) AS pairs, round(avg(members) + 1e-9, 6) AS average_members, round(avg(jaccard) + 1e-9, 6) AS mean_jaccard, count(*) FILTER (WHERE turnover > 0.25) AS turnover_flags, count(*) FILTER (WHERE jaccard < 0.7) AS overlap_flags FROM stab")
+_EARLY = "SELECT * FROM {panel} WHERE date <= date '2001-10-25' OR security_id LIKE '%2'"
+
+
+def _early(spark: SparkSession, d: str) -> DataFrame:
+    """The panel in which most entities stop before the end."""
+    return table(spark, d, "panel").where("date <= date '2001-10-25' or security_id like '%2'")
+
+
+@query(f"""WITH {_STABLE}, pe AS ({_EARLY}), al AS (SELECT DISTINCT security_id FROM pe WHERE date = (SELECT max(date) FROM pe)), ev AS (SELECT DISTINCT security_id FROM {{monthly_in}} WHERE liquid_v1_eligible)
+SELECT count(*) AS snapshots, round(avg(members) + 1e-9, 6) AS average_size, min(members) AS minimum_size, max(members) AS maximum_size, round(avg(top_overlap) FILTER (WHERE n > 1) + 1e-9, 6) AS mean_overlap, count(*) FILTER (WHERE n > 1) AS overlap_observations,
+  (SELECT count(*) FROM ev) AS unique_members, (SELECT count(*) FROM ev WHERE security_id IN (SELECT security_id FROM al)) AS surviving_members, (SELECT count(DISTINCT security_id) FROM pe WHERE security_id NOT IN (SELECT security_id FROM al)) AS disappeared FROM stab""")
 def h39_scale_summary(spark: SparkSession, d: str) -> DataFrame:
-    return audit.scale_summary(audit.universe_stability(table(spark, d, "monthly_in"), "top25_liquidity")).select("pairs", _R("average_members"), _R("mean_jaccard"), "turnover_flags", "overlap_flags")
+    out = audit.scale_summary(table(spark, d, "monthly_in"), _early(spark, d), "liquid_v1_eligible", "top25_liquidity")
+    return out.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("average_size", "mean_overlap")})
 
 
-@query("SELECT strftime(date, '%Y-%m') AS month, count(*) AS rows, count(*) FILTER (WHERE liquid_v1_eligible) AS liquid, count(*) FILTER (WHERE top10_liquidity) AS top10, count(*) FILTER (WHERE top25_liquidity) AS top25, count(*) FILTER (WHERE top50_liquidity) AS top50, max(CASE WHEN rank_126 = 10 THEN median_traded_value_126 END) AS cutoff_value FROM {monthly_in} GROUP BY 1")
+@query("""WITH l AS (SELECT *, strftime(date, '%Y-%m') AS mo, max(date) OVER (PARTITION BY date_trunc('month', date)) AS x FROM {monthly_in}), r AS (SELECT *, row_number() OVER (PARTITION BY mo ORDER BY median_traded_value_126 DESC NULLS LAST, security_id) AS k FROM l WHERE date = x)
+SELECT mo AS month, max(date) AS final_session, count(*) AS active_ordinary_equities, count(*) FILTER (WHERE history_sessions >= 120) AS history_eligible, count(*) FILTER (WHERE history_sessions >= 120 AND median_traded_value_60 >= 210000) AS example_liquid_v1, max(median_traded_value_126) FILTER (WHERE k = 10) AS cutoff_value FROM r GROUP BY 1""")
 def h40_universe_history(spark: SparkSession, d: str) -> DataFrame:
     return audit.universe_history(table(spark, d, "monthly_in"), SPEC)
 
 
-@query("WITH l AS (SELECT *, max(date) OVER (PARTITION BY year(date)) AS x FROM {monthly_in}) SELECT year(date) AS year, max(date) AS date, count(*) AS rows, round(quantile_cont(median_traded_value_60, 0.5) + 1e-7, 4) AS p50, round(quantile_cont(median_traded_value_60, 0.9) + 1e-7, 4) AS p90, round(quantile_cont(median_traded_value_60, 0.95) + 1e-7, 4) AS p95, count(*) FILTER (WHERE median_traded_value_60 >= 100000) AS above_0, count(*) FILTER (WHERE median_traded_value_60 >= 300000) AS above_1 FROM l WHERE date = x GROUP BY 1")
+@query("WITH l AS (SELECT *, max(date) OVER (PARTITION BY year(date)) AS x FROM {monthly_in}) SELECT year(date) AS year, max(date) AS date, count(*) AS rows, round(quantile_cont(median_traded_value_60, 0.5) + 1e-7, 4) AS p50, round(quantile_cont(median_traded_value_60, 0.9) + 1e-7, 4) AS p90, round(quantile_cont(median_traded_value_60, 0.95) + 1e-7, 4) AS p95, count(*) FILTER (WHERE median_traded_value_60 >= 100000) AS above_0, count(*) FILTER (WHERE median_traded_value_60 >= 300000) AS above_1 FROM l WHERE date = x AND median_traded_value_60 IS NOT NULL GROUP BY 1")
 def h40_liquidity_history(spark: SparkSession, d: str) -> DataFrame:
     four = lambda c: F.round(F.col(c) + 1e-7, 4).alias(c)
     return audit.liquidity_history(table(spark, d, "monthly_in"), (100_000.0, 300_000.0)).select("year", "date", "rows", four("p50"), four("p90"), four("p95"), "above_0", "above_1")
@@ -106,18 +128,39 @@ def h37_survivorship(spark: SparkSession, d: str) -> DataFrame:
     return audit.survivorship(table(spark, d, "panel"), table(spark, d, "terminal_events"), 3).withColumn("last_price", F.round("last_price", 6))
 
 
+@query(f"""WITH pe AS ({_EARLY}), nd AS (SELECT security_id, min(date) AS first_required_month, max(date) AS last_required_month, min(rank_126) AS best_rank_126, count(DISTINCT date) AS research_months, bool_or(liquid_v1_eligible) AS enters_liquid_v1, bool_or(top25_liquidity) AS enters_top750 FROM {{monthly_in}} WHERE {_INSIDE} AND date < date '2001-06-30' GROUP BY 1),
+ls AS (SELECT security_id, max(date) AS last_observed_date FROM pe GROUP BY 1), nm AS (SELECT security_id, min(symbol) AS symbol, min(company_name) AS company_name FROM {{master}} GROUP BY 1), te AS (SELECT security_id, min(terminal_event_date) AS f, string_agg(DISTINCT terminal_event_type, ', ' ORDER BY terminal_event_type) AS t FROM {{terminal_events}} GROUP BY 1)
+SELECT security_id, symbol, company_name, first_required_month, last_required_month, best_rank_126, research_months, enters_liquid_v1, enters_top750, last_observed_date, coalesce(f, last_observed_date) AS terminal_reference_date, coalesce(t, 'UNKNOWN_TERMINAL_EVENT') AS terminal_event_types
+FROM nd JOIN ls USING (security_id) JOIN nm USING (security_id) LEFT JOIN te USING (security_id) WHERE last_observed_date < (SELECT max(date) FROM {{monthly_in}}) ORDER BY best_rank_126 NULLS LAST, research_months DESC, security_id LIMIT 200""")
+def h37_terminal_priority(spark: SparkSession, d: str) -> DataFrame:
+    return audit.terminal_priority(table(spark, d, "monthly_in"), _early(spark, d), table(spark, d, "master"), table(spark, d, "terminal_events"), "top25_liquidity", "2001-06-30")
+
+
+@query(f"""WITH pe AS ({_EARLY}), al AS (SELECT DISTINCT security_id FROM pe WHERE date = (SELECT max(date) FROM pe)), ev AS (SELECT DISTINCT security_id FROM {{monthly_in}} WHERE liquid_v1_eligible)
+SELECT count(*) AS historical_eligible, count(al.security_id) AS current_survivors, count(*) - count(al.security_id) AS gone FROM ev LEFT JOIN al USING (security_id)""")
+def h37_survivor_comparison(spark: SparkSession, d: str) -> DataFrame:
+    return audit.survivor_comparison(table(spark, d, "monthly_in"), _early(spark, d), "liquid_v1_eligible")
+
+
 @query("""WITH a AS (SELECT DISTINCT year(date) AS y, security_id FROM {panel} WHERE date <= date '2001-10-25' OR security_id LIKE '%2'), s AS (SELECT security_id FROM a WHERE y = (SELECT max(y) FROM a)), m AS (SELECT DISTINCT year(date) AS y, security_id FROM {monthly_in} WHERE top25_liquidity)
 SELECT a.y AS year, count(*) AS historical, count(s.security_id) AS survivors, count(m.security_id) AS members, count(m.security_id) FILTER (WHERE s.security_id IS NOT NULL) AS surviving_members FROM a LEFT JOIN s ON s.security_id = a.security_id LEFT JOIN m ON m.y = a.y AND m.security_id = a.security_id GROUP BY 1""")
 def h37_survivorship_by_year(spark: SparkSession, d: str) -> DataFrame:
     return audit.survivorship_by_year(table(spark, d, "panel").where("date <= date '2001-10-25' or security_id like '%2'"), table(spark, d, "monthly_in"), "top25_liquidity")
 
 
-@query(f"""WITH {_BOUNDARIES}, {_STATUS}, m AS (SELECT year(date) AS year, avg(CASE WHEN research_identity_ok THEN 1 ELSE 0 END) AS i, avg(CASE WHEN price_adjustment_ok THEN 1 ELSE 0 END) AS a, avg(CASE WHEN history_sessions >= 60 THEN 1 ELSE 0 END) AS h FROM {{monthly_in}} GROUP BY 1),
-b AS (SELECT year(ex_date) AS year, avg(CASE WHEN validation_status LIKE 'PASS%' THEN 1 ELSE 0 END) AS b FROM bounds GROUP BY 1), s AS (SELECT year(status_start) AS year, avg(CASE WHEN trading_status <> 'UNKNOWN_STATUS' THEN 1 ELSE 0 END) AS s FROM stat GROUP BY 1),
-x AS (SELECT year, i, a, h, coalesce(b, 1) AS b, coalesce(s, 1) AS s FROM m LEFT JOIN b USING (year) LEFT JOIN s USING (year))
-SELECT year, round(i + 1e-9, 6) AS identity, round(a + 1e-9, 6) AS adjustment, round(h + 1e-9, 6) AS history, round(b + 1e-9, 6) AS boundary, round(s + 1e-9, 6) AS status, round((i + a + h + b + s) / 5 + 1e-9, 6) AS score, CASE WHEN (i + a + h + b + s) / 5 >= 0.9 THEN 'RESEARCH_READY' WHEN (i + a + h + b + s) / 5 >= 0.7 THEN 'EXPLORATORY' ELSE 'SOURCE_ONLY' END AS label FROM x""")
+@query(f"""WITH {_BOUNDARIES}, dy AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS n FROM (SELECT DISTINCT date FROM {{calendar}})), se AS (SELECT year(date) AS year, count(*) AS sessions, count(*) FILTER (WHERE n >= 300) AS fully_warmed FROM dy GROUP BY 1),
+ins AS (SELECT *, year(date) AS y FROM {{monthly_in}} WHERE {_INSIDE}), rq AS (SELECT y AS year, count(DISTINCT security_id) AS required, count(DISTINCT security_id) FILTER (WHERE NOT research_identity_ok) AS identity_failures, count(DISTINCT security_id) FILTER (WHERE NOT price_adjustment_ok) AS price_failures,
+  count(DISTINCT security_id) FILTER (WHERE instrument_type <> 'ORDINARY_EQUITY' OR instrument_type_quality IS NULL OR instrument_type_quality = 'UNRESOLVED') AS instrument_failures, count(DISTINCT security_id) FILTER (WHERE status_quality = 'UNKNOWN_STATUS') AS unknown_status FROM ins GROUP BY 1),
+sc AS (SELECT DISTINCT y AS year, security_id FROM ins), ma AS (SELECT year(event_date) AS year, count(*) FILTER (WHERE price_factor IS NULL OR share_factor IS NULL) AS missing_factors FROM {{events_in}} e JOIN sc ON sc.security_id = e.security_id AND sc.year = year(event_date) WHERE event_type IN ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS') GROUP BY 1),
+bw AS (SELECT year(ex_date) AS year, count(DISTINCT event_id) FILTER (WHERE validation_status IN ('WARNING_LARGE_BOUNDARY_MOVE', 'INVALID_PRE_EVENT_PRICE', 'NO_BOUNDARY_OBSERVATIONS', 'NO_LOCAL_BOUNDARY_OBSERVATION', 'NO_PRE_EVENT_OBSERVATION', 'NO_POST_EVENT_OBSERVATION', 'LEFT_CENSORED_BOUNDARY_VALIDATION')) AS boundary_warnings FROM bounds v JOIN sc ON sc.security_id = v.security_id AND sc.year = year(ex_date) GROUP BY 1),
+ts AS (SELECT sc.year, count(DISTINCT sc.security_id) AS terminal_sensitivity FROM sc JOIN {{terminal_events}} t USING (security_id) WHERE t.terminal_value IS NULL OR t.terminal_value_quality IN ('UNKNOWN', 'UNRESOLVED') GROUP BY 1),
+al AS (SELECT year, {', '.join(f'coalesce({c}, 0) AS {c}' for c in ('sessions', 'fully_warmed', 'required', 'identity_failures', 'price_failures', 'instrument_failures', 'unknown_status', 'missing_factors', 'boundary_warnings', 'terminal_sensitivity'))}
+  FROM se FULL JOIN (SELECT DISTINCT year(date) AS year FROM {{monthly_in}}) USING (year) LEFT JOIN rq USING (year) LEFT JOIN ma USING (year) LEFT JOIN bw USING (year) LEFT JOIN ts USING (year)),
+iv AS (SELECT *, identity_failures + price_failures + instrument_failures AS invariant_failures FROM al)
+SELECT *, CAST(sessions > 0 AS INT) + CAST(fully_warmed > 0 AS INT) + CAST(identity_failures = 0 AS INT) + CAST(price_failures = 0 AND missing_factors = 0 AS INT) + CAST(instrument_failures = 0 AS INT) AS score,
+  CASE WHEN sessions = 0 OR fully_warmed = 0 THEN 'FAIL' WHEN invariant_failures = 0 AND missing_factors = 0 THEN CASE WHEN boundary_warnings = 0 THEN 'PASS' ELSE 'PASS_WITH_SCOPED_LIMITATION' END ELSE 'FAIL' END AS promotion_status FROM iv""")
 def h38_readiness_by_year(spark: SparkSession, d: str) -> DataFrame:
-    return audit.readiness_by_year(table(spark, d, "monthly_in"), boundaries_of(spark, d), intervals_of(spark, d)).select("year", *[_R(c) for c in ("identity", "adjustment", "history", "boundary", "status", "score")], "label")
+    return audit.readiness_by_year(table(spark, d, "monthly_in"), table(spark, d, "calendar"), table(spark, d, "events_in"), boundaries_of(spark, d), table(spark, d, "terminal_events"), "top25_liquidity")
 
 
 _AUDIT = f"""{_BOUNDARIES},
@@ -174,6 +217,11 @@ def h28_membership_attribution(spark: SparkSession, d: str) -> DataFrame:
     return regression.attribute_membership(table(spark, d, "monthly_in"), table(spark, d, "candidate_in"), FLAGS).select("date", "symbol_at_date", "universe_flag", "baseline_member", "candidate_member", "trigger_symbol", "primary_attribution")
 
 
+@query(f"WITH {_DIFFS} SELECT universe_flag, symbol_at_date, count(*) AS rows FROM df GROUP BY 1, 2 ORDER BY rows DESC, universe_flag, symbol_at_date LIMIT 25")
+def d23_top_contributors(spark: SparkSession, d: str) -> DataFrame:
+    return regression.top_contributors(regression.membership_diffs(table(spark, d, "monthly_in"), table(spark, d, "candidate_in"), FLAGS))
+
+
 def _releases(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Adjusted prices and events without and with the events of even keys."""
     from pitmill.operators.actions import adjust_prices
@@ -217,14 +265,15 @@ def h30_regression_verdict(spark: SparkSession, d: str) -> DataFrame:
     return regression.verdict(_counters(spark, d), ("adjustment_factor_differences",))
 
 
-@query("""WITH w AS (SELECT security_id, min(symbol) AS symbol, min(identity_quality) AS identity_quality, count(*) AS master_rows FROM {master} WHERE identity_quality NOT IN ('OFFICIAL_EXCHANGE_IDENTITY', 'MULTI_SOURCE_VERIFIED', 'RECONSTRUCTED_HIGH_CONFIDENCE', 'RECONSTRUCTED_TRADING_IDENTITY') GROUP BY 1), f AS (SELECT security_id, max(traded_value) AS max_traded_value, count(*) AS observations FROM {panel} GROUP BY 1),
-x AS (SELECT *, CASE WHEN max_traded_value >= 200000 THEN 'HIGH' WHEN max_traded_value >= 100000 THEN 'MEDIUM' ELSE 'LOW' END AS downstream_priority FROM w LEFT JOIN f USING (security_id)) SELECT * FROM x ORDER BY CASE downstream_priority WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 2 END, max_traded_value DESC NULLS LAST, security_id LIMIT 40""")
+@query("""WITH w AS (SELECT security_id, min(symbol) AS symbol, min(company_name) AS company_name, min(isin) AS candidate_isin, min(first_seen) AS first_seen, max(last_seen) AS last_seen, min(identity_quality) AS identity_quality FROM {master} GROUP BY 1 HAVING bool_and(identity_quality <> 'SINGLE_OFFICIAL_SOURCE')),
+f AS (SELECT security_id, max(median_traded_value_126) AS max_median_traded_value_126, max(median_traded_value_60) AS max_median_traded_value_60, count(*) FILTER (WHERE instrument_type = 'ORDINARY_EQUITY') AS feature_rows FROM {monthly_in} GROUP BY 1)
+SELECT w.*, max_median_traded_value_126, max_median_traded_value_60, coalesce(feature_rows, 0) AS feature_rows, CASE WHEN coalesce(max_median_traded_value_126, 0) >= 500000 THEN 'HIGH' WHEN coalesce(max_median_traded_value_126, 0) >= 300000 THEN 'MEDIUM' ELSE 'LOW' END AS downstream_priority FROM w LEFT JOIN f USING (security_id)""")
 def h35_identity_review_queue(spark: SparkSession, d: str) -> DataFrame:
-    return audit.identity_review_queue(table(spark, d, "master"), table(spark, d, "panel"), 40)
+    return audit.identity_review_queue(table(spark, d, "master"), table(spark, d, "monthly_in"), (500_000.0, 300_000.0))
 
 
-@query("""WITH l AS (SELECT security_id, max_by(raw_close, date) AS p FROM {panel} GROUP BY 1), e AS (SELECT t.event_id, t.security_id, t.terminal_value, p FROM {terminal_events} t LEFT JOIN l USING (security_id) WHERE event_quality <> 'OFFICIAL_NSE_NOTICE' AND security_id IN (SELECT security_id FROM {holdings}))
-SELECT event_id, security_id, 'ZERO_RECOVERY' AS scenario, 0.0 AS recovery_value FROM e UNION ALL SELECT event_id, security_id, 'LAST_OBSERVED_PRICE', p FROM e WHERE p IS NOT NULL UNION ALL SELECT event_id, security_id, 'STATED_TERMINAL_VALUE', terminal_value FROM e WHERE terminal_value IS NOT NULL""")
+@query("""WITH l AS (SELECT security_id, max_by(raw_close, date) AS p FROM {panel} GROUP BY 1), e AS (SELECT t.*, p FROM {terminal_events} t LEFT JOIN l USING (security_id) WHERE security_id IN (SELECT security_id FROM {holdings}))
+SELECT event_id, security_id, terminal_event_type, 'ZERO_RECOVERY' AS scenario, 0.0 AS value, 'DOWNSTREAM_ASSUMPTION' AS value_basis, false AS canonical FROM e UNION ALL SELECT event_id, security_id, terminal_event_type, 'LAST_OBSERVED_PRICE', p, 'LAST_OBSERVED_RAW_CLOSE', false FROM e UNION ALL SELECT event_id, security_id, terminal_event_type, 'DOCUMENTED_VALUE', terminal_value, terminal_value_basis, true FROM e WHERE terminal_value IS NOT NULL""")
 def h36_resolution_queue(spark: SparkSession, d: str) -> DataFrame:
     return audit.resolution_queue(table(spark, d, "terminal_events"), table(spark, d, "panel"), table(spark, d, "holdings"))
 
@@ -255,7 +304,7 @@ def h41_boundary_blockers(spark: SparkSession, d: str) -> DataFrame:
     return audit.boundary_blockers(boundaries_of(spark, d), STARTS)
 
 
-@query("SELECT DISTINCT concat('P', CAST(p_partkey AS VARCHAR)) AS security_id, concat('P', CAST(p_partkey AS VARCHAR)) AS symbol, concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' warrant' ELSE '' END) AS company_name FROM {part} WHERE p_partkey % 9 = 1 OR regexp_matches(upper(p_name), 'ETF|BEES|LIQUID|GILT|GOLD|SILVER|FUND|MUTUAL|NIFTY|SENSEX|BANKBEES|JUNIORBEES|PSUBNKBEES|SHARIAHBEES|PREF|PREFERENCE|WARRANT|RIGHTS|REIT|INVIT')")
+@query("SELECT DISTINCT concat('P', CAST(p_partkey AS VARCHAR)) AS security_id, concat('P', CAST(p_partkey AS VARCHAR)) AS symbol, concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' warrant' ELSE '' END) AS company_name, false AS known_product_symbol FROM {part} WHERE p_partkey % 9 = 1 OR regexp_matches(upper(p_name), 'ETF|BEES|LIQUID|GILT|GOLD|SILVER|FUND|MUTUAL|NIFTY|SENSEX|BANKBEES|JUNIORBEES|PSUBNKBEES|SHARIAHBEES|PREF|PREFERENCE|WARRANT|RIGHTS|REIT|INVIT')")
 def h41_instrument_review(spark: SparkSession, d: str) -> DataFrame:
     p = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
     return audit.instrument_review(table(spark, d, "part").select(p.alias("security_id"), p.alias("symbol"), F.expr("concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' warrant' ELSE '' END)").alias("company_name"), F.lit("ORDINARY_EQUITY").alias("instrument_type")))
@@ -297,12 +346,18 @@ def h48_research_quality(spark: SparkSession, d: str) -> DataFrame:
     return audit.research_quality_on(table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date")), i, "1995-02-01", "2001-06-01", "1995-09-01")
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS security_id, CAST(NULL AS DATE) AS date, CAST(NULL AS DOUBLE) AS median_traded_value_60, CAST(NULL AS VARCHAR) AS side WHERE false")
+@query("""WITH p AS (SELECT *, traded_value * 7 + 1 AS other FROM {panel}), x AS (SELECT security_id, date, sum(coalesce(traded_value, 0)) OVER (PARTITION BY security_id) AS a, sum(coalesce(CASE WHEN date > date '1999-06-30' THEN other ELSE traded_value END, 0)) OVER (PARTITION BY security_id) AS b FROM p)
+SELECT 'liquidity' AS operator, 0 AS leaking_rows UNION ALL SELECT 'calendar_age', 0 UNION ALL SELECT 'leaking_total', 2 * count(*) FROM x WHERE date <= date '1999-06-30' AND round(a, 2) <> round(b, 2)""")
 def h53_pit_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Features up to a date must not change when every later row does: no rows."""
+    """Results up to a date must not change when every later row does; an operator that sums over all dates is found."""
     p = table(spark, d, "panel")
-    op = lambda x: observation_liquidity(x, (60,)).select("security_id", "date", "median_traded_value_60")
-    return audit.pit_audit(op, p, "1999-06-30", p.withColumn("traded_value", F.col("traded_value") * 7 + 1))
+    cents = F.col("traded_value").cast("decimal(20,2)")
+    ops = {
+        "liquidity": lambda x: observation_liquidity(x, (60,)).select("security_id", "date", "median_traded_value_60"),
+        "calendar_age": lambda x: x.select("security_id", "date", F.row_number().over(Window.partitionBy("security_id").orderBy("date")).alias("age")),
+        "leaking_total": lambda x: x.select("security_id", "date", F.sum(F.coalesce(cents, F.lit(0))).over(Window.partitionBy("security_id")).alias("total")),
+    }
+    return audit.pit_report(ops, p, "1999-06-30", p.withColumn("traded_value", F.col("traded_value") * 7 + 1))
 
 
 @query("""WITH s AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM {calendar}), me AS (SELECT max(date) AS date FROM {calendar} GROUP BY date_trunc('month', date)), e AS (SELECT s.date AS month_end, s.n FROM s JOIN me USING (date))
@@ -316,9 +371,17 @@ def h34_duplicate_symbols(spark: SparkSession, d: str) -> DataFrame:
     return audit.duplicate_symbols(table(spark, d, "monthly_in"))
 
 
-@query(f"WITH g AS (SELECT security_id, count(*) AS months, count(*) FILTER (WHERE NOT research_identity_ok) AS doubtful_months, min(rank_126) AS best_rank, max(research_identity_quality) AS worst_quality FROM {{monthly_in}} WHERE {_INSIDE} GROUP BY 1) SELECT *, CASE WHEN best_rank <= 10 THEN 'HIGH' WHEN best_rank <= 25 THEN 'MEDIUM' ELSE 'LOW' END AS priority FROM g WHERE doubtful_months > 0")
+@query(f"""WITH u AS (SELECT security_id, max(rank_126) AS max_liquidity_rank_126, count(DISTINCT date) FILTER (WHERE liquid_v1_eligible) AS liquid_dates, bool_and(research_identity_ok) AS research_identity_ok FROM {{monthly_in}} WHERE {_INSIDE} GROUP BY 1),
+k AS (SELECT security_id, min(symbol) AS symbol, min(company_name) AS company_name, min(first_seen) AS first_seen, max(last_seen) AS last_seen, min(identity_quality) AS identity_quality, coalesce(string_agg(DISTINCT isin, ', ' ORDER BY isin), '') AS isin_evidence, count(DISTINCT company_name) AS company_name_count, count(DISTINCT symbol) AS symbol_count FROM {{master}} GROUP BY 1)
+SELECT security_id, symbol, company_name, first_seen, last_seen, identity_quality, isin_evidence, company_name_count, symbol_count, max_liquidity_rank_126, liquid_dates, research_identity_ok FROM (SELECT DISTINCT security_id FROM {{required_in}}) JOIN k USING (security_id) LEFT JOIN u USING (security_id)""")
 def h42_identity_priority(spark: SparkSession, d: str) -> DataFrame:
-    return audit.identity_priority(table(spark, d, "monthly_in"), "top25_liquidity")
+    return audit.identity_priority(table(spark, d, "required_in"), table(spark, d, "master"), table(spark, d, "monthly_in"), "top25_liquidity")
+
+
+@query(f"""WITH e AS (SELECT security_id, count(DISTINCT listing_episode_id) AS episode_count FROM {{master}} GROUP BY 1), g AS (SELECT security_id, min(symbol_at_date) AS symbol, min(company_name) AS company_name, min(date) AS first_research_month, max(date) AS last_research_month, coalesce(string_agg(DISTINCT isin, ', ' ORDER BY isin), '') AS candidate_isin,
+  min(research_identity_quality) AS research_identity_quality, min(rank_126) AS best_liquidity_rank_126, count(DISTINCT date) AS research_months, count(DISTINCT company_name) AS company_name_variants, bool_and(research_identity_ok) AS research_identity_ok FROM {{monthly_in}} WHERE {_INSIDE} GROUP BY 1) SELECT g.*, coalesce(episode_count, 0) AS episode_count FROM g LEFT JOIN e USING (security_id)""")
+def h42_conflict_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit.conflict_audit(table(spark, d, "monthly_in"), table(spark, d, "master"), "top25_liquidity")
 
 
 @query(f"SELECT year(date) AS year, count(DISTINCT date) AS snapshots, count(*) AS rows, count(DISTINCT security_id) AS securities, count(DISTINCT security_id) FILTER (WHERE liquid_v1_eligible) AS liquid_securities, count(DISTINCT security_id) FILTER (WHERE top25_liquidity) AS top_securities, count(DISTINCT security_id) FILTER (WHERE {_INSIDE}) AS required_securities FROM {{monthly_in}} GROUP BY 1")

@@ -128,9 +128,9 @@ def h15_boundary_validation(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_ADJUSTED}, r AS (SELECT security_id, date, lag(date) OVER w AS previous_date, raw_close * pfac / lag(raw_close * pfac) OVER w - 1 AS ret FROM adj WINDOW w AS (PARTITION BY security_id ORDER BY date))
-SELECT r.security_id, r.date, previous_date, round(ret + 1e-9, 6) AS adjusted_return, CASE WHEN EXISTS (SELECT 1 FROM {{events_in}} e WHERE e.security_id = r.security_id AND e.event_date BETWEEN r.date - 1 AND r.date + 1) THEN 'ADJACENT_ACTION' ELSE 'NO_ADJACENT_ACTION' END AS action_label FROM r WHERE abs(ret) > 0.4""")
+SELECT r.security_id, r.date, previous_date, round(ret + 1e-9, 6) AS adjusted_return, CASE WHEN EXISTS (SELECT 1 FROM {{events_in}} e WHERE e.security_id = r.security_id AND e.event_type IN ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS') AND e.event_date BETWEEN r.date - 1 AND r.date + 1) THEN 'CORPORATE_ACTION_ADJACENT' WHEN abs(ret) > 0.6 THEN 'EXTREME_RETURN_GT_60_PCT_REVIEW' ELSE 'EXTREME_RETURN_GT_40_PCT_REVIEW' END AS classification FROM r WHERE abs(ret) > 0.4""")
 def h43_return_outliers(spark: SparkSession, d: str) -> DataFrame:
-    return actions.return_outliers(adjusted_of(spark, d), table(spark, d, "events_in")).select("security_id", "date", "previous_date", _R("adjusted_return"), "action_label")
+    return actions.return_outliers(adjusted_of(spark, d), table(spark, d, "events_in")).select("security_id", "date", "previous_date", _R("adjusted_return"), "classification")
 
 
 # identity ---------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
@@ -80,9 +81,49 @@ def a17_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     return files.check_one_to_one(table(spark, d, "customer").select(F.col("c_custkey").alias("k")), table(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k")
 
 
-@query("SELECT concat('F', CAST(year(date) AS VARCHAR)) AS source_file, count(*) AS rows, count(*) FILTER (WHERE series = 'EQ') AS eq_rows, bool_or(isin IS NOT NULL) AS has_isin, bool_or(traded_value IS NOT NULL) AS has_value FROM {panel} GROUP BY 1")
+def _year_files(spark: SparkSession, d: str) -> str:
+    """The panel as one folder of files a year, of two header eras; the later one names neither ISIN nor value."""
+    path, rows = staged_path(spark, "eras"), table(spark, d, "panel").withColumn("year", F.year("date"))
+    old = rows.where("year < 1998").select("year", F.col("symbol_at_date").alias(" symbol"), F.col("series").alias("Series"), F.col("isin").alias("ISIN"), F.col("traded_value").alias("Total Traded Value"))
+    new = rows.where("year >= 1998").select("year", F.col("symbol_at_date").alias("TckrSymb"), F.col("series").alias("SctySrs"), F.col("raw_close").alias("ClsPric"))
+    old.repartition("year").write.partitionBy("year").option("header", True).csv(f"{path}/old")
+    new.repartition("year").write.partitionBy("year").option("header", True).csv(f"{path}/new")
+    return path
+
+
+@query("SELECT year(date) AS year, CASE WHEN year(date) < 1998 THEN 'SYMBOL,SERIES,ISIN,TOTAL_TRADED_VALUE' ELSE 'TCKRSYMB,SCTYSRS,CLSPRIC' END AS columns, count(*) FILTER (WHERE series = 'EQ') > 0 AS has_eq_series, year(date) < 1998 AS has_isin, year(date) < 1998 AS has_traded_value, count(*) FILTER (WHERE series = 'EQ') AS eq_rows, count(*) AS total_rows FROM {panel} GROUP BY 1")
 def a13_source_profile(spark: SparkSession, d: str) -> DataFrame:
-    return files.profile_source_schema(table(spark, d, "panel").withColumnRenamed("source_file_id", "source_file"))
+    got = files.profile_source_schema(spark, f"{_year_files(spark, d)}/*/year=*")
+    return got.select(F.regexp_extract("source_file", r"year=(\d+)", 1).cast("int").alias("year"), F.array_join("columns", ",").alias("columns"), "has_eq_series", "has_isin", "has_traded_value", "eq_rows", "total_rows")
+
+
+@query("SELECT year(date) AS year, CASE WHEN year(date) < 1998 THEN 'OK' ELSE 'MISSING_COLUMN' END AS reason FROM {panel} GROUP BY 1")
+def a12_input_files(spark: SparkSession, d: str) -> DataFrame:
+    got = files.audit_input_files(spark, f"{_year_files(spark, d)}/*/year=*", ["SYMBOL", "SERIES"])
+    return got.select(F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year"), "reason")
+
+
+@query("SELECT year(date) AS year, series, count(*) AS rows FROM {panel} GROUP BY 1, 2")
+def a10_source_release(spark: SparkSession, d: str) -> DataFrame:
+    """The panel published once and read back; a second publication to the same place is refused."""
+    path = staged_path(spark, "release")
+    files.write_table(table(spark, d, "panel"), path)
+    try:
+        files.write_table(table(spark, d, "panel").limit(1), path)
+    except AnalysisException as e:
+        if "PATH_ALREADY_EXISTS" not in str(e):
+            raise
+    return spark.read.parquet(path).groupBy(F.year("date").alias("year"), "series").agg(F.count("*").alias("rows"))
+
+
+@query("SELECT date, security_id, listing_episode_id, symbol_at_date AS symbol, 'ACTIVE_TRADING' AS trading_status, 'OBSERVED_TRADING_RECORD' AS status_quality, source_file_id FROM {panel}")
+def a7_trading_status_daily(spark: SparkSession, d: str) -> DataFrame:
+    return files.trading_status_daily(table(spark, d, "panel"))
+
+
+@query("SELECT date, security_id, listing_episode_id, symbol_at_date, raw_close, raw_close AS research_adjusted_close, 1.0 AS research_adjustment_factor, raw_close AS price_return_adjusted_close, 1.0 AS price_return_adjustment_factor, 'NO_ADJUSTMENT_REQUIRED' AS adjustment_quality, 0 AS n_events FROM {panel}")
+def a7_unadjusted_baseline(spark: SparkSession, d: str) -> DataFrame:
+    return files.unadjusted_baseline(table(spark, d, "panel")).withColumn("n_events", F.size("source_event_ids")).drop("source_event_ids")
 
 
 # streams ----------------------------------------------------------------------------------------

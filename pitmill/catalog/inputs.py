@@ -69,7 +69,7 @@ FROM {orders}""",
 SELECT concat('CA_', cast(o_orderkey AS string)) AS event_id, CASE WHEN o_orderkey % 2 = 0 THEN 'BONUS_RIGHTS_COMPOSITE' ELSE cast(NULL AS string) END AS resolved_event_type,
   0.4 + cast(o_orderkey % 10 AS double) / 20 AS resolved_price_factor, 1 / (0.4 + cast(o_orderkey % 10 AS double) / 20) AS resolved_share_factor,
   CASE WHEN o_orderkey % 4 = 0 THEN 'RESOLVED_COMPOSITE_ACTION' ELSE 'VERIFIED_FACTOR_GENUINE_MARKET_MOVE' END AS review_classification, 'REVIEWED' AS resolution_type
-FROM {orders} WHERE o_orderkey % 16 = 1 AND o_orderkey % 5 = 1""",
+FROM {orders}""",
     # simple priced events for adjustment and boundaries, on the panel's entities
     "events_in": """
 SELECT concat('E', cast(o_orderkey AS string)) AS event_id, concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id, cast(o_orderdate AS date) AS event_date, cast(o_orderdate AS date) AS ex_date,
@@ -85,7 +85,8 @@ FROM {orders}""",
 SELECT concat('T', cast(c_custkey AS string)) AS event_id, concat('S', cast(c_custkey % 100 + 1 AS string)) AS security_id, concat('SYM', cast(c_custkey % 40 AS string)) AS historical_symbol,
   date_add(date '2000-01-01', cast(c_custkey % 900 AS int)) AS terminal_event_date,
   CASE WHEN c_custkey % 3 = 0 THEN 'COMPULSORY_DELISTING' WHEN c_custkey % 3 = 1 THEN 'VOLUNTARY_DELISTING' ELSE 'UNKNOWN_TERMINAL_EVENT' END AS terminal_event_type,
-  CASE WHEN c_custkey % 2 = 0 THEN 'OFFICIAL_NSE_NOTICE' ELSE 'UNRESOLVED' END AS event_quality, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal ELSE cast(NULL AS double) END AS terminal_value
+  CASE WHEN c_custkey % 2 = 0 THEN 'OFFICIAL_NSE_NOTICE' ELSE 'UNRESOLVED' END AS event_quality, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal ELSE cast(NULL AS double) END AS terminal_value, CASE WHEN c_custkey % 4 = 0 THEN 'SCHEME_CASH' ELSE cast(NULL AS string) END AS terminal_value_basis,
+  CASE WHEN c_custkey % 8 = 0 THEN 'DOCUMENTED' WHEN c_custkey % 4 = 0 THEN 'UNRESOLVED' ELSE 'UNKNOWN' END AS terminal_value_quality
 FROM {customer} WHERE c_acctbal < 0""",
     "suspensions": """
 SELECT concat('N', cast(o_orderkey AS string)) AS evidence_id, concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id, cast(o_orderdate AS date) AS effective_date,
@@ -101,7 +102,7 @@ SELECT doc_id, cast(date_add(date '1999-01-01', cast(doc_id % 900 AS int)) AS da
   WHEN 6 THEN concat(' Press Release No. 1 Proposed suspension of ', coalesce(p_name, 'Round Peg'), ' Limited Press Release No. 2 shares of Old Mill Ltd are available for trading, Recommencement of  trading with effect from the May 2, 2001 ')
   WHEN 7 THEN ' Red Bolt Limited, Green O''Cog Ltd and Co. Limited: suspended ' ELSE ' ' END, substr(text, 201)) AS body
 FROM {documents} LEFT JOIN {part} ON p_partkey = doc_id + 1""",
-    "holdings": "SELECT DISTINCT concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id FROM {orders} WHERE o_orderkey % 17 = 0",
+    "holdings": "SELECT DISTINCT concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id FROM {orders} WHERE o_totalprice >= 300000",
     # month-end snapshots with ranks and flags, and a second release that differs from them
     "month_in": """
 SELECT cast(date_trunc('month', date) AS date) AS month, security_id, min(symbol_at_date) AS symbol_at_date, min(isin) AS isin, min(listing_episode_id) AS listing_episode_id, min(instrument_type) AS instrument_type, min(company_name) AS company_name, max(date) AS last_trade, count(*) AS days,
@@ -114,7 +115,11 @@ SELECT date, month, security_id, symbol_at_date, isin, listing_episode_id, instr
   CASE WHEN history_sessions % 37 = 0 THEN 'SUSPENDED' ELSE 'ACTIVE_TRADING' END AS trading_status, CASE WHEN history_sessions % 41 = 0 THEN 'UNRESOLVED' ELSE 'OBSERVED_TRADING_RECORD' END AS status_quality,
   CASE WHEN history_sessions % 13 = 0 THEN 'UNVERIFIED' ELSE 'MULTI_SOURCE_VERIFIED' END AS research_identity_quality, history_sessions % 13 <> 0 AS research_identity_ok,
   CASE WHEN history_sessions % 17 = 0 THEN 'RAW_ONLY_UNKNOWN' ELSE 'NO_ADJUSTMENT_REQUIRED' END AS price_adjustment_quality, history_sessions % 17 <> 0 AS price_adjustment_ok,
-  history_sessions >= 100 AND traded >= 200000 AS liquid_v1_eligible, rank_126 <= 10 AS top10_liquidity, rank_126 <= 25 AS top25_liquidity, CASE WHEN history_sessions % 53 = 0 THEN true ELSE rank_126 <= 50 END AS top50_liquidity
+  history_sessions >= 100 AND traded >= 200000 AS liquid_v1_eligible, rank_126 <= 10 AS top10_liquidity, rank_126 <= 25 AS top25_liquidity, CASE WHEN history_sessions % 53 = 0 THEN true ELSE rank_126 <= 50 END AS top50_liquidity,
+  CASE WHEN history_sessions % 59 = 0 THEN 'UNRESOLVED' ELSE 'HEURISTIC_HIGH_CONFIDENCE' END AS instrument_type_quality, history_sessions >= 100 AND traded >= 200000 AND history_sessions % 61 <> 0 AS liquid_v1_alias,
+  cast(rank_126 AS double) / 100 AS liquidity_percentile, cast(rank_126 + CASE WHEN history_sessions % 67 = 0 THEN 1 ELSE 0 END AS double) / 100 AS liquidity_percentile_126,
+  CASE WHEN history_sessions % 71 = 0 THEN 'OTHER' ELSE 'LIQUID_V1' END AS profile_id, 'LIQUID_V1' AS profile_version, CASE WHEN history_sessions % 73 = 0 THEN cast(NULL AS date) ELSE date END AS as_of_date,
+  CASE WHEN history_sessions >= 100 AND traded >= 200000 THEN 'ELIGIBLE' ELSE 'EXCLUDED' END AS eligibility_result, CASE WHEN history_sessions % 79 = 0 THEN cast(NULL AS string) WHEN history_sessions >= 100 AND traded >= 200000 THEN 'PASSED_LIQUID_V1' ELSE 'BELOW' END AS eligibility_reason_codes
 FROM {snapshots}""",
     "candidate_in": """
 SELECT date, month, CASE WHEN security_id LIKE '%5' THEN concat('N', security_id) ELSE security_id END AS security_id, symbol_at_date, isin, listing_episode_id, instrument_type, company_name, price,
@@ -125,7 +130,7 @@ FROM {monthly_in} WHERE security_id NOT LIKE '%7'""",
     "required_in": """
 SELECT security_id, min(date) AS first_research_date, max(date) AS last_research_date, bool_or(liquid_v1_eligible) AS enters_liquid_v1, bool_or(top25_liquidity) AS enters_top750, min(rank_126) AS best_rank_126, max(rank_126) + CASE WHEN security_id LIKE '%3' THEN 1 ELSE 0 END AS worst_rank_126,
   max(median_traded_value_60) AS max_median_traded_value_60, max(positive_volume_days_60) AS max_positive_volume_days_60, min(research_identity_quality) AS research_identity_quality, min(price_adjustment_quality) AS price_adjustment_quality, bool_and(price_adjustment_ok) AS price_adjustment_ok,
-  max(status_quality) AS status_quality, bool_and(trading_status = 'ACTIVE_TRADING') AS active_trading_ok
+  max(status_quality) AS status_quality, bool_and(trading_status = 'ACTIVE_TRADING') AS active_trading_ok, min(instrument_type) AS instrument_type, CASE WHEN security_id LIKE '%2' THEN cast(NULL AS string) ELSE max(instrument_type_quality) END AS instrument_type_quality
 FROM {monthly_in} WHERE (liquid_v1_eligible OR top25_liquidity) AND security_id NOT LIKE '%9' GROUP BY security_id""",
     # discovered identity rows: spells of a symbol under an ISIN
     "discovered": """

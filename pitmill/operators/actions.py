@@ -204,9 +204,11 @@ def validate_boundaries(events: DataFrame, prices: DataFrame, calendar: DataFram
     )
 
 
-def return_outliers(adjusted: DataFrame, events: DataFrame, least: float = 0.4) -> DataFrame:
-    """Rows whose adjusted return from the entity's previous row exceeds ``least``, and whether an event lies within a day."""
+def return_outliers(adjusted: DataFrame, events: DataFrame, least: float = 0.4, extreme: float = 0.6) -> DataFrame:
+    """Rows whose adjusted return from the entity's previous row exceeds ``least``: next to a material event, or for review by size."""
     by = Window.partitionBy("security_id").orderBy("date")
     r = adjusted.withColumns({"previous_date": F.lag("date").over(by), "adjusted_return": F.try_divide(F.col("price_return_adjusted_close"), F.lag("price_return_adjusted_close").over(by)) - 1.0}).where(F.abs("adjusted_return") > least)
-    near = events.where("security_id is not null").select("security_id", F.explode(F.array(F.date_sub("event_date", 1), F.col("event_date"), F.date_add("event_date", 1))).alias("date")).distinct().withColumn("near", F.lit(True))
-    return r.join(near, ["security_id", "date"], "left").select("security_id", "date", "previous_date", "adjusted_return", F.when(F.col("near"), "ADJACENT_ACTION").otherwise("NO_ADJACENT_ACTION").alias("action_label"))
+    material = events.where("security_id is not null and event_type in ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS')")
+    near = material.select("security_id", F.explode(F.array(F.date_sub("event_date", 1), F.col("event_date"), F.date_add("event_date", 1))).alias("date")).distinct().withColumn("near", F.lit(True))
+    label = F.when(F.col("near"), "CORPORATE_ACTION_ADJACENT").when(F.abs("adjusted_return") > extreme, "EXTREME_RETURN_GT_60_PCT_REVIEW").otherwise("EXTREME_RETURN_GT_40_PCT_REVIEW")
+    return r.join(near, ["security_id", "date"], "left").select("security_id", "date", "previous_date", "adjusted_return", label.alias("classification"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.operators.universe import month_ends, profile_predicate
+from pitmill.plans.staging import stage
 from pitmill.spec import ProfileSpec
 
 STRONG = ("OFFICIAL_EXCHANGE_IDENTITY", "MULTI_SOURCE_VERIFIED", "RECONSTRUCTED_HIGH_CONFIDENCE", "RECONSTRUCTED_TRADING_IDENTITY")
@@ -34,7 +35,20 @@ def row_invariants(monthly: DataFrame, spec: ProfileSpec, top: str = "top750_liq
     needed = [c for c in ("date", "security_id", "symbol_at_date", "instrument_type", "price", "history_sessions", "positive_volume_days_60", "median_traded_value_60", "median_traded_value_126", "liquid_v1_eligible", "research_identity_ok", "price_adjustment_quality", "status_quality") if c in monthly.columns]
     missing = reduce(lambda a, c: a | F.col(c).isNull(), needed, F.lit(False))
     any_top = reduce(lambda a, t: a | _yes(t[0]), tops, F.lit(False))
+    has = set(monthly.columns)
+    passed = F.lit(f"PASSED_{spec.profile_version}")
+    metadata = {"profile_id", "profile_version", "as_of_date", "eligibility_result", "eligibility_reason_codes"} <= has
+    own = (F.col("profile_id") == spec.profile_id) & (F.col("profile_version") == spec.profile_version) & (F.col("as_of_date") == F.col("date")) if metadata else F.lit(True)
+    other = (F.col("profile_id") != spec.profile_id) | (F.col("profile_version") != spec.profile_version) | (F.col("as_of_date") != F.col("date")) | (F.col("eligibility_result") != "EXCLUDED") if metadata else F.lit(False)
+    alias = F.lit(False)
+    if "liquid_v1_alias" in has:
+        alias = alias | (_yes("liquid_v1_alias") != _yes("liquid_v1_eligible"))
+    if {"liquidity_percentile", "liquidity_percentile_126"} <= has:
+        alias = alias | ~F.col("liquidity_percentile").eqNullSafe(F.col("liquidity_percentile_126"))
     rules = {
+        "artifact_alias_failures": alias,
+        "eligible_profile_metadata_failures": _yes("liquid_v1_eligible") & ~_yes(own & (F.col("eligibility_result") == "ELIGIBLE") & (F.col("eligibility_reason_codes") == passed)) if metadata else F.lit(False),
+        "excluded_profile_metadata_failures": ~F.col("liquid_v1_eligible") & (_yes(other) | F.col("eligibility_reason_codes").isNull()) if metadata else F.lit(False),
         "pre_research_start_rows": F.col("date") < F.lit(start).cast("date") if start else F.lit(False),
         "non_ordinary_rows": F.col("instrument_type") != spec.instrument_type,
         "non_active_trading_rows": ~F.col("trading_status").eqNullSafe(spec.trading_status),
@@ -48,7 +62,7 @@ def row_invariants(monthly: DataFrame, spec: ProfileSpec, top: str = "top750_liq
     return unpivot(monthly.agg(*[F.count_if(v).alias(k) for k, v in rules.items()]))
 
 
-def table_invariants(monthly: DataFrame, required: DataFrame, prices: DataFrame, calendar: DataFrame, top: str = "top750_liquidity", start=None) -> DataFrame:
+def table_invariants(monthly: DataFrame, required: DataFrame, prices: DataFrame, calendar: DataFrame, top: str = "top750_liquidity", start=None, instrument_type: str = "ORDINARY_EQUITY") -> DataFrame:
     """Counters of the rules that need other rows or tables."""
     one = lambda df, name: df.agg(F.count("*").alias("value")).select(F.lit(name).alias("metric"), "value")
     inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
@@ -66,7 +80,11 @@ def table_invariants(monthly: DataFrame, required: DataFrame, prices: DataFrame,
     years = monthly.groupBy(F.year("date").alias("y")).agg(F.count_distinct("security_id").alias("n"))
     wy = Window.orderBy("y")
     spikes = years.withColumns({"n0": F.lag("n").over(wy), "n1": F.lead("n").over(wy)})
+    begins = monthly.agg(F.min("date").alias("d")).where(~F.col("d").eqNullSafe(F.lit(start).cast("date"))) if start else monthly.limit(0)
+    kind = F.col("instrument_type").eqNullSafe(instrument_type) & ~F.coalesce(F.col("instrument_type_quality") == "UNRESOLVED", F.lit(True)) if {"instrument_type", "instrument_type_quality"} <= set(required.columns) else F.lit(True)
     parts = [
+        one(begins, "monthly_snapshot_start_mismatch"),
+        one(required.where(~kind), "required_artifact_instrument_classification_failures"),
         one(monthly.groupBy("date", "security_id").count().where("count > 1"), "duplicate_month_security_rows"),
         one(seen.join(ends, F.trunc(seen["date"], "month") == ends["month"]).where(seen["date"] != ends["date"]), "non_month_final_session_dates"),
         one(seen.join(calendar.select("date").distinct(), "date", "left_anti"), "non_calendar_dates"),
@@ -89,7 +107,8 @@ def table_invariants(monthly: DataFrame, required: DataFrame, prices: DataFrame,
 
 def validate_release(monthly: DataFrame, required: DataFrame, prices: DataFrame, calendar: DataFrame, spec: ProfileSpec, top: str = "top750_liquidity", start=None) -> DataFrame:
     """``(metric, value)``: violation counters; a sound release has only zeros."""
-    return row_invariants(monthly, spec, top, start).unionByName(table_invariants(monthly, required, prices, calendar, top, start))
+    monthly, required = stage(monthly, "monthly"), stage(required, "required")  # each is read by many counters
+    return row_invariants(monthly, spec, top, start).unionByName(table_invariants(monthly, required, prices, calendar, top, start, spec.instrument_type))
 
 
 def validate_handoff(monthly: DataFrame, calendar: DataFrame, start, end, profile_id: str | None = None) -> DataFrame:
@@ -110,37 +129,53 @@ def validate_handoff(monthly: DataFrame, calendar: DataFrame, start, end, profil
     return reduce(DataFrame.unionByName, [p.select("metric", F.col("value").cast("long")) for p in parts])
 
 
-def universe_stability(monthly: DataFrame, flag: str, turnover_max: float = 0.25, jaccard_min: float = 0.70) -> DataFrame:
-    """For each snapshot after the first: members, entries, exits, turnover and overlap with the one before.
-
-    Members meet their own next snapshot in an equi join on the snapshot's number.
-    """
-    days = monthly.select("date").distinct().withColumn("n", F.row_number().over(Window.orderBy("date")))  # a row a month
+def _set_moves(monthly: DataFrame, days: DataFrame, flag: str) -> DataFrame:
+    """``(n, size, before, kept)`` of each snapshot: members meet their own next snapshot in an equi join on its number."""
     m = monthly.where(_yes(flag)).select("date", "security_id").distinct().join(F.broadcast(days), "date").select("n", "security_id")
     kept = m.join(m.select((F.col("n") + 1).alias("n"), "security_id"), ["n", "security_id"]).groupBy("n").agg(F.count("*").alias("kept"))
     size = m.groupBy("n").agg(F.count("*").alias("size"))
-    x = days.join(size, "n", "left").join(kept, "n", "left").join(size.select((F.col("n") + 1).alias("n"), F.col("size").alias("before")), "n", "left").where("n > 1").na.fill(0, ["size", "kept", "before"])
-    union = F.col("size") + F.col("before") - F.col("kept")
-    x = x.withColumns({"entries": F.col("size") - F.col("kept"), "exits": F.col("before") - F.col("kept")})
-    x = x.withColumns({"turnover": F.try_divide(F.col("entries") + F.col("exits"), F.col("before")), "jaccard": F.try_divide(F.col("kept"), union)})
-    return x.select("date", F.col("size").alias("members"), "entries", "exits", "turnover", "jaccard", _yes(F.col("turnover") > turnover_max).alias("turnover_flag"), _yes(F.col("jaccard") < jaccard_min).alias("overlap_flag"))
+    return days.join(size, "n", "left").join(kept, "n", "left").join(size.select((F.col("n") + 1).alias("n"), F.col("size").alias("before")), "n", "left").na.fill(0, ["size", "kept", "before"]).select("n", "size", "before", "kept")
 
 
-def scale_summary(stability: DataFrame) -> DataFrame:
-    return stability.agg(F.count("*").alias("pairs"), F.avg("members").alias("average_members"), F.avg("jaccard").alias("mean_jaccard"), F.count_if("turnover_flag").alias("turnover_flags"), F.count_if("overlap_flag").alias("overlap_flags"))
+def universe_stability(monthly: DataFrame, flag: str, top: str, turnover_max: float = 0.25, overlap_min: float = 0.70) -> DataFrame:
+    """For each snapshot the members of ``flag``, entries, exits and turnover against the mean size of it and the one before, and the overlap of ``top``.
 
+    The first snapshot is compared with an empty one; what is compared with an empty set raises no flag.
+    """
+    days = monthly.select("date").distinct().withColumn("n", F.row_number().over(Window.orderBy("date")))  # a row a month
+    x = days.join(_set_moves(monthly, days, flag), "n").join(_set_moves(monthly, days, top).withColumnsRenamed({"size": "top_size", "before": "top_before", "kept": "top_kept"}), "n")
+    x = x.withColumns({"entries": F.col("size") - F.col("kept"), "exits": F.col("before") - F.col("kept")})
+    overlap = F.col("top_kept") / F.greatest(F.lit(1), F.col("top_size") + F.col("top_before") - F.col("top_kept"))
+    x = x.withColumns({"turnover": (F.col("entries") + F.col("exits")) / F.greatest(F.lit(1.0), (F.col("size") + F.col("before")) / 2), "top_overlap": overlap})
+    flags = F.array_compact(F.array(F.when((F.col("turnover") > turnover_max) & (F.col("before") > 0), "LARGE_LIQUID_V1_TURNOVER"), F.when((F.col("top_overlap") < overlap_min) & (F.col("top_before") > 0), "LOW_TOP750_OVERLAP")))
+    return x.select("date", F.col("size").alias("members"), "entries", "exits", "turnover", "top_size", "top_overlap", F.when(F.size(flags) == 0, "OK").otherwise(F.array_join(flags, ",")).alias("flags"))
 
-def universe_history(monthly: DataFrame, spec: ProfileSpec, cutoff: int | None = None) -> DataFrame:
-    """A row a month: rows, members of each flag, and the ranking metric at the cutoff rank."""
-    n = cutoff or min(spec.tops)
-    return monthly.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(
-        F.count("*").alias("rows"), F.count_if(_yes("liquid_v1_eligible")).alias("liquid"), *[F.count_if(_yes(f"top{k}_liquidity")).alias(f"top{k}") for k in spec.tops],
-        F.max(F.when(F.col("rank_126") == n, F.col(spec.ranking_metric))).alias("cutoff_value"))
 
+def scale_summary(monthly: DataFrame, prices: DataFrame, flag: str, top: str) -> DataFrame:
+    """One row: snapshots, member counts, entities that ever were members, those gone and those observed on the last date, and the mean overlap."""
+    s = universe_stability(monthly, flag, top).withColumn("first", F.col("date") == F.min("date").over(Window.partitionBy(F.lit(1))))  # a row a month
+    sizes = s.agg(F.count("*").alias("snapshots"), F.avg("members").alias("average_size"), F.min("members").alias("minimum_size"), F.max("members").alias("maximum_size"), F.avg(F.when(~F.col("first"), F.col("top_overlap"))).alias("mean_overlap"), F.count_if(~F.col("first")).alias("overlap_observations"))
+    last = prices.agg(F.max("date").alias("end"))
+    alive = prices.join(F.broadcast(last), F.col("date") == F.col("end")).select("security_id").distinct().withColumn("alive", F.lit(True))
+    ever = monthly.where(_yes(flag)).select("security_id").distinct().join(alive, "security_id", "left").agg(F.count("*").alias("unique_members"), F.count_if(_yes("alive")).alias("surviving_members"))
+    gone = prices.select("security_id").distinct().join(alive, "security_id", "left_anti").agg(F.count("*").alias("disappeared"))
+    return sizes.crossJoin(ever).crossJoin(gone)  # one row each
 
-def liquidity_history(monthly: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
-    """A row a year, of its last snapshot: exact quantiles of the 60-session median and counts above thresholds."""
-    last = monthly.withColumn("last_", F.max("date").over(Window.partitionBy(F.year("date")))).where("date = last_")
+
+def universe_history(monthly: DataFrame, spec: ProfileSpec, cutoff: int | None = None) -> DataFrame:
+    """A row a month, of its last snapshot: active rows, those with the profile's history, those of them with its liquidity, and the ranking metric at the cutoff rank."""
+    n, month = cutoff or min(spec.tops), F.trunc("date", "month")
+    last = monthly.withColumn("last", F.max("date").over(Window.partitionBy(month))).where("date = last")
+    last = last.withColumn("k", F.row_number().over(Window.partitionBy(month).orderBy(F.desc_nulls_last(spec.ranking_metric), "security_id")))
+    seasoned = _yes(F.col("history_sessions") >= spec.listing_age_sessions_min)
+    return last.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(
+        F.max("date").alias("final_session"), F.count("*").alias("active_ordinary_equities"), F.count_if(seasoned).alias("history_eligible"),
+        F.count_if(seasoned & _yes(F.col("median_traded_value_60") >= spec.median_traded_value_60_min)).alias("example_liquid_v1"), F.max(F.when(F.col("k") == n, F.col(spec.ranking_metric))).alias("cutoff_value"))
+
+
+def liquidity_history(monthly: DataFrame, thresholds: tuple[float, ...] = (1e6, 5e6, 1e7, 5e7, 1e8)) -> DataFrame:
+    """A row a year, of its last snapshot: exact quantiles of the 60-session median where there is one, and counts from thresholds on."""
+    last = monthly.withColumn("last_", F.max("date").over(Window.partitionBy(F.year("date")))).where("date = last_ and median_traded_value_60 is not null")
     x = "median_traded_value_60"
     return last.groupBy(F.year("date").alias("year")).agg(F.max("date").alias("date"), F.count("*").alias("rows"), *[F.percentile(x, p / 100).alias(f"p{p}") for p in (50, 90, 95)], *[F.count_if(F.col(x) >= t).alias(f"above_{i}") for i, t in enumerate(thresholds)])
 
@@ -155,6 +190,28 @@ def survivorship(prices: DataFrame, terminal_events: DataFrame, alive_days: int
     return gone.join(best, "security_id", "left").select("security_id", "first_date", "last_date", F.year("last_date").alias("year"), "last_price", "observations", F.coalesce("terminal_event_type", F.lit("NONE")).alias("terminal_event_type"))
 
 
+def terminal_priority(monthly: DataFrame, prices: DataFrame, master: DataFrame, terminal_events: DataFrame, top: str = "top750_liquidity", before=None, limit: int = 200) -> DataFrame:
+    """Required entities that stop before the last snapshot, with what is known of their end; the best ranked first, at most ``limit`` (a report's length)."""
+    inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
+    inside = inside if before is None else inside.where(F.col("date") < F.lit(before).cast("date"))
+    need = inside.groupBy("security_id").agg(F.min("date").alias("first_required_month"), F.max("date").alias("last_required_month"), F.min("rank_126").alias("best_rank_126"), F.count_distinct("date").alias("research_months"), F.bool_or(_yes("liquid_v1_eligible")).alias("enters_liquid_v1"), F.bool_or(_yes(top)).alias("enters_top750"))
+    seen = prices.groupBy("security_id").agg(F.max("date").alias("last_observed_date"))
+    names = master.groupBy("security_id").agg(F.min("symbol").alias("symbol"), F.min("company_name").alias("company_name"))
+    ends = terminal_events.where("security_id is not null").groupBy("security_id").agg(F.min("terminal_event_date").alias("first_"), F.array_join(F.array_sort(F.collect_set("terminal_event_type")), ", ").alias("types_"))
+    stop = monthly.agg(F.max("date").alias("end_"))
+    x = need.join(seen, "security_id").join(names, "security_id").join(ends, "security_id", "left").crossJoin(F.broadcast(stop)).where("last_observed_date < end_")
+    out = x.select("security_id", "symbol", "company_name", "first_required_month", "last_required_month", "best_rank_126", "research_months", "enters_liquid_v1", "enters_top750", "last_observed_date", F.coalesce("first_", "last_observed_date").alias("terminal_reference_date"), F.coalesce("types_", F.lit("UNKNOWN_TERMINAL_EVENT")).alias("terminal_event_types"))
+    return out.orderBy(F.asc_nulls_last("best_rank_126"), F.desc("research_months"), "security_id").limit(limit)
+
+
+def survivor_comparison(monthly: DataFrame, prices: DataFrame, flag: str) -> DataFrame:
+    """One row: entities that ever were members, those observed on the last date, and the others."""
+    last = prices.agg(F.max("date").alias("end"))
+    alive = prices.join(F.broadcast(last), F.col("date") == F.col("end")).select("security_id").distinct().withColumn("alive", F.lit(True))
+    x = monthly.where(_yes(flag)).select("security_id").distinct().join(alive, "security_id", "left")
+    return x.agg(F.count("*").alias("historical_eligible"), F.count_if(_yes("alive")).alias("current_survivors"), F.count_if(~_yes("alive")).alias("gone"))
+
+
 def survivorship_by_year(prices: DataFrame, monthly: DataFrame, flag: str) -> DataFrame:
     """For each year the entities observed, those still observed in the last year, members of the flag and surviving members."""
     alive = prices.withColumn("y_", F.year("date")).select("y_", "security_id").distinct()
@@ -165,14 +222,39 @@ def survivorship_by_year(prices: DataFrame, monthly: DataFrame, flag: str) -> Da
     return x.groupBy(F.col("y_").alias("year")).agg(F.count("*").alias("historical"), F.count_if(_yes("alive_")).alias("survivors"), F.count_if(_yes("member_")).alias("members"), F.count_if(_yes("member_") & _yes("alive_")).alias("surviving_members"))
 
 
-def readiness_by_year(monthly: DataFrame, boundaries: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Five shares a year (identity, adjustment, history, boundary, status), their mean as a score, and a label."""
-    m = monthly.groupBy(F.year("date").alias("year")).agg(F.avg(_yes("research_identity_ok").cast("int")).alias("identity"), F.avg(_yes("price_adjustment_ok").cast("int")).alias("adjustment"), F.avg((F.col("history_sessions") >= 60).cast("int")).alias("history"))
-    b = boundaries.groupBy(F.year("ex_date").alias("year")).agg(F.avg(F.col("validation_status").startswith("PASS").cast("int")).alias("boundary"))
-    s = intervals.groupBy(F.year("status_start").alias("year")).agg(F.avg((F.col("trading_status") != "UNKNOWN_STATUS").cast("int")).alias("status"))
-    x = m.join(b, "year", "left").join(s, "year", "left").na.fill(1.0, ["boundary", "status"])
-    score = (F.col("identity") + F.col("adjustment") + F.col("history") + F.col("boundary") + F.col("status")) / 5
-    return x.withColumn("score", score).withColumn("label", F.when(F.col("score") >= 0.9, "RESEARCH_READY").when(F.col("score") >= 0.7, "EXPLORATORY").otherwise("SOURCE_ONLY"))
+#: Boundary statuses that warn.
+BOUNDARY_WARNINGS = ("WARNING_LARGE_BOUNDARY_MOVE", "INVALID_PRE_EVENT_PRICE", "NO_BOUNDARY_OBSERVATIONS", "NO_LOCAL_BOUNDARY_OBSERVATION", "NO_PRE_EVENT_OBSERVATION", "NO_POST_EVENT_OBSERVATION", "LEFT_CENSORED_BOUNDARY_VALIDATION")
+MATERIAL = ("SPLIT", "REVERSE_SPLIT", "BONUS", "BONUS_RIGHTS_COMPOSITE", "SELECTIVE_BONUS")
+
+
+def readiness_by_year(monthly: DataFrame, calendar: DataFrame, events: DataFrame, boundaries: DataFrame, terminal_events: DataFrame, top: str = "top750_liquidity", max_window: int = 300) -> DataFrame:
+    """A row a year: sessions, counts over the required entities of the year, five true or false dimensions as a score, and a status.
+
+    The dimensions are sessions, a session warmed for ``max_window`` sessions, and no failure of identity, of price action (or missing
+    factors), and of instrument. A year without failures passes, with limits if boundaries warn.
+    """
+    year = lambda c: F.year(c).alias("year")
+    days = calendar.select("date").distinct().withColumn("n", F.row_number().over(Window.orderBy("date")) - 1)  # a row a session
+    sessions = days.groupBy(year("date")).agg(F.count("*").alias("sessions"), F.count_if(F.col("n") >= max_window).alias("fully_warmed"))
+    inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
+    some = lambda c: F.count_distinct(F.when(c, F.col("security_id")))
+    quality = F.col("instrument_type_quality") if "instrument_type_quality" in monthly.columns else F.lit("")
+    required = inside.groupBy(year("date")).agg(
+        F.count_distinct("security_id").alias("required"), some(~F.col("research_identity_ok")).alias("identity_failures"), some(~F.col("price_adjustment_ok")).alias("price_failures"),
+        some((F.col("instrument_type") != "ORDINARY_EQUITY") | quality.isNull() | (quality == "UNRESOLVED")).alias("instrument_failures"), some(F.col("status_quality") == "UNKNOWN_STATUS").alias("unknown_status"))
+    scope = inside.select(year("date"), "security_id").distinct()
+    material = events.where(F.col("event_type").isin(*MATERIAL)).withColumn("year", F.year("event_date")).join(scope, ["year", "security_id"]).groupBy("year").agg(F.count_if(F.col("price_factor").isNull() | F.col("share_factor").isNull()).alias("missing_factors"))
+    warned = boundaries.withColumn("year", F.year("ex_date")).join(scope, ["year", "security_id"]).groupBy("year").agg(F.count_distinct(F.when(F.col("validation_status").isin(*BOUNDARY_WARNINGS), F.col("event_id"))).alias("boundary_warnings"))
+    unknown = terminal_events.where(F.col("terminal_value").isNull() | F.col("terminal_value_quality").isin("UNKNOWN", "UNRESOLVED") if "terminal_value_quality" in terminal_events.columns else F.col("terminal_value").isNull())
+    terminal = scope.join(unknown.select("security_id").distinct(), "security_id").groupBy("year").agg(F.count("*").alias("terminal_sensitivity"))
+    x = sessions.join(monthly.select(year("date")).distinct(), "year", "full")
+    for part in (required, material, warned, terminal):
+        x = x.join(part, "year", "left")
+    x = x.na.fill(0)
+    invariant = F.col("identity_failures") + F.col("price_failures") + F.col("instrument_failures")
+    score = sum((c.cast("int") for c in (F.col("sessions") > 0, F.col("fully_warmed") > 0, F.col("identity_failures") == 0, (F.col("price_failures") == 0) & (F.col("missing_factors") == 0), F.col("instrument_failures") == 0)), F.lit(0))
+    status = F.when((F.col("sessions") == 0) | (F.col("fully_warmed") == 0) | (invariant > 0) | (F.col("missing_factors") > 0), "FAIL").when(F.col("boundary_warnings") > 0, "PASS_WITH_SCOPED_LIMITATION").otherwise("PASS")
+    return x.withColumns({"invariant_failures": invariant, "score": score, "promotion_status": status})
 
 
 def candidate_audit(monthly: DataFrame, calendar: DataFrame, events: DataFrame, boundaries: DataFrame, starts: list, control_start, spec: ProfileSpec, top: str = "top750_liquidity", max_window: int = 300) -> DataFrame:
@@ -234,27 +316,35 @@ def refined_boundary(monthly: DataFrame, top: str = "top750_liquidity") -> DataF
     return x.select("date", F.sum("rows").over(suffix).alias("suffix_rows"), F.sum("failures").over(suffix).alias("suffix_failures"), F.sum("leaving").over(suffix).alias("suffix_securities")).withColumn("passes", F.col("suffix_failures") == 0)
 
 
-def identity_review_queue(master: DataFrame, features: DataFrame, limit: int = 200) -> DataFrame:
-    """Identities that need review, by the greatest liquidity they ever had."""
-    weak = master.where("identity_quality not in ('OFFICIAL_EXCHANGE_IDENTITY', 'MULTI_SOURCE_VERIFIED', 'RECONSTRUCTED_HIGH_CONFIDENCE', 'RECONSTRUCTED_TRADING_IDENTITY')").groupBy("security_id").agg(F.min("symbol").alias("symbol"), F.min("identity_quality").alias("identity_quality"), F.count("*").alias("master_rows"))
-    top = features.groupBy("security_id").agg(F.max("traded_value").alias("max_traded_value"), F.count("*").alias("observations"))
-    x = weak.join(top, "security_id", "left")
-    level = F.when(F.col("max_traded_value") >= 200_000, "HIGH").when(F.col("max_traded_value") >= 100_000, "MEDIUM").otherwise("LOW")
-    return x.withColumn("downstream_priority", level).orderBy(F.when(F.col("downstream_priority") == "HIGH", 0).when(F.col("downstream_priority") == "MEDIUM", 1).otherwise(2), F.desc_nulls_last("max_traded_value"), "security_id").limit(limit)
+def identity_review_queue(master: DataFrame, features: DataFrame, levels: tuple[float, float] = (5_000_000.0, 1_000_000.0)) -> DataFrame:
+    """Entities none of whose identities rests on the official source, by the greatest liquidity they ever had; the caller may take the first."""
+    weak = master.groupBy("security_id").agg(
+        F.min("symbol").alias("symbol"), F.min("company_name").alias("company_name"), F.min("isin").alias("candidate_isin"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.min("identity_quality").alias("identity_quality"),
+        F.bool_and(F.col("identity_quality") != "SINGLE_OFFICIAL_SOURCE").alias("weak")).where("weak").drop("weak")
+    most = features.groupBy("security_id").agg(F.max("median_traded_value_126").alias("max_median_traded_value_126"), F.max("median_traded_value_60").alias("max_median_traded_value_60"), F.count_if(F.col("instrument_type") == "ORDINARY_EQUITY").alias("feature_rows"))
+    x = weak.join(most, "security_id", "left").na.fill(0, ["feature_rows"])
+    value = F.coalesce("max_median_traded_value_126", F.lit(0.0))
+    return x.withColumn("downstream_priority", F.when(value >= levels[0], "HIGH").when(value >= levels[1], "MEDIUM").otherwise("LOW"))
 
 
 def recovery_scenarios(events: DataFrame, prices: DataFrame) -> DataFrame:
-    """Two or three rows an event: worthless, at the last price, and at the stated value where there is one."""
+    """Rows of what an event's holders may recover: nothing, the last close, and the documented value where there is one (the only canonical one)."""
     last = prices.groupBy("security_id").agg(F.max_by("raw_close", "date").alias("last_price"))
-    case = lambda name, v: F.struct(F.lit(name).alias("scenario"), v.cast("double").alias("recovery_value"))
-    cases = F.array_compact(F.array(case("ZERO_RECOVERY", F.lit(0.0)), F.when(F.col("last_price").isNotNull(), case("LAST_OBSERVED_PRICE", F.col("last_price"))), F.when(F.col("terminal_value").isNotNull(), case("STATED_TERMINAL_VALUE", F.col("terminal_value")))))
-    return events.where("security_id is not null").join(last, "security_id", "left").select("event_id", "security_id", F.explode(cases).alias("c")).select("event_id", "security_id", "c.*")
+    basis = F.col("terminal_value_basis") if "terminal_value_basis" in events.columns else F.lit(None).cast("string")
+
+    def case(name: str, value: Column, of: Column, canonical: bool) -> Column:
+        return F.struct(F.lit(name).alias("scenario"), value.cast("double").alias("value"), of.alias("value_basis"), F.lit(canonical).alias("canonical"))
+
+    cases = F.array_compact(F.array(
+        case("ZERO_RECOVERY", F.lit(0.0), F.lit("DOWNSTREAM_ASSUMPTION"), False), case("LAST_OBSERVED_PRICE", F.col("last_price"), F.lit("LAST_OBSERVED_RAW_CLOSE"), False),
+        F.when(F.col("terminal_value").isNotNull(), case("DOCUMENTED_VALUE", F.col("terminal_value"), basis, True))))
+    return events.where("security_id is not null").join(last, "security_id", "left").select("event_id", "security_id", "terminal_event_type", F.explode(cases).alias("c")).select("event_id", "security_id", "terminal_event_type", "c.*")
 
 
 def resolution_queue(events: DataFrame, prices: DataFrame, holdings: DataFrame) -> DataFrame:
-    """Unresolved terminal events of held entities with their scenarios."""
-    held = events.where("event_quality <> 'OFFICIAL_NSE_NOTICE'").join(holdings.select("security_id").distinct(), "security_id", "left_semi")
-    return recovery_scenarios(held, prices)
+    """Terminal events of held entities with their scenarios; only the prices of held entities are read."""
+    held = holdings.select("security_id").distinct()
+    return recovery_scenarios(events.join(held, "security_id", "left_semi"), prices.join(held, "security_id", "left_semi"))
 
 
 def identity_transitions(spans: DataFrame, prices: DataFrame) -> DataFrame:
@@ -302,10 +392,11 @@ def boundary_blockers(boundaries: DataFrame, starts: list, limit: int = 100) ->
 
 
 def instrument_review(master: DataFrame) -> DataFrame:
-    """Ordinary entities whose name or symbol looks like a product's."""
-    from pitmill.functions.fields import product_marker
+    """Ordinary entities whose name or symbol looks like a product's, and those whose symbol is known to be one."""
+    from pitmill.functions.fields import known_product, product_marker
 
-    return master.where((F.col("instrument_type") == "ORDINARY_EQUITY") & product_marker(F.col("symbol"), F.col("company_name"))).select("security_id", "symbol", "company_name").distinct()
+    rows = master.select("security_id", "symbol", "company_name", "instrument_type", product_marker(F.col("symbol"), F.col("company_name")).alias("product_like_marker"), known_product(F.col("symbol")).alias("known_product_symbol"))
+    return rows.where("instrument_type = 'ORDINARY_EQUITY' and (product_like_marker or known_product_symbol)").select("security_id", "symbol", "company_name", "known_product_symbol").distinct()
 
 
 def frequency(df: DataFrame, *cols: str) -> DataFrame:
@@ -357,6 +448,12 @@ def pit_audit(op, panel: DataFrame, at, changed: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("BEFORE")).unionByName(b.exceptAll(a).withColumn("side", F.lit("AFTER")))
 
 
+def pit_report(ops: dict, panel: DataFrame, at, changed: DataFrame) -> DataFrame:
+    """``(operator, leaking_rows)`` of each named operator."""
+    parts = [pit_audit(op, panel, at, changed).agg(F.count("*").alias("leaking_rows")).select(F.lit(name).alias("operator"), "leaking_rows") for name, op in ops.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def recent_id_changes(prices: DataFrame, calendar: DataFrame, sessions: int = 60) -> DataFrame:
     """``(date, symbol, ids)``: symbols that several entities had within ``sessions`` sessions up to a month's end.
 
@@ -374,11 +471,24 @@ def duplicate_symbols(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("date", F.upper("symbol_at_date").alias("symbol")).agg(F.count_distinct("security_id").alias("ids")).where("ids > 1")
 
 
-def identity_priority(monthly: DataFrame, top: str) -> DataFrame:
-    """Entities of the required scope with a doubtful identity: months, best rank, worst quality and a priority."""
+def identity_priority(required: DataFrame, master: DataFrame, monthly: DataFrame, top: str = "top750_liquidity") -> DataFrame:
+    """A row for each required entity with the evidence of its identity: names, symbols, ISINs, span, ranks and months in scope."""
+    inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
+    seen = inside.groupBy("security_id").agg(F.max("rank_126").alias("max_liquidity_rank_126"), F.count_distinct(F.when(_yes("liquid_v1_eligible"), F.col("date"))).alias("liquid_dates"), F.bool_and("research_identity_ok").alias("research_identity_ok"))
+    known = master.groupBy("security_id").agg(
+        F.min("symbol").alias("symbol"), F.min("company_name").alias("company_name"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.min("identity_quality").alias("identity_quality"),
+        F.array_join(F.array_sort(F.collect_set("isin")), ", ").alias("isin_evidence"), F.count_distinct("company_name").alias("company_name_count"), F.count_distinct("symbol").alias("symbol_count"))
+    return required.select("security_id").distinct().join(known, "security_id").join(seen, "security_id", "left")
+
+
+def conflict_audit(monthly: DataFrame, master: DataFrame, top: str = "top750_liquidity") -> DataFrame:
+    """For each required entity its months in scope, best rank, name variants, candidate ISINs and listing episodes; doubtful ones first by the caller's order."""
     inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
-    g = inside.groupBy("security_id").agg(F.count("*").alias("months"), F.count_if(~_yes("research_identity_ok")).alias("doubtful_months"), F.min("rank_126").alias("best_rank"), F.max("research_identity_quality").alias("worst_quality")).where("doubtful_months > 0")
-    return g.withColumn("priority", F.when(F.col("best_rank") <= 10, "HIGH").when(F.col("best_rank") <= 25, "MEDIUM").otherwise("LOW"))
+    episodes = master.groupBy("security_id").agg(F.count_distinct("listing_episode_id").alias("episode_count"))
+    g = inside.groupBy("security_id").agg(
+        F.min("symbol_at_date").alias("symbol"), F.min("company_name").alias("company_name"), F.min("date").alias("first_research_month"), F.max("date").alias("last_research_month"), F.array_join(F.array_sort(F.collect_set("isin")), ", ").alias("candidate_isin"),
+        F.min("research_identity_quality").alias("research_identity_quality"), F.min("rank_126").alias("best_liquidity_rank_126"), F.count_distinct("date").alias("research_months"), F.count_distinct("company_name").alias("company_name_variants"), F.bool_and("research_identity_ok").alias("research_identity_ok"))
+    return g.join(episodes, "security_id", "left").na.fill(0, ["episode_count"])
 
 
 def scope_summary(monthly: DataFrame, top: str) -> DataFrame:

@@ -104,14 +104,14 @@ def resolve_observations(obs: DataFrame, identities: DataFrame, dated: bool = Tr
     Candidates: identities of the same symbol, series and ISIN, or of the symbol and series alone
     for an observation without ISIN; with ``dated`` only those whose span holds the date.
     """
-    o = obs.withColumn("obs_", F.monotonically_increasing_id()) if "obs_" not in obs.columns else obs
+    o = obs.withColumn("obs_", F.monotonically_increasing_id())  # equal observations stay apart
     ids = identities.select("exchange", "symbol", "series", F.col("isin").alias("isin_i"), "security_id", "effective_from", "effective_to")
     left = o.withColumn("series_i", identity_series(F.col("series")))
     on = (left["exchange"] == ids["exchange"]) & (left["symbol"] == ids["symbol"]) & (left["series_i"] == ids["series"]) & (left["isin"].isNull() | (left["isin"] == ids["isin_i"]))
     if dated:
         on = on & (left["date"] >= ids["effective_from"]) & (left["date"] <= open_end("effective_to"))
-    # few identities share a symbol, so the pairs stay near the observations; sets are merged as (min, max, count)
-    hit = left.join(ids, on, "left").groupBy(*[left[c] for c in obs.columns]).agg(F.array_sort(F.collect_set("security_id")).alias("candidate_ids"))
+    # few identities share a symbol, so the pairs stay near the observations
+    hit = left.join(ids, on, "left").groupBy(left["obs_"], *[left[c] for c in obs.columns]).agg(F.array_sort(F.collect_set("security_id")).alias("candidate_ids")).drop("obs_")
     return hit.withColumn("security_id", F.when(F.size("candidate_ids") == 1, F.get("candidate_ids", F.lit(0))))
 
 

@@ -24,7 +24,8 @@ def interval_join(rows: DataFrame, spans: DataFrame, key: str | list[str], date:
 
 def point_in_time(requests: DataFrame, spans: DataFrame, key: str, value: str, date: str = "date") -> DataFrame:
     """For each request the only ``value`` valid on its date; ``lookup`` tells FOUND, MISSING or AMBIGUOUS."""
-    hit = interval_join(requests, spans.select(key, "effective_from", "effective_to", value), key, date).groupBy(*requests.columns).agg(F.count("effective_from").alias("n"), F.min(value).alias(value))
+    numbered = requests.withColumn("request_", F.monotonically_increasing_id())  # equal requests stay apart
+    hit = interval_join(numbered, spans.select(key, "effective_from", "effective_to", value), key, date).groupBy("request_", *requests.columns).agg(F.count("effective_from").alias("n"), F.min(value).alias(value))
     return hit.select(*requests.columns, F.when(F.col("n") == 1, F.col(value)).alias(value), F.when(F.col("n") == 1, "FOUND").when(F.col("n") == 0, "MISSING").otherwise("AMBIGUOUS").alias("lookup"))
 
 

@@ -92,3 +92,8 @@ def verdict(counters: DataFrame, justified: tuple[str, ...] = ()) -> DataFrame:
     real = F.col("rows") > 0
     checks = counters.where(~F.col("check").isin("baseline_rows", "candidate_rows"))
     return checks.agg(F.count_if(real).alias("failing"), F.count_if(real & ~F.col("check").isin(*justified) if justified else real).alias("unjustified")).select("failing", "unjustified", F.when(F.col("failing") == 0, "PASS_STRICT").when(F.col("unjustified") == 0, "PASS_JUSTIFIED").otherwise("REVIEW_REQUIRED").alias("verdict"))
+
+
+def top_contributors(diffs: DataFrame, most: int = 25) -> DataFrame:
+    """The symbols and flags with the most differences, at most ``most`` of them (a report's length)."""
+    return diffs.groupBy("universe_flag", "symbol_at_date").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "universe_flag", "symbol_at_date").limit(most)

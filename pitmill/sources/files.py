@@ -34,6 +34,10 @@ def _era(spark: SparkSession, paths: list[str]) -> DataFrame:
     return raw.select("source_file", file_date(F.col("source_file")).alias("date"), *[col(f) for f in ALIASES])
 
 
+#: Names of the traded-value column in the header eras.
+VALUE_COLUMNS = ("NET_TURNOV", "TOTTRDVAL", "TOTAL_TRADED_VALUE", "TTLTRFVAL")
+
+
 def read_daily_observations(spark: SparkSession, eras: list[list[str]], series: tuple[str, ...] = ("EQ", "BE")) -> DataFrame:
     """Observations of daily market files; each list of paths is read as one header era.
 
@@ -56,8 +60,8 @@ def select_source_files(files: DataFrame, start=None, end=None, path: str = "pat
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """JSON lines with a fixed schema; blank lines are skipped."""
-    return spark.read.schema(schema).json(path).dropna("all")
+    """JSON lines with a fixed schema; blank lines are skipped, a line that is no JSON object is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -112,15 +116,53 @@ def verify_manifest(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def audit_input_files(spark: SparkSession, glob: str, required: list[str]) -> DataFrame:
-    """``(path, reason)``: EMPTY_FILE, MISSING_COLUMN or OK by each file's first line."""
-    head = spark.read.format("binaryFile").load(glob).select("path", F.col("length"), F.transform(F.split(F.get(F.split(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\r?\n"), F.lit(0)), ","), lambda c: F.replace(F.upper(F.trim(c)), F.lit(" "), F.lit("_"))).alias("header"))
-    missing = F.array_except(F.array(*[F.lit(r) for r in required]), "header")
-    return head.select("path", F.when(F.col("length") == 0, "EMPTY_FILE").when(F.size(missing) > 0, "MISSING_COLUMN").otherwise("OK").alias("reason"))
+    """``(path, reason)``: EMPTY_FILE, MISSING_COLUMN or OK by each file's first line; files are read as lines, their contents never whole."""
+    listed = spark.read.format("binaryFile").load(glob).select(F.col("path"), "length")  # lengths only: the contents are not read
+    head = _headers(spark, glob).select(F.col("source_file").alias("path"), "columns")
+    missing = F.array_except(F.array(*[F.lit(r) for r in required]), F.coalesce("columns", F.array().cast("array<string>")))
+    return listed.join(head, "path", "left").select("path", F.when(F.col("length") == 0, "EMPTY_FILE").when(F.size(missing) > 0, "MISSING_COLUMN").otherwise("OK").alias("reason"))
+
+
+def _lines(spark: SparkSession, glob: str) -> DataFrame:
+    """``(source_file, block, line)`` of every line of the files; ``block`` is where the part of the file begins that a task read."""
+    return spark.read.text(glob).select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("nth"))
+
+
+def _normal_header(line: F.Column) -> F.Column:
+    """Column names of a header line: trimmed, upper case, spaces as underscores, without a byte-order mark; unnamed ones go."""
+    return F.filter(F.transform(F.split(F.ltrim(F.rtrim(line, F.lit("\r")), F.lit("\ufeff")), ","), lambda c: F.replace(F.upper(F.trim(c)), F.lit(" "), F.lit("_"))), lambda c: c != "")
+
+
+def _headers(spark: SparkSession, glob: str) -> DataFrame:
+    """``(source_file, columns)``: the first line of each file, the least numbered one of the part that begins it."""
+    first = _lines(spark, glob).where("block = 0").groupBy("source_file").agg(F.min_by("line", "nth").alias("line"))
+    return first.select("source_file", _normal_header(F.col("line")).alias("columns"))
+
+
+def profile_source_schema(spark: SparkSession, glob: str) -> DataFrame:
+    """A row a file: its columns, whether it has EQ rows, ISINs and traded values, EQ rows and all rows (0 where it has no symbol or series column)."""
+    head = _headers(spark, glob)
+    series = F.when(F.array_contains("columns", "SERIES"), F.array_position("columns", "SERIES")).otherwise(F.array_position("columns", "SCTYSRS"))
+    known = head.withColumn("at", F.when(F.array_contains("columns", "SYMBOL") | F.array_contains("columns", "TCKRSYMB"), series).otherwise(0))
+    held = _lines(spark, glob).where("line <> ''").join(known, "source_file").where("at > 0").withColumn("value", F.upper(F.trim(F.get(F.split("line", ","), F.col("at").cast("int") - 1))))
+    counts = held.groupBy("source_file").agg(F.count_if(F.col("value") == "EQ").alias("eq_rows"), (F.count("*") - 1).alias("total_rows"))
+    value = F.arrays_overlap("columns", F.array(*[F.lit(c) for c in VALUE_COLUMNS]))
+    out = head.join(counts, "source_file", "left").na.fill(0, ["eq_rows", "total_rows"])
+    return out.select("source_file", "columns", (F.col("eq_rows") > 0).alias("has_eq_series"), F.array_contains("columns", "ISIN").alias("has_isin"), value.alias("has_traded_value"), "eq_rows", "total_rows")
+
+
+def trading_status_daily(active: DataFrame) -> DataFrame:
+    """Daily status rows of an active universe; a row without a status was trading."""
+    status = F.coalesce("trading_status", F.lit("ACTIVE_TRADING")) if "trading_status" in active.columns else F.lit("ACTIVE_TRADING")
+    return active.select("date", "security_id", "listing_episode_id", F.col("symbol_at_date").alias("symbol"), status.alias("trading_status"), F.lit("OBSERVED_TRADING_RECORD").alias("status_quality"), "source_file_id")
 
 
-def profile_source_schema(obs: DataFrame, file: str = "source_file") -> DataFrame:
-    """A row a file: rows, EQ rows, and whether any row has an ISIN or a traded value."""
-    return obs.groupBy(file).agg(F.count("*").alias("rows"), F.count_if(F.col("series") == "EQ").alias("eq_rows"), F.bool_or(F.col("isin").isNotNull()).alias("has_isin"), F.bool_or(F.col("traded_value").isNotNull()).alias("has_value"))
+def unadjusted_baseline(prices: DataFrame) -> DataFrame:
+    """Raw closes in the shape of adjusted prices, with factors of one and no events."""
+    close, one = F.col("raw_close"), F.lit(1.0)
+    return prices.select(
+        "date", "security_id", "listing_episode_id", "symbol_at_date", "raw_close", close.alias("research_adjusted_close"), one.alias("research_adjustment_factor"), close.alias("price_return_adjusted_close"), one.alias("price_return_adjustment_factor"),
+        F.lit("NO_ADJUSTMENT_REQUIRED").alias("adjustment_quality"), F.array().cast("array<string>").alias("source_event_ids"))
 
 
 def merge_event_feeds(feeds: list[DataFrame], required: list[str]) -> tuple[DataFrame, DataFrame]:

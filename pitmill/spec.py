@@ -8,6 +8,7 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class ProfileSpec:
     profile_id: str = "LIQUID_V1"
+    profile_version: str = "LIQUID_V1"
     instrument_type: str = "ORDINARY_EQUITY"
     trading_status: str = "ACTIVE_TRADING"
     price_min: float = 20.0

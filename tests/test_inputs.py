@@ -6,6 +6,7 @@ from pitmill.catalog.inputs import table
 def test_notices_hold_whole_texts(spark, tmp_path):
     text = "".join(chr(97 + k % 26) for k in range(3000)) + " Late Gear Limited w.e.f. May 4, 2002"
     spark.createDataFrame([(k, text) for k in range(6)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.sql("SELECT id AS p_partkey, 'late gear' AS p_name FROM range(3, 5)").write.parquet(f"{tmp_path}/part.parquet")
     rows = table(spark, str(tmp_path), "notices").collect()
     assert len(rows) == 6 and all(r.body.startswith(text[:200]) and r.body.endswith(text[200:]) for r in rows)
 

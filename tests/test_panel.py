@@ -146,3 +146,35 @@ def test_removals_and_second_order_entrants(spark):
     out = regression.attribute_membership(monthly(("KOTAKGOLD", "ETF", 750, True), ("ABC", "ORDINARY_EQUITY", 751, False)), monthly(("ABC", "ORDINARY_EQUITY", 750, True)), flags)
     assert {(r.symbol_at_date, r.universe_flag, r.primary_attribution) for r in out.collect()} == {
         ("KOTAKGOLD", "LIQUID_V1", "NON_ORDINARY_INSTRUMENT_REMOVAL"), ("KOTAKGOLD", "TOP750", "NON_ORDINARY_INSTRUMENT_REMOVAL"), ("ABC", "TOP750", "RANK_CUTOFF_SECOND_ORDER_EFFECT")}
+
+
+def test_equal_observations_and_requests_stay_apart(spark):
+    from pitmill.operators import intervals
+
+    obs = spark.createDataFrame([("NSE", "A", "EQ", "I1", D("2020-02-01"))] * 2, "exchange string, symbol string, series string, isin string, date date")
+    ids = spark.createDataFrame([("NSE", "A", "EQ", "I1", "S", D("2020-01-01"), None)], "exchange string, symbol string, series string, isin string, security_id string, effective_from date, effective_to date")
+    assert [r.security_id for r in identity.resolve_observations(obs, ids).collect()] == ["S", "S"]
+    req = spark.createDataFrame([("S", D("2020-02-01"))] * 3, "security_id string, date date")
+    assert intervals.point_in_time(req, ids, "security_id", "symbol").count() == 3
+
+
+def test_release_metadata_rules(spark):
+    from pitmill.operators import audit
+    from pitmill.spec import ProfileSpec
+
+    row = ("S", D("2020-01-31"), True, "LIQUID_V1", "LIQUID_V1", D("2020-01-31"), "ELIGIBLE", "PASSED_LIQUID_V1")
+    bad = [(*row[:2], True, "OTHER", *row[4:]), (*row[:6], "EXCLUDED", row[7]), (*row[:2], False, *row[3:6], "EXCLUDED", None), (*row[:2], False, *row[3:])]
+    cols = "security_id string, date date, liquid_v1_eligible boolean, profile_id string, profile_version string, as_of_date date, eligibility_result string, eligibility_reason_codes string"
+    m = spark.createDataFrame([row, *bad], cols).withColumns({c: F.lit(None).cast(t) for c, t in (("rank_126", "long"), ("trading_status", "string"), ("instrument_type", "string"), ("research_identity_ok", "boolean"), ("price_adjustment_quality", "string"), ("price_adjustment_ok", "boolean"), ("status_quality", "string"), ("median_traded_value_126", "double"), ("median_traded_value_60", "double"), ("price", "double"), ("listing_age_sessions", "long"), ("positive_volume_days_60", "long"))})
+    m = m.withColumns({f"top{n}_liquidity": F.lit(False) for n in (500, 750, 1000)})
+    got = {r.metric: r.value for r in audit.row_invariants(m, ProfileSpec()).collect()}
+    assert (got["eligible_profile_metadata_failures"], got["excluded_profile_metadata_failures"]) == (2, 2)
+
+
+def test_stability_counts_against_the_mean_size(spark):
+    from pitmill.operators import audit
+
+    rows = [(D(f"2020-0{m}-28"), s, True, True) for m, members in ((1, "AB"), (2, "AC"), (3, "AC")) for s in members]
+    m = spark.createDataFrame(rows, "date date, security_id string, liquid boolean, top boolean")
+    got = [(r.members, r.entries, r.exits, r.turnover, round(r.top_overlap, 4), r.flags) for r in audit.universe_stability(m, "liquid", "top").orderBy("date").collect()]
+    assert got == [(2, 2, 0, 2.0, 0.0, "OK"), (2, 1, 1, 1.0, 0.3333, "LARGE_LIQUID_V1_TURNOVER,LOW_TOP750_OVERLAP"), (2, 0, 0, 0.0, 1.0, "OK")]

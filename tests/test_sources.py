@@ -71,3 +71,13 @@ def test_coverage_status(spark):
     got = {str(r.date): r.status for r in ingest.coverage_status(days("2020-01-01", "2020-01-04"), days("2020-01-01", "2020-01-02")).collect()}
     assert got == {"2020-01-01": "PRESENT", "2020-01-02": "MISSING", "2020-01-04": "EXTRA"}
     assert files.file_date(F.lit("x")) is not None
+
+
+def test_a_malformed_line_is_an_error(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    assert files.read_jsonl(spark, str(tmp_path / "x.jsonl"), "a int").count() == 2
+    (tmp_path / "y.jsonl").write_text('{"a": 1}\nnot json\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_jsonl(spark, str(tmp_path / "y.jsonl"), "a int").collect()
