@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pitmill.catalog.inputs import sql, table
 from pitmill.catalog.panel import _DATE_SQL, _FROM_SQL, BLOCKS_SQL, date_sql, features_of, features_sql
 from pitmill.functions.fields import observation_status
-from pitmill.operators import actions, identity, status, universe
+from pitmill.operators import actions, features, identity, status, universe
 from pitmill.spec import SMALL
 
 QUERIES: dict = {}
@@ -369,7 +369,9 @@ monthly AS (SELECT *, median_traded_value_126 IS NOT NULL AND rank_126 <= 10 AS
 
 def monthly_of(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "panel")
-    return universe.research_universe_monthly(universe.active_universe(p), features_of(spark, d), adjusted_of(spark, d), table(spark, d, "master"), intervals_of(spark, d), table(spark, d, "calendar"), SMALL)
+    days = table(spark, d, "calendar")
+    made = features.liquidity_features(p, days, (60, 126), at=universe.month_ends(days))  # only what the snapshots hold
+    return universe.research_universe_monthly(universe.active_universe(p), made, adjusted_of(spark, d), table(spark, d, "master"), intervals_of(spark, d), table(spark, d, "calendar"), SMALL)
 
 
 _MONTHLY_COLS = ["date", "month", "security_id", "trading_status", "status_quality", "price_adjustment_quality", "research_identity_quality", "research_identity_ok", "rank_126", "liquid_v1_eligible", "top10_liquidity", "top25_liquidity", "feature_ready_60", "signal_history_ready_252", "liquidity_bucket_126", "eligibility_reason_codes"]

@@ -36,13 +36,15 @@ def _median(x: Column, w) -> Column:
     return _middle(F.sort_array(F.collect_list(x).over(w)))
 
 
-def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[int, ...] = WINDOWS, rank_window: int = 126, stale_window: int = 60) -> DataFrame:
+def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[int, ...] = WINDOWS, rank_window: int = 126, stale_window: int = 60, at: DataFrame | None = None) -> DataFrame:
     """Rolling counts, medians and averages over official sessions, for each observed row.
 
     Windows count sessions, absent ones too, between an entity's first and last session; EQ rows
     only, where there is a series. A window of n sessions is a RANGE frame over session numbers, so
     absent sessions need no rows: they are the sessions of the window less the observed ones. One
-    shuffle by entity serves all windows, one by date the ranks.
+    shuffle by entity serves all windows, one by date the ranks. The values of the widest window are gathered
+    once; a narrower one holds the last of them, as many as it counts. With ``at``, a table of a few dates, only rows
+    of these dates are made, and only their values are sorted for medians.
     """
     rows = prices.where("series = 'EQ'") if "series" in prices.columns else prices
     keep = rows.columns
@@ -65,11 +67,16 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
             f"positive_volume_days_{n}": F.count_if(volume > 0).over(w),
             f"zero_volume_days_{n}": F.count_if(volume <= 0).over(w),
             f"absent_observation_days_{n}": F.least("history_sessions", F.lit(n)) - F.count(F.lit(1)).over(w),
-            f"median_traded_value_{n}": _median(F.col("traded_value"), w),
             f"average_traded_value_{n}": F.avg("traded_value").over(w),
         }
+    out["values_"] = F.collect_list("traded_value").over(by.rangeBetween(1 - max(windows), 0))
     out[f"stale_price_days_{stale_window}"] = F.count_if("stale_").over(by.rangeBetween(1 - stale_window, 0))
     made = placed.withColumns(out)
+    if at is not None:
+        made = made.join(F.broadcast(at.select("date").distinct()), "date", "left_semi")
+    last = lambda n: F.when(F.col(f"valid_trade_days_{n}") > 0, F.slice("values_", -F.col(f"valid_trade_days_{n}").cast("int"), F.col(f"valid_trade_days_{n}").cast("int")))
+    made = made.withColumns({f"median_traded_value_{n}": _middle(F.sort_array(last(n))) for n in windows}).drop("values_")
+    out = [c for c in out if c != "values_"] + [f"median_traded_value_{n}" for n in windows]
     metric = f"median_traded_value_{rank_window}"
     day = Window.partitionBy("date")
     pct = F.cume_dist().over(day.orderBy(F.asc_nulls_last(metric)))
