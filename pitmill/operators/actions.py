@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.operators.calendar import number_sessions
+from pitmill.operators.intervals import last_and_next
 
 _NUM = r"(\d+(?:\.\d+)?)"
 #: The ways in which a subject states an old and a new face value, in order of trust.
@@ -167,8 +168,8 @@ def adjusted_history(adjusted: DataFrame, series: str) -> DataFrame:
 def validate_boundaries(events: DataFrame, prices: DataFrame, calendar: DataFrame, advisory: float = 0.15, hard: float = 0.25, max_sessions: int = 5) -> DataFrame:
     """For each priced event the last close before and the first price on or after its ex-date, their ratio and a status.
 
-    Same-day events count together (product of factors). One pass over the prices of entities that
-    have events: both sides of a date are picked by filtered max_by and min_by.
+    Same-day events count together (product of factors). The prices of entities that have events are read once
+    and sorted with the ex-dates: each takes the row before it and the row from it on.
     """
     sessions = number_sessions(calendar)
     e = events.withColumn("ex_date", F.coalesce("ex_date", "event_date")).where("security_id is not null and event_type in ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS') and price_factor is not null and share_factor is not null and ex_date is not null")
@@ -177,9 +178,7 @@ def validate_boundaries(events: DataFrame, prices: DataFrame, calendar: DataFram
         F.count("*").alias("boundary_event_count"), F.array_join(F.array_sort(F.collect_list("event_id")), ", ").alias("boundary_event_ids"),
     )
     p = prices.select("security_id", "date", "raw_open", "raw_close").join(F.broadcast(sessions), "date", "left")
-    row = F.struct("date", "raw_open", "raw_close", "session_number")
-    sides = days.select("security_id", "ex_date").join(p, "security_id").groupBy("security_id", "ex_date").agg(
-        F.max(F.when(F.col("date") < F.col("ex_date"), row)).alias("pre"), F.min(F.when(F.col("date") >= F.col("ex_date"), row)).alias("post"))
+    sides = last_and_next(days.select("security_id", "ex_date"), p, "security_id", "ex_date", ["raw_open", "raw_close", "session_number"]).withColumnsRenamed({"before": "pre", "next": "post"})
     own = sessions.select(F.col("date").alias("ex_date"), F.col("session_number").alias("ex_session"))
     x = e.join(days, ["security_id", "ex_date"]).join(sides, ["security_id", "ex_date"], "left").join(F.broadcast(own), "ex_date", "left")
     x = x.withColumns({"pre_close": F.col("pre.raw_close"), "post_price": F.coalesce("post.raw_open", "post.raw_close"), "pre_gap": F.col("ex_session") - F.col("pre.session_number"), "post_gap": F.col("post.session_number") - F.col("ex_session")})

@@ -22,6 +22,22 @@ def interval_join(rows: DataFrame, spans: DataFrame, key: str | list[str], date:
     return rows.join(s, on & (rows[date] >= s[start]) & (s[end].isNull() | (rows[date] <= s[end])), how).drop(*[f"{k}_k" for k in keys])
 
 
+def last_and_next(points: DataFrame, rows: DataFrame, key: str, date: str, row: list[str], at: str = "date") -> DataFrame:
+    """``points`` with ``before`` and ``next``: the key's last row before the point's date and its first one on or after it, as structs of ``at`` and ``row``.
+
+    Points and rows are laid together and sorted by key and date, once in each direction; each point takes the row last
+    passed. So a key's rows are read once, however many points it has. ``points`` must be distinct.
+    """
+    kind, held = F.col("kind_"), [at, *row]
+    a = points.select(key, F.col(date).alias("on_"), F.lit(0).alias("kind_"), F.lit(None).cast(rows.select(F.struct(*held)).schema[0].dataType).alias("row_"))
+    b = rows.where(F.col(at).isNotNull()).join(points.select(key).distinct(), key, "left_semi").select(key, F.col(at).alias("on_"), F.lit(1).alias("kind_"), F.struct(*held).alias("row_"))
+    both = a.unionByName(b)
+    up = Window.partitionBy(key).orderBy("on_", "kind_", "row_").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(key).orderBy(F.desc("on_"), F.desc("kind_"), F.desc("row_")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumns({"before": F.last("row_", ignorenulls=True).over(up), "next": F.last("row_", ignorenulls=True).over(down)})
+    return placed.where(kind == 0).select(key, F.col("on_").alias(date), "before", "next")
+
+
 def point_in_time(requests: DataFrame, spans: DataFrame, key: str, value: str, date: str = "date") -> DataFrame:
     """For each request the only ``value`` valid on its date; ``lookup`` tells FOUND, MISSING or AMBIGUOUS."""
     numbered = requests.withColumn("request_", F.monotonically_increasing_id())  # equal requests stay apart

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.functions.text import compact_name
-from pitmill.operators.intervals import overlay_intervals
+from pitmill.operators.intervals import last_and_next, overlay_intervals
 from pitmill.plans.staging import stage
 
 _ATTRS = ["trading_status", "status_quality", "source_reference"]
@@ -48,7 +48,8 @@ def suspension_overlay(base: DataFrame, notices: DataFrame, prices: DataFrame) -
     A notice without a later trade changes nothing. Of overlapping notices the later one holds.
     """
     starts = notices.where("event_type = 'SUSPENSION_START' and security_id is not null and effective_date is not null")
-    trade = starts.select("evidence_id", "security_id", "effective_date").join(prices.select(F.col("security_id"), F.col("date").alias("d_")), "security_id").where("d_ >= effective_date").groupBy("evidence_id", "security_id", "effective_date").agg(F.min("d_").alias("next_"))
+    days = last_and_next(starts.select("security_id", "effective_date").distinct(), prices.select("security_id", "date"), "security_id", "effective_date", [])
+    trade = starts.select("evidence_id", "security_id", "effective_date").distinct().join(days.select("security_id", "effective_date", F.col("next.date").alias("next_")), ["security_id", "effective_date"]).where("next_ is not null")
     patches = trade.where("next_ > effective_date").select(
         "security_id", F.col("effective_date").alias("status_start"), F.date_sub("next_", 1).alias("status_end"), F.struct("effective_date", "evidence_id").alias("priority"),
         F.lit("SUSPENDED").alias("trading_status"), F.lit("OFFICIAL_NSE_SUSPENSION_NOTICE_EXACT_IDENTITY").alias("status_quality"), F.col("evidence_id").alias("source_reference"))

@@ -140,7 +140,7 @@ def observation_status_on(requests: DataFrame, calendar: DataFrame, master: Data
     r = requests.select("security_id", "date").distinct().join(F.broadcast(s), "date", "left")
     listed = interval_join(r.select("security_id", "date"), master.select("security_id", "effective_from", "effective_to"), "security_id", how="inner").select("security_id", "date").distinct().withColumn("listed_", F.lit(True))
     held = interval_join(r.select("security_id", "date"), intervals.select("security_id", "status_start", "status_end", "trading_status"), "security_id", start="status_start", end="status_end", how="inner").groupBy("security_id", "date").agg(F.bool_or(F.col("trading_status") == "SUSPENDED").alias("suspended_"), F.bool_or(F.col("trading_status") == "DELISTED").alias("delisted_"))
-    p = prices.groupBy("security_id", "date").agg(F.max(F.coalesce("volume", F.lit(0))).alias("volume_"))
+    p = prices.join(r.select("security_id", "date"), ["security_id", "date"], "left_semi").groupBy("security_id", "date").agg(F.max(F.coalesce("volume", F.lit(0))).alias("volume_"))
     x = r.join(listed, ["security_id", "date"], "left").join(held, ["security_id", "date"], "left").join(p, ["security_id", "date"], "left")
     return x.select("security_id", "date", F.when(F.col("session_").isNull(), "NO_MARKET_SESSION").when(F.col("listed_").isNull(), "SECURITY_NOT_LISTED").when(F.col("suspended_"), "SECURITY_SUSPENDED").when(F.col("delisted_"), "SECURITY_NOT_LISTED").when(F.col("volume_") > 0, "TRADED").when(F.col("volume_").isNotNull(), "NO_TRADE").otherwise("UNKNOWN").alias("observation_status"))
 
