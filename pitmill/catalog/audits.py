@@ -332,11 +332,11 @@ def h54_release_facts(spark: SparkSession, d: str) -> DataFrame:
     return audit.release_facts(intervals_of(spark, d), boundaries_of(spark, d), table(spark, d, "events_in"))
 
 
-@query("""WITH r AS (SELECT concat('CA_', CAST(o_orderkey AS VARCHAR)) AS event_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('EV', CAST(o_custkey AS VARCHAR)) END AS evidence_id FROM {orders}), e AS (SELECT concat('EV', CAST(c_custkey AS VARCHAR)) AS evidence_id, CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' ELSE NULL END AS of_, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'http://x' END AS url FROM {customer} WHERE c_custkey % 4 <> 0)
+@query("""WITH r AS (SELECT concat('CA_', CAST(o_orderkey AS VARCHAR)) AS event_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('EV', CAST(o_custkey AS VARCHAR)) END AS evidence_id FROM {orders}), e AS (SELECT concat(CASE WHEN c_custkey % 4 = 0 THEN 'OLD' ELSE 'EV' END, CAST(c_custkey AS VARCHAR)) AS evidence_id, CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' ELSE NULL END AS of_, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'http://x' END AS url FROM {customer})
 SELECT r.event_id, r.evidence_id, unnest(list_filter([CASE WHEN r.evidence_id IS NULL THEN 'NO_EVIDENCE' END, CASE WHEN r.evidence_id IS NOT NULL AND e.evidence_id IS NULL THEN 'UNKNOWN_EVIDENCE' END, CASE WHEN e.evidence_id IS NOT NULL AND of_ IS DISTINCT FROM r.event_id THEN 'EVENT_MISMATCH' END, CASE WHEN e.evidence_id IS NOT NULL AND url = '' THEN 'MISSING_URL' END], lambda x: x IS NOT NULL)) AS failure FROM r LEFT JOIN e ON e.evidence_id = r.evidence_id""")
 def h16_evidence_integrity(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "orders").select(F.concat(F.lit("CA_"), F.col("o_orderkey").cast("string")).alias("event_id"), F.expr("CASE WHEN o_orderkey % 5 = 0 THEN cast(array() as array<string>) ELSE array(concat('EV', cast(o_custkey as string))) END").alias("evidence_references"))
-    e = table(spark, d, "customer").where("c_custkey % 4 <> 0").select(F.expr("concat('EV', cast(c_custkey as string))").alias("evidence_id"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' END").alias("event_id"), F.expr("CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'http://x' END").alias("source_url"))
+    e = table(spark, d, "customer").select(F.expr("concat(CASE WHEN c_custkey % 4 = 0 THEN 'OLD' ELSE 'EV' END, cast(c_custkey as string))").alias("evidence_id"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' END").alias("event_id"), F.expr("CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'http://x' END").alias("source_url"))
     return audit.validate_evidence(r, e)
 
 

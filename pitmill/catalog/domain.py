@@ -281,14 +281,15 @@ def h17_status_intervals(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {_STATUS},
 pt AS (SELECT n.security_id, n.evidence_id, n.effective_date AS a, min(p.date) AS nx FROM {{suspensions}} n JOIN {{panel}} p ON p.security_id = n.security_id AND p.date >= n.effective_date WHERE event_type = 'SUSPENSION_START' GROUP BY 1, 2, 3),
-days AS (SELECT security_id, unnest(generate_series(status_start, coalesce(status_end, date '2003-12-31'), INTERVAL 1 DAY))::DATE AS d, status_start, trading_status AS ts, source_reference AS sr FROM stat),
-hit AS (SELECT days.security_id, days.d, status_start, ts, sr, max_by(evidence_id, (a, evidence_id)) AS ev FROM days LEFT JOIN pt ON pt.security_id = days.security_id AND nx > a AND d BETWEEN a AND nx - 1 GROUP BY 1, 2, 3, 4, 5)
-SELECT security_id, CASE WHEN ev IS NOT NULL THEN 'SUSPENDED' ELSE ts END AS trading_status, coalesce(ev, sr) AS source_reference, count(*) AS days, min(d) AS first_day FROM hit GROUP BY 1, 2, 3""")
+days AS (SELECT security_id, unnest(generate_series(status_start, least(coalesce(status_end, date '2003-12-31'), date '2003-12-31'), INTERVAL 1 DAY))::DATE AS d, status_start, trading_status AS ts, source_reference AS sr FROM stat),
+hit AS (SELECT days.security_id, days.d, status_start, ts, sr, max_by(evidence_id, (a, evidence_id)) AS ev FROM days LEFT JOIN pt ON pt.security_id = days.security_id AND nx > a AND d BETWEEN a AND nx - 1 GROUP BY 1, 2, 3, 4, 5),
+isl AS (SELECT *, d - CAST(row_number() OVER (PARTITION BY security_id, status_start, ts, sr, ev ORDER BY d) AS INT) AS island FROM hit)
+SELECT security_id, min(d) AS status_start, max(d) AS status_end, CASE WHEN ev IS NOT NULL THEN 'SUSPENDED' ELSE ts END AS trading_status, coalesce(ev, sr) AS source_reference FROM isl GROUP BY security_id, isl.status_start, ts, sr, ev, island""")
 def h18_suspension_overlay(spark: SparkSession, d: str) -> DataFrame:
-    """Days and first day of every status and source: the intervals, whatever their cuts."""
+    """The intervals up to the end of 2003, where open ones are cut."""
     out = status.suspension_overlay(intervals_of(spark, d), table(spark, d, "suspensions"), table(spark, d, "panel"))
-    end = F.coalesce("status_end", F.lit("2003-12-31").cast("date"))
-    return out.groupBy("security_id", "trading_status", "source_reference").agg(F.sum(F.datediff(end, "status_start") + 1).alias("days"), F.min("status_start").alias("first_day"))
+    end = F.lit("2003-12-31").cast("date")
+    return out.where(F.col("status_start") <= end).select("security_id", "status_start", F.least(F.coalesce("status_end", end), end).alias("status_end"), "trading_status", "source_reference")
 
 
 @query(r"""WITH m AS (SELECT DISTINCT regexp_replace(regexp_replace(trim(regexp_replace(upper(company_name), '[^A-Z0-9]+', ' ', 'g')), '\bLIMITED\b', 'LTD', 'g'), '\bCOMPANY\b', 'CO', 'g') AS name FROM (SELECT concat(p_name, CASE p_partkey % 2 WHEN 0 THEN ' Limited' ELSE ' Ltd' END) AS company_name FROM {part})),

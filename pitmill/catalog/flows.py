@@ -61,13 +61,13 @@ def a6_publish_json(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@query("""SELECT coalesce(e.doc_id, a.doc_id) AS path, CASE WHEN a.doc_id IS NULL THEN 'MISSING' WHEN e.doc_id IS NULL THEN 'UNMANIFESTED' WHEN e.b <> a.b THEN 'SIZE_MISMATCH' WHEN e.h <> a.h THEN 'HASH_MISMATCH' ELSE 'OK' END AS status
-FROM (SELECT doc_id, length(text) + CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END AS b, sha256(text || CASE WHEN doc_id % 13 = 0 THEN 'x' ELSE '' END) AS h FROM {documents} WHERE doc_id % 7 <> 0) e FULL JOIN (SELECT doc_id, length(text) AS b, sha256(text) AS h FROM {documents} WHERE doc_id % 5 <> 0) a ON a.doc_id = e.doc_id""")
+@query("""SELECT coalesce(e.path, a.path) AS path, CASE WHEN a.path IS NULL THEN 'MISSING' WHEN e.path IS NULL THEN 'UNMANIFESTED' WHEN e.b <> a.b THEN 'SIZE_MISMATCH' WHEN e.h <> a.h THEN 'HASH_MISMATCH' ELSE 'OK' END AS status
+FROM (SELECT CASE WHEN doc_id % 7 = 0 THEN -1 - doc_id ELSE doc_id END AS path, length(text) + CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END AS b, sha256(text || CASE WHEN doc_id % 13 = 0 THEN 'x' ELSE '' END) AS h FROM {documents}) e FULL JOIN (SELECT CASE WHEN doc_id % 5 = 0 THEN doc_id + 1000000000000 ELSE doc_id END AS path, length(text) AS b, sha256(text) AS h FROM {documents}) a ON a.path = e.path""")
 def a11_verify_manifest(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    made = lambda df, b, h: df.select(F.col("doc_id").alias("path"), b.alias("bytes"), F.sha2(h.cast("binary"), 256).alias("sha256"))
-    e = made(docs.where("doc_id % 7 <> 0"), F.length("text") + F.expr("CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END"), F.concat("text", F.expr("CASE WHEN doc_id % 13 = 0 THEN 'x' ELSE '' END")))
-    return files.verify_manifest(e, made(docs.where("doc_id % 5 <> 0"), F.length("text"), F.col("text")))
+    made = lambda path, b, h: docs.select(F.expr(path).alias("path"), b.alias("bytes"), F.sha2(h.cast("binary"), 256).alias("sha256"))
+    e = made("CASE WHEN doc_id % 7 = 0 THEN -1 - doc_id ELSE doc_id END", F.length("text") + F.expr("CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END"), F.concat("text", F.expr("CASE WHEN doc_id % 13 = 0 THEN 'x' ELSE '' END")))
+    return files.verify_manifest(e, made("CASE WHEN doc_id % 5 = 0 THEN doc_id + 1000000000000 ELSE doc_id END", F.length("text"), F.col("text")))
 
 
 @query("SELECT security_id, event_date, event_type, CASE WHEN event_type = 'DIVIDEND' THEN cash_dividend_per_share END AS amount FROM (SELECT DISTINCT security_id, event_date, event_type, cash_dividend_per_share FROM {events_in}) WHERE event_date IS NOT NULL")
