@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Paths of the tables staged in this process, oldest first.
+#: Paths for staged tables given out in this process, oldest first.
 _STAGED: list[str] = []
 #: A side of at most so many bytes may be sent to every task.
 SMALL = 8 << 20
@@ -37,14 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 def staged_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for a written table."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again."""
     path = staged_path(df.sparkSession, label)
     df.write.parquet(path)
-    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
