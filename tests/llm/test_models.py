@@ -296,6 +296,25 @@ def test_pipeline_decisions(spark, tmp_path):
     assert pieces.decode_ids(v, np.array(got[5])).decode() == rows[5][1]
 
 
+def test_pipeline_with_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    cols = "doc_id long, text string, lang string, source string, n_chars long, sha string, blob string, row string, spans string, fp_ long"
+    rows = [(i, t, lang, "s", len(t), "a", "b", "c", "d", 1) for i, t, lang, _ in _corpus(30)]
+    rows += [rows[3], (3, "another text with the same id er and thi wh er and", "aa", None, None, None, None, None, None, None), (None, rows[4][1], "aa", "s", 1, "a", "b", "c", "d", 1), (None, None, None, None, None, None, None, None, None, None), (70, "", "aa", "s", 0, "a", "b", "c", "d", 1)]
+    docs = spark.createDataFrame(rows, cols)
+    (tmp_path / "full").mkdir()
+    spark.createDataFrame([(1, None), (2, ""), (None, "thi er")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for given in (docs, docs.limit(0)):
+        out = given
+        for _, step in corpus_pipeline.STAGES:
+            before, out = out, step(spark, out, str(tmp_path)).cache()
+            assert out.columns == (before.columns if step is not corpus_pipeline.STAGES[-1][1] else ["doc_id", "pieces"])
+        got = collections.Counter(r.doc_id for r in out.collect())
+        # repeated rows are one, two texts with one id are two, rows without an id stay, null and empty texts go
+        assert got == ({**{i: 1 for i in range(30)}, 3: 2, None: 1} if given is docs else {})
+
+
 def test_every_word_is_a_training_target(spark):
     count = np.array([0, 1, 5, 0, 8, 2, 33])
     taken = np.concatenate([lmscore.targets(count, t) for t in range(lmscore.ROUNDS)])
