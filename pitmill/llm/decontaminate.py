@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
+from pitmill.llm.workers import lean
 from pitmill.plans.staging import maybe_broadcast, stage
 
 SHINGLE, BLOCK, HASHES = 5, 16, 64
@@ -133,6 +134,7 @@ def _passes(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: float = 0.8) -> DataFrame:
     """``(doc_id, item_id, shared, item_shingles, containment, text_sha256)`` of each document and item that it holds."""
 
+    @lean
     def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, part, keys = [], [], []
@@ -150,6 +152,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     spread = of_item.select("item_id", F.explode("keys").alias("key"))
     bloom = docs.sparkSession.sparkContext.broadcast(_bloom(spread.select("key").distinct()))
 
+    @lean
     def of_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[np.ndarray] = [np.empty(0, np.uint64)] * batch.num_rows
@@ -166,6 +169,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     pairs = hits.select("row", F.explode("keys").alias("key")).join(spread, "key").select("row", "item_id").distinct()
     both = pairs.join(hits.select("row", "doc_id", F.lower("text").alias("lower"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "row").join(tests.select("item_id", F.lower("item").alias("item")), "item_id")
 
+    @lean
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held, items = None, set(), {}
         for batch in batches:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.llm.sampling import first_by_hash
+from pitmill.llm.workers import lean
 from pitmill.plans.staging import stage
 
 #: Cells are the root of the number of nodes divided by SPREAD; a query asks PROBES of them.
@@ -245,6 +246,7 @@ def build_index(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: s
     nodes = stage(kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("dim", F.size("v")), "vectors")
     held = nodes.sparkSession.sparkContext.broadcast(_to_centroids(nodes, spread))  # the root of the number of nodes, and of bounded size
 
+    @lean
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims, cell = np.asarray(batch.column(2)), np.zeros(batch.num_rows, np.int32)
@@ -299,6 +301,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str
         route[dim] = (cells[names[0]][1], np.array([cells[n][0] for n in names], np.float64), members)
     held = index.sparkSession.sparkContext.broadcast(route)
 
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims, to = np.asarray(batch.column(2)), [np.empty(0, np.int32)] * batch.num_rows
@@ -321,6 +324,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str
     grouped = blocked.join(asked.select("q", "query_id", "v"), "q").groupBy("shard", "block").agg(F.collect_list(F.struct("q", "query_id", "v")).alias("asked"))
     pairs = grouped.join(index.select("shard", "dim", "n", "ids", "n_ids", "vectors", "entry", "graphs"), "shard")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

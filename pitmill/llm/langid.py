@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm.sampling import first_by_hash
+from pitmill.llm.workers import lean
 
 SPAN, HIDDEN = 64, 8
 #: At most so many texts of each language, each with so many windows, are learned from.
@@ -214,6 +215,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """``(doc_id, lang_pred, score)`` of every row."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters a language
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang, score = _label(held.value, [x or b"" for x in batch.column(1).to_pylist()], batch.column(2).to_pylist())
@@ -233,6 +235,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [(x or "").encode() for x in batch.column(at).to_pylist()]

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
 from pitmill.llm.sampling import first_by_hash
+from pitmill.llm.workers import lean
 
 #: The usual short notices of public licence families.
 TEMPLATES = {
@@ -295,6 +296,7 @@ def fit_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("k"), F.col(text_col).cast("binary").alias("text"), F.lit(0).alias("all")).where("text is not null")
     first = first_by_hash(rows, "all", "k", NEGATIVE_DOCS)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, out = batch.column(0).to_pylist(), []
@@ -313,6 +315,7 @@ def find_licenses(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
     """``(doc_id, paragraph, line, family, probability, similarity, status)`` of every paragraph's licences."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts, found = batch.column(0).to_pylist(), [x or b"" for x in batch.column(1).to_pylist()], []

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
+from pitmill.llm.workers import lean
 from pitmill.plans.staging import stage
 
 ENDINGS, SLOTS, SUFFIX = 64, 128, 3
@@ -219,6 +220,7 @@ def log_likelihood(n: Network, bucket: np.ndarray, count: np.ndarray) -> np.ndar
 def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(key, words)`` of every text with words: a hash of id and text, and the buckets as bytes; written to the shared folder."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bucket, count = buckets([x or b"" for x in batch.column(1).to_pylist()])
@@ -233,6 +235,7 @@ def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _count(words: DataFrame) -> np.ndarray:
     """Words of each bucket over all texts; at most BUCKETS rows reach the driver."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
@@ -265,6 +268,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stream:
     for turn in range(ROUNDS):
         start = context.broadcast(net.flat())  # a fixed number of weights
 
+        @lean
         def run(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
             total, seen = np.zeros(len(start.value)), 0
             now, trainer, done, held, size = None, None, 0, [], 0
@@ -295,6 +299,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stream:
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([seen] * SLICES, pa.int64()), pa.array([x.tobytes() for x in np.array_split(total, SLICES)], pa.binary())], ["slice", "n", "weights"])
 
+        @lean
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, list] = {}
             for batch in batches:
@@ -315,6 +320,7 @@ def score(docs: DataFrame, model: Network, id_col: str = "doc_id", text_col: str
     """``(doc_id, n_words, log_likelihood, mean_log_likelihood)`` of every row."""
     held = docs.sparkSession.sparkContext.broadcast(model.flat())  # a fixed number of weights
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network(held.value)
         for batch in batches:

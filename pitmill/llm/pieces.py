@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitmill.llm.wordvec import mix
+from pitmill.llm.workers import lean
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, PLAIN_MARK = 0x2581, 0x110000
@@ -345,6 +346,7 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     """``(doc_id, text_hash, pieces)`` of every row; ``text_hash`` is XXH64 of the text, to hold a decoded one against."""
     held = docs.sparkSession.sparkContext.broadcast(load(model, sharpness))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = encode_texts(held.value, batch.column(2).to_pylist(), [x or 0 for x in batch.column(0).to_pylist()], seed)
@@ -359,6 +361,7 @@ def decode(encoded: DataFrame, model: str = MODEL, pieces_col: str = "pieces") -
     held = encoded.sparkSession.sparkContext.broadcast(load(model))
     at = encoded.columns.index(pieces_col)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = batch.column(at)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
 from pitmill.llm.decontaminate import shingle_hashes
+from pitmill.llm.workers import lean
 from pitmill.operators.graph import connected_components
 from pitmill.plans.staging import maybe_broadcast, stage
 
@@ -84,6 +85,7 @@ def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(1)), np.uint64, batch.num_rows)
@@ -203,6 +205,7 @@ def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[in
         i, j, far = np.concatenate(out, axis=1)
         return pa.RecordBatch.from_arrays([pa.array(rows["rep"][i]), pa.array(rows["rep"][j]), pa.array(far)], ["a", "b", "far"])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
         n = 0
@@ -302,6 +305,7 @@ def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
     rng = np.random.default_rng(17)
     picked = np.stack([rng.permutation(WORDS * BITS)[:bits] for _ in range(tries)])
 
+    @lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
@@ -332,6 +336,7 @@ def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
 def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, sha, w0 .. w3)`` of every row."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros((batch.num_rows, WORDS), np.uint64)
@@ -347,6 +352,7 @@ def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _verified(links: DataFrame, reps: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """The links whose representatives' shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.empty(0, np.uint64)] * batch.num_rows

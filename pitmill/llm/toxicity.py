@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from pitmill.llm import wordvec
 from pitmill.llm.sampling import first_by_hash
+from pitmill.llm.workers import lean
 from pitmill.plans.staging import stage
 
 WORDS, STARTS, PREFIX = 1 << 15, 1 << 13, 4
@@ -254,6 +255,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     lang = F.col(lang_col) if lang_col in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), lang.cast("string").alias("lang"))
 
+    @lean
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or b"" for x in batch.column(1).to_pylist()]
@@ -288,6 +290,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     """``(doc_id, score)`` of every row."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = score_texts(held.value, [x or b"" for x in batch.column(1).to_pylist()])
