@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from pitmill.catalog.inputs import sql, table
 from pitmill.plans.staging import staged_path
 from pitmill.sources import files
+from pitmill.store import PanelStore
 from pitmill.streaming import ingest
 
 QUERIES: dict = {}
@@ -149,3 +150,20 @@ def i2_stream_findings(spark: SparkSession, d: str) -> DataFrame:
     s = _event_stream(spark, d).withColumns({"open": x, "low": x, "close": x, "high": F.when(F.col("user_id") % 9 == 0, x - 0.5).otherwise(x), "volume": F.lit(1)})
     twice = s.unionByName(s)  # every key comes twice and counts once
     return ingest.run_to_table(ingest.stream_findings(twice, ["event_id"]).select("event_id", "check"), staged_path(spark, "findings"), staged_path(spark, "cp"))
+
+
+# store ------------------------------------------------------------------------------------------
+
+
+def _store(spark: SparkSession, d: str) -> PanelStore:
+    return PanelStore(spark, tables={"daily_prices_raw": table(spark, d, "panel"), "trading_calendar": table(spark, d, "calendar"), "security_master": table(spark, d, "master")}, start="1995-01-01", end="2001-12-31")
+
+
+@query("SELECT security_id, date, raw_close, volume FROM {panel} WHERE security_id = 'S7' AND date BETWEEN date '1996-01-01' AND date '1998-12-31'")
+def h50_history(spark: SparkSession, d: str) -> DataFrame:
+    return _store(spark, d).history("S7", "1996-01-01", "1998-12-31").select("security_id", "date", "raw_close", "volume")
+
+
+@query("SELECT date FROM {calendar} WHERE date BETWEEN date '1996-01-01' AND date '1998-12-31'")
+def h50_sessions_between(spark: SparkSession, d: str) -> DataFrame:
+    return _store(spark, d).sessions_between("1996-01-01", "1998-12-31").select("date")

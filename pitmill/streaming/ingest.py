@@ -73,3 +73,11 @@ def coverage_status(counts: DataFrame, calendar: DataFrame) -> DataFrame:
     """``(date, status)``: PRESENT, MISSING or EXTRA days of a day count against the calendar."""
     got, want = counts.select("date").distinct().withColumn("g", F.lit(True)), calendar.select("date").distinct().withColumn("w", F.lit(True))
     return got.join(want, "date", "full").select("date", F.when(F.col("g").isNull(), "MISSING").when(F.col("w").isNull(), "EXTRA").otherwise("PRESENT").alias("status"))
+
+
+def run_counted(stream: DataFrame, path: str, checkpoint: str) -> tuple[DataFrame, int]:
+    """As ``run_to_table``, with the number of rows that came after the watermark had passed them."""
+    query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start()
+    query.awaitTermination()
+    late = sum(op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators)
+    return stream.sparkSession.read.schema(stream.schema).parquet(path), late

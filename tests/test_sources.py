@@ -81,3 +81,17 @@ def test_a_malformed_line_is_an_error(spark, tmp_path):
     (tmp_path / "y.jsonl").write_text('{"a": 1}\nnot json\n')
     with pytest.raises(Exception, match="MALFORMED"):
         files.read_jsonl(spark, str(tmp_path / "y.jsonl"), "a int").collect()
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    from pitmill.streaming import ingest
+
+    cols = "k long, ts timestamp, open double, high double, low double, close double, volume long"
+    rows = lambda *days: spark.sql(" UNION ALL ".join(f"SELECT {k}L AS k, timestamp '2020-01-{d:02d} 00:00:00' AS ts, 5D AS open, 4D AS high, 3D AS low, 4D AS close, 1L AS volume" for k, d in days))
+    found, late = None, 0
+    for days in (((1, 10), (2, 11)), ((3, 20),), ((4, 12), (5, 20))):
+        rows(*days).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = ingest.stream_findings(spark.readStream.schema(cols).parquet(f"{tmp_path}/in"), ["k"], "ts", "2 days")
+        found, n = ingest.run_counted(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
+        late += n
+    assert late == 1 and sorted(r.k for r in found.collect()) == [1, 2, 3, 5]
