@@ -325,6 +325,11 @@ def h55_dataset_manifest(spark: SparkSession, d: str) -> DataFrame:
     return audit.dataset_manifest({"panel": (table(spark, d, "panel"), "date", "security_id"), "monthly": (table(spark, d, "monthly_in"), "date", "security_id")})
 
 
+@query("SELECT 'active_rows_by_year' AS kind, CAST(year(date) AS VARCHAR) AS name, count(*) AS rows FROM {panel} GROUP BY 2 UNION ALL SELECT 'identity_quality', coalesce(identity_quality, 'UNKNOWN'), count(*) FROM {master} GROUP BY 2")
+def h55_coverage_counts(spark: SparkSession, d: str) -> DataFrame:
+    return audit.coverage_counts(table(spark, d, "panel"), table(spark, d, "master"))
+
+
 @query(f"""WITH {_BOUNDARIES}, {_STATUS}, o AS (SELECT *, max(coalesce(status_end, date '9999-12-31')) OVER (PARTITION BY security_id ORDER BY status_start, coalesce(status_end, date '9999-12-31') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM stat)
 SELECT 'status_intervals' AS metric, count(*) AS value FROM stat UNION ALL SELECT 'open_intervals', count(*) FROM stat WHERE status_end IS NULL UNION ALL SELECT 'suspended_intervals', count(*) FROM stat WHERE trading_status = 'SUSPENDED' UNION ALL SELECT 'boundaries', count(*) FROM bounds UNION ALL SELECT 'boundaries_pass', count(*) FROM bounds WHERE validation_status LIKE 'PASS%'
 UNION ALL SELECT 'boundaries_warning', count(*) FROM bounds WHERE validation_status = 'WARNING_LARGE_BOUNDARY_MOVE' UNION ALL SELECT 'events', count(*) FROM {{events_in}} UNION ALL SELECT 'events_unlinked', count(*) FROM {{events_in}} WHERE security_id IS NULL UNION ALL SELECT 'status_overlaps', count(*) FROM o WHERE status_start <= h""")

@@ -61,19 +61,29 @@ def h10_liquidity_features(spark: SparkSession, d: str) -> DataFrame:
     return features_of(spark, d).select("security_id", "date", "history_sessions", "observed_history_sessions", "listing_age_calendar_days", *_COUNTS, *[_ROUND(c, 4) for c in _VALUES], "stale_price_days_60", _ROUND("liquidity_percentile_126", 8), "liquidity_rank_126", "liquidity_bucket_126")
 
 
-@query("""
+_OBSERVED = """
 WITH w AS (SELECT p.*, row_number() OVER a AS history_sessions, date_diff('day', min(date) OVER (PARTITION BY security_id), date) AS listing_age_calendar_days, count(traded_value) OVER b AS valid_trade_days_60, count(*) FILTER (WHERE coalesce(volume, 0) <= 0) OVER b AS zero_volume_days_60,
     quantile_cont(traded_value, 0.5) OVER b AS med, avg(traded_value) OVER b AS av, lag(raw_close) OVER a AS prev FROM {panel} p
   WINDOW a AS (PARTITION BY security_id ORDER BY date), b AS (PARTITION BY security_id ORDER BY date ROWS 59 PRECEDING)),
 x AS (SELECT *, count(*) FILTER (WHERE raw_close = prev) OVER (PARTITION BY security_id ORDER BY date ROWS 58 PRECEDING) AS stale_price_days_60,
     CASE WHEN med IS NOT NULL THEN row_number() OVER (PARTITION BY date, med IS NULL ORDER BY med, security_id) / count(*) OVER (PARTITION BY date, med IS NULL) END AS pct FROM w)
 SELECT security_id, date, history_sessions, listing_age_calendar_days, valid_trade_days_60, zero_volume_days_60, round(med + 1e-7, 4) AS median_traded_value_60, round(av + 1e-7, 4) AS average_traded_value_60, stale_price_days_60, round(pct + 1e-7, 8) AS liquidity_percentile_60,
-  CASE WHEN pct > 0.8 THEN 'LIQUIDITY_Q1' WHEN pct > 0.6 THEN 'LIQUIDITY_Q2' WHEN pct > 0.4 THEN 'LIQUIDITY_Q3' WHEN pct > 0.2 THEN 'LIQUIDITY_Q4' WHEN pct IS NOT NULL THEN 'LIQUIDITY_Q5' END AS liquidity_bucket_60 FROM x""")
+  CASE WHEN pct > 0.8 THEN 'LIQUIDITY_Q1' WHEN pct > 0.6 THEN 'LIQUIDITY_Q2' WHEN pct > 0.4 THEN 'LIQUIDITY_Q3' WHEN pct > 0.2 THEN 'LIQUIDITY_Q4' WHEN pct IS NOT NULL THEN 'LIQUIDITY_Q5' END AS liquidity_bucket_60 FROM x"""
+
+
+@query(_OBSERVED)
 def h11_observation_liquidity(spark: SparkSession, d: str) -> DataFrame:
     out = features.observation_liquidity(table(spark, d, "panel"), (60,))
     return out.select("security_id", "date", "history_sessions", "listing_age_calendar_days", "valid_trade_days_60", "zero_volume_days_60", _ROUND("median_traded_value_60", 4), _ROUND("average_traded_value_60", 4), "stale_price_days_60", _ROUND("liquidity_percentile_60", 8), "liquidity_bucket_60")
 
 
+@query(f"SELECT * FROM ({_OBSERVED.strip()}) AS o WHERE date = date '1999-06-30'")
+def h11_liquidity_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of one date, made of rows up to it."""
+    out = features.liquidity_as_of(table(spark, d, "panel"), "1999-06-30", 60)
+    return out.select("security_id", "date", "history_sessions", "listing_age_calendar_days", "valid_trade_days_60", "zero_volume_days_60", _ROUND("median_traded_value_60", 4), _ROUND("average_traded_value_60", 4), "stale_price_days_60", _ROUND("liquidity_percentile_60", 8), "liquidity_bucket_60")
+
+
 @query("""SELECT date, row_number() OVER (ORDER BY date) - 1 AS session_index, array_to_string(list_sort(list(DISTINCT source_file_id)), ',') AS source_file_ids, count(DISTINCT source_file_id) AS source_file_count, count(DISTINCT security_id) AS observed_security_count,
   count(*) FILTER (WHERE instrument_type = 'ORDINARY_EQUITY') AS ordinary_equity_observation_count, count(*) FILTER (WHERE instrument_type <> 'ORDINARY_EQUITY') AS non_ordinary_observation_count, count(*) AS observation_count FROM {panel} GROUP BY date""")
 def d2_trading_calendar(spark: SparkSession, d: str) -> DataFrame:

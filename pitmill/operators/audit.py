@@ -411,6 +411,13 @@ def dataset_manifest(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame
     return reduce(DataFrame.unionByName, [of(n, *t) for n, t in tables.items()])
 
 
+def coverage_counts(active: DataFrame, master: DataFrame) -> DataFrame:
+    """``(kind, name, rows)``: active rows by year, and identities by quality (UNKNOWN where there is none)."""
+    years = active.groupBy(F.year("date").cast("string").alias("name")).agg(F.count("*").alias("rows")).select(F.lit("active_rows_by_year").alias("kind"), "*")
+    quality = master.groupBy(F.coalesce("identity_quality", F.lit("UNKNOWN")).alias("name")).agg(F.count("*").alias("rows")).select(F.lit("identity_quality").alias("kind"), "*")
+    return years.unionByName(quality)
+
+
 def release_facts(intervals: DataFrame, boundaries: DataFrame, events: DataFrame) -> DataFrame:
     """``(metric, value)``: interval overlaps, open and suspended intervals, boundary statuses that need work, unlinked events."""
     from pitmill.operators.intervals import overlaps
