@@ -310,7 +310,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stream:
 
         trained = dealt.repartitionByRange(tasks, "stream").sortWithinPartitions("stream", "key").select("stream", "words").mapInArrow(run, "slice int, n long, weights binary")
         # a slice's sums of all tasks are added in one task, SLICES of them reach the driver
-        sums = {r["slice"]: r for r in trained.repartition(SLICES, "slice").mapInArrow(add, "slice int, n long, weights binary").collect()}
+        sums = {r["slice"]: r for r in trained.repartition("slice").mapInArrow(add, "slice int, n long, weights binary").collect()}
         if sums:
             net = network(np.concatenate([np.frombuffer(bytes(sums[k]["weights"]), np.float64) / sums[k]["n"] for k in range(SLICES)]))
     return net
