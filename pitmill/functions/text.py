@@ -64,12 +64,23 @@ def _plain() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(to), more
 
 
+def _ranges(points: list[int], gap: int = 64) -> list[tuple[int, int]]:
+    """Ranges that hold the points; two no further apart than ``gap`` share one beyond Latin, where few texts go."""
+    out: list[tuple[int, int]] = []
+    for p in points:
+        if out and p - out[-1][1] <= (1 if p < 0x2000 else gap):
+            out[-1] = (out[-1][0], p)
+        else:
+            out.append((p, p))
+    return out
+
+
 def fold_accents(text: Column) -> Column:
     """What a compatibility decomposition (NFKD) leaves of a text in ASCII; characters beyond the basic plane go."""
     one, to, more = _plain()
     long = F.create_map(*[F.lit(x) for pair in more.items() for x in pair])
     spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(long, c), c)), "")
-    has_long = text.rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in more) + "]")
+    has_long = text.rlike("[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _ranges(sorted(map(ord, more)))) + "]")
     plain = lambda x: F.regexp_replace(F.translate(x, one, to), r"[^\x00-\x7f]", "")
     return F.when(~text.rlike(r"[^\x00-\x7f]"), text).when(has_long, plain(spelled)).otherwise(plain(text))
 
