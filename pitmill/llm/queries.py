@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitmill.llm import decontaminate, hnsw, langid, licenses, lmscore, pieces, secrets, simhash, toxicity, urlfilter
+from pitmill.llm import decontaminate, hnsw, langid, licenses, lmscore, pieces, quality, resample, secrets, simhash, toxicity, urlfilter, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,5 +122,47 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_hnsw, op2_lm_scoring, op3_decontaminate, op4_sentencepiece, op5_language_id, op6_license_scans, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash)}
-ORACLE_SQL = {"op3_decontaminate": _op3_sql(), "op7_url_filters": _op7_sql(), "op8_secret_scans": _op8_sql()}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xs = whitening.whole_numbers(_table(spark, sf_dir, "embeddings"))
+    return whitening.whiten(xs, whitening.fit_whitening(xs, 4), 4)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit_lines(docs, _table(spark, sf_dir, "labels")))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _op13_sql() -> str:
+    def words(table: str) -> str:
+        text = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"list_filter(string_split_regex(coalesce({text}, ''), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM {table}"
+
+    # the checksum of a word from its bytes: the table of all 256 remainders, then a byte after the other
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    return f"""
+WITH RECURSIVE r(b, k, c) AS (SELECT range, 0, range::UBIGINT FROM range(256) UNION ALL SELECT b, k + 1, {step} FROM r WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM r WHERE k = 8),
+d AS (SELECT doc_id, row_number() OVER () AS n, {words('documents')}),
+e AS (SELECT {words('benchmark')}),
+dw AS (SELECT n, unnest(w) AS word FROM d),
+ew AS (SELECT unnest(w) AS word FROM e),
+voc AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM ew)),
+crc AS (SELECT word, xor(list_reduce(list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::UBIGINT),
+    lambda c, x: xor(c // 256, t[((xor(c, x) & 255) + 1)::BIGINT]), 4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS bucket FROM voc, tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN crc USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM ew JOIN crc USING (word) GROUP BY bucket),
+tot AS (SELECT (SELECT count(*) FROM dw) AS sa, (SELECT count(*) FROM ew) AS ta),
+g AS (SELECT s.bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (sa + 10000.0::DOUBLE) / ((s + 1.0::DOUBLE) * (ta + 10000.0::DOUBLE))))::BIGINT AS g FROM s LEFT JOIN t USING (bucket), tot),
+w AS (SELECT n, count(*) AS f, sum(g) AS total FROM dw JOIN crc USING (word) JOIN g USING (bucket) GROUP BY n),
+x AS (SELECT doc_id, n, coalesce(f, 0) AS n_features, CASE WHEN f IS NULL THEN 0 ELSE ((total - ((total % f + f) % f)) // f)::BIGINT END AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS noise FROM d LEFT JOIN w USING (n)),
+k AS (SELECT n, row_number() OVER (ORDER BY weight + noise DESC, doc_id NULLS LAST, n) AS k, count(*) OVER () AS c FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN k <= 10 * c // 100 THEN k END AS rank FROM x LEFT JOIN k USING (n)"""
+
+
+QUERIES = {f.__name__: f for f in (op1_hnsw, op2_lm_scoring, op3_decontaminate, op4_sentencepiece, op5_language_id, op6_license_scans, op7_url_filters, op8_secret_scans, op9_toxicity, op10_simhash, op11_whitening, op12_quality_rules, op13_resample)}
+ORACLE_SQL = {"op3_decontaminate": _op3_sql(), "op7_url_filters": _op7_sql(), "op8_secret_scans": _op8_sql(), "op13_resample": _op13_sql()}
