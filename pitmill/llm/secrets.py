@@ -52,16 +52,17 @@ def _either(word: str) -> str:
 
 
 _NAMES = "|".join(map(_either, ("password", "passwd", "secret", "token"))) + f"|{_either('api')}_?{_either('key')}"
-#: The contract's three kinds, in its order, then the added ones.
+#: The contract's three kinds, in its order, then the added ones. No group is repeated (the JVM's matcher would recurse), and what may be
+#: tried anew at every place of a run of its own letters has a bound (the header of a web token, the type of a key).
 RULES = (
     Rule("assign", f"({_NAMES})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12, base=True),
     Rule("access", "AKIA[A-Z0-9]+", 0, 18, "AKIA", base=True),
     Rule("hex", "[0-9a-f]+", 0, 16, hint="[0-9a-f]{16}", base=True),
-    Rule("pem", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", guard="PRIVATE KEY-----"),
+    Rule("pem", "-----BEGIN [A-Z0-9 ]{0,64}PRIVATE KEY-----", guard="PRIVATE KEY-----", version=2),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", guard="_"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", guard="xox"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}", guard="AIza"),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}", guard="eyJ"),
+    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,512}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}", guard="eyJ", version=2),
 )
 LEDGER = "blob binary, scanned array<string>, spans array<struct<start: long, ord: int, kind: string, rule: string, end: long>>"
 
@@ -130,16 +131,28 @@ def _spans(ledger: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def update_ledger(versions: DataFrame, path: str, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> None:
-    """Scan the pairs of blob and rule version in ``versions`` that the ledger at ``path`` lacks, and append them."""
+    """Scan the pairs of blob and rule version in ``versions`` that the ledger at ``path`` lacks, and append them.
+
+    What the ledger lacks is decided by blobs alone. Where that is little, only the texts of those blobs are taken to be sent
+    by blob, so a call over what is known sends no text.
+    """
     spark = versions.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text, keys = F.coalesce(F.col(text_col), F.lit("")), [r.key for r in rules]
     every = versions.select(_blob(text_col).alias("blob"), text.alias("text"))
+    none = F.array().cast("array<string>")
+    ledger = read_ledger(spark, path)
+    if ledger.isEmpty():
+        lacking = None
+    else:
+        blobs = every.select("blob").distinct()
+        seen = ledger.join(blobs, "blob", "left_semi").select("blob", F.explode("scanned").alias("rule")).where(F.col("rule").isin(keys))
+        seen = seen.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        lacking = blobs.join(seen, "blob", "left").select("blob", F.coalesce("seen", none).alias("seen")).where(F.size("seen") < len(keys))
+        lacking = maybe_broadcast(stage(lacking, "lacking"), F.size("seen") * 24 + 64)
+        every = every.join(lacking.select("blob"), "blob", "left_semi")
     # a limit within each group before and after the shuffle: a blob that many paths hold is sent once a task
     once = every.withColumn("k", F.row_number().over(Window.partitionBy("blob").orderBy("blob"))).where("k = 1").drop("k")
-    keys = [r.key for r in rules]
-    held = _of(read_ledger(spark, path), versions, text_col)
-    seen = held.select("blob", F.explode("scanned").alias("rule")).where(F.col("rule").isin(keys)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-    unseen = once.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>"))).where(F.size("seen") < len(keys))
+    unseen = once.withColumn("seen", none) if lacking is None else once.join(lacking, "blob")
     scan_blobs(unseen, rules).write.mode("append").parquet(path)
 
 

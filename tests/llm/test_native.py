@@ -60,6 +60,32 @@ def test_spans_are_those_of_a_plain_search(spark):
     assert got == {i: _brute(t) for i, t in enumerate(TEXTS * 2)}
 
 
+#: Of each rule's letters, what may make a matcher begin again and again.
+SAME = {
+    "assign": ["password ", "token=", "api_key'  ", "secret:\" "], "access": ["AKIA", "AKI"], "hex": ["0", "0123456789abcde "], "pem": ["-----BEGIN ", "A ", "RSA PRIVATE KEY-----"], "github": ["ghp_", "ghp_a "],
+    "slack": ["xoxb-", "xox"], "google": ["AIza", "AIza-_ "], "jwt": ["eyJ", "eyJaaaaaaaa.", "eyJ-eyJ_"],
+}
+
+
+def test_megabytes_of_a_rules_own_letters(spark):
+    texts = [("-----BEGIN " if kind == "pem" else "eyJaaaaaaaa." if kind == "jwt" else "") + x * (1_000_000 // len(x)) + end for kind, xs in SAME.items() for x in xs for end in ("", " PRIVATE KEY-----", ".eyJ")]
+    assert set(SAME) == {r.kind for r in secrets.RULES}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(12)
+    got = {r.doc_id: r.s for r in secrets.find_secrets(docs).select("doc_id", secrets.joined(secrets.F.col("spans")).alias("s")).collect()}
+    assert got == {i: _brute(t) for i, t in enumerate(texts)}
+
+
+def test_a_call_over_what_is_known_writes_and_sends_no_text(spark):
+    path = f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/ledger"
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    secrets.update_ledger(docs, path)
+    held = secrets.read_ledger(spark, path).count()
+    secrets.update_ledger(docs.union(docs), path)
+    assert secrets.read_ledger(spark, path).count() == held == len(set(t or "" for t in TEXTS))
+    again = {r.doc_id: r.s for r in secrets.find_secrets(docs, ledger=path).select("doc_id", secrets.joined(secrets.F.col("spans")).alias("s")).collect()}
+    assert again == {i: _brute(t) for i, t in enumerate(TEXTS)}
+
+
 def test_ledger_scans_new_pairs_only(spark):
     path = f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/ledger"
     docs = spark.createDataFrame([(1, TEXTS[0]), (2, TEXTS[0]), (3, TEXTS[5])], "doc_id long, text string")
