@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitmill.catalog.domain import _ADJUSTED, _BOUNDARIES, _R, _STATUS, adjusted_of, boundaries_of, intervals_of
 from pitmill.catalog.inputs import sql, table
-from pitmill.operators import audit, regression
+from pitmill.operators import audit, promotion, regression
 from pitmill.operators.features import observation_liquidity
 from pitmill.spec import ProfileSpec
 
@@ -163,39 +165,84 @@ def h38_readiness_by_year(spark: SparkSession, d: str) -> DataFrame:
     return audit.readiness_by_year(table(spark, d, "monthly_in"), table(spark, d, "calendar"), table(spark, d, "events_in"), boundaries_of(spark, d), table(spark, d, "terminal_events"), "top25_liquidity")
 
 
-_AUDIT = f"""{_BOUNDARIES},
-cs AS (SELECT CAST(unnest(['1995-06-01', '1996-06-01', '1997-06-01', '1998-06-01']) AS DATE) AS s), dy AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS n FROM (SELECT DISTINCT date FROM {{calendar}})),
-de AS (SELECT s, min(n) AS decision_session_index, min(date) AS first_decision_session FROM cs LEFT JOIN dy ON date >= s AND date < date '2000-01-01' GROUP BY 1),
-ex AS (SELECT s, min(d) AS first_expected_snapshot FROM (SELECT s, date_trunc('month', date) AS mo, max(date) AS d FROM cs JOIN dy ON date >= s AND date < date '2000-01-01' GROUP BY 1, 2) GROUP BY 1),
-sc AS (SELECT s, m.* FROM cs JOIN {{monthly_in}} m ON m.date >= s AND m.date < date '2000-01-01'),
-co AS (SELECT s, count(*) AS monthly_rows, min(date) AS first_materialized_snapshot, count(DISTINCT date) AS monthly_snapshots FROM sc GROUP BY 1),
-pe AS (SELECT s, security_id, count(*) AS rows, min(date) AS fr, bool_and(research_identity_ok) AS i, bool_and(price_adjustment_ok) AS p, bool_and(instrument_type = 'ORDINARY_EQUITY') AS o, bool_and(status_quality NOT IN ('UNKNOWN_STATUS', 'UNRESOLVED')) AS t FROM sc WHERE {_INSIDE} GROUP BY 1, 2),
-re AS (SELECT s, sum(rows) AS required_rows, count(*) AS required_securities, count(*) FILTER (WHERE NOT i) AS identity_failures, count(*) FILTER (WHERE NOT p) AS price_adjustment_failures, count(*) FILTER (WHERE NOT o) AS instrument_failures, count(*) FILTER (WHERE NOT t) AS status_failures FROM pe GROUP BY 1),
-ma AS (SELECT pe.s, e.event_id, e.price_factor, e.share_factor, coalesce(b.validation_status, 'NO_BOUNDARY_VALIDATION') AS v, de2.n AS en, decision_session_index AS dn FROM pe JOIN {{events_in}} e USING (security_id) JOIN de ON de.s = pe.s LEFT JOIN bounds b ON b.event_id = e.event_id LEFT JOIN dy de2 ON de2.date = e.event_date LEFT JOIN dy fd ON fd.date = pe.fr
-  WHERE e.event_type IN ('SPLIT', 'BONUS') AND e.event_date < date '2000-01-01' AND (e.event_date >= pe.fr OR de2.n >= fd.n - 300)),
-mc AS (SELECT s, count(DISTINCT event_id) AS material_events, count(DISTINCT event_id) FILTER (WHERE price_factor IS NULL OR share_factor IS NULL) AS material_missing_factors, count(DISTINCT event_id) FILTER (WHERE v NOT LIKE 'PASS%' AND en >= dn - 300) AS signal_window_non_pass_boundaries FROM ma GROUP BY 1),
-au AS (SELECT s AS candidate_start, decision_session_index, first_decision_session, first_expected_snapshot, first_materialized_snapshot, monthly_rows, monthly_snapshots, required_rows, required_securities, identity_failures, price_adjustment_failures, instrument_failures, status_failures, coalesce(material_events, 0) AS material_events, coalesce(material_missing_factors, 0) AS material_missing_factors, coalesce(signal_window_non_pass_boundaries, 0) AS signal_window_non_pass_boundaries
-  FROM cs JOIN de USING (s) JOIN ex USING (s) JOIN co USING (s) JOIN re USING (s) LEFT JOIN mc USING (s)),
-ga AS (SELECT *, required_securities > 0 AND first_expected_snapshot = first_materialized_snapshot AND identity_failures = 0 AND instrument_failures = 0 AND status_failures = 0 AS pit_universe_gate_pass, price_adjustment_failures = 0 AND material_missing_factors = 0 AS price_action_gate_pass, decision_session_index >= 300 AS feature_gate_pass FROM au)"""
+_NON_BLOCKING, _HARD = str(promotion.NON_BLOCKING), str(promotion.HARD)
+_OPEN = f"v NOT IN {_NON_BLOCKING}"
+#: Counts over the history from each row of ``st`` (s, decision) on, each by its own triangular join.
+_FROM_STARTS = f"""
+pr AS (SELECT * FROM {{promotion_in}} WHERE date < date '2000-01-01' AND security_id IS NOT NULL), inq AS (SELECT * FROM pr WHERE {_INSIDE}),
+ap AS (SELECT security_id, min(date) AS p0, max(date) AS p1 FROM {{adjusted_in}} GROUP BY 1),
+mo AS (SELECT s, count(*) AS monthly_rows, min(date) AS first_materialized_snapshot, count(*) FILTER (WHERE model_handoff_history_ready_300) AS fully_warmed_rows, count(*) FILTER (WHERE signal_history_ready_252) AS signal_ready_252_rows,
+  count(*) FILTER (WHERE signal_history_ready_273) AS signal_ready_273_rows, count(DISTINCT date) AS monthly_snapshots, count(DISTINCT date) FILTER (WHERE date >= decision) AS monthly_snapshots_after_decision FROM st JOIN pr ON date >= s GROUP BY 1),
+pe AS (SELECT s, decision, security_id, min(date) AS fr, bool_and(coalesce(research_identity_ok, false)) AS i, bool_and(coalesce(price_adjustment_ok, false)) AS p,
+  bool_and(coalesce(instrument_type = 'ORDINARY_EQUITY' AND instrument_type_quality <> 'UNRESOLVED', false)) AS o, bool_and(coalesce(status_quality NOT IN ('UNKNOWN_STATUS', 'UNRESOLVED'), false)) AS t FROM st JOIN inq ON date >= s GROUP BY 1, 2, 3),
+en AS (SELECT s, count(*) AS required_securities, count(*) FILTER (WHERE NOT i) AS identity_failures, count(*) FILTER (WHERE NOT p) AS price_adjustment_failures, count(*) FILTER (WHERE NOT o) AS instrument_failures, count(*) FILTER (WHERE NOT t) AS status_failures FROM pe GROUP BY 1),
+ro AS (SELECT s, count(*) AS required_rows, count(*) FILTER (WHERE model_handoff_history_ready_300) AS fully_warmed_required_rows, count(*) FILTER (WHERE w.liquidity_window_definition IS DISTINCT FROM 'OFFICIAL_NSE_SESSION_WINDOW') AS session_liquidity_window_failures
+  FROM st JOIN inq q ON q.date >= s LEFT JOIN {{windows_in}} w ON w.security_id = q.security_id AND w.date = q.date GROUP BY 1),
+ma AS (SELECT pe.s, e.event_id, e.price_factor IS NULL OR e.share_factor IS NULL AS missing, coalesce(b.validation_status, 'NO_BOUNDARY_VALIDATION') AS v, coalesce(xe.n >= xd.n - 300, false) AS sig, coalesce(p0 < e.event_date, false) AS pre, coalesce(p1 >= e.event_date, false) AS post
+  FROM pe JOIN {{promotion_events}} e USING (security_id) LEFT JOIN bounds b ON b.event_id = e.event_id LEFT JOIN ap USING (security_id) LEFT JOIN dy xe ON xe.date = e.event_date LEFT JOIN dy xd ON xd.date = decision LEFT JOIN dy xf ON xf.date = fr
+  WHERE e.event_type IN ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS') AND e.event_date < date '2000-01-01' AND (e.event_date >= fr OR xe.n >= xf.n - 300)),
+mc AS (SELECT s, count(DISTINCT event_id) AS material_events, count(DISTINCT event_id) FILTER (WHERE missing) AS material_missing_factors, count(DISTINCT event_id) FILTER (WHERE {_OPEN}) AS non_pass_boundaries,
+  count(DISTINCT event_id) FILTER (WHERE v IN ('NO_PRE_EVENT_OBSERVATION', 'LEFT_CENSORED_BOUNDARY_VALIDATION')) AS left_censored_boundaries, count(DISTINCT event_id) FILTER (WHERE {_OPEN} AND sig) AS signal_window_non_pass_boundaries,
+  count(DISTINCT event_id) FILTER (WHERE {_OPEN} AND sig AND NOT pre AND post) AS left_censored_non_pass_no_crossing_boundaries, count(DISTINCT event_id) FILTER (WHERE v IN {_HARD} AND sig AND pre AND post) AS contaminating_signal_window_non_pass_boundaries FROM ma GROUP BY 1)"""
+_DAYS = "dy AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS n FROM (SELECT DISTINCT date FROM {calendar}))"
+_SCOPED = (
+    "required_rows", "required_securities", "identity_failures", "price_adjustment_failures", "instrument_failures", "status_failures", "session_liquidity_window_failures", "material_missing_factors",
+    "signal_window_non_pass_boundaries", "left_censored_non_pass_no_crossing_boundaries", "contaminating_signal_window_non_pass_boundaries",
+)
+_PASSES = "required_rows > 0 AND required_securities > 0 AND identity_failures = 0 AND instrument_failures = 0 AND status_failures = 0 AND session_liquidity_window_failures = 0 AND coalesce(material_missing_factors, 0) = 0 AND coalesce(contaminating_signal_window_non_pass_boundaries, 0) = 0"
+#: Every snapshot as a start.
+_REFINED = f"""{_BOUNDARIES}, {_DAYS}, st AS (SELECT DISTINCT date AS s, date AS decision FROM {{promotion_in}} WHERE date < date '2000-01-01' AND security_id IS NOT NULL), {_FROM_STARTS},
+rb AS (SELECT s AS boundary_date, {', '.join(f'coalesce({k}, 0) AS {k}' for k in _SCOPED)}, {_PASSES} AS passes FROM ro JOIN en USING (s) LEFT JOIN mc USING (s))"""
+
+
+@query(f"WITH {_REFINED} SELECT * FROM rb")
+def h27_refined_boundary(spark: SparkSession, d: str) -> DataFrame:
+    t = lambda name: table(spark, d, name)
+    return promotion.refined_boundaries(t("promotion_in"), t("calendar"), t("promotion_events"), boundaries_of(spark, d), t("adjusted_in"), t("windows_in"), "2000-01-01", "top25_liquidity")
+
+
+#: The candidates as starts; ``rb`` of the snapshots comes in under other names.
+_RENAMED = {k: f"{k}_b" for k in ("st", "pr", "inq", "ap", "mo", "pe", "en", "ro", "ma", "mc")}
+_SNAPSHOTS = re.sub(r"\b(" + "|".join(_RENAMED) + r")\b", lambda m: _RENAMED[m[1]], _REFINED.removeprefix(f"{_BOUNDARIES}, {_DAYS}, "))
+_AUDIT = f"""{_BOUNDARIES}, {_DAYS}, {_SNAPSHOTS},
+cs AS (SELECT CAST(unnest({STARTS}) AS DATE) AS s), st AS (SELECT s, min(date) AS decision FROM cs LEFT JOIN dy ON date >= s AND date < date '2000-01-01' GROUP BY 1), {_FROM_STARTS},
+ex AS (SELECT s, min(d) AS first_expected_snapshot FROM (SELECT s, date_trunc('month', date) AS mo_, max(date) AS d FROM cs JOIN dy ON date >= s AND date < date '2000-01-01' GROUP BY 1, 2) GROUP BY 1),
+rf AS (SELECT s, min(boundary_date) AS refined_earliest_passing_snapshot FROM st JOIN rb ON boundary_date >= decision WHERE passes GROUP BY 1),
+au AS (SELECT st.s AS candidate_start, decision AS first_decision_session, dy.n AS decision_session_index, first_expected_snapshot, first_materialized_snapshot, refined_earliest_passing_snapshot, coalesce(monthly_snapshots_after_decision, 0) AS monthly_snapshots_after_decision,
+    {', '.join(f'coalesce({k}, 0) AS {k}' for k in promotion.COUNTS)}
+  FROM st LEFT JOIN dy ON dy.date = decision LEFT JOIN ex USING (s) LEFT JOIN mo USING (s) LEFT JOIN ro USING (s) LEFT JOIN en USING (s) LEFT JOIN mc USING (s) LEFT JOIN rf USING (s)),
+ga AS (SELECT *, required_securities > 0 AND monthly_snapshots > 0 AND first_expected_snapshot IS NOT DISTINCT FROM first_materialized_snapshot AND first_expected_snapshot IS NOT NULL AND first_decision_session IS NOT NULL AND monthly_snapshots_after_decision > 0
+    AND identity_failures = 0 AND instrument_failures = 0 AND status_failures = 0 AND session_liquidity_window_failures = 0 AS pit_universe_gate_pass,
+  price_adjustment_failures = 0 AND material_missing_factors = 0 AS price_action_gate_pass, contaminating_signal_window_non_pass_boundaries <> 0 AS boundary_validation_review_required,
+  coalesce(required_rows > 0 AND decision_session_index >= 300, false) AS feature_gate_pass, required_rows - fully_warmed_required_rows AS not_fully_warmed_required_rows FROM au),
+gs AS (SELECT *, pit_universe_gate_pass AND price_action_gate_pass AND NOT boundary_validation_review_required AND feature_gate_pass AS all_gates_pass FROM ga)"""
 
 
 def _audit(spark: SparkSession, d: str) -> DataFrame:
-    return audit.candidate_audit(table(spark, d, "monthly_in"), table(spark, d, "calendar"), table(spark, d, "events_in"), boundaries_of(spark, d), STARTS, "2000-01-01", SPEC, "top25_liquidity")
+    t = lambda name: table(spark, d, name)
+    return promotion.candidate_audit(t("promotion_in"), t("calendar"), t("promotion_events"), boundaries_of(spark, d), t("adjusted_in"), t("windows_in"), STARTS, "2000-01-01", "top25_liquidity")
 
 
-@query(f"WITH {_AUDIT} SELECT *, pit_universe_gate_pass AND price_action_gate_pass AND feature_gate_pass AS all_gates_pass FROM ga")
+@query(f"WITH {_AUDIT} SELECT *, CASE WHEN all_gates_pass THEN 'PASS' ELSE 'FAIL' END AS status FROM gs")
 def h26_candidate_audit(spark: SparkSession, d: str) -> DataFrame:
     return _audit(spark, d)
 
 
-@query(f"WITH {_AUDIT} SELECT min(candidate_start) FILTER (WHERE pit_universe_gate_pass AND price_action_gate_pass AND feature_gate_pass) AS earliest_research_ready, min(candidate_start) FILTER (WHERE pit_universe_gate_pass) AS earliest_pit_ready FROM ga")
+@query(f"WITH {_AUDIT} SELECT min(candidate_start) FILTER (WHERE all_gates_pass) AS earliest_research_ready, min(candidate_start) FILTER (WHERE pit_universe_gate_pass) AS earliest_pit_ready FROM gs")
 def h51_candidate_gates(spark: SparkSession, d: str) -> DataFrame:
-    return audit.earliest_ready_start(_audit(spark, d))
+    return promotion.earliest_ready_start(_audit(spark, d))
 
 
-@query(f"""WITH i AS (SELECT * FROM {{monthly_in}} WHERE {_INSIDE}), d AS (SELECT DISTINCT date FROM i) SELECT d.date, count(*) AS suffix_rows, count(*) FILTER (WHERE NOT (research_identity_ok AND price_adjustment_ok)) AS suffix_failures, count(DISTINCT security_id) AS suffix_securities, count(*) FILTER (WHERE NOT (research_identity_ok AND price_adjustment_ok)) = 0 AS passes FROM d JOIN i ON i.date >= d.date GROUP BY 1""")
-def h27_refined_boundary(spark: SparkSession, d: str) -> DataFrame:
-    return audit.refined_boundary(table(spark, d, "monthly_in"), "top25_liquidity")
+@query(f"""WITH {_AUDIT}, be AS (SELECT min(candidate_start) FILTER (WHERE all_gates_pass) AS r, min(refined_earliest_passing_snapshot) AS p FROM gs)
+SELECT 'RESEARCH' AS interval_type, CASE WHEN r IS NULL THEN 'NO_RESEARCH_GATE_PASS' ELSE 'CANDIDATE_RESEARCH_GATE_PASS_AVAILABLE' END AS status, r AS start, date '1998-12-31' AS "end" FROM be
+UNION ALL SELECT 'PIT_UNIVERSE', CASE WHEN p IS NULL THEN 'NO_REFINED_BOUNDARY' ELSE 'CANDIDATE_REFINED_BOUNDARY_AVAILABLE' END, p, date '1998-12-31' FROM be""")
+def h51_recommended_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return promotion.recommended_intervals(_audit(spark, d), "1998-12-31")
+
+
+@query(f"WITH {_AUDIT} SELECT candidate_start, {', '.join(promotion.COUNTS[-7:])} FROM gs WHERE material_events > 0")
+def h41_price_action_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return promotion.price_action_candidates(_audit(spark, d))
 
 
 _NORMAL = ", ".join([f"{f}({'coalesce(' + c + ', 0)' if f == 'max' else c}) AS {c}" for c, f in (("security_id", "min"), ("isin", "min"), ("instrument_type", "min"), ("trading_status", "min"), ("history_sessions", "max"), ("listing_age_sessions", "max"), ("positive_volume_days_60", "max"), ("median_traded_value_60", "max"), ("median_traded_value_126", "max"), ("rank_126", "min"))])
@@ -299,9 +346,9 @@ def h41_identity_promotion(spark: SparkSession, d: str) -> DataFrame:
     return audit.identity_promotion(table(spark, d, "monthly_in"), STARTS, "top25_liquidity")
 
 
-@query(f"WITH {_BOUNDARIES}, c AS (SELECT CAST(unnest({STARTS}) AS DATE) AS candidate_start), r AS (SELECT candidate_start, row_number() OVER (PARTITION BY candidate_start ORDER BY abs(holder_value_ratio - 1) DESC NULLS LAST, event_id) AS k, event_id, security_id, ex_date, validation_status FROM bounds JOIN c ON ex_date >= candidate_start WHERE validation_status NOT LIKE 'PASS%') SELECT * FROM r WHERE k <= 100")
+@query(f"WITH {_BOUNDARIES}, c AS (SELECT CAST(unnest({STARTS}) AS DATE) AS candidate_start), r AS (SELECT candidate_start, row_number() OVER (PARTITION BY candidate_start ORDER BY abs(holder_value_ratio - 1) DESC NULLS LAST, event_id) AS k, event_id, security_id, ex_date, validation_status FROM bounds JOIN c ON ex_date >= candidate_start WHERE validation_status NOT IN {_NON_BLOCKING}) SELECT * FROM r WHERE k <= 100")
 def h41_boundary_blockers(spark: SparkSession, d: str) -> DataFrame:
-    return audit.boundary_blockers(boundaries_of(spark, d), STARTS)
+    return promotion.boundary_blockers(boundaries_of(spark, d), STARTS)
 
 
 @query("SELECT DISTINCT concat('P', CAST(p_partkey AS VARCHAR)) AS security_id, concat('P', CAST(p_partkey AS VARCHAR)) AS symbol, concat(p_name, CASE p_partkey % 9 WHEN 1 THEN ' warrant' ELSE '' END) AS company_name, false AS known_product_symbol FROM {part} WHERE p_partkey % 9 = 1 OR regexp_matches(upper(p_name), 'ETF|BEES|LIQUID|GILT|GOLD|SILVER|FUND|MUTUAL|NIFTY|SENSEX|BANKBEES|JUNIORBEES|PSUBNKBEES|SHARIAHBEES|PREF|PREFERENCE|WARRANT|RIGHTS|REIT|INVIT')")

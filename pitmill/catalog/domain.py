@@ -53,20 +53,37 @@ a2 AS (SELECT *, CASE WHEN kind IN ('SPLIT', 'REVERSE_SPLIT', 'BONUS') AND len(p
   CASE WHEN kind = 'DIVIDEND' AND len(rs) > 0 THEN 'OFFICIAL_SUBJECT_RUPEE_AMOUNT' WHEN kind = 'DIVIDEND' AND len(pc) > 0 AND fv > 0 THEN 'OFFICIAL_FACE_VALUE_PERCENT' END AS div_quality,
   kind IN ('BONUS', 'SPLIT', 'REVERSE_SPLIT') AND contains(u, 'RIGHT') AS mixed FROM a1),
 im AS (SELECT isin, min(security_id) AS security_id FROM {{master}} WHERE isin IS NOT NULL AND series = 'EQ' GROUP BY 1),
-acts AS (SELECT concat('CA_', CAST(ordinal AS VARCHAR)) AS event_id, im.security_id, kind AS event_type, event_date, ratio_raw, num AS ratio_numerator, den AS ratio_denominator, fo AS old_face_value, fn AS new_face_value, div AS cash_dividend_per_share, div_quality AS dividend_amount_quality,
+acts AS (SELECT concat('CA_', CAST(ordinal AS VARCHAR)) AS event_id, im.security_id, kind AS event_type, event_date, ex_date, ratio_raw, num AS ratio_numerator, den AS ratio_denominator, fo AS old_face_value, fn AS new_face_value, div AS cash_dividend_per_share, div_quality AS dividend_amount_quality,
   CASE WHEN mixed THEN NULL WHEN kind = 'BONUS' AND den <> 0 THEN den / (num + den) * coalesce(fn / fo, 1) WHEN kind IN ('SPLIT', 'REVERSE_SPLIT') THEN fn / fo END AS price_factor,
   CASE WHEN mixed THEN NULL WHEN kind = 'BONUS' AND den <> 0 THEN (num + den) / den / coalesce(fn / fo, 1) WHEN kind IN ('SPLIT', 'REVERSE_SPLIT') THEN fo / fn END AS share_factor,
   CASE WHEN mixed THEN 'FACTOR_REVIEW_REQUIRED' WHEN im.security_id IS NOT NULL THEN 'RESOLVED_BY_ISIN' ELSE 'IDENTITY_REVIEW_REQUIRED' END AS review_status, CASE WHEN mixed THEN 'UNSUPPORTED_COMPOSITE_RIGHTS_COMPONENT' END AS notes
   FROM a2 LEFT JOIN im USING (isin))"""
 
 
-@query(f"""WITH {_actions_sql()}, r AS (SELECT * FROM {{resolutions}})
-SELECT event_id, security_id, coalesce(resolved_event_type, event_type) AS event_type, event_date, ratio_raw, ratio_numerator, ratio_denominator, old_face_value, new_face_value, round(cash_dividend_per_share + 1e-9, 6) AS cash_dividend_per_share, dividend_amount_quality,
-  round(coalesce(resolved_price_factor, price_factor) + 1e-9, 6) AS price_factor, round(coalesce(resolved_share_factor, share_factor) + 1e-9, 6) AS share_factor, coalesce(review_classification, review_status) AS review_status,
-  CASE WHEN r.event_id IS NULL THEN notes ELSE nullif(concat_ws(';', notes, resolution_type), '') END AS notes FROM acts LEFT JOIN r USING (event_id)""")
+_BAD_RESOLUTION = "CASE WHEN review_status <> 'APPROVED' THEN 'NOT_APPROVED' WHEN evidence_references IS NULL THEN 'NO_EVIDENCE' WHEN trim(rationale) = '' THEN 'NO_RATIONALE' END"
+_REVIEWED = ("review_classification", "classification_confidence", "factor_quality", "post_share_count_per_old_share", "cash_contribution_per_old_share", "bonus_ratio", "rights_ratio")
+_NORMALIZED = f"""{_actions_sql()}, r AS (SELECT * FROM {{resolutions}} WHERE {_BAD_RESOLUTION} IS NULL),
+norm AS (SELECT event_id, security_id, coalesce(resolved_event_type, event_type) AS event_type, event_date, coalesce(ex_date, event_date) AS ex_date, ratio_raw, ratio_numerator, ratio_denominator, old_face_value, new_face_value, cash_dividend_per_share, dividend_amount_quality,
+  coalesce(resolved_price_factor, price_factor) AS price_factor, coalesce(resolved_share_factor, share_factor) AS share_factor, coalesce(r.review_classification, acts.review_status) AS review_status,
+  CASE WHEN r.event_id IS NULL THEN notes ELSE nullif(concat_ws(';', notes, r.resolution_type), '') END AS notes, {', '.join(f'r.{k}' for k in _REVIEWED)}, r.rationale AS review_rationale, array_to_string(r.evidence_references, ';') AS evidence FROM acts LEFT JOIN r USING (event_id))"""
+
+
+@query(f"SELECT event_id, {_BAD_RESOLUTION} AS reason FROM {{resolutions}} WHERE {_BAD_RESOLUTION} IS NOT NULL")
+def b12_invalid_resolutions(spark: SparkSession, d: str) -> DataFrame:
+    return actions.invalid_resolutions(table(spark, d, "resolutions")).select("event_id", "reason")
+
+
+def normalized_of(spark: SparkSession, d: str) -> DataFrame:
+    """The raw actions with the approved resolutions."""
+    r = table(spark, d, "resolutions")
+    approved = r.join(actions.invalid_resolutions(r).select("event_id"), "event_id", "left_anti")
+    return actions.normalize_actions(table(spark, d, "raw_actions"), table(spark, d, "master"), approved)
+
+
+@query(f"""WITH {_NORMALIZED} SELECT * EXCLUDE (ex_date, cash_dividend_per_share, price_factor, share_factor), round(cash_dividend_per_share + 1e-9, 6) AS cash_dividend_per_share, round(price_factor + 1e-9, 6) AS price_factor, round(share_factor + 1e-9, 6) AS share_factor FROM norm""")
 def h12_normalize_actions(spark: SparkSession, d: str) -> DataFrame:
-    out = actions.normalize_actions(table(spark, d, "raw_actions"), table(spark, d, "master"), table(spark, d, "resolutions"))
-    return out.select("event_id", "security_id", "event_type", "event_date", "ratio_raw", "ratio_numerator", "ratio_denominator", "old_face_value", "new_face_value", _R("cash_dividend_per_share"), "dividend_amount_quality", _R("price_factor"), _R("share_factor"), "review_status", "notes")
+    plain = ("event_id", "security_id", "event_type", "event_date", "ratio_raw", "ratio_numerator", "ratio_denominator", "old_face_value", "new_face_value", "dividend_amount_quality", "review_status", "notes", *_REVIEWED, "review_rationale")
+    return normalized_of(spark, d).select(*plain, F.array_join("evidence_references", ";").alias("evidence"), _R("cash_dividend_per_share"), _R("price_factor"), _R("share_factor"))
 
 
 @query("""SELECT o_orderkey, round(CASE WHEN o_totalprice > 0 THEN (o_totalprice + 0.2 * o_custkey) / (1 + 0.5 + 0.2) / o_totalprice END + 1e-9, 6) AS composite_factor, round(CASE WHEN o_custkey - 5 > 0 THEN CAST(o_custkey - 5 AS DOUBLE) / (o_custkey + 3) END + 1e-9, 6) AS selective_factor FROM {orders}""")
@@ -83,20 +100,20 @@ adj AS (SELECT p.*, coalesce(pf.f, 1) AS pfac, coalesce(pf.f, 1) * coalesce(tf.f
   FROM {panel} p LEFT JOIN pf USING (security_id, date) LEFT JOIN tf USING (security_id, date))"""
 
 
-def adjusted_of(spark: SparkSession, d: str) -> DataFrame:
-    return actions.adjust_prices(table(spark, d, "panel"), table(spark, d, "events_in"))
+def adjusted_of(spark: SparkSession, d: str, ids: bool = False) -> DataFrame:
+    return actions.adjust_prices(table(spark, d, "panel"), table(spark, d, "events_in"), ids)
 
 
 @query(f"""WITH {_ADJUSTED} SELECT security_id, date, round(pfac + 1e-9, 8) AS price_return_adjustment_factor, round(raw_close * pfac + 1e-7, 4) AS price_return_adjusted_close, adjustment_quality, source_event_ids, round(tfac + 1e-9, 8) AS total_return_factor, round(raw_close * tfac + 1e-7, 4) AS total_return_adjusted_close, total_return_event_ids FROM adj""")
 def h13_adjusted_prices(spark: SparkSession, d: str) -> DataFrame:
-    a = adjusted_of(spark, d)
+    a = adjusted_of(spark, d, ids=True)
     four = lambda c: F.round(F.col(c) + 1e-7, 4).alias(c)
     return a.select("security_id", "date", _R("price_return_adjustment_factor", 8), four("price_return_adjusted_close"), "adjustment_quality", F.array_join("source_event_ids", ",").alias("source_event_ids"), _R("total_return_factor", 8), four("total_return_adjusted_close"), F.array_join("total_return_event_ids", ",").alias("total_return_event_ids"))
 
 
 @query("""SELECT p.security_id, p.date, round(coalesce(product(e.price_factor), 1) + 1e-9, 8) AS price_return_adjustment_factor FROM {panel} p LEFT JOIN {events_in} e ON e.security_id = p.security_id AND e.event_date > p.date AND e.price_factor > 0 AND e.event_date <= date '1999-06-30' GROUP BY 1, 2""")
 def h14b_adjust_as_of(spark: SparkSession, d: str) -> DataFrame:
-    return actions.adjust_as_of(table(spark, d, "panel"), table(spark, d, "events_in"), "1999-06-30").select("security_id", "date", _R("price_return_adjustment_factor", 8))
+    return actions.adjust_as_of(table(spark, d, "panel"), table(spark, d, "events_in"), "1999-06-30", ids=False).select("security_id", "date", _R("price_return_adjustment_factor", 8))
 
 
 @query(f"""WITH {_ADJUSTED} SELECT security_id, date, round(raw_close * tfac + 1e-7, 4) AS adjusted_close FROM adj""")
@@ -106,7 +123,7 @@ def b35_adjusted_history(spark: SparkSession, d: str) -> DataFrame:
 
 _BOUNDARIES = """
 ses2 AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM {calendar}),
-ev AS (SELECT * FROM {events_in} WHERE event_type IN ('SPLIT', 'BONUS') AND price_factor IS NOT NULL AND share_factor IS NOT NULL),
+ev AS (SELECT * FROM {events_in} WHERE event_type IN ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS') AND security_id IS NOT NULL AND price_factor IS NOT NULL AND share_factor IS NOT NULL),
 eg AS (SELECT security_id, ex_date, product(price_factor) AS bp, product(share_factor) AS bs, count(*) AS bn, string_agg(event_id, ', ' ORDER BY event_id) AS bi FROM ev GROUP BY 1, 2),
 sd AS (SELECT g.security_id, g.ex_date, max(p.date) FILTER (WHERE p.date < g.ex_date) AS d0, max_by(p.raw_close, p.date) FILTER (WHERE p.date < g.ex_date) AS c0, min(p.date) FILTER (WHERE p.date >= g.ex_date) AS d1, min_by(p.raw_open, p.date) FILTER (WHERE p.date >= g.ex_date) AS o1, min_by(p.raw_close, p.date) FILTER (WHERE p.date >= g.ex_date) AS c1
   FROM eg g LEFT JOIN {panel} p ON p.security_id = g.security_id GROUP BY 1, 2),
@@ -127,6 +144,24 @@ def h15_boundary_validation(spark: SparkSession, d: str) -> DataFrame:
     return boundaries_of(spark, d).select("event_id", "security_id", "event_type", "ex_date", "pre_event_date", "post_event_date", _R("holder_value_ratio"), _R("residual_adjusted_return"), _R("boundary_price_factor"), "boundary_event_count", "boundary_event_ids", "pre_event_session_gap", "post_event_session_gap", "validation_status")
 
 
+_BOUNDARY_COLUMNS = ("event_id", "security_id", "event_type", "ex_date", "pre_event_date", "post_event_date", "boundary_event_count", "boundary_event_ids", "pre_event_session_gap", "post_event_session_gap", "validation_status")
+
+
+@query(f"WITH {_NORMALIZED}, {_BOUNDARIES.replace('{events_in}', 'norm')} SELECT {', '.join(_BOUNDARY_COLUMNS)}, round(holder_value_ratio + 1e-9, 6) AS holder_value_ratio FROM bounds")
+def h15_normalized_boundaries(spark: SparkSession, d: str) -> DataFrame:
+    """What the normalisation of raw actions gives, validated."""
+    found = actions.validate_boundaries(normalized_of(spark, d), table(spark, d, "panel"), table(spark, d, "calendar"))
+    return found.select(*_BOUNDARY_COLUMNS, _R("holder_value_ratio"))
+
+
+@query(f"""WITH {_NORMALIZED}, pf AS (SELECT p.security_id, p.date, product(e.price_factor) AS f, count(*) AS n FROM {{panel}} p JOIN norm e ON e.security_id = p.security_id AND e.event_date > p.date WHERE e.price_factor > 0 GROUP BY 1, 2)
+SELECT p.security_id, p.date, round(coalesce(f, 1) + 1e-9, 8) AS price_return_adjustment_factor, coalesce(n, 0) AS source_event_count FROM {{panel}} p LEFT JOIN pf USING (security_id, date)""")
+def h13_normalized_prices(spark: SparkSession, d: str) -> DataFrame:
+    """Prices adjusted by what the normalisation of raw actions gives."""
+    a = actions.adjust_prices(table(spark, d, "panel"), normalized_of(spark, d), ids=False)
+    return a.select("security_id", "date", _R("price_return_adjustment_factor", 8), "source_event_count")
+
+
 @query(f"""WITH {_ADJUSTED}, r AS (SELECT security_id, date, lag(date) OVER w AS previous_date, raw_close * pfac / lag(raw_close * pfac) OVER w - 1 AS ret FROM adj WINDOW w AS (PARTITION BY security_id ORDER BY date))
 SELECT r.security_id, r.date, previous_date, round(ret + 1e-9, 6) AS adjusted_return, CASE WHEN EXISTS (SELECT 1 FROM {{events_in}} e WHERE e.security_id = r.security_id AND e.event_type IN ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS') AND e.event_date BETWEEN r.date - 1 AND r.date + 1) THEN 'CORPORATE_ACTION_ADJACENT' WHEN abs(ret) > 0.6 THEN 'EXTREME_RETURN_GT_60_PCT_REVIEW' ELSE 'EXTREME_RETURN_GT_40_PCT_REVIEW' END AS classification FROM r WHERE abs(ret) > 0.4""")
 def h43_return_outliers(spark: SparkSession, d: str) -> DataFrame:
@@ -212,25 +247,39 @@ def h4_apply_overrides(spark: SparkSession, d: str) -> DataFrame:
     return identity.apply_overrides(ids, ov).select("security_id", "symbol", "effective_from", "effective_to", "identity_quality")
 
 
+#: Identities of the observations (of some symbols none is without ISIN), overrides that name one of a symbol's, some of them twice at a time, and the cascade.
 _RESOLVED = """
 di AS (SELECT exchange, symbol, CASE WHEN series = 'BE' THEN 'EQ' ELSE series END AS series, isin, min(date) AS effective_from, max(date) AS effective_to FROM {observations} GROUP BY 1, 2, 3, 4),
-ii AS (SELECT *, concat('SEC_', substr(sha256(upper(concat_ws('|', exchange, coalesce(isin, symbol), series))), 1, 16)) AS security_id FROM di),
-rs AS (SELECT o.source_row, o.source_line, o.date, o.symbol, o.isin, list_sort(list(DISTINCT i.security_id) FILTER (WHERE i.security_id IS NOT NULL)) AS ids FROM {observations} o LEFT JOIN ii i ON i.symbol = o.symbol AND i.exchange = o.exchange AND i.series = 'EQ' AND (o.isin IS NULL OR o.isin = i.isin) AND o.date BETWEEN i.effective_from AND i.effective_to GROUP BY ALL)"""
+ii AS (SELECT exchange, symbol, series, coalesce(isin, CASE WHEN symbol LIKE '%3' THEN 'INX' ELSE '' END) AS isin, effective_from, effective_to, concat('SEC_', substr(sha256(upper(concat_ws('|', exchange, coalesce(isin, symbol), series))), 1, 16)) AS security_id FROM di),
+ov AS (SELECT symbol, security_id, effective_from + 100 AS a, effective_from + 160 AS b FROM ii WHERE isin LIKE '%X1' UNION ALL SELECT symbol, security_id, effective_from + 150, effective_from + 170 FROM ii WHERE isin LIKE '%X2' AND length(symbol) = 5),
+ob AS MATERIALIZED (SELECT row_number() OVER () AS r, source_row, source_line, date, symbol, coalesce(isin, '') AS isin FROM {observations}),
+t1 AS (SELECT r, count(*) AS n, min(security_id) AS target FROM ob JOIN ov ON ov.symbol = ob.symbol AND ob.date BETWEEN a AND b GROUP BY 1),
+t2 AS (SELECT DISTINCT r FROM ob JOIN ii ON ii.symbol = ob.symbol AND ii.series = 'EQ' AND ii.isin = ob.isin),
+ca AS (
+  SELECT ob.r, i.security_id FROM ob JOIN t1 USING (r) JOIN ii i ON i.security_id = target AND ob.date BETWEEN effective_from AND effective_to WHERE n = 1
+  UNION ALL SELECT ob.r, i.security_id FROM ob ANTI JOIN t1 USING (r) JOIN ii i ON i.symbol = ob.symbol AND i.series = 'EQ' AND i.isin = ob.isin AND ob.date BETWEEN effective_from AND effective_to
+  UNION ALL SELECT ob.r, i.security_id FROM (SELECT * FROM ob ANTI JOIN t1 USING (r)) ob ANTI JOIN t2 USING (r) JOIN ii i ON i.symbol = ob.symbol AND i.series = 'EQ' AND ob.isin = '' AND ob.date BETWEEN effective_from AND effective_to),
+cg AS (SELECT r, count(*) AS rows, list_sort(list(DISTINCT security_id)) AS ids FROM ca GROUP BY 1),
+sy AS (SELECT DISTINCT symbol FROM ii WHERE series = 'EQ'),
+rs AS (SELECT ob.* EXCLUDE (r), coalesce(rows, 0) AS rows, coalesce(array_to_string(ids, ','), '') AS candidate_ids, CASE WHEN t1.n IS NOT NULL THEN 'OVERRIDE' WHEN t2.r IS NOT NULL THEN 'EXACT' WHEN isin = '' AND symbol IN (SELECT symbol FROM sy) THEN 'SYMBOL' END AS tier
+  FROM ob LEFT JOIN cg USING (r) LEFT JOIN t1 USING (r) LEFT JOIN t2 USING (r))"""
 
 
 def _resolved(spark: SparkSession, d: str) -> DataFrame:
     obs = table(spark, d, "observations").select("exchange", "symbol", "series", "isin", "date", "source_row", "source_line", "close", "volume", "company_name")
-    return identity.resolve_observations(obs, identity.build_identity_rows(identity.discover_securities(obs), "identity-v1"))
+    ids = identity.build_identity_rows(identity.discover_securities(obs), "identity-v1").withColumn("isin", F.expr("coalesce(candidate_isin, CASE WHEN symbol LIKE '%3' THEN 'INX' END)"))
+    over = lambda which, a, b: ids.where(which).select("exchange", "symbol", "series", "security_id", F.date_add("effective_from", a).alias("effective_from"), F.date_add("effective_from", b).alias("effective_to"))
+    return identity.resolve_observations(obs, ids, over("isin like '%X1'", 100, 160).unionByName(over("isin like '%X2' and length(symbol) = 5", 150, 170)))
 
 
-@query(f"WITH {_RESOLVED} SELECT source_row, source_line, date, symbol, ids[1] AS security_id FROM rs WHERE len(ids) = 1")
+@query(f"WITH {_RESOLVED} SELECT source_row, source_line, date, symbol, tier, candidate_ids AS security_id FROM rs WHERE rows = 1")
 def h5_resolved_observations(spark: SparkSession, d: str) -> DataFrame:
-    return _resolved(spark, d).where("security_id is not null").select("source_row", "source_line", "date", "symbol", "security_id")
+    return _resolved(spark, d).where("security_id is not null").select("source_row", "source_line", "date", "symbol", "tier", "security_id")
 
 
-@query(f"WITH {_RESOLVED} SELECT source_row, source_line, date, symbol, array_to_string(ids, ',') AS candidate_ids, CASE WHEN len(ids) > 1 THEN 'IDENTITY_AMBIGUOUS' ELSE 'IDENTITY_MISSING' END AS finding FROM rs WHERE coalesce(len(ids), 0) <> 1")
+@query(f"WITH {_RESOLVED} SELECT source_row, source_line, date, symbol, tier, candidate_ids, CASE WHEN rows > 1 THEN 'IDENTITY_AMBIGUOUS' ELSE 'IDENTITY_MISSING' END AS finding FROM rs WHERE rows <> 1")
 def h6_unresolved_observations(spark: SparkSession, d: str) -> DataFrame:
-    return identity.unresolved_observations(_resolved(spark, d)).select("source_row", "source_line", "date", "symbol", F.array_join("candidate_ids", ",").alias("candidate_ids"), "finding")
+    return identity.unresolved_observations(_resolved(spark, d)).select("source_row", "source_line", "date", "symbol", "tier", F.array_join("candidate_ids", ",").alias("candidate_ids"), "finding")
 
 
 @query("SELECT issuer_id, array_to_string(list_sort(list(DISTINCT company_name)), ';') AS company_names, min(first_seen) AS first_observed_date, max(last_seen) AS last_observed_date, CASE WHEN count(isin) > 0 THEN 'SINGLE_OFFICIAL_SOURCE' ELSE 'PARTIAL' END AS identity_quality FROM {master} GROUP BY 1")

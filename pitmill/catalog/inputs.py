@@ -68,7 +68,11 @@ FROM {orders}""",
     "resolutions": """
 SELECT concat('CA_', cast(o_orderkey AS string)) AS event_id, CASE WHEN o_orderkey % 2 = 0 THEN 'BONUS_RIGHTS_COMPOSITE' ELSE cast(NULL AS string) END AS resolved_event_type,
   0.4 + cast(o_orderkey % 10 AS double) / 20 AS resolved_price_factor, 1 / (0.4 + cast(o_orderkey % 10 AS double) / 20) AS resolved_share_factor,
-  CASE WHEN o_orderkey % 4 = 0 THEN 'RESOLVED_COMPOSITE_ACTION' ELSE 'VERIFIED_FACTOR_GENUINE_MARKET_MOVE' END AS review_classification, 'REVIEWED' AS resolution_type
+  CASE WHEN o_orderkey % 4 = 0 THEN 'RESOLVED_COMPOSITE_ACTION' ELSE 'VERIFIED_FACTOR_GENUINE_MARKET_MOVE' END AS review_classification, 'REVIEWED' AS resolution_type,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'PENDING' ELSE 'APPROVED' END AS review_status, CASE WHEN o_orderkey % 13 = 0 THEN ' ' ELSE concat('letter ', cast(o_orderkey AS string)) END AS rationale,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE split(concat('circular ', cast(o_orderkey AS string), ';letter'), ';') END AS evidence_references, CASE WHEN o_orderkey % 3 = 0 THEN 'HIGH' ELSE 'MEDIUM' END AS classification_confidence,
+  'OFFICIAL_DOCUMENT' AS factor_quality, CASE WHEN o_orderkey % 6 = 0 THEN 2.0 ELSE cast(NULL AS double) END AS post_share_count_per_old_share, CASE WHEN o_orderkey % 6 = 0 THEN 5.0 ELSE cast(NULL AS double) END AS cash_contribution_per_old_share,
+  cast(o_orderkey % 5 AS double) / 4 AS bonus_ratio, cast(o_orderkey % 3 AS double) / 2 AS rights_ratio
 FROM {orders}""",
     # simple priced events for adjustment and boundaries, on the panel's entities
     "events_in": """
@@ -121,6 +125,26 @@ SELECT date, month, security_id, symbol_at_date, isin, listing_episode_id, instr
   CASE WHEN history_sessions % 71 = 0 THEN 'OTHER' ELSE 'LIQUID_V1' END AS profile_id, 'LIQUID_V1' AS profile_version, CASE WHEN history_sessions % 73 = 0 THEN cast(NULL AS date) ELSE date END AS as_of_date,
   CASE WHEN history_sessions >= 100 AND traded >= 200000 THEN 'ELIGIBLE' ELSE 'EXCLUDED' END AS eligibility_result, CASE WHEN history_sessions % 79 = 0 THEN cast(NULL AS string) WHEN history_sessions >= 100 AND traded >= 200000 THEN 'PASSED_LIQUID_V1' ELSE 'BELOW' END AS eligibility_reason_codes
 FROM {snapshots}""",
+    # the snapshots with the readiness columns of a research universe, cleaner from year to year so that starts differ
+    "promotion_in": """
+SELECT date, security_id, liquid_v1_eligible, top25_liquidity, CASE WHEN date >= date '1997-03-01' AND NOT (date < date '1998-02-01' AND history_sessions % 143 = 0) THEN true ELSE research_identity_ok END AS research_identity_ok,
+  CASE WHEN date >= date '1996-02-01' THEN true WHEN history_sessions % 101 = 0 THEN cast(NULL AS boolean) ELSE price_adjustment_ok END AS price_adjustment_ok, 'ORDINARY_EQUITY' AS instrument_type,
+  CASE WHEN date >= date '1995-09-01' THEN 'HEURISTIC_HIGH_CONFIDENCE' ELSE instrument_type_quality END AS instrument_type_quality,
+  CASE WHEN date >= date '1996-09-01' THEN 'OBSERVED_TRADING_RECORD' WHEN history_sessions % 43 = 0 THEN cast(NULL AS string) ELSE status_quality END AS status_quality,
+  history_sessions >= 252 AS signal_history_ready_252, history_sessions >= 273 AS signal_history_ready_273, history_sessions >= 300 AS model_handoff_history_ready_300 FROM {monthly_in}""",
+    # window definitions of the daily rows and of the snapshots; some are missing
+    "windows_in": """
+SELECT security_id, date, 'OFFICIAL_NSE_SESSION_WINDOW' AS liquidity_window_definition FROM {panel} WHERE date NOT IN (SELECT DISTINCT date FROM {monthly_in})
+UNION ALL
+SELECT security_id, date, CASE WHEN date < date '1996-06-15' AND history_sessions % 19 = 0 THEN 'OBSERVED_ROWS' WHEN date < date '1997-01-20' AND history_sessions % 31 = 0 THEN cast(NULL AS string) ELSE 'OFFICIAL_NSE_SESSION_WINDOW' END AS liquidity_window_definition
+FROM {monthly_in} WHERE date >= date '1997-06-01' OR history_sessions % 37 <> 0""",
+    # events of which some early ones lack factors, and none is material from the middle of 1997 on
+    "promotion_events": """
+SELECT event_id, security_id, event_date, CASE WHEN event_date >= date '1997-06-01' THEN 'DIVIDEND' ELSE event_type END AS event_type,
+  CASE WHEN event_date < date '1996-06-01' AND event_id LIKE '%7' THEN cast(NULL AS double) ELSE price_factor END AS price_factor, share_factor FROM {events_in}""",
+    # adjusted prices that begin late for some entities
+    "adjusted_in": """
+SELECT security_id, date FROM {panel} WHERE security_id NOT LIKE '%4' OR date >= date '1997-01-01'""",
     "candidate_in": """
 SELECT date, month, CASE WHEN security_id LIKE '%5' THEN concat('N', security_id) ELSE security_id END AS security_id, symbol_at_date, isin, listing_episode_id, instrument_type, company_name, price,
   CASE WHEN security_id LIKE '%8' THEN history_sessions + 150 ELSE history_sessions END AS history_sessions, CASE WHEN security_id LIKE '%8' THEN listing_age_sessions + 150 ELSE listing_age_sessions END AS listing_age_sessions,

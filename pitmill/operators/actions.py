@@ -93,66 +93,123 @@ def normalize_actions(raw: DataFrame, master: DataFrame, resolutions: DataFrame
         F.when(mixed, "FACTOR_REVIEW_REQUIRED").when(F.col("security_id").isNotNull(), "RESOLVED_BY_ISIN").otherwise("IDENTITY_REVIEW_REQUIRED").alias("review_status"),
         F.when(mixed, "UNSUPPORTED_COMPOSITE_RIGHTS_COMPONENT").alias("notes"),
     )
-    return apply_resolutions(out, resolutions) if resolutions is not None else out
+    return apply_resolutions(out, resolutions)
+
+
+#: What a review states of an event beside its type and factors.
+REVIEWED = {
+    "classification_confidence": "string", "factor_quality": "string", "resolution_type": "string", "evidence_references": "array<string>", "rationale": "string",
+    "bonus_ratio": "double", "rights_ratio": "double", "rights_subscription_price": "double", "post_share_count_per_old_share": "double", "cash_contribution_per_old_share": "double",
+    "rights_entitlement_basis": "string", "bonus_ratio_numerator": "double", "bonus_ratio_denominator": "double", "eligibility_scope": "string", "pre_event_total_shares": "double",
+    "post_event_total_shares": "double", "public_holder_share_factor": "double", "promoter_holder_share_factor": "double",
+}
+
+
+def invalid_resolutions(resolutions: DataFrame) -> DataFrame:
+    """Resolutions that may not be applied, with the ``reason``: MISSING_EVENT_ID, NOT_APPROVED, NO_EVIDENCE, NO_RATIONALE or REPEATED (all but the last by ``ordinal``, where there is one)."""
+    r = _with_reviewed(resolutions)
+    status = F.col("review_status") if "review_status" in resolutions.columns else F.lit(None)
+    times = F.count(F.lit(1)).over(Window.partitionBy("event_id"))
+    if "ordinal" in resolutions.columns:
+        times = F.row_number().over(Window.partitionBy("event_id").orderBy(F.desc("ordinal")))
+    reason = (
+        F.when(F.coalesce("event_id", F.lit("")) == "", "MISSING_EVENT_ID").when(F.coalesce(status != "APPROVED", F.lit(True)), "NOT_APPROVED")
+        .when(F.size(F.coalesce("evidence_references", F.array().cast("array<string>"))) <= 0, "NO_EVIDENCE").when(F.trim(F.coalesce("rationale", F.lit(""))) == "", "NO_RATIONALE").when(times > 1, "REPEATED")
+    )
+    return r.withColumn("reason", reason).where("reason is not null").select(*resolutions.columns, "reason")
+
+
+def _with_reviewed(resolutions: DataFrame) -> DataFrame:
+    """``resolutions`` with every reviewed column, null where it states none."""
+    return resolutions.withColumns({k: F.lit(None).cast(kind) for k, kind in REVIEWED.items() if k not in resolutions.columns})
 
 
-def apply_resolutions(events: DataFrame, resolutions: DataFrame) -> DataFrame:
-    """Reviewed types and factors replace derived ones where they are given; notes are joined."""
-    r = resolutions.select("event_id", "resolved_event_type", "resolved_price_factor", "resolved_share_factor", "review_classification", "resolution_type", F.lit(True).alias("found_"))
+def apply_resolutions(events: DataFrame, resolutions: DataFrame | None) -> DataFrame:
+    """Reviewed types and factors replace derived ones where they are given, notes are joined, and the reviewed columns are added (null for events without a review).
+
+    ``resolutions`` are approved ones, one an event (``invalid_resolutions`` tells the others).
+    """
+    if resolutions is None:
+        return events.withColumns({k: F.lit(None).cast(kind) for k, kind in ({"review_classification": "string"} | _named(REVIEWED)).items()})
+    r = _with_reviewed(resolutions).select("event_id", "resolved_event_type", "resolved_price_factor", "resolved_share_factor", "review_classification", F.lit(True).alias("found_"), *[F.col(k).cast(kind).alias(f"r_{k}") for k, kind in REVIEWED.items()])
     both = events.join(r, "event_id", "left")
     return both.withColumns({
         "event_type": F.coalesce("resolved_event_type", "event_type"), "price_factor": F.coalesce("resolved_price_factor", "price_factor"), "share_factor": F.coalesce("resolved_share_factor", "share_factor"),
         "review_status": F.when(F.col("found_"), F.coalesce("review_classification", "review_status")).otherwise(F.col("review_status")),
-        "notes": F.nullif(F.concat_ws(";", "notes", "resolution_type"), F.lit("")),
-    }).drop("resolved_event_type", "resolved_price_factor", "resolved_share_factor", "found_", "resolution_type")
+        "notes": F.nullif(F.concat_ws(";", "notes", "r_resolution_type"), F.lit("")),
+    } | {name: F.col(f"r_{k}") for k, name in zip(REVIEWED, _named(REVIEWED), strict=True)}).drop("resolved_event_type", "resolved_price_factor", "resolved_share_factor", "found_", *[f"r_{k}" for k in REVIEWED])
 
 
-def suffix_factors(events: DataFrame, factor: str = "factor") -> DataFrame:
-    """``(security_id, valid_from, valid_to, factor, event_ids)``: the product of all factors dated after each stretch of days.
+def _named(columns: dict[str, str]) -> dict[str, str]:
+    """The columns under the names that events have for them."""
+    return {"review_rationale" if k == "rationale" else k: kind for k, kind in columns.items()}
 
-    A stretch begins on an event's date (or at the dawn of time) and ends the day before the next.
-    """
-    daily = events.groupBy("security_id", "event_date").agg(F.array_sort(F.collect_list(F.struct(F.col(factor).alias("f"), "event_id"))).alias("e"))
-    later = Window.partitionBy("security_id").orderBy(F.desc("event_date")).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("security_id").orderBy("event_date")
-    each = daily.select("security_id", "event_date", F.aggregate("e", F.lit(1.0), lambda a, x: a * x.f).alias("f"), F.transform("e", lambda x: x.event_id).alias("ids"))
-    run = each.withColumns({"factor": F.product("f").over(later), "event_ids": F.flatten(F.reverse(F.collect_list("ids").over(later)))})
-    return run.select("security_id", F.coalesce(F.lag("event_date").over(before), F.lit("0001-01-01").cast("date")).alias("valid_from"), F.date_sub("event_date", 1).alias("valid_to"), "factor", "event_ids")
 
+def suffix_factors(rows: DataFrame, events: dict[str, DataFrame]) -> DataFrame:
+    """``rows`` with, for each name in ``events``, ``{name}_factor``, the product of the factors of all events of the entity dated after the row, and ``{name}_count``, how many there are.
 
-def _applied(prices: DataFrame, events: DataFrame, name: str) -> DataFrame:
-    made = suffix_factors(events).select(F.col("security_id").alias("k_"), "valid_from", "valid_to", F.col("factor").alias(f"{name}_factor"), F.col("event_ids").alias(f"{name}_event_ids"))
-    on = (F.col("security_id") == F.col("k_")) & F.col("date").between(F.col("valid_from"), F.col("valid_to"))
-    return prices.join(made, on, "left").drop("k_", "valid_from", "valid_to")
+    Events ``(security_id, event_date, factor)`` and rows are laid together and sorted by entity and date, from the end, and the product runs along: an entity's
+    events are read once, however many rows it has. The count points into the entity's list of events (``event_ids``): the last so many.
+    """
+    parts = []
+    for name, e in events.items():
+        each = e.groupBy("security_id", "event_date").agg(F.product("factor").alias(f"{name}_factor"), F.count("*").alias(f"{name}_count"))
+        parts.append(each.withColumnRenamed("event_date", "date").withColumn("later_", F.lit(1)))
+    own = rows.select("security_id", "date", F.struct("*").alias("row_"), F.lit(0).alias("later_"))
+    both = own
+    for p in parts:
+        both = both.unionByName(p, allowMissingColumns=True)
+    # a row comes before the events of its own date, which don't count for it
+    down = Window.partitionBy("security_id").orderBy(F.desc("date"), "later_").rowsBetween(Window.unboundedPreceding, 0)
+    made = {f"{k}_factor": F.coalesce(F.product(f"{k}_factor").over(down), F.lit(1.0)) for k in events} | {f"{k}_count": F.coalesce(F.sum(f"{k}_count").over(down), F.lit(0)) for k in events}
+    return both.withColumns(made).where("later_ = 0").select("row_.*", *made)
+
+
+def event_ids(rows: DataFrame, events: DataFrame, count: str, ids: str) -> DataFrame:
+    """``rows`` with ``ids``: of the entity's events, by date, factor and id, the last ``count`` ones.
+
+    The list of an entity is kept once; each row takes its end, so what this costs is what it returns. Ask for it only where ids are wanted.
+    """
+    listed = events.groupBy("security_id").agg(F.array_sort(F.collect_list(F.struct("event_date", "factor", "event_id"))).alias("e_"))
+    listed = listed.select(F.col("security_id").alias("k_"), F.transform("e_", lambda x: x.event_id).alias("list_"))
+    n = F.col(count).cast("int")
+    none = F.array().cast("array<string>")
+    held = rows.join(listed, F.col("security_id") == F.col("k_"), "left")
+    return held.withColumn(ids, F.when(n > 0, F.slice("list_", -n, n)).otherwise(none)).drop("k_", "list_")
 
 
-def adjust_prices(prices: DataFrame, events: DataFrame) -> DataFrame:
+def adjust_prices(prices: DataFrame, events: DataFrame, ids: bool = True) -> DataFrame:
     """Prices with the factors of all later events, and of all later dividends with a positive close on their date.
 
     A dividend's factor is (close + amount) / close, which raises earlier prices; total-return
     quality is always partial. Events: security_id, event_date, event_id, event_type, price_factor,
-    cash_dividend_per_share.
+    cash_dividend_per_share. The published schema has the ids of the events with each row; without ``ids`` it has how many they are.
     """
     priced = events.where("security_id is not null and price_factor > 0").select("security_id", "event_date", "event_id", F.col("price_factor").alias("factor"))
-    closes = prices.where("raw_close > 0").groupBy("security_id", F.col("date").alias("event_date")).agg(F.max("raw_close").alias("close"))
     paid = events.where("security_id is not null and event_type = 'DIVIDEND' and cash_dividend_per_share >= 0")
+    closes = prices.where("raw_close > 0").join(paid.select("security_id", F.col("event_date").alias("date")).distinct(), ["security_id", "date"], "left_semi")
+    closes = closes.groupBy("security_id", F.col("date").alias("event_date")).agg(F.max("raw_close").alias("close"))
     paid = paid.join(closes, ["security_id", "event_date"]).select("security_id", "event_date", "event_id", ((F.col("close") + F.col("cash_dividend_per_share")) / F.col("close")).alias("factor"))
-    both = _applied(_applied(prices, priced, "price"), paid, "total")
-    none = F.array().cast("array<string>")
-    price, total = F.coalesce("price_factor", F.lit(1.0)), F.coalesce("total_factor", F.lit(1.0))
+    both = suffix_factors(prices, {"price": priced, "total": paid})
+    sources = ("price_count", "total_count")
+    if ids:
+        both = event_ids(event_ids(both, priced, "price_count", "price_ids"), paid, "total_count", "total_ids")
+        sources = ("price_ids", "total_ids")
+    names = ("source_event_ids", "total_return_event_ids") if ids else ("source_event_count", "total_return_event_count")
+    price, total = F.col("price_factor"), F.col("total_factor")
     return both.select(
         *prices.columns,
         price.alias("price_return_adjustment_factor"), (F.col("raw_close") * price).alias("price_return_adjusted_close"),
-        F.when(F.size(F.coalesce("price_event_ids", none)) > 0, "PRICE_ACTION_ADJUSTED_VERIFIED").otherwise("NO_ADJUSTMENT_REQUIRED").alias("adjustment_quality"),
-        F.coalesce("price_event_ids", none).alias("source_event_ids"),
+        F.when(F.col("price_count") > 0, "PRICE_ACTION_ADJUSTED_VERIFIED").otherwise("NO_ADJUSTMENT_REQUIRED").alias("adjustment_quality"),
+        F.col(sources[0]).alias(names[0]),
         (price * total).alias("total_return_factor"), (F.col("raw_close") * price * total).alias("total_return_adjusted_close"),
-        F.lit("TOTAL_RETURN_PARTIAL").alias("total_return_quality"), F.coalesce("total_event_ids", none).alias("total_return_event_ids"),
+        F.lit("TOTAL_RETURN_PARTIAL").alias("total_return_quality"), F.col(sources[1]).alias(names[1]),
     )
 
 
-def adjust_as_of(prices: DataFrame, events: DataFrame, at) -> DataFrame:
+def adjust_as_of(prices: DataFrame, events: DataFrame, at, ids: bool = True) -> DataFrame:
     """As ``adjust_prices``, knowing only events up to ``at``."""
-    return adjust_prices(prices, events.where(F.col("event_date") <= F.lit(at).cast("date")))
+    return adjust_prices(prices, events.where(F.col("event_date") <= F.lit(at).cast("date")), ids)
 
 
 def adjusted_history(adjusted: DataFrame, series: str) -> DataFrame:

@@ -257,65 +257,6 @@ def readiness_by_year(monthly: DataFrame, calendar: DataFrame, events: DataFrame
     return x.withColumns({"invariant_failures": invariant, "score": score, "promotion_status": status})
 
 
-def candidate_audit(monthly: DataFrame, calendar: DataFrame, events: DataFrame, boundaries: DataFrame, starts: list, control_start, spec: ProfileSpec, top: str = "top750_liquidity", max_window: int = 300) -> DataFrame:
-    """For each candidate start: decision session, expected and found first snapshot, failures in scope, events, and gates.
-
-    The starts are a handful of rows; every larger table meets them once, by a range condition on a broadcast side.
-    """
-    spark = monthly.sparkSession
-    c = F.broadcast(spark.createDataFrame([(str(s),) for s in starts], "s string").select(F.col("s").cast("date").alias("candidate_start")))
-    stop = F.lit(control_start).cast("date")
-    after = (F.col("date") >= F.col("candidate_start")) & (F.col("date") < stop)
-    days = calendar.select("date").distinct().withColumn("session_index", F.row_number().over(Window.orderBy("date")) - 1)
-    decision = c.join(days, after, "left").groupBy("candidate_start").agg(F.min("session_index").alias("decision_session_index"), F.min("date").alias("first_decision_session"))
-    expected = c.join(days, after).groupBy("candidate_start", F.trunc("date", "month").alias("m")).agg(F.max("date").alias("d")).groupBy("candidate_start").agg(F.min("d").alias("first_expected_snapshot"))
-    scope = monthly.join(c, after)
-    counts = scope.groupBy("candidate_start").agg(F.count("*").alias("monthly_rows"), F.min("date").alias("first_materialized_snapshot"), F.count_distinct("date").alias("monthly_snapshots"))
-    inside = scope.where(_yes("liquid_v1_eligible") | _yes(top))
-    per = inside.groupBy("candidate_start", "security_id").agg(
-        F.count("*").alias("rows"), F.min("date").alias("first_required_month"), F.bool_and(_yes("research_identity_ok")).alias("id_"), F.bool_and(_yes("price_adjustment_ok")).alias("pr_"),
-        F.bool_and(F.col("instrument_type") == spec.instrument_type).alias("in_"), F.bool_and(~F.coalesce(F.col("status_quality").isin("UNKNOWN_STATUS", "UNRESOLVED"), F.lit(True))).alias("st_"))
-    required = per.groupBy("candidate_start").agg(F.sum("rows").alias("required_rows"), F.count("*").alias("required_securities"), *[F.count_if(~F.col(k)).alias(v) for k, v in (("id_", "identity_failures"), ("pr_", "price_adjustment_failures"), ("in_", "instrument_failures"), ("st_", "status_failures"))])
-    e = events.where("event_type in ('SPLIT', 'REVERSE_SPLIT', 'BONUS', 'BONUS_RIGHTS_COMPOSITE', 'SELECTIVE_BONUS')").where(F.col("event_date") < stop).select("event_id", "security_id", "event_date", "price_factor", "share_factor")
-    e = e.join(boundaries.select("event_id", "validation_status"), "event_id", "left").join(days.select(F.col("date").alias("event_date"), F.col("session_index").alias("e_")), "event_date", "left")
-    first = days.select(F.col("date").alias("first_required_month"), F.col("session_index").alias("f_"))
-    material = per.select("candidate_start", "security_id", "first_required_month").join(first, "first_required_month", "left").join(e, "security_id").join(decision, "candidate_start")
-    material = material.where((F.col("event_date") >= F.col("first_required_month")) | (F.col("e_") >= F.col("f_") - max_window))
-    bad = ~F.coalesce("validation_status", F.lit("NO_BOUNDARY_VALIDATION")).startswith("PASS") & (F.col("e_") >= F.col("decision_session_index") - max_window)
-    acts = material.groupBy("candidate_start").agg(F.count_distinct("event_id").alias("material_events"), F.count_distinct(F.when(F.col("price_factor").isNull() | F.col("share_factor").isNull(), F.col("event_id"))).alias("material_missing_factors"), F.count_distinct(F.when(bad, F.col("event_id"))).alias("signal_window_non_pass_boundaries"))
-    out = reduce(lambda a, b: a.join(b, "candidate_start", "left"), (decision, expected, counts, required, acts), c)
-    numbers = ["monthly_rows", "monthly_snapshots", "required_rows", "required_securities", "identity_failures", "price_adjustment_failures", "instrument_failures", "status_failures", "material_events", "material_missing_factors", "signal_window_non_pass_boundaries"]
-    return candidate_gates(out.na.fill(0, numbers), max_window)
-
-
-def candidate_gates(audit: DataFrame, max_window: int = 300) -> DataFrame:
-    """Gate columns of an audit with any number of starts."""
-    pit = (F.col("required_securities") > 0) & F.col("first_expected_snapshot").eqNullSafe(F.col("first_materialized_snapshot")) & F.col("first_expected_snapshot").isNotNull()
-    clean = (F.col("identity_failures") == 0) & (F.col("instrument_failures") == 0) & (F.col("status_failures") == 0)
-    price = (F.col("price_adjustment_failures") == 0) & (F.col("material_missing_factors") == 0)
-    warm = _yes(F.col("decision_session_index") >= max_window)
-    return audit.withColumns({"pit_universe_gate_pass": pit & clean, "price_action_gate_pass": price, "feature_gate_pass": warm}).withColumn("all_gates_pass", F.col("pit_universe_gate_pass") & F.col("price_action_gate_pass") & F.col("feature_gate_pass"))
-
-
-def earliest_ready_start(gated: DataFrame) -> DataFrame:
-    """The earliest start that passes all gates, and the earliest that is point-in-time ready."""
-    return gated.agg(F.min(F.when(F.col("all_gates_pass"), F.col("candidate_start"))).alias("earliest_research_ready"), F.min(F.when(F.col("pit_universe_gate_pass"), F.col("candidate_start"))).alias("earliest_pit_ready"))
-
-
-def refined_boundary(monthly: DataFrame, top: str = "top750_liquidity") -> DataFrame:
-    """Each snapshot as a possible start: rows, failures and entities of the suffix from it on, and whether it passes.
-
-    Row counts of a suffix are sums in a reverse window over one row a snapshot; an entity counts in
-    every suffix up to its last snapshot, so distinct entities are counted by that.
-    """
-    inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
-    day = inside.groupBy("date").agg(F.count("*").alias("rows"), F.count_if(~_yes("research_identity_ok") | ~_yes("price_adjustment_ok")).alias("failures"))
-    last = inside.groupBy("security_id").agg(F.max("date").alias("date")).groupBy("date").agg(F.count("*").alias("leaving"))
-    suffix = Window.orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, 0)  # a row a snapshot
-    x = day.join(last, "date", "left").na.fill(0, ["leaving"])
-    return x.select("date", F.sum("rows").over(suffix).alias("suffix_rows"), F.sum("failures").over(suffix).alias("suffix_failures"), F.sum("leaving").over(suffix).alias("suffix_securities")).withColumn("passes", F.col("suffix_failures") == 0)
-
-
 def identity_review_queue(master: DataFrame, features: DataFrame, levels: tuple[float, float] = (5_000_000.0, 1_000_000.0)) -> DataFrame:
     """Entities none of whose identities rests on the official source, by the greatest liquidity they ever had; the caller may take the first."""
     weak = master.groupBy("security_id").agg(
@@ -383,14 +324,6 @@ def identity_promotion(monthly: DataFrame, starts: list, top: str) -> DataFrame:
     return x.groupBy("candidate_start", "research_identity_quality").agg(F.count_distinct("security_id").alias("securities"), F.count_distinct(F.when(~_yes("research_identity_ok"), F.col("security_id"))).alias("failures"))
 
 
-def boundary_blockers(boundaries: DataFrame, starts: list, limit: int = 100) -> DataFrame:
-    """Boundaries that don't pass, for each start they lie after; the largest moves first."""
-    c = F.broadcast(boundaries.sparkSession.createDataFrame([(str(s),) for s in starts], "s string").select(F.col("s").cast("date").alias("candidate_start")))
-    x = boundaries.where(~F.col("validation_status").startswith("PASS")).join(c, F.col("ex_date") >= F.col("candidate_start"))
-    rank = F.row_number().over(Window.partitionBy("candidate_start").orderBy(F.desc_nulls_last(F.abs(F.col("holder_value_ratio") - 1)), "event_id"))
-    return x.withColumn("k", rank).where(F.col("k") <= limit).select("candidate_start", "k", "event_id", "security_id", "ex_date", "validation_status")
-
-
 def instrument_review(master: DataFrame) -> DataFrame:
     """Ordinary entities whose name or symbol looks like a product's, and those whose symbol is known to be one."""
     from pitmill.functions.fields import known_product, product_marker

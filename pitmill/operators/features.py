@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.operators.calendar import number_sessions
+from pitmill.operators.rolling import rolling_medians
 
 WINDOWS = (20, 60, 126, 252)
 
@@ -26,25 +27,14 @@ def session_grid(rows: DataFrame, sessions: DataFrame, key: str = "security_id")
     return grid.join(placed.withColumn("observed", F.lit(True)), [key, "session_number"], "left").withColumn("observed", F.coalesce("observed", F.lit(False)))
 
 
-def _middle(v: Column) -> Column:
-    """Interpolated median of sorted values; the sorted array is made once."""
-    return F.get(F.transform(F.array(v), lambda s: F.when(F.size(s) > 0, (F.get(s, F.floor((F.size(s) - 1) / 2).cast("int")) + F.get(s, F.floor(F.size(s) / 2).cast("int"))) / 2)), F.lit(0))
-
-
-def _median(x: Column, w) -> Column:
-    """Interpolated median over a frame: the middle of the sorted values."""
-    return _middle(F.sort_array(F.collect_list(x).over(w)))
-
-
 def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[int, ...] = WINDOWS, rank_window: int = 126, stale_window: int = 60, at: DataFrame | None = None) -> DataFrame:
     """Rolling counts, medians and averages over official sessions, for each observed row.
 
     Windows count sessions, absent ones too, between an entity's first and last session; EQ rows
     only, where there is a series. A window of n sessions is a RANGE frame over session numbers, so
     absent sessions need no rows: they are the sessions of the window less the observed ones. One
-    shuffle by entity serves all windows, one by date the ranks. The values of the widest window are gathered
-    once; a narrower one holds the last of them, as many as it counts. With ``at``, a table of a few dates, only rows
-    of these dates are made, and only their values are sorted for medians.
+    shuffle by entity serves all windows and medians, one by date the ranks. With ``at``, a table of a few dates, only rows
+    of these dates are returned.
     """
     rows = prices.where("series = 'EQ'") if "series" in prices.columns else prices
     keep = rows.columns
@@ -69,21 +59,19 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
             f"absent_observation_days_{n}": F.least("history_sessions", F.lit(n)) - F.count(F.lit(1)).over(w),
             f"average_traded_value_{n}": F.avg("traded_value").over(w),
         }
-    out["values_"] = F.collect_list("traded_value").over(by.rangeBetween(1 - max(windows), 0))
     out[f"stale_price_days_{stale_window}"] = F.count_if("stale_").over(by.rangeBetween(1 - stale_window, 0))
     made = placed.withColumns(out)
     if at is not None:
-        made = made.join(F.broadcast(at.select("date").distinct()), "date", "left_semi")
-    last = lambda n: F.when(F.col(f"valid_trade_days_{n}") > 0, F.slice("values_", -F.col(f"valid_trade_days_{n}").cast("int"), F.col(f"valid_trade_days_{n}").cast("int")))
-    made = made.withColumns({f"median_traded_value_{n}": _middle(F.sort_array(last(n))) for n in windows}).drop("values_")
-    out = [c for c in out if c != "values_"] + [f"median_traded_value_{n}" for n in windows]
+        made = made.join(F.broadcast(at.select("date").distinct().withColumn("only_", F.lit(True))), "date", "left")
+    medians = {f"median_traded_value_{n}": n for n in windows}
+    made = rolling_medians(made, "security_id", "session_number", "observed_history_sessions", "traded_value", medians, None if at is None else "only_")
     metric = f"median_traded_value_{rank_window}"
     day = Window.partitionBy("date")
     pct = F.cume_dist().over(day.orderBy(F.asc_nulls_last(metric)))
     rank = F.row_number().over(day.orderBy(F.desc_nulls_last(metric), "security_id"))
     ranked = made.withColumns({f"liquidity_percentile_{rank_window}": pct, f"liquidity_rank_{rank_window}": rank.cast("long")})
     return ranked.select(
-        *keep, "history_sessions", "observed_history_sessions", *out,
+        *keep, "history_sessions", "observed_history_sessions", *out, *medians,
         F.col("history_sessions").alias("listing_age_sessions"),
         F.datediff("date", "first_session").cast("long").alias("listing_age_calendar_days"),
         F.col("raw_close").alias("price"),
@@ -100,16 +88,17 @@ def observation_liquidity(prices: DataFrame, windows: tuple[int, ...] = WINDOWS)
     out = {"history_sessions": F.row_number().over(by).cast("long"), "listing_age_calendar_days": F.datediff("date", F.min("date").over(Window.partitionBy("security_id"))).cast("long")}
     for n in windows:
         w = by.rowsBetween(1 - n, 0)
-        out |= {f"valid_trade_days_{n}": F.count("traded_value").over(w), f"zero_volume_days_{n}": F.count_if(volume <= 0).over(w), f"median_traded_value_{n}": _median(F.col("traded_value"), w), f"average_traded_value_{n}": F.avg("traded_value").over(w)}
+        out |= {f"valid_trade_days_{n}": F.count("traded_value").over(w), f"zero_volume_days_{n}": F.count_if(volume <= 0).over(w), f"average_traded_value_{n}": F.avg("traded_value").over(w)}
+    medians = {f"median_traded_value_{n}": n for n in windows}
     if 60 in windows:  # the frame's own first row has no row before it in the frame
         same = prices.withColumn("same_", (F.col("raw_close") == F.lag("raw_close").over(by)).cast("int"))
         out["stale_price_days_60"] = F.coalesce(F.sum("same_").over(by.rowsBetween(-58, 0)), F.lit(0).cast("long"))
-        made = same.withColumns(out).drop("same_")
+        made = rolling_medians(same.withColumns(out).drop("same_"), "security_id", "history_sessions", "history_sessions", "traded_value", medians)
         day = Window.partitionBy("date", F.col("median_traded_value_60").isNull())
         share = F.row_number().over(day.orderBy("median_traded_value_60", "security_id")) / F.count(F.lit(1)).over(day)
         pct = F.when(F.col("median_traded_value_60").isNotNull(), share)
         return made.withColumn("liquidity_percentile_60", pct).withColumn("liquidity_bucket_60", F.when(F.col("liquidity_percentile_60").isNotNull(), quintile(F.col("liquidity_percentile_60"))))
-    return prices.withColumns(out).withColumn("liquidity_percentile_60", F.lit(None).cast("double")).withColumn("liquidity_bucket_60", F.lit(None).cast("string"))
+    return rolling_medians(prices.withColumns(out), "security_id", "history_sessions", "history_sessions", "traded_value", medians).withColumn("liquidity_percentile_60", F.lit(None).cast("double")).withColumn("liquidity_bucket_60", F.lit(None).cast("string"))
 
 
 def liquidity_as_of(prices: DataFrame, at, window: int = 60) -> DataFrame:

@@ -98,25 +98,50 @@ def apply_overrides(identities: DataFrame, overrides: DataFrame) -> DataFrame:
     return overlay_intervals(identities, patches, ["symbol", "identity_quality", "identity_source", "review_status"], start="effective_from", end="effective_to")
 
 
-def resolve_observations(obs: DataFrame, identities: DataFrame, dated: bool = True) -> DataFrame:
-    """Observations with ``candidate_ids`` and, where there is exactly one, ``security_id``.
+def resolve_observations(obs: DataFrame, identities: DataFrame, overrides: DataFrame | None = None, dated: bool = True) -> DataFrame:
+    """Observations with ``candidate_ids``, the ``tier`` they come from and, where there is exactly one candidate, ``security_id``.
 
-    Candidates: identities of the same symbol, series and ISIN, or of the symbol and series alone
-    for an observation without ISIN; with ``dated`` only those whose span holds the date.
+    The first tier that has something decides. OVERRIDE: the identity that an approved override names for the symbol and series on the date,
+    whatever the ISIN; two overrides on one date leave no candidate. EXACT: identities of the symbol, series and ISIN, where no
+    ISIN is a value of its own. SYMBOL: for an observation without ISIN, all identities of the symbol and series. With ``dated``
+    an identity of the last two tiers must hold the date, as one of the first always must.
+
+    What is known of a symbol, a few identities and overrides, is one row, so every observation meets one row at most: one join
+    on the symbol, whatever the number of candidates, in which a symbol of very many observations may be split.
     """
-    o = obs.withColumn("obs_", F.monotonically_increasing_id())  # equal observations stay apart
-    ids = identities.select("exchange", "symbol", "series", F.col("isin").alias("isin_i"), "security_id", "effective_from", "effective_to")
-    left = o.withColumn("series_i", identity_series(F.col("series")))
-    on = (left["exchange"] == ids["exchange"]) & (left["symbol"] == ids["symbol"]) & (left["series_i"] == ids["series"]) & (left["isin"].isNull() | (left["isin"] == ids["isin_i"]))
-    if dated:
-        on = on & (left["date"] >= ids["effective_from"]) & (left["date"] <= open_end("effective_to"))
-    # few identities share a symbol, so the pairs stay near the observations
-    hit = left.join(ids, on, "left").groupBy(left["obs_"], *[left[c] for c in obs.columns]).agg(F.array_sort(F.collect_set("security_id")).alias("candidate_ids")).drop("obs_")
-    return hit.withColumn("security_id", F.when(F.size("candidate_ids") == 1, F.get("candidate_ids", F.lit(0))))
+    key = ["exchange", "symbol", "series"]
+    span = F.struct(F.coalesce("isin", F.lit("")).alias("isin"), "security_id", "effective_from", open_end("effective_to").alias("effective_to"))
+    known = identities.groupBy(*key).agg(F.collect_list(span).alias("ids_"))
+    if overrides is None:
+        known = known.withColumn("overrides_", F.lit(None))
+    else:
+        spans = identities.groupBy("security_id").agg(F.collect_list(F.struct("security_id", "effective_from", open_end("effective_to").alias("effective_to"))).alias("target_"))
+        named = overrides.select(*key, "security_id", F.col("effective_from").alias("from_"), open_end("effective_to").alias("to_")).join(spans, "security_id", "left")
+        ours = named.groupBy(*key).agg(F.collect_list(F.struct("from_", "to_", F.coalesce("target_", F.array()).alias("target_"))).alias("overrides_"))
+        known = known.join(ours, key, "full")
+    known = known.withColumnsRenamed({k: f"{k}_k" for k in key})
+    on = (F.col("exchange") == F.col("exchange_k")) & (F.col("symbol") == F.col("symbol_k")) & (identity_series(F.col("series")) == F.col("series_k"))
+    date, isin = F.col("date"), F.coalesce("isin", F.lit(""))
+    holds = lambda x: (date >= x.effective_from) & (date <= x.effective_to)
+    ids = F.filter("ids_", holds) if dated else F.col("ids_")
+    exact = F.filter("ids_", lambda x: x["isin"] == isin)
+    mine = F.lit(None) if overrides is None else F.filter("overrides_", lambda x: (date >= x.from_) & (date <= x.to_))
+    found = obs.join(known, on, "left").withColumn("mine_", mine).withColumn("exact_", exact)
+    n = F.lit(0) if overrides is None else F.coalesce(F.size("mine_"), F.lit(0))
+    tier = F.when(n > 0, "OVERRIDE").when(F.size("exact_") > 0, "EXACT").when((isin == "") & (F.size("ids_") > 0), "SYMBOL")
+    of = lambda c: F.transform(c, lambda x: x.security_id)
+    within = F.filter("exact_", holds) if dated else F.col("exact_")
+    pick = F.when(F.col("tier") == "EXACT", of(within)).when(F.col("tier") == "SYMBOL", of(ids))
+    if overrides is not None:
+        one = F.get("mine_", F.lit(0)).target_
+        pick = F.when((F.col("tier") == "OVERRIDE") & (F.size("mine_") == 1), of(F.filter(one, holds))).when(F.col("tier") == "OVERRIDE", F.array().cast("array<string>")).otherwise(pick)
+    rows = found.withColumn("tier", tier).withColumn("rows_", F.coalesce(pick, F.array().cast("array<string>")))
+    only = F.when(F.size("rows_") == 1, F.get("rows_", F.lit(0)))
+    return rows.select(*[found[c] for c in obs.columns], "tier", F.array_sort(F.array_distinct("rows_")).alias("candidate_ids"), only.alias("security_id"))
 
 
 def unresolved_observations(resolved: DataFrame) -> DataFrame:
-    return resolved.where("security_id is null").withColumn("finding", F.when(F.size("candidate_ids") > 1, "IDENTITY_AMBIGUOUS").otherwise("IDENTITY_MISSING"))
+    return resolved.where("security_id is null").withColumn("finding", F.when(F.size("candidate_ids") > 0, "IDENTITY_AMBIGUOUS").otherwise("IDENTITY_MISSING"))
 
 
 def id_migration(old: DataFrame, new: DataFrame) -> DataFrame:
