@@ -68,7 +68,8 @@ SAME = {
 
 
 def test_megabytes_of_a_rules_own_letters(spark):
-    texts = [("-----BEGIN " if kind == "pem" else "eyJaaaaaaaa." if kind == "jwt" else "") + x * (1_000_000 // len(x)) + end for kind, xs in SAME.items() for x in xs for end in ("", " PRIVATE KEY-----", ".eyJ")]
+    ends = {"pem": ("-----BEGIN ", " PRIVATE KEY-----"), "jwt": ("eyJaaaaaaaa.", ".eyJ")}
+    texts = [x.join(ends.get(kind, ("", ""))) if not n else x * n + ends.get(kind, ("", ""))[1] for kind, xs in SAME.items() for x in xs for n in (0, 1_000_000 // len(x))]
     assert set(SAME) == {r.kind for r in secrets.RULES}
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(12)
     got = {r.doc_id: r.s for r in secrets.find_secrets(docs).select("doc_id", secrets.joined(secrets.F.col("spans")).alias("s")).collect()}
