@@ -11,8 +11,11 @@ Similarity of 0.8 (``similar_links``) is about 39 of 256 bits of a fingerprint o
 many for quarters. There the tries are of the fingerprint's bits in a random order: similar texts agree on the
 first ``k`` bits of one with a known chance, so as many tries are walked as leave ``MISS`` of the pairs at
 the threshold unseen; ``k`` and the tries grow with the logarithm and a root of the number of fingerprints, so that nodes stay small.
-Tasks walk node pairs up to ``MOST`` differing bits. Pairs within ``SURE`` bits are links, the others are verified by
-the exact Jaccard similarity of their shingles. Within a node a pair is left out if closer pairs connect it already.
+Tasks walk node pairs up to ``MOST`` differing bits. A node with more than ``max_node`` fingerprints is split into blocks, and each
+pair of blocks is a task. Pairs within ``SURE`` bits are links, the others are verified by the exact Jaccard similarity of
+their shingles. The first walk leaves a pair out where closer pairs, verified or not, connect it already; where one of these fails,
+what candidates connect (a cluster) is walked again with the shingles at hand: there only verified links connect (``decide_clusters``), so
+no pair is left out on the strength of a link that isn't one.
 
 Defined results: null or blank texts have fingerprint zero and are linked like any other; repeated
 rows get equal results; rows with a null id keep their fingerprint and, if no row of the component
@@ -22,7 +25,7 @@ has an id, a null component; an empty table gives an empty result; other columns
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +46,11 @@ LEAF_PAIRS = 32
 #: Node pairs, leaf pairs and rows of whole nodes that a task holds at once, but for a larger node.
 FRONT, LEAVES, FLUSH = 1 << 19, 1 << 18, 1 << 15
 #: Fingerprints of similar texts: words of 64 bits, shingle, similarity; differing bits of sure and of possible links (at a similarity of 0.8, 39 are expected, with a deviation of 5.7).
-WORDS, SHINGLE, SIMILARITY, SURE, MOST = 4, 5, 0.8, 20, 46
+WORDS, SHINGLE, SIMILARITY, SURE, MOST = 4, 5, 0.8, 20, 52
 #: Share of the pairs at the threshold that no trie may bring together.
-MISS = 0.05
+MISS = 0.02
+#: Shingles of the texts of a block of a cluster that is walked again.
+BLOCK_SHINGLES = 2 << 20
 
 
 def fingerprint(data: bytes | None, shingle: int = 3) -> int:
@@ -98,12 +103,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class _Forest:
     """Trees of links found so far, by labels (the smallest index of a tree), and the links themselves."""
 
-    def __init__(self, n: int):
-        self.label = np.arange(n)
+    def __init__(self, n: int, label: np.ndarray | None = None, accept: Callable[[int, int], bool] | None = None):
+        self.label = np.arange(n) if label is None else label.copy()
+        self.accept = accept
         self.links: list[np.ndarray] = []
 
     def link(self, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> None:
-        """Join trees by the given pairs, nearest first; only pairs that join two trees are kept."""
+        """Join trees by the given pairs, nearest first; only pairs that join two trees, and are accepted, are kept."""
         order = np.argsort(far, kind="stable")
         i, j, far = i[order], j[order], far[order]
         while True:
@@ -115,6 +121,15 @@ class _Forest:
             # each tree's nearest pair
             _, first = np.unique(np.concatenate((a, b)), return_index=True)
             pick = np.unique(first % len(i))
+            if self.accept is not None:
+                fine = np.array([self.accept(x, y) for x, y in zip(i[pick].tolist(), j[pick].tolist(), strict=True)])
+                left = np.ones(len(i), bool)
+                left[pick[~fine]] = False
+                if not fine.any():
+                    i, j, far = i[left], j[left], far[left]
+                    continue
+                pick = (np.cumsum(left) - 1)[pick[fine]]
+                i, j, far, a, b = i[left], j[left], far[left], a[left], b[left]
             self.links.append(np.stack((i[pick], j[pick], far[pick])))
             a, b = a[pick], b[pick]
             while len(a):
@@ -125,15 +140,16 @@ class _Forest:
                 a, b = a[a != b], b[a != b]
 
 
-def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budgets: tuple[int, ...], level: int) -> np.ndarray:
+def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budgets: tuple[int, ...], level: int, label: np.ndarray | None = None, accept: Callable[[int, int], bool] | None = None) -> np.ndarray:
     """Joint traversal of node pairs; (leaf, leaf, differing bits) of links that connect all pairs within the last budget.
 
     ``bits``: (words, leaves) of fingerprints, ascending within a node. ``pairs``: (begin, end, begin, end, differing
     bits) of the node pairs at ``level``; a node paired with itself stands for its inner pairs.
     The budget is raised step by step to the whole, and pairs of nodes that are one tree already
-    are left out, so a dense family of copies costs few comparisons.
+    are left out, so a dense family of copies costs few comparisons. ``label``: trees that are known already, named by their smallest leaf;
+    ``accept`` decides whether a pair within the budget is a link.
     """
-    n_bits, forest, sums = len(bits) * BITS, _Forest(bits.shape[1]), {}
+    n_bits, forest, sums = len(bits) * BITS, _Forest(bits.shape[1], label, accept), {}
 
     def ones(at: int) -> np.ndarray:
         if at not in sums:
@@ -189,7 +205,10 @@ def trie_links(bits: np.ndarray, pairs: tuple[np.ndarray, ...], budgets: tuple[i
 
 
 def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[int, ...], max_node: int) -> DataFrame:
-    """Links ``(a, b, far)`` within the nodes of ``nodes``: columns of a node's name, the first its level, fingerprint words, and ``rep``."""
+    """Links ``(a, b, far)`` within the nodes of ``nodes``: columns of a node's name, the first its level, fingerprint words, and ``rep``.
+
+    Where the name ends in ``side`` (0 or 1), the two sides of a node are walked against each other; -1 stands for a node by itself.
+    """
     names = [*node, *words, "rep"]
 
     def links(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -197,8 +216,15 @@ def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[in
         begin = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
         end = np.append(begin[1:], key.shape[1])
         bits, levels, out = np.stack([rows[k] for k in words]), key[0][begin], [np.empty((3, 0), np.int64)]
+        alone = np.ones(len(begin), bool)
+        if node[-1] == "side":
+            alone = key[-1][begin] == -1
+            two = np.flatnonzero(~alone[:-1] & (key[:-1, begin[1:]] == key[:-1, begin[:-1]]).all(axis=0))  # the sides of a node are next to each other
+            for k in two.tolist():
+                pair = tuple(np.array([x]) for x in (begin[k], end[k], begin[k + 1], end[k + 1], 0))
+                out.append(trie_links(bits, pair, budgets, int(levels[k])))
         for level in np.unique(levels):
-            mine = (levels == level) & (end - begin > 1)
+            mine = (levels == level) & (end - begin > 1) & alone
             if mine.any():
                 b, e = begin[mine], end[mine]
                 out.append(trie_links(bits, (b, e, b, e, np.zeros(len(b), np.int64)), budgets, int(level)))
@@ -213,7 +239,7 @@ def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[in
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, n
             rows = {k: np.concatenate([h[k] for h in held]) for k in names}
-            key = np.stack([rows[k] for k in node])
+            key = np.stack([rows[k] for k in node if k != "side"])
             edge = key.shape[1] if last else int(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))[-1])
             if edge:
                 yield links({k: x[:edge] for k, x in rows.items()})
@@ -230,7 +256,7 @@ def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[in
 
     # signed order is not trie order: the sign bit is flipped for the sort
     order = [*node, *[F.expr(f"{w} ^ (-9223372036854775807L - 1)") for w in words]]
-    return nodes.select(*names).repartition(*node).sortWithinPartitions(*order).mapInArrow(run, "a long, b long, far long")
+    return nodes.select(*names).repartition(*[k for k in node if k != "side"]).sortWithinPartitions(*order).mapInArrow(run, "a long, b long, far long")
 
 
 def _dealt_again(nodes: DataFrame, node: list[str], max_node: int, again) -> DataFrame:
@@ -246,6 +272,20 @@ def _dealt_again(nodes: DataFrame, node: list[str], max_node: int, again) -> Dat
         nodes, turn = stage(more, "dealt"), turn + 1
 
 
+def _blocks(nodes: DataFrame, node: list[str], max_node: int) -> tuple[DataFrame, list[str]]:
+    """``nodes`` with those above ``max_node`` rows split into blocks by a hash of ``rep``: each block by itself, and each two as the sides of a node; and the name of a node."""
+    named = [*node, "block", "other", "side"]
+    alone = {"block": F.lit(0), "other": F.lit(0), "side": F.lit(-1)}
+    large = stage(nodes.groupBy(*node).agg(F.count("*").alias("n")).where(F.col("n") > max_node).select(*node, F.ceil(2 * F.col("n") / max_node).cast("int").alias("g")), "large")
+    if large.isEmpty():
+        return nodes.withColumns(alone), named
+    small = nodes.join(large, node, "left_anti").withColumns(alone)
+    split = nodes.join(large, node).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("g")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    side = F.when(F.col("mine") == F.col("with"), -1).otherwise((F.col("mine") > F.col("with")).cast("int"))
+    split = split.withColumns({"block": F.least("mine", "with"), "other": F.greatest("mine", "with"), "side": side})
+    return small.unionByName(split.drop("g", "mine", "with")), named
+
+
 def trie_self_join(fps: DataFrame, budget: int = 3, max_node: int = MAX_NODE) -> DataFrame:
     """Links ``(a, b)`` of a forest that connects what pairs of ``(fp, rep)`` rows within ``budget`` bits connect.
 
@@ -318,18 +358,9 @@ def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
                 at = pa.array(np.repeat(np.arange(n), tries))
                 yield pa.RecordBatch.from_arrays([*columns, *[c.take(at) for c in batch.columns]], [*node, *words, "rep"])
 
-    def again(rows: DataFrame, turn: int) -> DataFrame | None:
-        """Nodes of families with more members than a task should hold agree on another byte; their members have many others near by."""
-        if turn == 8:
-            return None
-        byte = (F.col("trie") * 7 + turn * 5) % (WORDS * 8)
-        word = F.element_at(F.array(*words), F.floor(byte / 8).cast("int") + 1)
-        value = F.expr("shiftrightunsigned(word_, cast(byte_ % 8 as int) * 8) & 255")
-        return rows.withColumns({"byte_": byte, "word_": word}).withColumn("top", F.xxhash64("top", value)).drop("byte_", "word_")
-
     nodes = fps.select(*words, "rep").mapInArrow(spread, "level int, trie int, top long, " + ", ".join(f"{w} long" for w in words) + ", rep long")
-    nodes = _dealt_again(stage(nodes, "tries"), node, max_node, again)
-    links = _walk(nodes, node, words, (4, 10, SURE, 28, 36, MOST), max_node)
+    nodes, named = _blocks(stage(nodes, "tries"), node, max_node)
+    links = _walk(nodes, named, words, (4, 10, SURE, 28, 36, 44, MOST), max_node)
     return links.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("far").alias("far"))
 
 
@@ -349,8 +380,8 @@ def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return stage(rows.mapInArrow(run, "doc_id long, sha string, " + ", ".join(f"w{k} long" for k in range(WORDS))), "prints")
 
 
-def _verified(links: DataFrame, reps: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """The links whose representatives' shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
+def _sets(wanted: DataFrame, reps: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """``(rep, shingles)`` of the representatives in ``wanted``."""
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,16 +391,78 @@ def _verified(links: DataFrame, reps: DataFrame, docs: DataFrame, text_col: str)
                 sets[i] = np.unique(shingle_hashes(word, SHINGLE))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "shingles"])
 
-    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps.select("rep", "sha"), "rep")
+    ends = wanted.select("rep").distinct().join(reps.select("rep", "sha"), "rep")
     rows = docs.select(F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256).alias("sha"), F.col(text_col).cast("binary").alias("text"))
     # a limit within each group before and after the shuffle: of a text that many rows hold, one is sent a task
     one = rows.join(maybe_broadcast(stage(ends, "ends"), 100), "sha").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("rep"))).where("k = 1")
-    sets = stage(one.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>"), "sets")
+    return stage(one.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>"), "sets")
+
+
+def _verified(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links whose representatives' shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
     both = links.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(shared >= SIMILARITY * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b")
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets of hashes have a Jaccard similarity of ``SIMILARITY`` or more."""
+    least, most = sorted((len(x), len(y)))
+    if least < SIMILARITY * most - 1e-9:
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared >= SIMILARITY * (least + most - shared) - 1e-9
+
+
+def decide_clusters(rows: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """Verified links ``(a, b)`` within clusters, so that they and the known trees connect what pairs of at most ``MOST`` bits that are similar connect.
+
+    ``rows``: ``(cluster, tree, w0 .. w3, rep, shingles)``. A cluster of more than ``block_shingles`` is dealt into blocks, and every two blocks of it, and every block
+    by itself, are one task's, so no pair is lost and no task holds more than two blocks.
+    """
+    words = [f"w{k}" for k in range(WORDS)]
+    size = rows.groupBy("cluster").agg(F.ceil(F.sum(F.size("shingles")) / block_shingles).cast("int").alias("g"))
+    dealt = rows.join(size, "cluster").withColumn("g", F.greatest("g", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("g")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    dealt = dealt.withColumns({"p": F.least("mine", "with"), "q": F.greatest("mine", "with")})
+    node = ["cluster", "p", "q"]
+
+    def decided(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        col = lambda k: table.column(k).combine_chunks()
+        p, q, mine = (table.column(k)[0].as_py() if k != "mine" else np.asarray(col(k)) for k in ("p", "q", "mine"))
+        bits = np.stack([np.asarray(col(w)).view(np.uint64) for w in words])
+        shingles = col("shingles")
+        off, flat = np.asarray(shingles.offsets), np.asarray(shingles.values).view(np.uint64)
+        order = np.lexsort((*bits[::-1], mine))
+        bits, rep = bits[:, order], np.asarray(col("rep"))[order]
+        _, first, tree = np.unique(np.asarray(col("tree"))[order], return_index=True, return_inverse=True)
+        accept = lambda i, j: similar(flat[off[order[i]] : off[order[i] + 1]], flat[off[order[j]] : off[order[j] + 1]])
+        n, cut = len(rep), int((mine == p).sum())
+        pair = (0, n, 0, n, 0) if p == q else (0, cut, cut, n, 0)
+        budgets = (SURE, 28, 36, 44, MOST)
+        i, j, _ = trie_links(bits, tuple(np.array([x]) for x in pair), budgets, 0, first[tree], accept) if pair[0] < pair[1] and pair[2] < pair[3] else np.empty((3, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(rep[i]), pa.array(rep[j])], ["a", "b"])
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            key = np.stack([np.asarray(batch.column(k)) for k in node])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                own = tuple(key[:, lo].tolist())
+                if held and own != last:
+                    yield decided(held)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                last = own
+        if held:
+            yield decided(held)
+
+    return dealt.select(*node, "mine", "tree", *words, "rep", "shingles").repartition(*node).sortWithinPartitions(*node).mapInArrow(run, "a long, b long")
+
+
 def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, sha)`` of the texts that are not the first of their group; ``sha`` is the SHA-256 of a text.
 
@@ -381,7 +474,20 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reps = stage(prints.groupBy(*words).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("first"), F.min("sha").alias("sha")).withColumn("rep", F.monotonically_increasing_id()), "reps")
     links = stage(similar_links(reps), "links")
     unsure = links.where(F.col("far") > SURE)
-    found = connected_components(links.where(F.col("far") <= SURE).select("a", "b").unionByName(_verified(unsure, reps, docs, text_col))).withColumnRenamed("node", "rep")
+    verified = stage(_verified(unsure, _sets(unsure.select(F.explode(F.array("a", "b")).alias("rep")), reps, docs, text_col)), "verified")
+    known = links.where(F.col("far") <= SURE).select("a", "b").unionByName(verified)
+    found = stage(connected_components(known).withColumnRenamed("node", "rep"), "trees")
+    refuted = stage(unsure.select("a", "b").join(verified, ["a", "b"], "left_anti"), "refuted")
+    if not refuted.isEmpty():
+        # what hid behind a link that failed is in one cluster of candidates with it
+        cluster = stage(connected_components(links.select("a", "b")).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
+        open_ = cluster.join(refuted.select(F.col("a").alias("rep")).join(cluster, "rep").select("cluster").distinct(), "cluster", "left_semi")
+        trees = open_.join(found, "rep", "left").select("rep", "cluster", F.coalesce("component", "rep").alias("tree"))
+        several = trees.groupBy("cluster").agg(F.count("*").alias("n"), F.min("tree").alias("least"), F.max("tree").alias("most")).where("n > 2 and least < most").select("cluster")
+        members = stage(trees.join(several, "cluster", "left_semi"), "members")
+        sets = _sets(members, reps, docs, text_col)
+        more = decide_clusters(members.join(reps.select("rep", *words), "rep").join(sets, "rep"))
+        found = connected_components(known.unionByName(stage(more, "more"))).withColumnRenamed("node", "rep")
     placed = reps.join(found, "rep", "left").select(*words, "first", F.coalesce("component", "rep").alias("c"))
     least = placed.groupBy("c").agg(F.min("first").alias("first"))
     kept = placed.join(least.select("c", F.col("first").alias("kept")), "c").select(*words, "kept")

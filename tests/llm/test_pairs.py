@@ -81,7 +81,7 @@ def test_similar_texts_are_grouped_like_all_pairs(spark):
     assert many == kept
 
 
-def test_a_large_family_is_dealt_again(spark, monkeypatch):
+def test_a_large_family_is_split_into_blocks(spark, monkeypatch):
     rng = np.random.default_rng(9)
     base = [f"w{k}" for k in rng.integers(0, 999, 300)]
     texts = []
@@ -96,6 +96,61 @@ def test_a_large_family_is_dealt_again(spark, monkeypatch):
         assert {r.doc_id for r in simhash.keep_first(docs).collect()} == {0, 120}
 
 
+def _families(rng, n, size):
+    """Texts of families whose members are near the threshold of each other."""
+    words, texts = [f"w{k}" for k in range(5000)], []
+    for _ in range(n):
+        base = list(rng.choice(words, 120))
+        for _ in range(size):
+            texts.append(" ".join(str(rng.choice(words)) if rng.random() < 0.018 else w for w in base))
+    return texts
+
+
+def _near_classes(texts):
+    """Classes of pairs that are similar and within ``MOST`` bits, and the number of such pairs."""
+    sets = [decontaminate.shingles_of(t) for t in texts]
+    prints = [simhash.wide_fingerprint(np.unique(simhash.shingle_hashes(next(w for _, w in wordvec.text_words([t.encode()])), 5))) for t in texts]
+    own, pairs = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and sum(int(a ^ b).bit_count() for a, b in zip(prints[i].tolist(), prints[j].tolist(), strict=True)) <= simhash.MOST:
+                pairs += 1
+                a, b = own[i], own[j]
+                own = [min(a, b) if x in (a, b) else x for x in own]
+    return own, pairs
+
+
+def test_links_that_fail_hide_none(spark, monkeypatch):
+    texts = _families(np.random.default_rng(12), 40, 14)
+    classes, pairs = _near_classes(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(simhash, "plan_tries", lambda n: (0, 1))  # one node holds all, so only pruning can lose a pair
+    assert pairs > 200 and 40 < len(set(classes)) < 400
+    assert {r.doc_id for r in simhash.keep_first(docs).collect()} == set(classes)
+    whole = simhash.decide_clusters
+    monkeypatch.setattr(simhash, "decide_clusters", lambda rows: whole(rows, 300))  # clusters are dealt into blocks of a few texts
+    assert {r.doc_id for r in simhash.keep_first(docs).collect()} == set(classes)
+
+
+def test_blocks_of_large_nodes_lose_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 2**63, (6, simhash.WORDS), dtype=np.uint64)
+    rows = np.array([b ^ np.array([sum(1 << int(x) for x in set(rng.integers(0, 64, rng.integers(0, 12)).tolist())) for _ in range(4)], np.uint64) for b in base for _ in range(30)])
+    df = spark.createDataFrame([(*[int(x) for x in r.view(np.int64)], i) for i, r in enumerate(rows)], "w0 long, w1 long, w2 long, w3 long, rep long")
+    monkeypatch.setattr(simhash, "plan_tries", lambda n: (0, 1))
+
+    def classes(links):
+        own = list(range(len(rows)))
+        for a, b in links:
+            a, b = own[a], own[b]
+            own = [min(a, b) if x in (a, b) else x for x in own]
+        return own
+
+    due = classes([(i, j) for i in range(len(rows)) for j in range(i) if np.bitwise_count(rows[i] ^ rows[j]).sum() <= simhash.MOST])
+    for most in (7, 10_000):
+        assert classes([(r.a, r.b) for r in simhash.similar_links(df, most).collect()]) == due
+
+
 def test_null_ids_stay(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "e f g h"), (3, "a b c d")], "doc_id long, text string")
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(docs).collect()) == ["3", "3", "None"]
