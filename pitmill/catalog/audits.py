@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from pitmill.catalog.domain import _ADJUSTED, _BOUNDARIES, _R, _STATUS, adjusted_of, boundaries_of, intervals_of
 from pitmill.catalog.inputs import sql, table
-from pitmill.operators import audit, promotion, regression
-from pitmill.operators.features import observation_liquidity
+from pitmill.operators import audit, intervals, leakage, promotion, regression, universe
+from pitmill.operators.actions import adjust_as_of
+from pitmill.operators.features import liquidity_as_of, liquidity_features, observation_liquidity
 from pitmill.spec import ProfileSpec
 
 QUERIES: dict = {}
@@ -412,12 +413,68 @@ def h53_pit_audit(spark: SparkSession, d: str) -> DataFrame:
     return audit.pit_report(ops, p, "1999-06-30", p.withColumn("traded_value", F.col("traded_value") * 7 + 1))
 
 
+_DATED = ("liquidity", "session_liquidity", "active", "adjusted", "symbols", "top")
+
+
+@query(f"""WITH n AS (SELECT count(*) AS n FROM {{panel}} WHERE date <= date '1998-06-30'), sc AS (SELECT unnest({list(leakage.SCENARIOS)}) AS scenario)
+SELECT unnest({list(_DATED)}) AS operator, scenario, 0 AS leaking_rows FROM sc UNION ALL SELECT 'control', scenario, 2 * n FROM sc, n""")
+def h53_leakage_scenarios(spark: SparkSession, d: str) -> DataFrame:
+    """Every operator with a date under every scenario; the control looks at all rows of all tables and is found in each."""
+    at = "1998-06-30"
+    cal = table(spark, d, "calendar")
+    t = {"prices": table(spark, d, "panel"), "symbols": table(spark, d, "handover").unionByName(table(spark, d, "master").select("symbol", "security_id", "effective_from", "effective_to")), "events": table(spark, d, "events_in")}
+
+    def control(x: dict) -> DataFrame:
+        seen = [v.agg(F.sum(F.xxhash64(*v.columns).cast("decimal(20,0)")).alias(k)) for k, v in x.items()]
+        return x["prices"].select("security_id", "date").crossJoin(F.broadcast(seen[0].crossJoin(seen[1]).crossJoin(seen[2])))
+
+    def symbols(x: dict) -> DataFrame:
+        asked = x["prices"].where(F.col("date") <= F.lit(at).cast("date")).select(F.col("symbol_at_date").alias("symbol"), "date").distinct()
+        return intervals.point_in_time(asked, x["symbols"], "symbol", "security_id")
+
+    ops = {
+        "liquidity": lambda x: liquidity_as_of(x["prices"], at), "session_liquidity": lambda x: liquidity_features(x["prices"], cal, (20, 126)).select("security_id", "date", "history_sessions", "median_traded_value_126", "liquidity_rank_126"),
+        "active": lambda x: universe.active_on(x["prices"], at), "adjusted": lambda x: adjust_as_of(x["prices"], x["events"], at, ids=False).select("security_id", "date", "price_return_adjustment_factor"),
+        "symbols": symbols, "top": lambda x: universe.top_n(liquidity_features(x["prices"], cal, (60, 126)), at, 20).select("security_id", "date", "liquidity_rank_126"), "control": control,
+    }
+    return leakage.leakage_report(ops, t, at)
+
+
 @query("""WITH s AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM {calendar}), me AS (SELECT max(date) AS date FROM {calendar} GROUP BY date_trunc('month', date)), e AS (SELECT s.date AS month_end, s.n FROM s JOIN me USING (date))
 SELECT month_end AS date, upper(symbol_at_date) AS symbol, count(DISTINCT security_id) AS ids FROM e JOIN s ON s.n BETWEEN e.n - 60 AND e.n JOIN {panel} p ON p.date = s.date GROUP BY 1, 2 HAVING count(DISTINCT security_id) > 1""")
 def h34_recent_id_changes(spark: SparkSession, d: str) -> DataFrame:
     return audit.recent_id_changes(table(spark, d, "panel"), table(spark, d, "calendar"))
 
 
+_REASONS = "CASE WHEN history_sessions < 100 THEN 'FAILED_MIN_HISTORY;FAILED_MIN_PRICE' WHEN median_traded_value_60 < 200000 THEN 'FAILED_MEDIAN_TRADED_VALUE_60' WHEN history_sessions % 3 = 0 THEN 'FAILED_POSITIVE_VOLUME_DAYS_60' ELSE eligibility_reason_codes END"
+
+
+@query(f"""WITH mm AS (SELECT * EXCLUDE (eligibility_reason_codes), {_REASONS} AS eligibility_reason_codes FROM {{monthly_in}} WHERE date BETWEEN date '1996-01-01' AND date '1999-12-31'), rw AS (SELECT * FROM {{panel}} WHERE series = 'EQ' AND instrument_type = 'ORDINARY_EQUITY' AND date BETWEEN date '1996-01-01' AND date '1999-12-31'),
+ca AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT date FROM {{calendar}})),
+ba AS (SELECT date, count(*) FILTER (WHERE trading_status = 'ACTIVE_TRADING' AND instrument_type = 'ORDINARY_EQUITY') AS active_ordinary_security_ids, count(DISTINCT symbol_at_date) AS unique_symbols, count(DISTINCT isin) AS unique_isins, count(*) FILTER (WHERE liquid_v1_eligible) AS liquid_v1, count(*) FILTER (WHERE top25_liquidity) AS top,
+  min(history_sessions) AS min_history_sessions, max(history_sessions) AS max_history_sessions, round(avg(history_sessions), 2) AS avg_history_sessions, count(*) FILTER (WHERE history_sessions <= 60) AS short_history,
+  {', '.join(f"count(*) FILTER (WHERE NOT liquid_v1_eligible AND eligibility_reason_codes LIKE '%{code}%') AS {name}" for code, name in (("FAILED_MIN_HISTORY", "failed_min_history"), ("FAILED_MIN_PRICE", "failed_min_price"), ("FAILED_POSITIVE_VOLUME_DAYS_60", "failed_positive_volume_60"), ("FAILED_MEDIAN_TRADED_VALUE_60", "failed_median_traded_value_60")))},
+  count(*) FILTER (WHERE NOT research_identity_ok) AS failed_identity_gate, count(*) FILTER (WHERE instrument_type <> 'ORDINARY_EQUITY') AS failed_instrument_gate, count(*) FILTER (WHERE trading_status <> 'ACTIVE_TRADING') AS failed_status_gate FROM mm GROUP BY 1),
+du AS (SELECT date, count(*) AS a FROM (SELECT date, symbol_at_date FROM mm GROUP BY 1, 2 HAVING count(DISTINCT security_id) > 1) GROUP BY 1),
+ch AS (SELECT date, count(*) AS b FROM (SELECT x.date, rw.symbol_at_date FROM (SELECT DISTINCT date FROM mm) x JOIN ca USING (date) JOIN ca cw ON cw.n BETWEEN ca.n - 60 AND ca.n JOIN rw ON rw.date = cw.date GROUP BY 1, 2 HAVING count(DISTINCT rw.security_id) > 1) GROUP BY 1)
+SELECT ba.*, coalesce(a, 0) AS symbols_with_multiple_security_ids, coalesce(b, 0) AS symbols_changed_security_id FROM ba LEFT JOIN du USING (date) LEFT JOIN ch USING (date)""")
+def h34_monthly_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "monthly_in").withColumn("eligibility_reason_codes", F.expr(_REASONS))
+    return audit.monthly_diagnostics(m, table(spark, d, "panel"), table(spark, d, "calendar"), "top25_liquidity", "1996-01-01", "1999-12-31")
+
+
+@query(f"""WITH ma AS (SELECT *, first_seen < date '1995-01-10' AS lc FROM {{master}} WHERE security_id IN (SELECT security_id FROM {{monthly_in}} WHERE date < date '1999-01-01' AND {_INSIDE})),
+ss AS (SELECT symbol, count(DISTINCT security_id) AS a, count(DISTINCT isin) AS b FROM ma GROUP BY 1), si AS (SELECT isin, count(DISTINCT security_id) AS c, count(DISTINCT symbol) AS e FROM ma WHERE isin IS NOT NULL GROUP BY 1),
+ca AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT date FROM {{calendar}})),
+ga AS (SELECT security_id, max(n - q - 1) AS g FROM (SELECT p.security_id, n, lag(n) OVER (PARTITION BY p.security_id ORDER BY n) AS q FROM {{panel}} p JOIN ca USING (date) WHERE date < date '1999-01-01') WHERE q IS NOT NULL GROUP BY 1)
+SELECT ma.security_id, min(ma.symbol) AS representative_symbol, min(company_name) AS representative_company, min(first_seen) AS first_seen, max(last_seen) AS last_seen, count(DISTINCT listing_episode_id) AS episode_count, count(DISTINCT ma.symbol) AS symbol_count, count(DISTINCT ma.isin) AS isin_count, count(DISTINCT company_name) AS company_name_count,
+  max(coalesce(a, 0)) AS max_symbol_security_count, max(coalesce(b, 0)) AS max_symbol_isin_count, max(coalesce(c, 0)) AS max_isin_security_count, max(coalesce(e, 0)) AS max_isin_symbol_count, coalesce(max(g), 0) AS max_absent_official_sessions, bool_or(lc) AS has_left_censored_episode
+FROM ma LEFT JOIN ss ON ss.symbol = ma.symbol LEFT JOIN si ON si.isin = ma.isin LEFT JOIN ga ON ga.security_id = ma.security_id GROUP BY 1""")
+def h42_episode_audit(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "master").withColumn("listing_history_left_censored", F.expr("first_seen < date '1995-01-10'"))
+    return audit.episode_audit(m, table(spark, d, "monthly_in"), table(spark, d, "panel"), table(spark, d, "calendar"), "1999-01-01", "top25_liquidity")
+
+
 @query("SELECT date, upper(symbol_at_date) AS symbol, count(DISTINCT security_id) AS ids FROM {monthly_in} GROUP BY 1, 2 HAVING count(DISTINCT security_id) > 1")
 def h34_duplicate_symbols(spark: SparkSession, d: str) -> DataFrame:
     return audit.duplicate_symbols(table(spark, d, "monthly_in"))

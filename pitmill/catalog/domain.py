@@ -361,6 +361,42 @@ def h21_terminal_symbols(spark: SparkSession, d: str) -> DataFrame:
     return status.resolve_by_symbol(table(spark, d, "terminal_events"), table(spark, d, "master")).select("event_id", "resolved_id", "identity_match")
 
 
+#: Notices of three shapes: (table, order, symbol, name, date or null).
+_NOTICES = (
+    ("customer", "c_custkey", "concat('sym-', cast(c_custkey % 45 AS string))", "c_name", "date_add(date '1998-01-01', cast(c_custkey % 900 AS int))", "COMPULSORY_DELISTING", "COMPULSORY_WORKBOOK"),
+    ("supplier", "s_suppkey", "concat('SYM', cast(s_suppkey % 60 AS string), 'N')", "s_name", None, "DISSEMINATION_BOARD", "DISSEMINATION_WORKBOOK"),
+    ("part", "p_partkey", "concat('SYM ', cast(p_partkey % 50 AS string))", "p_name", None, "REMOVED_ON_LISTING", "REMOVED_WORKBOOK"),
+)
+
+
+def _notice_sources(spark: SparkSession, d: str) -> list[status.NoticeSource]:
+    out = []
+    for name, order, symbol, company, day, kind, label in _NOTICES:
+        rows = table(spark, d, name).select(F.col(order).alias("n"), F.expr(symbol).alias("Symbol"), F.col(company).alias("Company"), F.expr(day or "cast(null as date)").alias("Date"))
+        out.append(status.NoticeSource(rows, "Symbol", "Company", kind, label, ("n",), "Date" if day else None, "workbook"))
+    return out
+
+
+def _notice_sql() -> str:
+    parts = []
+    for k, (name, order, symbol, company, day, kind, label) in enumerate(_NOTICES):
+        day = "date '1998-01-01' + CAST(c_custkey % 900 AS INT)" if day else "CAST(NULL AS DATE)"
+        parts.append(f"SELECT {k} AS k, {order} AS o, {day} AS terminal_event_date, {symbol.replace('string', 'varchar')} AS historical_symbol, {company} AS company_name, '{kind}' AS terminal_event_type, '{label}' AS source FROM {{{name}}}")
+    return " UNION ALL ".join(parts)
+
+
+@query(f"""WITH no AS (SELECT *, row_number() OVER (ORDER BY k, o) - 1 AS n FROM ({_notice_sql()})), ms AS (SELECT regexp_replace(upper(symbol), '[^A-Z0-9]', '', 'g') AS s, security_id, effective_from AS f, effective_to AS t FROM {{master}}),
+cd AS (SELECT n, terminal_event_date AS x, security_id, coalesce(f <= terminal_event_date AND (t IS NULL OR terminal_event_date <= t), false) AS ok FROM no JOIN ms ON s = regexp_replace(upper(historical_symbol), '[^A-Z0-9]', '', 'g')),
+ci AS (SELECT n, CASE WHEN bool_or(ok) THEN count(DISTINCT security_id) FILTER (WHERE ok) ELSE count(DISTINCT security_id) END AS c, CASE WHEN bool_or(ok) THEN min(security_id) FILTER (WHERE ok) ELSE min(security_id) END AS i FROM cd GROUP BY 1)
+SELECT format('NSE_TERM_{{{{:06d}}}}', n) AS event_id, CASE WHEN c = 1 THEN i END AS security_id, terminal_event_date, historical_symbol, company_name, terminal_event_type, CASE WHEN c = 1 THEN 'OFFICIAL_NSE_NOTICE' ELSE 'IDENTITY_REVIEW_REQUIRED' END AS event_quality, CASE WHEN c = 1 THEN 'SYMBOL_DATE_MATCH' ELSE 'IDENTITY_REVIEW_REQUIRED' END AS identity_match_quality, source
+FROM no LEFT JOIN ci USING (n)""".replace("{{:06d}}", "{:06d}"))
+def h21_normalized_events(spark: SparkSession, d: str) -> DataFrame:
+    """Two sources first, then the third one added to what they gave."""
+    sources, master = _notice_sources(spark, d), table(spark, d, "master")
+    both = status.normalize_terminal_events(sources[2:], master, status.normalize_terminal_events(sources[:2], master))
+    return both.select("event_id", "security_id", "terminal_event_date", "historical_symbol", "company_name", "terminal_event_type", "event_quality", "identity_match_quality", "source")
+
+
 _UNLINKED = "(SELECT event_id, CASE WHEN length(event_id) > 4 THEN NULL ELSE security_id END AS security_id, concat(historical_symbol, 'N') AS historical_symbol, terminal_event_date, terminal_event_type, event_quality FROM {terminal_events})"
 _ENRICHED = f"""
 u AS (SELECT * FROM {_UNLINKED}), s AS (SELECT symbol, count(DISTINCT security_id) AS n, min(security_id) AS i, max(last_seen) AS l FROM {{master}} WHERE exchange = 'NSE' AND instrument_type = 'ORDINARY_EQUITY' GROUP BY 1),

@@ -144,6 +144,26 @@ def i3_stream_daily_counts(spark: SparkSession, d: str) -> DataFrame:
     return ingest.run_to_table(ingest.stream_daily_counts(_event_stream(spark, d), "ts", "1 day", "event_type"), staged_path(spark, "counts"), staged_path(spark, "cp"))
 
 
+#: Events of every seventh day come a day later; sessions are all days but each ninth, from ten days before the first event to twenty days after the last one.
+_SESSION_ROWS = "SELECT CAST(CASE WHEN day(ts) % 7 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS {stamp}) AS ts FROM {{events}}"
+
+
+@query(f"""WITH e AS ({_SESSION_ROWS.format(stamp='TIMESTAMP')}), w AS (SELECT max(ts) - INTERVAL 1 DAY AS m FROM e), b AS (SELECT min(CAST(ts AS DATE)) - 10 AS a, max(CAST(ts AS DATE)) + 20 AS z FROM {{events}}),
+s AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS date FROM b), se AS (SELECT date FROM s WHERE day(date) % 9 <> 0), g AS (SELECT CAST(ts AS DATE) AS date, count(*) AS rows FROM e GROUP BY 1)
+SELECT date, coalesce(rows, 0) AS rows, CASE WHEN se.date IS NULL THEN 'EXTRA' WHEN rows IS NULL THEN 'MISSING' ELSE 'PRESENT' END AS status FROM g FULL JOIN se USING (date), w WHERE date + 1 <= m""")
+def i3_session_status(spark: SparkSession, d: str) -> DataFrame:
+    """Days that the watermark has passed, against the sessions."""
+    events = spark.sql(_SESSION_ROWS.format(stamp="TIMESTAMP").replace("{{", "{").replace("}}", "}"), events=table(spark, d, "events"))
+    bounds = table(spark, d, "events").agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("z"))
+    sessions = bounds.select(F.explode(F.sequence(F.date_sub("a", 10), F.date_add("z", 20))).alias("date")).where("day(date) % 9 <> 0")
+    streams = []
+    for rows, label in ((events, "rows"), (sessions, "sessions")):
+        path = staged_path(spark, label)
+        rows.write.parquet(path)
+        streams.append(spark.readStream.schema(rows.schema).parquet(path))
+    return ingest.run_to_table(ingest.stream_session_status(*streams), staged_path(spark, "status"), staged_path(spark, "cp"))
+
+
 @query('SELECT event_id, \'NON_POSITIVE_PRICE\' AS "check" FROM {events} WHERE value - 3 <= 0 OR (user_id % 9 = 0 AND value - 3.5 <= 0) UNION ALL SELECT event_id, \'LOW_ABOVE_HIGH\' FROM {events} WHERE user_id % 9 = 0 UNION ALL SELECT event_id, \'OPEN_ABOVE_HIGH\' FROM {events} WHERE user_id % 9 = 0 UNION ALL SELECT event_id, \'CLOSE_ABOVE_HIGH\' FROM {events} WHERE user_id % 9 = 0')
 def i2_stream_findings(spark: SparkSession, d: str) -> DataFrame:
     x = F.col("value") - 3

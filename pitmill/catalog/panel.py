@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitmill.catalog.inputs import sql, table
 from pitmill.functions import fields, text
-from pitmill.operators import calendar, features, intervals
+from pitmill.operators import audit, calendar, features, intervals
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -221,15 +221,12 @@ def e10_overlaps(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH p AS (SELECT security_id, date, raw_close FROM {panel}) SELECT h.security_id, max(date) AS last_date, round(max_by(raw_close, date), 6) AS last_price FROM {holdings} h LEFT JOIN p ON p.security_id = h.security_id GROUP BY 1""")
 def c11_last_price(spark: SparkSession, d: str) -> DataFrame:
-    last = table(spark, d, "panel").groupBy("security_id").agg(F.max("date").alias("last_date"), F.round(F.max_by("raw_close", "date"), 6).alias("last_price"))
-    return table(spark, d, "holdings").join(last, "security_id", "left")
+    return audit.last_prices(table(spark, d, "panel"), table(spark, d, "holdings")).withColumn("last_price", F.round("last_price", 6))
 
 
 @query("""WITH s AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM {calendar}), o AS (SELECT security_id, n - lag(n) OVER (PARTITION BY security_id ORDER BY n) - 1 AS gap FROM {panel} JOIN s USING (date)) SELECT security_id, coalesce(max(gap), 0) AS max_gap, count(*) FILTER (WHERE gap > 20) AS long_gaps FROM o GROUP BY 1""")
 def e13_session_gaps(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "panel").select("security_id", "date").join(F.broadcast(calendar.number_sessions(table(spark, d, "calendar"))), "date")
-    o = o.withColumn("gap", F.col("session_number") - F.lag("session_number").over(Window.partitionBy("security_id").orderBy("session_number")) - 1)
-    return o.groupBy("security_id").agg(F.coalesce(F.max("gap"), F.lit(0).cast("long")).alias("max_gap"), F.count_if(F.col("gap") > 20).alias("long_gaps"))
+    return audit.session_gaps(table(spark, d, "panel"), table(spark, d, "calendar"))
 
 
 @query("""WITH ses AS (SELECT date, row_number() OVER (ORDER BY date) AS sno FROM (SELECT DISTINCT date FROM {calendar})), pp AS (SELECT p.*, sno FROM {panel} p JOIN ses USING (date)), bb AS (SELECT security_id, min(sno) AS lo, max(sno) AS hi FROM pp GROUP BY 1)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitmill.operators.calendar import number_sessions
 from pitmill.operators.universe import month_ends, profile_predicate
 from pitmill.plans.staging import stage
 from pitmill.spec import ProfileSpec
@@ -411,6 +412,66 @@ def duplicate_symbols(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("date", F.upper("symbol_at_date").alias("symbol")).agg(F.count_distinct("security_id").alias("ids")).where("ids > 1")
 
 
+def monthly_diagnostics(monthly: DataFrame, prices: DataFrame, calendar: DataFrame, top: str = "top750_liquidity", start=None, end=None, sessions: int = 60) -> DataFrame:
+    """A row a snapshot: sizes, distinct symbols and ISINs, symbols of several entities now and within the last ``sessions`` sessions, history, and how many rows fail each rule.
+
+    One pass over the snapshots makes all counts but the two of symbols, each an aggregate by date and symbol before it is one by date; ``prices`` are read
+    for the sessions near snapshots only, ordinary EQ rows.
+    """
+    within = F.lit(True)
+    if start is not None:
+        within = within & (F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        within = within & (F.col("date") <= F.lit(end).cast("date"))
+    m, p = monthly.where(within), prices.where(within & (F.col("series") == "EQ") & (F.col("instrument_type") == "ORDINARY_EQUITY"))
+    ordinary, out = F.col("instrument_type") == "ORDINARY_EQUITY", ~_yes("liquid_v1_eligible")
+    failed = lambda code: F.count_if(out & F.coalesce(F.contains("eligibility_reason_codes", F.lit(code)), F.lit(False)))
+    base = m.groupBy("date").agg(
+        F.count_if(ordinary & (F.col("trading_status") == "ACTIVE_TRADING")).alias("active_ordinary_security_ids"), F.count_distinct("symbol_at_date").alias("unique_symbols"), F.count_distinct("isin").alias("unique_isins"),
+        F.count_if(_yes("liquid_v1_eligible")).alias("liquid_v1"), F.count_if(_yes(top)).alias("top"), F.min("history_sessions").alias("min_history_sessions"), F.max("history_sessions").alias("max_history_sessions"),
+        F.round(F.avg("history_sessions"), 2).alias("avg_history_sessions"), F.count_if(F.col("history_sessions") <= sessions).alias("short_history"),
+        failed("FAILED_MIN_HISTORY").alias("failed_min_history"), failed("FAILED_MIN_PRICE").alias("failed_min_price"), failed("FAILED_POSITIVE_VOLUME_DAYS_60").alias("failed_positive_volume_60"), failed("FAILED_MEDIAN_TRADED_VALUE_60").alias("failed_median_traded_value_60"),
+        F.count_if(~F.col("research_identity_ok")).alias("failed_identity_gate"), F.count_if(F.col("instrument_type") != "ORDINARY_EQUITY").alias("failed_instrument_gate"), F.count_if(F.col("trading_status") != "ACTIVE_TRADING").alias("failed_status_gate"))
+    double = m.groupBy("date", "symbol_at_date").agg(F.count_distinct("security_id").alias("ids")).where("ids > 1").groupBy("date").agg(F.count("*").alias("symbols_with_multiple_security_ids"))
+    days = calendar.select("date").distinct().withColumn("n", F.row_number().over(Window.orderBy("date")))  # a row a session
+    near = m.select("date").distinct().join(days, "date").select(F.col("date").alias("at_"), F.explode(F.sequence(F.greatest(F.col("n") - sessions, F.lit(1)), F.col("n"))).alias("n")).join(days, "n").select("at_", "date")
+    used = p.select("date", "symbol_at_date", "security_id").join(F.broadcast(near), "date")
+    changed = used.groupBy(F.col("at_").alias("date"), "symbol_at_date").agg(F.count_distinct("security_id").alias("ids")).where("ids > 1").groupBy("date").agg(F.count("*").alias("symbols_changed_security_id"))
+    return base.join(double, "date", "left").join(changed, "date", "left").na.fill(0, ["symbols_with_multiple_security_ids", "symbols_changed_security_id"])
+
+
+def session_gaps(prices: DataFrame, calendar: DataFrame, long: int = 20) -> DataFrame:
+    """``(security_id, max_gap, long_gaps)``: the most sessions without a row between two rows of an entity, and how often they are more than ``long``."""
+    o = prices.select("security_id", "date").join(F.broadcast(number_sessions(calendar)), "date")
+    o = o.withColumn("gap", F.col("session_number") - F.lag("session_number").over(Window.partitionBy("security_id").orderBy("session_number")) - 1)
+    return o.groupBy("security_id").agg(F.coalesce(F.max("gap"), F.lit(0).cast("long")).alias("max_gap"), F.count_if(F.col("gap") > long).alias("long_gaps"))
+
+
+def episode_audit(master: DataFrame, monthly: DataFrame, prices: DataFrame, calendar: DataFrame, before, top: str = "top750_liquidity") -> DataFrame:
+    """A row for each entity required before a date: its episodes, symbols, ISINs and names, how many entities share these, and the longest gap in sessions before the date.
+
+    Shares are counted among the identities of the required entities.
+    """
+    stop = F.lit(before).cast("date")
+    required = monthly.where((F.col("date") < stop) & (_yes("liquid_v1_eligible") | _yes(top))).select("security_id").distinct()
+    m = master.join(required, "security_id", "left_semi")
+    symbols = m.groupBy("symbol").agg(F.count_distinct("security_id").alias("a_"), F.count_distinct("isin").alias("b_"))
+    isins = m.where("isin is not null").groupBy("isin").agg(F.count_distinct("security_id").alias("c_"), F.count_distinct("symbol").alias("d_"))
+    gaps = session_gaps(prices.where(F.col("date") < stop).join(required, "security_id", "left_semi"), calendar).select("security_id", F.col("max_gap").alias("gap_"))
+    most = lambda c, name: F.coalesce(F.max(c), F.lit(0)).alias(name)
+    each = m.join(symbols, "symbol", "left").join(isins, "isin", "left").groupBy("security_id").agg(
+        F.min("symbol").alias("representative_symbol"), F.min("company_name").alias("representative_company"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.count_distinct("listing_episode_id").alias("episode_count"), F.count_distinct("symbol").alias("symbol_count"), F.count_distinct("isin").alias("isin_count"), F.count_distinct("company_name").alias("company_name_count"),
+        most("a_", "max_symbol_security_count"), most("b_", "max_symbol_isin_count"), most("c_", "max_isin_security_count"), most("d_", "max_isin_symbol_count"), F.coalesce(F.bool_or("listing_history_left_censored"), F.lit(False)).alias("has_left_censored_episode"))
+    return each.join(gaps, "security_id", "left").withColumn("max_absent_official_sessions", F.coalesce("gap_", F.lit(0).cast("long"))).drop("gap_")
+
+
+def last_prices(prices: DataFrame, held: DataFrame) -> DataFrame:
+    """``(security_id, last_date, last_price)`` of each entity in ``held``; null for one without prices. Only prices of held entities are sent."""
+    last = prices.join(held.select("security_id").distinct(), "security_id", "left_semi").groupBy("security_id").agg(F.max("date").alias("last_date"), F.max_by("raw_close", "date").alias("last_price"))
+    return held.join(last, "security_id", "left")
+
+
 def identity_priority(required: DataFrame, master: DataFrame, monthly: DataFrame, top: str = "top750_liquidity") -> DataFrame:
     """A row for each required entity with the evidence of its identity: names, symbols, ISINs, span, ranks and months in scope."""
     inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))

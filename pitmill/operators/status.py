@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.functions.text import compact_name
 from pitmill.operators.intervals import last_and_next, overlay_intervals
+from pitmill.operators.matching import names_within
+from pitmill.plans.numbering import numbered
 from pitmill.plans.staging import stage
 
 _ATTRS = ["trading_status", "status_quality", "source_reference"]
@@ -80,6 +85,64 @@ def resolve_by_symbol(events: DataFrame, master: DataFrame, symbol: str = "histo
     return events.join(found, "event_id", "left").withColumns({"resolved_id": resolved, "identity_match": how}).drop("n_valid", "valid_id", "n_any", "any_id")
 
 
+@dataclass(frozen=True)
+class NoticeSource:
+    """A table of companies that left the exchange, with the names of its columns; ``order`` says in what order its rows are numbered."""
+
+    rows: DataFrame
+    symbol: str
+    company_name: str
+    event_type: str
+    source: str
+    order: tuple[str, ...]
+    date: str | None = None
+    notes: str | None = None
+
+
+#: Fixed value: the prefix of running event ids.
+TERM_ID = "NSE_TERM_"
+
+
+def _letters(c: str | Column) -> Column:
+    return F.regexp_replace(F.upper(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))), "[^A-Z0-9]", "")
+
+
+def normalize_terminal_events(sources: list[NoticeSource], master: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """One event table of sources of several shapes, with running ids, linked to the only entity of the symbol (letters and digits) on the date.
+
+    Where no span of the symbol holds the date, or there is none, all its entities are candidates. Ids continue after the last one in ``earlier``, whose
+    rows keep theirs and come first; the new rows are numbered source by source, each in its order, by ranges that tasks number side by side.
+    """
+    parts = []
+    for k, s in enumerate(sources):
+        day = F.col(s.date).cast("date") if s.date else F.lit(None).cast("date")
+        made = s.rows.select(
+            F.struct(*s.order).alias("order_"), day.alias("terminal_event_date"), F.col(s.symbol).alias("historical_symbol"), F.col(s.company_name).alias("company_name"),
+            F.lit(s.event_type).alias("terminal_event_type"), F.lit(s.source).alias("source"), F.lit(s.notes).cast("string").alias("notes"))
+        parts.append(numbered(made.repartitionByRange("order_").sortWithinPartitions("order_"), f"source-{k}", "n_").drop("order_").withColumn("k_", F.lit(k)))
+    rows = reduce(DataFrame.unionByName, parts)
+    first = 0
+    if earlier is not None:
+        first = (earlier.agg(F.max(F.regexp_extract("event_id", f"^{TERM_ID}([0-9]+)$", 1).try_cast("long")).alias("m")).first()["m"] + 1) if not earlier.isEmpty() else 0
+    starts = []
+    for r in sorted(rows.groupBy("k_").agg(F.count("*").alias("n")).collect()):  # a row a source
+        starts.append((r["k_"], first))
+        first += r["n"]
+    start = F.broadcast(master.sparkSession.createDataFrame(starts, "k_ int, start_ long"))
+    spans = master.select(_letters("symbol").alias("s_"), F.struct("security_id", "effective_from", "effective_to").alias("x")).groupBy("s_").agg(F.collect_list("x").alias("spans_"))
+    found = rows.join(start, "k_").join(spans, _letters("historical_symbol") == F.col("s_"), "left")
+    day = F.col("terminal_event_date")
+    valid = F.filter("spans_", lambda x: (x.effective_from <= day) & (x.effective_to.isNull() | (day <= x.effective_to)))
+    ids = F.array_distinct(F.transform(F.when(F.size(valid) > 0, valid).otherwise(F.col("spans_")), lambda x: x.security_id))
+    one = F.coalesce(F.size(ids) == 1, F.lit(False))
+    number = F.col("start_") + F.col("n_")
+    out = found.select(
+        F.concat(F.lit(TERM_ID), F.lpad(number.cast("string"), F.greatest(F.lit(6), F.length(number.cast("string"))), F.lit("0"))).alias("event_id"), F.when(one, F.get(ids, F.lit(0))).alias("security_id"), F.lit(None).cast("string").alias("issuer_id"),
+        "terminal_event_date", "historical_symbol", "company_name", "terminal_event_type", F.lit(None).cast("double").alias("terminal_value"), F.lit(None).cast("string").alias("terminal_value_basis"), F.lit("UNKNOWN").alias("terminal_value_quality"),
+        F.when(one, "OFFICIAL_NSE_NOTICE").otherwise("IDENTITY_REVIEW_REQUIRED").alias("event_quality"), F.when(one, "SYMBOL_DATE_MATCH").otherwise("IDENTITY_REVIEW_REQUIRED").alias("identity_match_quality"), "source", "notes")
+    return out if earlier is None else earlier.select(*out.columns).unionByName(out)
+
+
 def enrich_terminal_events(events: DataFrame, master: DataFrame) -> DataFrame:
     """Unlinked terminal events take the only ordinary entity of their symbol, if it was last seen before them."""
     ids = master.where("exchange = 'NSE' and instrument_type = 'ORDINARY_EQUITY'").groupBy(F.col("symbol").alias("s_")).agg(F.count_distinct("security_id").alias("n_"), F.min("security_id").alias("i_"), F.max("last_seen").alias("l_"))
@@ -98,20 +161,11 @@ def delisting_overlay(base: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def names_in_texts(texts: DataFrame, names: DataFrame, id_col: str, text_col: str, name_col: str, least: int = 8) -> DataFrame:
-    """``(id, name)`` of every normalised name of at least ``least`` characters in a text, on word bounds.
-
-    Names and texts meet on the name's first two words (one, for a short name): an equi join over
-    the texts' word pairs, verified by containment.
-    """
+    """``(id, name)`` of every normalised name of at least ``least`` characters in a text, on word bounds."""
     from pitmill.functions.text import normalize_name
 
-    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
-    n = names.select(normalize_name(F.col(name_col)).alias("name")).where(F.length("name") >= least).distinct().withColumn("w_", words(F.col("name")))
-    n = n.withColumn("block_", F.when(F.size("w_") > 1, F.concat_ws(" ", F.get("w_", F.lit(0)), F.get("w_", F.lit(1)))).otherwise(F.get("w_", F.lit(0))))
-    t = texts.select(id_col, normalize_name(F.col(text_col)).alias("t_")).withColumn("w_", words(F.col("t_")))
-    pairs = F.zip_with("w_", F.slice("w_", 2, F.greatest(F.size("w_"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    t = t.select(id_col, "t_", F.explode(F.array_distinct(F.concat("w_", pairs))).alias("block_"))
-    return t.join(n.select("name", "block_"), "block_").where(F.contains(F.concat(F.lit(" "), "t_", F.lit(" ")), F.concat(F.lit(" "), "name", F.lit(" ")))).select(id_col, "name").distinct()
+    n = names.select(normalize_name(F.col(name_col)).alias("name")).where(F.length("name") >= least)
+    return names_within(texts.select(id_col, normalize_name(F.col(text_col)).alias("t_")), id_col, "t_", n)
 
 
 def resolve_notices(notices: DataFrame, master: DataFrame, id_col: str = "doc_id", text_col: str = "body") -> DataFrame:
@@ -129,8 +183,7 @@ def suspension_event_blocks(notices: DataFrame, master: DataFrame, id_col: str =
     """Event table of the press releases that change a status: type, effective date, and the only entity whose name their first ``focus`` characters hold.
 
     Names and releases are compared as letters and digits only; the entity must have been seen on the effective date (or the page's date,
-    where the release names none). A name and a release meet on the name's first ``least`` characters, an equi join over the
-    release's runs of as many, verified by containment; of names shorter than that none counts.
+    where the release names none). Names shorter than ``least`` don't count.
     """
     from pitmill.functions.text import block_type, effective_date, explode_blocks
 
@@ -140,11 +193,10 @@ def suspension_event_blocks(notices: DataFrame, master: DataFrame, id_col: str =
     else:
         blocks = blocks.withColumn("published_date", F.lit(None).cast("date"))
     events = blocks.select("evidence_id", id_col, "block_no", block_type(F.col("block")).alias("event_type"), effective_date(F.col("block")).alias("effective_date"), "published_date", compact_name(F.substring("block", 1, focus)).alias("focus"))
-    size = F.length("focus") - (least - 1)
-    runs = F.transform(F.sequence(F.lit(1), size), lambda k: F.substring(F.col("focus"), k, F.lit(least)))
-    grams = events.select("evidence_id", "focus", F.coalesce("effective_date", "published_date").alias("point"), F.explode(F.when(size > 0, F.array_distinct(runs))).alias("gram"))
     names = master.select(compact_name(F.col("company_name")).alias("name"), "security_id", "first_seen", "last_seen").where(F.length("name") >= least).distinct()
-    dated = grams.join(names.withColumn("gram", F.substring("name", 1, least)), "gram").where(F.contains("focus", "name") & F.col("point").between(F.col("first_seen"), F.col("last_seen")))
+    hits = names_within(events, "evidence_id", "focus", names, least=least)
+    points = events.select("evidence_id", F.coalesce("effective_date", "published_date").alias("point"))
+    dated = hits.join(points, "evidence_id").join(names, "name").where(F.col("point").between(F.col("first_seen"), F.col("last_seen")))
     one = dated.groupBy("evidence_id").agg(F.count_distinct("security_id").alias("n"), F.min("security_id").alias("security_id"))
     unique = F.coalesce(F.col("n") == 1, F.lit(False))
     return events.join(one, "evidence_id", "left").select(

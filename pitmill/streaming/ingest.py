@@ -75,6 +75,20 @@ def coverage_status(counts: DataFrame, calendar: DataFrame) -> DataFrame:
     return got.join(want, "date", "full").select("date", F.when(F.col("g").isNull(), "MISSING").when(F.col("w").isNull(), "EXTRA").otherwise("PRESENT").alias("status"))
 
 
+def stream_session_status(stream: DataFrame, sessions: DataFrame, time: str = "ts", lateness: str = "1 day", zone: str = "UTC") -> DataFrame:
+    """``(date, rows, status)`` of each day, once, when the watermark has passed it: PRESENT, MISSING (a session without rows) or EXTRA (rows, but no session).
+
+    ``sessions`` is a stream of the calendar's dates, which may run ahead. Only the data move the watermark, so a session waits in state, one row
+    a day, until the data have passed it; what has been given out isn't given out again after a restart from
+    the checkpoint. Rows, and sessions, later than the watermark are dropped.
+    """
+    rows = stream.select(F.col(time).alias("at_"), F.lit(1).cast("long").alias("row_"), F.lit(0).alias("session_")).withWatermark("at_", lateness)
+    days = sessions.select(F.to_utc_timestamp(F.col("date").cast("timestamp"), zone).alias("at_"), F.lit(0).cast("long").alias("row_"), F.lit(1).alias("session_"))
+    counted = rows.unionByName(days).groupBy(F.window("at_", "1 day")).agg(F.sum("row_").alias("rows"), F.max("session_").alias("session_"))
+    status = F.when(F.col("session_") == 0, "EXTRA").when(F.col("rows") == 0, "MISSING").otherwise("PRESENT")
+    return counted.select(F.col("window.start").cast("date").alias("date"), "rows", status.alias("status"))
+
+
 def run_counted(stream: DataFrame, path: str, checkpoint: str) -> tuple[DataFrame, int]:
     """As ``run_to_table``, with the number of rows that came after the watermark had passed them."""
     query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start()
