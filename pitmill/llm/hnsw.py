@@ -10,8 +10,10 @@ vectors get one more component that makes all lengths equal, so the largest inne
 smallest distance. Nodes are inserted in batches that double in size: a batch searches the graph
 built so far, is linked to the diverse among what it found, and links back.
 
-A query is sent to the shards of its ``probes`` nearest cells: all of them in tables of up to 262,144 different
-vectors, a falling share beyond, so that the work of a query stays bounded. A shard's answers are its ``k``
+A query is sent to the shards of its ``probes`` nearest cells: all of them where there are at most ``PROBES``. Beyond, a bounded
+sample of the queries is compared with every node, and as many cells are asked as hold ``TARGET`` of the sample's true
+neighbours, so recall stays as the table grows; what that costs is the data's affair (of isotropic vectors most cells must be asked). Queries are
+sent to shards and a shard's graph is read once for ``PART_QUERIES`` of them. A shard's answers are its ``k``
 best nodes, scored in double precision on the original vectors, and the answers of all shards are merged.
 
 Defined results: null or zero vectors and those with null or non-finite components take no part, as
@@ -35,8 +37,12 @@ from pitmill.llm.sampling import first_by_hash
 from pitmill.llm.workers import lean
 from pitmill.plans.staging import stage
 
-#: Cells are the root of the number of nodes divided by SPREAD; a query asks PROBES of them.
+#: Cells are the root of the number of nodes divided by SPREAD; a query asks PROBES of them at least.
 SPREAD, PROBES = 32, 16
+#: Share of the true neighbours of at most so many sampled queries (of each length) that the cells asked must hold.
+TARGET, CALIBRATION = 0.95, 256
+#: Queries that one copy of a shard's graph serves, and that are searched at once; bytes of rows that go to a Python worker at once.
+PART_QUERIES, BLOCK, BATCH_BYTES = 50_000, 512, 64 << 20
 #: Vectors of each length that centroids are fitted on, and components of all of them, at most.
 SAMPLE, SAMPLE_SIZE = 16_384, 1 << 23
 #: Components of the vectors of a shard at most.
@@ -287,8 +293,55 @@ def build_index(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: s
     return stage(dealt.groupBy("shard", "dim").applyInPandas(make, _INDEX), "hnsw")
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 512, probes: int = PROBES) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query row, its own id excluded."""
+def _probes(index: DataFrame, asked: DataFrame, route: dict[int, tuple], k: int) -> dict[int, int]:
+    """Of each vector length how many cells a query must ask; see the module."""
+    out = {dim: len(members) for dim, (_, _, members) in route.items()}
+    many = [dim for dim, cells in out.items() if cells > PROBES]
+    if not many:
+        return out
+    some = first_by_hash(asked.where(F.col("dim").isin(many)).select("dim", "q", "v"), "dim", "q", CALIBRATION).collect()
+    sample = {dim: (np.array([r["q"] for r in some if r["dim"] == dim], np.int64), np.array([r["v"] for r in some if r["dim"] == dim], np.float64)) for dim in many}
+    held = index.sparkSession.sparkContext.broadcast(sample)  # at most CALIBRATION vectors of a length
+
+    @lean
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim, cell, n = (batch.column(c)[i].as_py() for c in ("dim", "cell", "n"))
+                q, v = held.value[dim]
+                x = np.frombuffer(batch.column("vectors")[i].as_py(), np.float64).reshape(n, dim)
+                for lo in range(0, len(q), 32):
+                    score = v[lo : lo + 32] @ x.T
+                    score[np.stack([(x == w).all(axis=1) for w in v[lo : lo + 32]])] = -np.inf  # its own vector
+                    top = np.argpartition(-score, min(k, n) - 1, axis=1)[:, : min(k, n)]
+                    best = np.take_along_axis(score, top, axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q[lo : lo + 32], top.shape[1])), pa.array(np.full(top.size, dim, np.int32)), pa.array(np.full(top.size, cell, np.int32)), pa.array(best.ravel())], ["q", "dim", "cell", "score"])
+
+    near = index.where(F.col("dim").isin(many)).select("dim", "cell", "n", "vectors").mapInArrow(exact, "q long, dim int, cell int, score double").where(F.col("score") > float("-inf"))
+    near = near.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "cell"))).where(F.col("k") <= k).select("q", "dim", "cell").collect()
+    held_cells = index.select("dim", "cell").distinct().collect()
+    for dim in many:
+        q, v = sample[dim]
+        if not len(q):
+            continue
+        top, c, members = route[dim]
+        rank = np.argsort(_near_cells(v, top, c), axis=1)  # the place of each cell for each query
+        place = {x: i for i, x in enumerate(q.tolist())}
+        name = {cell: i for i, cell in enumerate(sorted(r["cell"] for r in held_cells if r["dim"] == dim))}
+        need = np.sort([rank[place[r["q"]], name[r["cell"]]] for r in near if r["dim"] == dim])
+        out[dim] = max(PROBES, int(need[math.ceil(TARGET * len(need)) - 1]) + 1) if len(need) else PROBES
+    return out
+
+
+def _near_cells(x: np.ndarray, top: float, centroids_: np.ndarray) -> np.ndarray:
+    """The cells of each query, nearest first."""
+    x = x * np.sqrt(top / np.einsum("ij,ij->i", x, x))[:, None]
+    return np.argsort(_distances(centroids_, np.concatenate((x, np.zeros((len(x), 1))), axis=1)), axis=1, kind="stable")
+
+
+def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", probes: int | None = None) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query row, its own id excluded. ``probes``: cells to ask, by default as many as recall takes."""
+    spark = index.sparkSession
     asked = _valid(queries, id_col, vec_col).select(F.col("vec_id").alias("query_id"), F.col("v"), F.size("v").alias("dim")).dropDuplicates(["query_id", "v"])
     asked = stage(asked.withColumn("q", F.monotonically_increasing_id()), "queries")
     shards = index.select("dim", "shard", "cell", "centroid", "top").collect()  # the root of the number of nodes
@@ -299,59 +352,70 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str
         names = sorted(cells)
         members = [np.array([s for c, s in own if c == name], np.int32) for name in names]
         route[dim] = (cells[names[0]][1], np.array([cells[n][0] for n in names], np.float64), members)
-    held = index.sparkSession.sparkContext.broadcast(route)
+    ask = _probes(index, asked, route, k) if probes is None else dict.fromkeys(route, probes)
+    held = spark.sparkContext.broadcast((route, ask))
 
     @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ways, most = held.value
         for batch in batches:
             dims, to = np.asarray(batch.column(2)), [np.empty(0, np.int32)] * batch.num_rows
             for dim in np.unique(dims):
-                if int(dim) not in held.value:
+                if int(dim) not in ways:
                     continue
-                top, c, members = held.value[int(dim)]
+                top, c, members = ways[int(dim)]
                 at = np.flatnonzero(dims == dim)
-                x = _matrix(batch.column(1).take(pa.array(at)))
-                x *= np.sqrt(top / np.einsum("ij,ij->i", x, x))[:, None]
-                near = np.argsort(_distances(c, np.concatenate((x, np.zeros((len(x), 1))), axis=1)), axis=1, kind="stable")[:, :probes]
+                near = _near_cells(_matrix(batch.column(1).take(pa.array(at))), top, c)[:, : most[int(dim)]]
                 for i, row in zip(at, near, strict=True):
                     to[i] = np.concatenate([members[j] for j in row])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(to, pa.list_(pa.int32()))], ["q", "shards"])
 
     sent = stage(asked.select("q", "v", "dim").mapInArrow(send, "q long, shards array<int>").select("q", F.explode("shards").alias("shard")), "sent")
-    # a shard's queries are cut into blocks, so that no group or task holds all queries of a busy one
-    blocks = sent.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    blocked = sent.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int")).drop("blocks")
-    grouped = blocked.join(asked.select("q", "query_id", "v"), "q").groupBy("shard", "block").agg(F.collect_list(F.struct("q", "query_id", "v")).alias("asked"))
-    pairs = grouped.join(index.select("shard", "dim", "n", "ids", "n_ids", "vectors", "entry", "graphs"), "shard")
+    # a busy shard's queries are served by several copies of its graph; each copy comes before its queries and is read once
+    parts = sent.groupBy("shard").agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("parts"))
+    copies = index.select("shard", "dim", "n", "ids", "n_ids", "vectors", "entry", "graphs").join(F.broadcast(parts), "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    ours = sent.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int")).drop("parts").join(asked.select("q", "query_id", "v"), "q")
+    rows = copies.withColumn("kind", F.lit(0)).unionByName(ours.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)  # graphs are large rows
+
+    def answers(r: dict, here: pa.RecordBatch) -> pa.RecordBatch:
+        n, dim = r["n"], r["dim"]
+        x = np.frombuffer(r["vectors"], np.float64).reshape(n, dim)
+        g = {"entry": np.frombuffer(r["entry"], np.int32), **{f"graph{i}": np.frombuffer(b, np.int32).reshape(n, -1) for i, b in enumerate(r["graphs"])}}
+        q, q_rows, q_ids = _matrix(here.column("v")), np.asarray(here.column("q")), np.asarray(here.column("query_id"))
+        ids, count = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["n_ids"], np.int32)
+        first = np.cumsum(count) - count
+        out: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]]
+        for lo in range(0, len(q), BLOCK):
+            found = search(x, g, q[lo : lo + BLOCK], k + 1)
+            for j, hits in enumerate(found, lo):
+                f = hits[hits >= 0]
+                s = (x[f] * q[j]).sum(axis=-1)
+                best = np.argsort(-s, kind="stable")[: 2 * k + 2]
+                f, s = f[best], s[best]
+                mine = np.concatenate([ids[first[e] : first[e] + count[e]] for e in f]) if len(f) else np.empty(0, np.int64)
+                s = np.repeat(s, count[f])
+                keep = mine != q_ids[j]
+                mine, s = mine[keep], s[keep]
+                top = np.lexsort((mine, -s))[:k]
+                for column, values in zip(out, (np.full(len(top), q_rows[j]), np.full(len(top), q_ids[j]), mine[top], s[top]), strict=True):
+                    column.append(values)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["q", "query_id", "vec_id", "score"])
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph: dict = {}
         for batch in batches:
-            for i in range(batch.num_rows):
-                r = {name: batch.column(name)[i].as_py() for name in ("dim", "n", "ids", "n_ids", "vectors", "entry", "graphs")}
-                here = batch.column("asked")[i].values
-                n, dim = r["n"], r["dim"]
-                x = np.frombuffer(r["vectors"], np.float64).reshape(n, dim)
-                g = {"entry": np.frombuffer(r["entry"], np.int32), **{f"graph{i}": np.frombuffer(b, np.int32).reshape(n, -1) for i, b in enumerate(r["graphs"])}}
-                q, q_rows, q_ids = _matrix(here.field("v")), np.asarray(here.field("q")), np.asarray(here.field("query_id"))
-                found = search(x, g, q, k + 1)
-                ids, count = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["n_ids"], np.int32)
-                first = np.cumsum(count) - count
-                out: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]]
-                for j in range(len(q)):
-                    f = found[j][found[j] >= 0]
-                    s = (x[f] * q[j]).sum(axis=-1)
-                    best = np.argsort(-s, kind="stable")[: 2 * k + 2]
-                    f, s = f[best], s[best]
-                    mine = np.concatenate([ids[first[e] : first[e] + count[e]] for e in f]) if len(f) else np.empty(0, np.int64)
-                    s = np.repeat(s, count[f])
-                    keep = mine != q_ids[j]
-                    mine, s = mine[keep], s[keep]
-                    top = np.lexsort((mine, -s))[:k]
-                    for column, values in zip(out, (np.full(len(top), q_rows[j]), np.full(len(top), q_ids[j]), mine[top], s[top]), strict=True):
-                        column.append(values)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["q", "query_id", "vec_id", "score"])
-
-    found = pairs.mapInArrow(run, "q long, query_id long, vec_id long, score double")
+            kind = np.asarray(batch.column("kind"))
+            heads = np.flatnonzero(kind == 0)
+            edges = sorted({0, *heads.tolist(), *(heads + 1).tolist(), batch.num_rows})
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if kind[lo] == 0:
+                    graph = {name: batch.column(name)[lo].as_py() for name in ("dim", "n", "ids", "n_ids", "vectors", "entry", "graphs")}
+                else:
+                    yield answers(graph, batch.slice(lo, hi - lo))
+
+    dealt = rows.repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
+    found = dealt.mapInArrow(run, "q long, query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -255,6 +255,22 @@ def test_neighbours_over_many_shards(spark):
     assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want) and len(got) == len(want)
 
 
+def test_probes_follow_the_data(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 16))  # isotropic: neighbours lie in many cells
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    index = hnsw.build_index(df, k=20, spread=1)
+    assert index.select("cell").distinct().count() >= 50
+    monkeypatch.setattr(hnsw, "PART_QUERIES", 40)  # several copies of a graph
+    got = hnsw.search_index(index, df.where("vec_id % 20 = 0"), k=20).collect()
+    want = set()
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        want |= {(q, int(k)) for k in np.argsort(-s)[:20]}
+    assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want) and len(got) == len(want)
+
+
 def test_queries_of_one_id_have_lists_of_their_own(spark):
     rows = [(k, [float(k == j) + 0.1 for j in range(4)]) for k in range(4)] + [(20, [1.0, 0.0, 0.0, 0.0]), (20, [0.0, 0.0, 0.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
