@@ -97,19 +97,11 @@ def h39_universe_stability(spark: SparkSession, d: str) -> DataFrame:
     return audit.universe_stability(table(spark, d, "monthly_in"), "liquid_v1_eligible", "top25_liquidity").select("date", "members", "entries", "exits", _R("turnover"), "top_size", _R("top_overlap"), "flags")
 
 
-_EARLY = "SELECT * FROM {panel} WHERE date <= date '2001-10-25' OR security_id LIKE '%2'"
-
-
-def _early(spark: SparkSession, d: str) -> DataFrame:
-    """The panel in which most entities stop before the end."""
-    return table(spark, d, "panel").where("date <= date '2001-10-25' or security_id like '%2'")
-
-
-@query(f"""WITH {_STABLE}, pe AS ({_EARLY}), al AS (SELECT DISTINCT security_id FROM pe WHERE date = (SELECT max(date) FROM pe)), ev AS (SELECT DISTINCT security_id FROM {{monthly_in}} WHERE liquid_v1_eligible)
+@query(f"""WITH {_STABLE}, pe AS (SELECT * FROM {{ending}}), al AS (SELECT DISTINCT security_id FROM pe WHERE date = (SELECT max(date) FROM pe)), ev AS (SELECT DISTINCT security_id FROM {{monthly_in}} WHERE liquid_v1_eligible)
 SELECT count(*) AS snapshots, round(avg(members) + 1e-9, 6) AS average_size, min(members) AS minimum_size, max(members) AS maximum_size, round(avg(top_overlap) FILTER (WHERE n > 1) + 1e-9, 6) AS mean_overlap, count(*) FILTER (WHERE n > 1) AS overlap_observations,
   (SELECT count(*) FROM ev) AS unique_members, (SELECT count(*) FROM ev WHERE security_id IN (SELECT security_id FROM al)) AS surviving_members, (SELECT count(DISTINCT security_id) FROM pe WHERE security_id NOT IN (SELECT security_id FROM al)) AS disappeared FROM stab""")
 def h39_scale_summary(spark: SparkSession, d: str) -> DataFrame:
-    out = audit.scale_summary(table(spark, d, "monthly_in"), _early(spark, d), "liquid_v1_eligible", "top25_liquidity")
+    out = audit.scale_summary(table(spark, d, "monthly_in"), table(spark, d, "ending"), "liquid_v1_eligible", "top25_liquidity")
     return out.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("average_size", "mean_overlap")})
 
 
@@ -131,24 +123,24 @@ def h37_survivorship(spark: SparkSession, d: str) -> DataFrame:
     return audit.survivorship(table(spark, d, "panel"), table(spark, d, "terminal_events"), 3).withColumn("last_price", F.round("last_price", 6))
 
 
-@query(f"""WITH pe AS ({_EARLY}), nd AS (SELECT security_id, min(date) AS first_required_month, max(date) AS last_required_month, min(rank_126) AS best_rank_126, count(DISTINCT date) AS research_months, bool_or(liquid_v1_eligible) AS enters_liquid_v1, bool_or(top25_liquidity) AS enters_top750 FROM {{monthly_in}} WHERE {_INSIDE} AND date < date '2001-06-30' GROUP BY 1),
+@query(f"""WITH pe AS (SELECT * FROM {{ending}}), nd AS (SELECT security_id, min(date) AS first_required_month, max(date) AS last_required_month, min(rank_126) AS best_rank_126, count(DISTINCT date) AS research_months, bool_or(liquid_v1_eligible) AS enters_liquid_v1, bool_or(top25_liquidity) AS enters_top750 FROM {{monthly_in}} WHERE {_INSIDE} AND date < date '2001-06-30' GROUP BY 1),
 ls AS (SELECT security_id, max(date) AS last_observed_date FROM pe GROUP BY 1), nm AS (SELECT security_id, min(symbol) AS symbol, min(company_name) AS company_name FROM {{master}} GROUP BY 1), te AS (SELECT security_id, min(terminal_event_date) AS f, string_agg(DISTINCT terminal_event_type, ', ' ORDER BY terminal_event_type) AS t FROM {{terminal_events}} GROUP BY 1)
 SELECT security_id, symbol, company_name, first_required_month, last_required_month, best_rank_126, research_months, enters_liquid_v1, enters_top750, last_observed_date, coalesce(f, last_observed_date) AS terminal_reference_date, coalesce(t, 'UNKNOWN_TERMINAL_EVENT') AS terminal_event_types
 FROM nd JOIN ls USING (security_id) JOIN nm USING (security_id) LEFT JOIN te USING (security_id) WHERE last_observed_date < (SELECT max(date) FROM {{monthly_in}}) ORDER BY best_rank_126 NULLS LAST, research_months DESC, security_id LIMIT 200""")
 def h37_terminal_priority(spark: SparkSession, d: str) -> DataFrame:
-    return audit.terminal_priority(table(spark, d, "monthly_in"), _early(spark, d), table(spark, d, "master"), table(spark, d, "terminal_events"), "top25_liquidity", "2001-06-30")
+    return audit.terminal_priority(table(spark, d, "monthly_in"), table(spark, d, "ending"), table(spark, d, "master"), table(spark, d, "terminal_events"), "top25_liquidity", "2001-06-30")
 
 
-@query(f"""WITH pe AS ({_EARLY}), al AS (SELECT DISTINCT security_id FROM pe WHERE date = (SELECT max(date) FROM pe)), ev AS (SELECT DISTINCT security_id FROM {{monthly_in}} WHERE liquid_v1_eligible)
+@query(f"""WITH pe AS (SELECT * FROM {{ending}}), al AS (SELECT DISTINCT security_id FROM pe WHERE date = (SELECT max(date) FROM pe)), ev AS (SELECT DISTINCT security_id FROM {{monthly_in}} WHERE liquid_v1_eligible)
 SELECT count(*) AS historical_eligible, count(al.security_id) AS current_survivors, count(*) - count(al.security_id) AS gone FROM ev LEFT JOIN al USING (security_id)""")
 def h37_survivor_comparison(spark: SparkSession, d: str) -> DataFrame:
-    return audit.survivor_comparison(table(spark, d, "monthly_in"), _early(spark, d), "liquid_v1_eligible")
+    return audit.survivor_comparison(table(spark, d, "monthly_in"), table(spark, d, "ending"), "liquid_v1_eligible")
 
 
-@query("""WITH a AS (SELECT DISTINCT year(date) AS y, security_id FROM {panel} WHERE date <= date '2001-10-25' OR security_id LIKE '%2'), s AS (SELECT security_id FROM a WHERE y = (SELECT max(y) FROM a)), m AS (SELECT DISTINCT year(date) AS y, security_id FROM {monthly_in} WHERE top25_liquidity)
+@query("""WITH a AS (SELECT DISTINCT year(date) AS y, security_id FROM {ending}), s AS (SELECT security_id FROM a WHERE y = (SELECT max(y) FROM a)), m AS (SELECT DISTINCT year(date) AS y, security_id FROM {monthly_in} WHERE top25_liquidity)
 SELECT a.y AS year, count(*) AS historical, count(s.security_id) AS survivors, count(m.security_id) AS members, count(m.security_id) FILTER (WHERE s.security_id IS NOT NULL) AS surviving_members FROM a LEFT JOIN s ON s.security_id = a.security_id LEFT JOIN m ON m.y = a.y AND m.security_id = a.security_id GROUP BY 1""")
 def h37_survivorship_by_year(spark: SparkSession, d: str) -> DataFrame:
-    return audit.survivorship_by_year(table(spark, d, "panel").where("date <= date '2001-10-25' or security_id like '%2'"), table(spark, d, "monthly_in"), "top25_liquidity")
+    return audit.survivorship_by_year(table(spark, d, "ending"), table(spark, d, "monthly_in"), "top25_liquidity")
 
 
 @query(f"""WITH {_BOUNDARIES}, dy AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS n FROM (SELECT DISTINCT date FROM {{calendar}})), se AS (SELECT year(date) AS year, count(*) AS sessions, count(*) FILTER (WHERE n >= 300) AS fully_warmed FROM dy GROUP BY 1),
@@ -385,12 +377,38 @@ def h54_release_facts(spark: SparkSession, d: str) -> DataFrame:
     return audit.release_facts(intervals_of(spark, d), boundaries_of(spark, d), table(spark, d, "events_in"))
 
 
-@query("""WITH r AS (SELECT concat('CA_', CAST(o_orderkey AS VARCHAR)) AS event_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('EV', CAST(o_custkey AS VARCHAR)) END AS evidence_id FROM {orders}), e AS (SELECT concat(CASE WHEN c_custkey % 4 = 0 THEN 'OLD' ELSE 'EV' END, CAST(c_custkey AS VARCHAR)) AS evidence_id, CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' ELSE NULL END AS of_, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'http://x' END AS url FROM {customer})
-SELECT r.event_id, r.evidence_id, unnest(list_filter([CASE WHEN r.evidence_id IS NULL THEN 'NO_EVIDENCE' END, CASE WHEN r.evidence_id IS NOT NULL AND e.evidence_id IS NULL THEN 'UNKNOWN_EVIDENCE' END, CASE WHEN e.evidence_id IS NOT NULL AND of_ IS DISTINCT FROM r.event_id THEN 'EVENT_MISMATCH' END, CASE WHEN e.evidence_id IS NOT NULL AND url = '' THEN 'MISSING_URL' END], lambda x: x IS NOT NULL)) AS failure FROM r LEFT JOIN e ON e.evidence_id = r.evidence_id""")
+_NO_URL = "NOT (coalesce({0}, '') LIKE 'https://%' OR coalesce({0}, '') LIKE 'http://%')"
+_BLANK = "trim(coalesce(CAST({0} AS VARCHAR), '')) = ''"
+_EVIDENCE_RULES = [
+    (_BLANK.format("evidence_id"), "MISSING_EVIDENCE_ID"), (_NO_URL.format("source_url"), "URL_NOT_HTTP"), ("NOT has_facts", "MISSING_FACTS"),
+    *[(_BLANK.format(k), f"MISSING_{k.upper()}") for k in ("publisher", "accessed_at", "source_type", "evidence_quality", "symbol", "event_id", "event_date")],
+]
+
+
+def _evidence(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "evidence_in").withColumn("facts", F.when(F.col("has_facts"), F.create_map(F.lit("ratio"), F.lit("1:1")))).drop("has_facts")
+
+
+@query("WITH e AS (SELECT * FROM {evidence_in}) " + " UNION ALL ".join(f"SELECT evidence_id, '{name}' AS failure FROM e WHERE {rule}" for rule, name in _EVIDENCE_RULES)
+       + " UNION ALL SELECT evidence_id, 'DUPLICATE_EVIDENCE_ID' FROM (SELECT evidence_id, row_number() OVER (PARTITION BY evidence_id) AS k FROM e WHERE trim(evidence_id) <> '') WHERE k > 1")
+def h16_evidence_registry(spark: SparkSession, d: str) -> DataFrame:
+    return audit.evidence_registry_failures(_evidence(spark, d))
+
+
+@query(f"""WITH k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY evidence_id ORDER BY event_id NULLS FIRST, symbol, publisher, accessed_at NULLS FIRST, evidence_quality NULLS FIRST, source_url, has_facts) AS n FROM {{evidence_in}}) WHERE n = 1),
+r AS (SELECT event_id, symbol, unnest(coalesce(evidence_references, [NULL])) AS evidence_id FROM {{reviewed_in}} WHERE review_status = 'APPROVED'),
+x AS (SELECT r.*, k.evidence_id IS NOT NULL AS known, k.event_id AS e_event, k.symbol AS e_symbol, publisher, accessed_at, evidence_quality, source_url, has_facts FROM r LEFT JOIN k USING (evidence_id))
+SELECT event_id, evidence_id, 'NO_EVIDENCE' AS failure FROM x WHERE evidence_id IS NULL UNION ALL SELECT event_id, evidence_id, 'UNKNOWN_EVIDENCE' FROM x WHERE evidence_id IS NOT NULL AND NOT known
+UNION ALL SELECT event_id, evidence_id, 'EVENT_MISMATCH' FROM x WHERE known AND e_event IS DISTINCT FROM event_id UNION ALL SELECT event_id, evidence_id, 'SYMBOL_MISMATCH' FROM x WHERE known AND e_symbol IS DISTINCT FROM symbol
+{' '.join(f"UNION ALL SELECT event_id, evidence_id, 'MISSING_{k.upper()}' FROM x WHERE known AND {_BLANK.format(k)}" for k in ("publisher", "accessed_at", "evidence_quality"))}
+UNION ALL SELECT event_id, evidence_id, 'MISSING_URL' FROM x WHERE known AND {_NO_URL.format("source_url")} UNION ALL SELECT event_id, evidence_id, 'MISSING_FACTS' FROM x WHERE known AND NOT has_facts""")
 def h16_evidence_integrity(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "orders").select(F.concat(F.lit("CA_"), F.col("o_orderkey").cast("string")).alias("event_id"), F.expr("CASE WHEN o_orderkey % 5 = 0 THEN cast(array() as array<string>) ELSE array(concat('EV', cast(o_custkey as string))) END").alias("evidence_references"))
-    e = table(spark, d, "customer").select(F.expr("concat(CASE WHEN c_custkey % 4 = 0 THEN 'OLD' ELSE 'EV' END, cast(c_custkey as string))").alias("evidence_id"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' END").alias("event_id"), F.expr("CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'http://x' END").alias("source_url"))
-    return audit.validate_evidence(r, e)
+    return audit.validate_evidence(table(spark, d, "reviewed_in"), _evidence(spark, d))
+
+
+@query("SELECT coalesce(nullif(trim(evidence_quality), ''), 'UNKNOWN') AS evidence_quality, count(*) AS rows FROM {evidence_in} GROUP BY 1")
+def h16_evidence_by_quality(spark: SparkSession, d: str) -> DataFrame:
+    return audit.evidence_by_quality(_evidence(spark, d))
 
 
 @query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM {orders}) SELECT date, CASE WHEN date BETWEEN date '1996-03-01' AND date '1996-12-31' THEN 'PIT_VERIFIED' WHEN date >= date '1996-06-01' AND date <= date '1997-06-01' THEN 'EXPLORATORY' WHEN date < date '1995-02-01' OR date > date '2001-06-01' THEN 'COVERAGE_ERROR' WHEN date < date '1995-09-01' THEN 'FEATURE_WARMUP' ELSE 'RESEARCH_EXPLORATORY' END AS research_quality FROM d""")

@@ -27,6 +27,9 @@ SELECT concat('S', cast(l_suppkey AS string)) AS security_id, cast(l_shipdate AS
   cast(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE cast(l_quantity AS decimal(18, 2)) END) AS bigint) AS volume,
   cast(sum(CASE WHEN l_linestatus = 'F' AND l_linenumber = 1 THEN NULL ELSE cast(l_extendedprice AS decimal(18, 2)) END) AS double) AS traded_value
 FROM {lineitem} GROUP BY l_suppkey, cast(l_shipdate AS date), year(l_shipdate)""",
+    # the panel with each entity's rows moved, so that most end before the others, some in an earlier year
+    "ending": """
+SELECT security_id, CASE WHEN security_id LIKE '%2' THEN date WHEN security_id LIKE '%7' THEN date - 400 ELSE date - 70 END AS date, symbol_at_date, raw_close, volume, traded_value FROM {panel}""",
     "calendar": "SELECT DISTINCT cast(l_shipdate AS date) AS date FROM {lineitem}",
     # one row a file observation: raw text fields as a daily market file has them
     "observations": """
@@ -74,6 +77,15 @@ SELECT concat('CA_', cast(o_orderkey AS string)) AS event_id, CASE WHEN o_orderk
   'OFFICIAL_DOCUMENT' AS factor_quality, CASE WHEN o_orderkey % 6 = 0 THEN 2.0 ELSE cast(NULL AS double) END AS post_share_count_per_old_share, CASE WHEN o_orderkey % 6 = 0 THEN 5.0 ELSE cast(NULL AS double) END AS cash_contribution_per_old_share,
   cast(o_orderkey % 5 AS double) / 4 AS bonus_ratio, cast(o_orderkey % 3 AS double) / 2 AS rights_ratio
 FROM {orders}""",
+    # registered evidence, with gaps, and resolutions that refer to it
+    "evidence_in": """
+SELECT CASE WHEN c_custkey % 29 = 0 THEN ' ' WHEN c_custkey % 4 = 0 THEN concat('OLD', cast(c_custkey AS string)) ELSE concat('EV', cast(c_custkey - c_custkey % 2 AS string)) END AS evidence_id, CASE WHEN c_custkey % 2 = 0 THEN 'CA_1' ELSE cast(NULL AS string) END AS event_id,
+  concat('SYM', cast(c_custkey % 40 AS string)) AS symbol, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN concat('http://x/', cast(c_custkey AS string)) ELSE concat('ftp://x/', cast(c_custkey AS string)) END AS source_url,
+  CASE WHEN c_custkey % 7 = 0 THEN '  ' ELSE c_name END AS publisher, CASE WHEN c_custkey % 11 = 0 THEN cast(NULL AS string) ELSE '2020-01-01' END AS accessed_at, 'CIRCULAR' AS source_type,
+  CASE WHEN c_custkey % 5 = 0 THEN cast(NULL AS string) WHEN c_custkey % 5 = 1 THEN 'SECONDARY' ELSE 'OFFICIAL' END AS evidence_quality, date '2001-01-01' AS event_date, c_custkey % 13 <> 0 AS has_facts FROM {customer}""",
+    "reviewed_in": """
+SELECT concat('CA_', cast(o_orderkey AS string)) AS event_id, concat('SYM', cast(o_custkey % 40 AS string)) AS symbol, CASE WHEN o_orderkey % 9 = 0 THEN 'PENDING' ELSE 'APPROVED' END AS review_status,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE split(concat('EV', cast(o_custkey AS string), CASE WHEN o_orderkey % 3 = 0 THEN concat(';OLD', cast(o_custkey AS string)) ELSE '' END), ';') END AS evidence_references FROM {orders}""",
     # simple priced events for adjustment and boundaries, on the panel's entities
     "events_in": """
 SELECT concat('E', cast(o_orderkey AS string)) AS event_id, concat('S', cast(o_custkey % 100 + 1 AS string)) AS security_id, cast(o_orderdate AS date) AS event_date, cast(o_orderdate AS date) AS ex_date,

@@ -363,16 +363,54 @@ def release_facts(intervals: DataFrame, boundaries: DataFrame, events: DataFrame
     return reduce(DataFrame.unionByName, [unpivot(x) for x in (i, b, e, o)])
 
 
+#: Fields that evidence must state.
+EVIDENCE_FIELDS = ("publisher", "accessed_at", "source_type", "evidence_quality", "symbol", "event_id", "event_date")
+
+
+def _empty(c: str) -> Column:
+    return F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+
+
+def _no_url(c: str = "source_url") -> Column:
+    url = F.coalesce(F.col(c), F.lit(""))
+    return ~(url.startswith("https://") | url.startswith("http://"))
+
+
+def evidence_registry_failures(evidence: DataFrame) -> DataFrame:
+    """``(evidence_id, failure)`` for every broken rule of a registered piece of evidence: no id, an id of several pieces (once for each but one), no http(s) URL, MISSING_ and the field, no facts.
+
+    ``evidence``: evidence_id, source_url, ``facts`` (a map) and ``EVIDENCE_FIELDS``. An id's pieces are counted, not gathered.
+    """
+    codes = F.array_compact(F.array(
+        F.when(_empty("evidence_id"), "MISSING_EVIDENCE_ID"), F.when(_no_url(), "URL_NOT_HTTP"), *[F.when(_empty(k), f"MISSING_{k.upper()}") for k in EVIDENCE_FIELDS],
+        F.when(F.coalesce(F.size("facts"), F.lit(0)) <= 0, "MISSING_FACTS")))
+    rules = evidence.select("evidence_id", F.explode(codes).alias("failure"))
+    again = evidence.where(~_empty("evidence_id")).groupBy("evidence_id").agg(F.count("*").alias("n")).where("n > 1").select("evidence_id", F.explode(F.array_repeat(F.lit("DUPLICATE_EVIDENCE_ID"), (F.col("n") - 1).cast("int"))).alias("failure"))
+    return rules.unionByName(again)
+
+
 def validate_evidence(resolutions: DataFrame, evidence: DataFrame) -> DataFrame:
-    """``(event_id, failure)``: references to unknown evidence, evidence of another event, without a URL, or none at all."""
-    r = resolutions.select("event_id", F.explode_outer("evidence_references").alias("evidence_id"))
-    x = r.join(evidence.select("evidence_id", F.col("event_id").alias("of_"), "source_url", F.lit(True).alias("known")), "evidence_id", "left")
+    """``(event_id, evidence_id, failure)`` of approved resolutions: no reference, one to unknown evidence, to evidence of another event or symbol, or to evidence that lacks a field.
+
+    ``resolutions``: event_id, symbol, review_status, evidence_references. Of pieces with one id the first by its fields counts.
+    """
+    fields = ("event_id", "symbol", "publisher", "accessed_at", "evidence_quality", "source_url", "facts_")
+    known = evidence.withColumn("facts_", F.coalesce(F.size("facts"), F.lit(0)) > 0).groupBy("evidence_id").agg(F.min(F.struct(*fields)).alias("e"))
+    r = resolutions.where("review_status = 'APPROVED'").select("event_id", "symbol", F.explode_outer("evidence_references").alias("evidence_id"))
+    x = r.join(known, "evidence_id", "left").select("event_id", "symbol", "evidence_id", F.col("e").isNotNull().alias("known"), *[F.col(f"e.{k}").alias(f"e_{k}") for k in fields])
+    has = F.col("known")
     codes = F.array_compact(F.array(
-        F.when(F.col("evidence_id").isNull(), "NO_EVIDENCE"), F.when(F.col("evidence_id").isNotNull() & F.col("known").isNull(), "UNKNOWN_EVIDENCE"),
-        F.when(F.col("known") & ~F.col("of_").eqNullSafe(F.col("event_id")), "EVENT_MISMATCH"), F.when(F.col("known") & (F.trim(F.coalesce("source_url", F.lit(""))) == ""), "MISSING_URL")))
+        F.when(F.col("evidence_id").isNull(), "NO_EVIDENCE"), F.when(F.col("evidence_id").isNotNull() & ~has, "UNKNOWN_EVIDENCE"),
+        F.when(has & ~F.col("e_event_id").eqNullSafe(F.col("event_id")), "EVENT_MISMATCH"), F.when(has & ~F.col("e_symbol").eqNullSafe(F.col("symbol")), "SYMBOL_MISMATCH"),
+        *[F.when(has & _empty(f"e_{k}"), f"MISSING_{k.upper()}") for k in ("publisher", "accessed_at", "evidence_quality")], F.when(has & _no_url("e_source_url"), "MISSING_URL"), F.when(has & ~F.col("e_facts_"), "MISSING_FACTS")))
     return x.select("event_id", "evidence_id", F.explode(codes).alias("failure"))
 
 
+def evidence_by_quality(evidence: DataFrame) -> DataFrame:
+    """``(evidence_quality, rows)``; UNKNOWN where there is none."""
+    return evidence.groupBy(F.coalesce(F.nullif(F.trim("evidence_quality"), F.lit("")), F.lit("UNKNOWN")).alias("evidence_quality")).agg(F.count("*").alias("rows"))
+
+
 def research_quality_on(dates: DataFrame, intervals: DataFrame, start, end, warm_from) -> DataFrame:
     """Label of each date: that of the first interval (by ``ordinal``) that holds it, else by coverage and warm-up."""
     i = intervals.select(F.col("start").alias("a_"), F.col("end").alias("b_"), "status", "ordinal")
