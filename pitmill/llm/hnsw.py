@@ -41,8 +41,8 @@ from pitmill.plans.staging import stage
 SPREAD, PROBES = 32, 16
 #: Share of the true neighbours of at most so many sampled queries (of each length) that the cells asked must hold.
 TARGET, CALIBRATION = 0.95, 256
-#: Queries that one copy of a shard's graph serves, and that are searched at once; bytes of rows that go to a Python worker at once.
-PART_QUERIES, BLOCK, BATCH_BYTES = 50_000, 512, 64 << 20
+#: Queries that one copy of a shard's graph serves, and that are searched at once.
+PART_QUERIES, BLOCK = 50_000, 512
 #: Vectors of each length that centroids are fitted on, and components of all of them, at most.
 SAMPLE, SAMPLE_SIZE = 16_384, 1 << 23
 #: Components of the vectors of a shard at most.
@@ -376,7 +376,6 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str
     copies = index.select("shard", "dim", "n", "ids", "n_ids", "vectors", "entry", "graphs").join(F.broadcast(parts), "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     ours = sent.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int")).drop("parts").join(asked.select("q", "query_id", "v"), "q")
     rows = copies.withColumn("kind", F.lit(0)).unionByName(ours.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)  # graphs are large rows
 
     def answers(r: dict, here: pa.RecordBatch) -> pa.RecordBatch:
         n, dim = r["n"], r["dim"]
