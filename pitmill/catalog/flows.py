@@ -71,6 +71,27 @@ def a11_verify_manifest(spark: SparkSession, d: str) -> DataFrame:
     return files.verify_manifest(e, made("CASE WHEN doc_id % 5 = 0 THEN doc_id + 1000000000000 ELSE doc_id END", F.length("text"), F.col("text")))
 
 
+#: Archives of eleven years, one a document: what is there, what manifests list, and the manifests' totals.
+_THERE = "SELECT CAST(2000 + doc_id % 11 AS int) AS year, concat(CAST(2000 + doc_id % 11 AS {s}), '-', CAST(doc_id AS {s}), '.zip') AS path, CAST(length(text) AS bigint) AS bytes, {sha} AS sha256, doc_id FROM {{documents}}"
+_LISTED = """SELECT year, CASE WHEN doc_id % 53 = 0 THEN concat('2020-', CAST(doc_id AS {s}), '.zip') WHEN doc_id % 59 = 0 THEN concat('../', path) ELSE path END AS path, bytes + CASE WHEN doc_id % 61 = 0 THEN 1 ELSE 0 END AS bytes,
+  CASE WHEN doc_id % 67 = 0 THEN 'other' ELSE sha256 END AS sha256 FROM {{there}} WHERE doc_id % 71 <> 0 UNION ALL SELECT year, path, bytes, sha256 FROM {{there}} WHERE doc_id % 73 = 0 UNION ALL SELECT year, concat(CAST(year AS {s}), '-gone', CAST(doc_id AS {s}), '.zip'), bytes, sha256 FROM {{there}} WHERE doc_id % 79 = 0"""
+_TOTALS = "SELECT year, CAST(count(DISTINCT path) + CASE WHEN year = 2003 THEN 1 ELSE 0 END AS bigint) AS file_count, CAST(sum(bytes) AS bigint) AS total_bytes, split(concat(CAST(year AS {s}), '-01-02;', CASE WHEN year = 2005 THEN '1999' ELSE CAST(year AS {s}) END, '-05-01'), ';') AS known_missing_dates FROM {{listed}} WHERE year <> 2010 GROUP BY year"
+
+
+@query(f"""WITH there AS ({_THERE.format(s='varchar', sha='sha256(text)')}), listed AS ({_LISTED.format(s='varchar').replace('{there}', 'there')}), mf AS ({_TOTALS.format(s='varchar').replace('{listed}', 'listed')}),
+e AS (SELECT year, path, count(*) AS n, max(bytes) AS eb, max(sha256) AS eh FROM listed GROUP BY 1, 2), a AS (SELECT * FROM there WHERE year IN (SELECT year FROM mf)),
+b AS (SELECT coalesce(e.year, a.year) AS year, coalesce(e.path, a.path) AS path, n, eb, eh, a.bytes AS ab, a.sha256 AS ah FROM e FULL JOIN a ON a.year = e.year AND a.path = e.path),
+f AS (SELECT year, path, CASE WHEN n IS NULL THEN 'UNMANIFESTED' WHEN path LIKE '%/%' OR NOT starts_with(path, concat(year, '-')) THEN 'UNSAFE_OR_CROSS_YEAR' WHEN n > 1 THEN 'DUPLICATE' WHEN ab IS NULL THEN 'MISSING' WHEN ab <> eb THEN 'SIZE_MISMATCH' WHEN ah <> eh THEN 'HASH_MISMATCH' END AS failure FROM b),
+t AS (SELECT year, count(*) AS names, coalesce(sum(ab), 0) AS total FROM b WHERE n IS NOT NULL GROUP BY 1)
+SELECT * FROM f WHERE failure IS NOT NULL UNION ALL SELECT year, NULL, 'FILE_COUNT_MISMATCH' FROM mf JOIN t USING (year) WHERE file_count <> names UNION ALL SELECT year, NULL, 'TOTAL_BYTES_MISMATCH' FROM mf JOIN t USING (year) WHERE total_bytes <> total
+UNION ALL SELECT year, NULL, 'CROSS_YEAR_MISSING_DATE' FROM mf WHERE year = 2005""")
+def a11_year_manifests(spark: SparkSession, d: str) -> DataFrame:
+    run = lambda text, **given: spark.sql(text.format(s="string", sha="sha2(cast(text as binary), 256)"), **given)
+    there = run(_THERE, documents=table(spark, d, "documents"))
+    listed = run(_LISTED, there=there)
+    return files.verify_year_manifests(run(_TOTALS, listed=listed), listed, there)
+
+
 @query("SELECT security_id, event_date, event_type, CASE WHEN event_type = 'DIVIDEND' THEN cash_dividend_per_share END AS amount FROM (SELECT DISTINCT security_id, event_date, event_type, cash_dividend_per_share FROM {events_in}) WHERE event_date IS NOT NULL")
 def a15_merge_feeds(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events_in").select("security_id", "event_date", "event_type", F.expr("CASE WHEN event_type = 'DIVIDEND' THEN cash_dividend_per_share END").alias("amount"))

@@ -115,6 +115,33 @@ def verify_manifest(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return x.select("path", status.alias("status"))
 
 
+def verify_year_manifests(manifests: DataFrame, listed: DataFrame, actual: DataFrame, suffix: str = ".zip") -> DataFrame:
+    """``(year, path, failure)`` of archives kept by year; none, if all is as the manifests say. Failures of a year as a whole have no path.
+
+    ``manifests``: year, file_count, total_bytes, known_missing_dates (array of ISO dates). ``listed``: year, path, bytes, sha256 as the manifests list them.
+    ``actual``: path, bytes, sha256 of what is there. A listed name must be a plain one of its own year (UNSAFE_OR_CROSS_YEAR), be listed once (DUPLICATE), be there
+    (MISSING) and have its size and hash; what is there for a year with a manifest must be listed (UNMANIFESTED); the year's counts and bytes must add up, and
+    its known missing dates lie in it.
+    """
+    name = lambda year: F.concat(F.lpad(F.col(year).cast("string"), 4, "0"), F.lit("-"))
+    e = listed.groupBy("year", "path").agg(F.count("*").alias("n_"), F.max("bytes").alias("eb_"), F.max("sha256").alias("eh_"))
+    there = actual.where(F.col("path").endswith(suffix) & F.col("path").rlike("^[0-9]{4}-")).select(F.substring("path", 1, 4).cast("int").alias("year"), "path", F.col("bytes").alias("ab_"), F.col("sha256").alias("ah_")).join(manifests.select("year").distinct(), "year", "left_semi")
+    both = e.join(there, ["year", "path"], "full")
+    unsafe = F.contains("path", F.lit("/")) | ~F.startswith("path", name("year")) | ~F.endswith("path", F.lit(suffix))
+    have = F.col("n_").isNotNull()
+    code = (
+        F.when(~have, "UNMANIFESTED").when(F.coalesce(unsafe, F.lit(True)), "UNSAFE_OR_CROSS_YEAR").when(F.col("n_") > 1, "DUPLICATE").when(F.col("ab_").isNull(), "MISSING")
+        .when(~F.col("ab_").eqNullSafe(F.col("eb_")), "SIZE_MISMATCH").when(~F.col("ah_").eqNullSafe(F.col("eh_")), "HASH_MISMATCH")
+    )
+    rows = both.select("year", "path", code.alias("failure")).where("failure is not null")
+    totals = both.where(have).groupBy("year").agg(F.count("*").alias("names_"), F.coalesce(F.sum("ab_"), F.lit(0)).alias("sum_"))
+    m = manifests.join(totals, "year", "left")
+    other = F.exists(F.coalesce("known_missing_dates", F.array().cast("array<string>")), lambda x: ~F.coalesce(F.startswith(x, name("year")), F.lit(False)))
+    whole = F.array_compact(F.array(
+        F.when(~F.col("file_count").eqNullSafe(F.coalesce("names_", F.lit(0))), "FILE_COUNT_MISMATCH"), F.when(~F.col("total_bytes").eqNullSafe(F.coalesce("sum_", F.lit(0))), "TOTAL_BYTES_MISMATCH"), F.when(other, "CROSS_YEAR_MISSING_DATE")))
+    return rows.unionByName(m.select("year", F.lit(None).cast("string").alias("path"), F.explode(whole).alias("failure")))
+
+
 def audit_input_files(spark: SparkSession, glob: str, required: list[str]) -> DataFrame:
     """``(path, reason)``: EMPTY_FILE, MISSING_COLUMN or OK by each file's first line; files are read as lines, their contents never whole."""
     listed = spark.read.format("binaryFile").load(glob).select(F.col("path"), "length")  # lengths only: the contents are not read
