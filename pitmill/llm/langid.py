@@ -243,5 +243,5 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             keep = pa.array([x != "und" and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_())
             yield batch.select(list(range(batch.num_columns - 1))).filter(keep)
 
-    has_letter = F.coalesce(F.rlike(F.col(text_col), F.lit(r"\p{L}")), F.lit(False)).alias("has_letter_")
+    has_letter = F.coalesce(F.rlike(F.col(text_col), F.lit(r"\p{L}")), F.lit(False)).alias(max(docs.columns, key=len) + "_")  # a name that no column has
     return docs.select("*", has_letter).mapInArrow(run, docs.schema)

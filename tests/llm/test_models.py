@@ -55,6 +55,41 @@ def test_text_probability_is_the_mean_over_letters():
     assert np.allclose(langid.text_probabilities(m, [b"", text])[1], want / n, atol=1e-5)
 
 
+def _plain_states(table, loop, data):
+    """One direction of the recurrent network over one window, a step and a unit at a time."""
+    n = langid.HIDDEN
+    h, out = [0.0] * n, []
+    for x in data:
+        given = table[:, x].astype(float)
+        gate = [1 / (1 + np.exp(-2 * (given[i] + sum(loop[i, j] * h[j] for j in range(n))))) for i in range(2 * n)]
+        z, r = gate[:n], gate[n:]
+        new = [np.tanh(given[2 * n + i] + sum(loop[2 * n + i, j] * r[j] * h[j] for j in range(n))) for i in range(n)]
+        h = [(1 - z[i]) * new[i] + z[i] * h[i] for i in range(n)]
+        out.append(h)
+    return np.array(out)
+
+
+def test_recurrent_steps_against_a_plain_loop():
+    rng = np.random.default_rng(1)
+    m = langid.train([b"abc def", b"xyz uvw", "éè ç".encode()] * 14, np.array([0, 1, 2] * 14), ["l", "m", "r"], epochs=3)
+    data = rng.choice(list("abc xyz é".encode()), (langid.SPAN, 3)).astype(np.uint8)
+    got = langid.label_bytes(m, data)
+    for w in range(3):
+        f, b = _plain_states(m.table[0], m.loop[0], data[:, w]), _plain_states(m.table[1], m.loop[1], data[::-1, w])[::-1]
+        logit = np.concatenate((f, b), axis=1) @ m.out.T.astype(float) + m.bias
+        p = np.exp(logit - logit.max(axis=1, keepdims=True))
+        assert np.allclose(got[:, :, w].T, p / p.sum(axis=1, keepdims=True), atol=1e-4)
+
+
+def test_languages_of_repeated_rows_and_clashing_names(spark, docs):
+    model = langid.fit_languages(docs, texts=40)
+    rows = docs.limit(6).select("doc_id", "text", F.lit("x").alias("has_letter_"), F.lit(1).alias("score"), F.lit("y").alias("lang_pred"))
+    got = [tuple(r) for r in langid.identify(rows.union(rows), model).collect()]
+    assert len(got) == 12 and len(set(got)) == 6
+    kept = langid.keep_identified(docs.withColumns({"has_letter_": F.lit("x"), "score": F.lit(1)}))
+    assert {"has_letter_", "score"} <= set(kept.columns) and kept.count() > 0
+
+
 def test_rejected_documents_go(spark, docs):
     extra = spark.createDataFrame([(900, None, "aa", 0), (901, "123", "bb", 0)], docs.schema)
     kept = langid.keep_identified(docs.unionByName(extra))
