@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ from pitmill.plans.staging import maybe_broadcast, stage
 SHINGLE, BLOCK, HASHES = 5, 16, 64
 #: The Bloom filter has so many bits and probes a value, and between these many bits in all (the upper bound is 32 MB).
 BITS_PER_KEY, PROBES, BLOOM_BITS = 256, 4, (1 << 20, 1 << 28)
+#: Words of 64 bits that a task packs for the driver.
+BLOOM_WORDS = 1 << 14
 _A = (wordvec.mix(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32)) | np.uint32(1)
 _B = wordvec.mix(np.arange(1001, 1001 + HASHES, dtype=np.uint64)).astype(np.uint32)
 
@@ -116,11 +119,19 @@ def _bloom(keys: DataFrame) -> np.ndarray:
     n = keys.count()
     bits = min(max(1 << max(1, (BITS_PER_KEY * n - 1).bit_length()), BLOOM_BITS[0]), BLOOM_BITS[1])
     places = keys.select(F.explode(F.array(*[F.expr(f"((key & {bits - 1}) + {j} * ((shiftrightunsigned(key, 32) & {bits - 1}) | 1)) & {bits - 1}") for j in range(PROBES)])).alias("p"))
-    rows = places.select(F.expr("p div 64").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b")).groupBy("w").agg(F.expr("bit_or(b)").alias("b")).collect()  # at most BLOOM_BITS / 64 rows
-    out = np.zeros(bits // 64, np.uint64)
-    if rows:
-        out[np.array([r["w"] for r in rows])] = np.array([r["b"] for r in rows], np.int64).view(np.uint64)
-    return out
+    words = places.select(F.expr("p div 64").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b")).groupBy("w").agg(F.expr("bit_or(b)").alias("b"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(BLOOM_WORDS, np.uint64)
+        part[pdf["w"].to_numpy() % BLOOM_WORDS] = pdf["b"].to_numpy().view(np.uint64)
+        return pd.DataFrame({"c": [int(pdf["c"].iloc[0])], "words": [part.tobytes()]})
+
+    # words are packed in tasks: at most BLOOM_BITS / 64 / BLOOM_WORDS rows come to the driver
+    rows = words.withColumn("c", F.expr(f"w div {BLOOM_WORDS}")).groupBy("c").applyInPandas(pack, "c long, words binary").collect()
+    out = np.zeros(max(bits // 64, BLOOM_WORDS), np.uint64)
+    for r in rows:
+        out[r["c"] * BLOOM_WORDS : (r["c"] + 1) * BLOOM_WORDS] = np.frombuffer(bytes(r["words"]), np.uint64)
+    return out[: bits // 64]
 
 
 def _passes(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -167,27 +178,30 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lower(text_col).cast("binary").alias("lower"))
     hits = stage(rows.mapInArrow(of_docs, "doc_id long, text string, keys array<long>").withColumn("row", F.monotonically_increasing_id()), "hits")
     pairs = hits.select("row", F.explode("keys").alias("key")).join(spread, "key").select("row", "item_id").distinct()
-    both = pairs.join(hits.select("row", "doc_id", F.lower("text").alias("lower"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "row").join(tests.select("item_id", F.lower("item").alias("item")), "item_id")
+    # a document's items are gathered before they meet its text, which is sent once
+    named = pairs.join(tests.select("item_id", F.lower("item").alias("item")), "item_id").groupBy("row").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
+    both = named.join(hits.select("row", "doc_id", F.lower("text").alias("lower"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "row")
 
     @lean
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held, items = None, set(), {}
+        known: dict[str, set[str]] = {}
         for batch in batches:
             out = []
-            for row, doc, item_id, sha, text, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row != last:
-                    last, held = row, shingles_of(text)
-                if item not in items:
-                    items = {} if len(items) > 10_000 else items
-                    items[item] = shingles_of(item)
-                n, shared = len(items[item]), len(items[item] & held)
-                if n and shared >= share * n - 1e-9:
-                    out.append((doc, item_id, shared, n, shared / n, sha))
+            for doc, sha, text, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = shingles_of(text)
+                for one in items:
+                    item = one["item"]
+                    if item not in known:
+                        known = {} if len(known) > 10_000 else known
+                        known[item] = shingles_of(item)
+                    n, shared = len(known[item]), len(known[item] & held)
+                    if n and shared >= share * n - 1e-9:
+                        out.append((doc, one["item_id"], shared, n, shared / n, sha))
             cols = list(zip(*out, strict=True)) or [()] * 6
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "item_id", "shared", "item_shingles", "containment", "text_sha256"])
 
-    return both.select("row", "doc_id", "item_id", "text_sha256", "lower", "item").sortWithinPartitions("row").mapInArrow(verify, "doc_id long, item_id long, shared long, item_shingles long, containment double, text_sha256 string")
+    return both.select("doc_id", "text_sha256", "lower", "items").mapInArrow(verify, "doc_id long, item_id long, shared long, item_shingles long, containment double, text_sha256 string")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
