@@ -3,11 +3,13 @@
 A word is one of 64 endings (a hash of its last three bytes) and, within the ending, one of 128 slots
 (a hash of the whole word). The network sees the words next to a hidden one on both sides, and the endings
 of those one further, and predicts first its ending and then, given the ending, its slot. Both
-steps read the whole context and are normalised, so a word's conditional probability is
+steps read the whole context and are normalised. Words that share an ending and a slot are told apart by a lexicon: the counts of the
+``VOCAB`` most frequent words of the corpus within their class; the words of a class that aren't among them, and one never seen, share
+what the class has left alike. So a word's conditional probability is
 
-    p(ending | two words before, two words after) * p(slot | ending, two words before, two words after)
+    p(ending | two words before, two words after) * p(slot | ending, two words before, two words after) * p(word | ending, slot)
 
-and a text's score is the sum of the logs over all its words. Before training both steps are the
+and a text's score is the sum of the logs over all its words. Before training the first two steps are the
 counts of the corpus, whatever the context.
 
 The counts and the training cover the whole corpus: every word of every text is a training target
@@ -43,6 +45,8 @@ HIDDEN = 24
 ROUNDS, RATE = 2, 0.1
 #: Words of a stream, of the texts that are trained on together, of a training step, and of a scoring step.
 STREAM, GROUP, STEP, ROWS = 1 << 21, 1 << 16, 4096, 4096
+#: Words of the lexicon at most: as many of the most frequent ones, with all that are as frequent as the last, as fit.
+VOCAB = 1 << 18
 #: Weights are summed in so many slices, so that no task sums all of them.
 SLICES = 128
 
@@ -80,12 +84,29 @@ def untrained(counts: np.ndarray, seed: int = 3) -> Network:
     return Network(small(*_SHAPES[0]), small(*_SHAPES[1]), zero[2], small(*_SHAPES[3]), np.log(of_ending / of_ending.sum()).astype(np.float32), 1 + small(*_SHAPES[5]), small(*_SHAPES[6]), np.log(smooth / of_ending[:, None]).astype(np.float32))
 
 
-def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all words laid end to end, and how many each text has."""
+@dataclass
+class Lexicon:
+    """Sorted hashes of words, the log-probability of each within its bucket, and that of any other word of a bucket."""
+
+    word: np.ndarray
+    log_p: np.ndarray
+    other: np.ndarray
+
+    def of(self, word: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        if not len(self.word):
+            return self.other[bucket]
+        at = np.minimum(np.searchsorted(self.word, word), len(self.word) - 1)
+        return np.where(self.word[at] == word, self.log_p[at], self.other[bucket])
+
+
+def buckets(texts: list[bytes], hashes: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words laid end to end, and how many each text has; the words' hashes are added to ``hashes``."""
     parts, count = [np.empty(0, np.uint16)], np.zeros(len(texts), np.int64)
     for own, pieces in wordvec.batches(texts):
         word, piece, tail = wordvec.hashes(pieces, suffix=SUFFIX)
         parts.append(((tail % np.uint64(ENDINGS)) * np.uint64(SLOTS) + word % np.uint64(SLOTS)).astype(np.uint16))
+        if hashes is not None:
+            hashes.append(word)
         np.add.at(count, own, np.bincount(piece, minlength=len(pieces)))
     return np.concatenate(parts), count
 
@@ -316,16 +337,52 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stream:
     return net
 
 
-def score(docs: DataFrame, model: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, log_likelihood, mean_log_likelihood)`` of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model.flat())  # a fixed number of weights
+def fit_lexicon(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB) -> Lexicon:
+    """The lexicon, from all words of all documents; ``vocab`` words at most, and one number a bucket for the others, reach the driver."""
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = network(held.value)
         for batch in batches:
-            bucket, count = buckets([x or b"" for x in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(log_likelihood(net, bucket, count))], ["doc_id", "n_words", "log_likelihood"])
+            held: list = [np.empty(0, np.uint64)]
+            bucket, _ = buckets([x or b"" for x in batch.column(0).to_pylist()], held)
+            word, first, n = np.unique(np.concatenate(held), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(bucket[first].astype(np.int32)), pa.array(n)], ["word", "bucket", "n"])
+
+    counted = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "word long, bucket int, n long")
+    counted = stage(counted.groupBy("word", "bucket").agg(F.sum("n").alias("n")), "lexicon")
+    least, so_far = 1, 0
+    for r in sorted(counted.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):  # a row for each different count
+        so_far += r["words"]
+        if so_far > vocab:
+            least = r["n"] + 1
+            break
+    total, rest, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(BUCKETS)
+    few = F.col("n") < least
+    for r in counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(few, F.col("n"))), F.lit(0)).alias("rest"), F.count_if(few).alias("kinds")).collect():
+        total[r["bucket"]], rest[r["bucket"]], kinds[r["bucket"]] = r["n"], r["rest"], r["kinds"]
+    known = counted.where(~few).toArrow()
+    word = np.asarray(known.column("word")).view(np.uint64)
+    order = np.argsort(word)
+    own = np.asarray(known.column("bucket"))
+    return Lexicon(word[order], np.log(np.asarray(known.column("n")) / (total[own] + 1))[order], np.log((rest + 1) / ((total + 1) * (kinds + 1))))
+
+
+def score(docs: DataFrame, model: Network, lexicon: Lexicon | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_words, log_likelihood, mean_log_likelihood)`` of every row; without a lexicon, of its words' endings and slots only."""
+    held = docs.sparkSession.sparkContext.broadcast((model.flat(), lexicon))  # a fixed number of weights, and at most VOCAB words
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, words = network(held.value[0]), held.value[1]
+        for batch in batches:
+            seen: list = [np.empty(0, np.uint64)]
+            bucket, count = buckets([x or b"" for x in batch.column(1).to_pylist()], seen)
+            total = log_likelihood(net, bucket, count)
+            if words is not None:
+                within = np.concatenate(([0.0], np.cumsum(words.of(np.concatenate(seen), bucket))))
+                end = np.cumsum(count)
+                total = total + within[end] - within[end - count]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(total)], ["doc_id", "n_words", "log_likelihood"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_words long, log_likelihood double").withColumn("mean_log_likelihood", F.try_divide("log_likelihood", "n_words"))

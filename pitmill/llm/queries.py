@@ -20,7 +20,7 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return lmscore.score(docs, lmscore.fit(docs))
+    return lmscore.score(docs, lmscore.fit(docs), lmscore.fit_lexicon(docs))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,6 +90,35 @@ def test_languages_of_repeated_rows_and_clashing_names(spark, docs):
     assert {"has_letter_", "score"} <= set(kept.columns) and kept.count() > 0
 
 
+def test_words_of_one_class_are_told_apart(spark, docs):
+    rng = np.random.default_rng(4)
+    by: dict[int, list[str]] = {}
+    while True:
+        word = "".join(rng.choice(list("bcdfgh"), 6)) + "ing"
+        one = by.setdefault(int(lmscore.buckets([word.encode()])[0][0]), [])
+        one.append(word)
+        if len(one) == 4 and len(set(one)) == 4:
+            break
+    often, seldom, rare, never = one
+    rows = [(1, f"{often} " * 9), (2, f"{seldom} " * 3), (3, rare), (4, never), (5, None), (6, f"{often} {never} {rare}")]
+    corpus = spark.createDataFrame(rows[:3] + [(9, "other words of the text")], "doc_id long, text string")
+    net = lmscore.untrained(lmscore.count_buckets(corpus))
+    ask = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {r.doc_id: r.log_likelihood for r in lmscore.score(ask, net).collect()}
+
+    def within(vocab):
+        lexicon = lmscore.fit_lexicon(corpus, vocab=vocab)
+        return {r.doc_id: r.log_likelihood - plain[r.doc_id] for r in lmscore.score(ask, net, lexicon).collect()}
+
+    # 13 words of the class, one place kept for what was never seen
+    full = within(100)
+    assert np.allclose([full[k] for k in (1, 2, 3, 4, 5)], [9 * np.log(9 / 14), 3 * np.log(3 / 14), np.log(1 / 14), np.log(1 / 14), 0], atol=1e-6)
+    assert np.isclose(full[6], np.log(9 / 14) + 2 * np.log(1 / 14))
+    two = within(2)  # the word of one occurrence and one never seen share what is left
+    assert np.allclose([two[k] for k in (1, 2, 3, 4)], [9 * np.log(9 / 14), 3 * np.log(3 / 14), np.log(2 / 14 / 2), np.log(2 / 14 / 2)], atol=1e-6)
+    assert len(lmscore.fit_lexicon(corpus.limit(0)).word) == 0 and lmscore.score(docs, net, lmscore.fit_lexicon(corpus.limit(0))).count() == 240
+
+
 def test_rejected_documents_go(spark, docs):
     extra = spark.createDataFrame([(900, None, "aa", 0), (901, "123", "bb", 0)], docs.schema)
     kept = langid.keep_identified(docs.unionByName(extra))
