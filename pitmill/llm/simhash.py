@@ -273,12 +273,12 @@ def _dealt_again(nodes: DataFrame, node: list[str], max_node: int, again) -> Dat
 
 
 def _blocks(nodes: DataFrame, node: list[str], max_node: int) -> tuple[DataFrame, list[str]]:
-    """``nodes`` with those above ``max_node`` rows split into blocks by a hash of ``rep``: each block by itself, and each two as the sides of a node; and the name of a node."""
+    """``nodes`` with those above ``max_node`` rows, if there are any, split into blocks by a hash of ``rep``: each block by itself, and each two as the sides of a node; and the name of a node."""
     named = [*node, "block", "other", "side"]
     alone = {"block": F.lit(0), "other": F.lit(0), "side": F.lit(-1)}
     large = stage(nodes.groupBy(*node).agg(F.count("*").alias("n")).where(F.col("n") > max_node).select(*node, F.ceil(2 * F.col("n") / max_node).cast("int").alias("g")), "large")
     if large.isEmpty():
-        return nodes.withColumns(alone), named
+        return nodes, node
     small = nodes.join(large, node, "left_anti").withColumns(alone)
     split = nodes.join(large, node).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("g")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     side = F.when(F.col("mine") == F.col("with"), -1).otherwise((F.col("mine") > F.col("with")).cast("int"))
@@ -340,7 +340,7 @@ def plan_tries(n: int) -> tuple[int, int]:
 
 def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
     """Links ``(a, b, far)`` of at most ``MOST`` bits between ``(w0 .. w3, rep)`` rows; the fingerprints must be distinct."""
-    words, node = [f"w{k}" for k in range(WORDS)], ["level", "trie", "top"]
+    words, node = [f"w{k}" for k in range(WORDS)], ["level", "top"]
     bits, tries = plan_tries(fps.count())
     rng = np.random.default_rng(17)
     picked = np.stack([rng.permutation(WORDS * BITS)[:bits] for _ in range(tries)])
@@ -354,11 +354,12 @@ def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
                 own = np.stack([np.asarray(batch.column(k)).view(np.uint64) for k in range(WORDS)], axis=1)
                 bit = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(n, -1), axis=1)
                 top = (bit[:, picked.T].astype(np.int64) << np.arange(bits)[:, None]).sum(axis=1)  # (rows, tries)
-                columns = [pa.array(np.zeros(n * tries, np.int32)), pa.array(np.tile(np.arange(tries, dtype=np.int32), n)), pa.array(top.ravel())]
+                top += np.arange(tries) << bits  # a node's name holds its trie
+                columns = [pa.array(np.zeros(n * tries, np.int32)), pa.array(top.ravel())]
                 at = pa.array(np.repeat(np.arange(n), tries))
                 yield pa.RecordBatch.from_arrays([*columns, *[c.take(at) for c in batch.columns]], [*node, *words, "rep"])
 
-    nodes = fps.select(*words, "rep").mapInArrow(spread, "level int, trie int, top long, " + ", ".join(f"{w} long" for w in words) + ", rep long")
+    nodes = fps.select(*words, "rep").mapInArrow(spread, "level int, top long, " + ", ".join(f"{w} long" for w in words) + ", rep long")
     nodes, named = _blocks(stage(nodes, "tries"), node, max_node)
     links = _walk(nodes, named, words, (4, 10, SURE, 28, 36, 44, MOST), max_node)
     return links.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("far").alias("far"))
@@ -422,6 +423,7 @@ def decide_clusters(rows: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
     """
     words = [f"w{k}" for k in range(WORDS)]
     size = rows.groupBy("cluster").agg(F.ceil(F.sum(F.size("shingles")) / block_shingles).cast("int").alias("g"))
+    size = maybe_broadcast(stage(size, "sizes"), 24)
     dealt = rows.join(size, "cluster").withColumn("g", F.greatest("g", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("g")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     dealt = dealt.withColumns({"p": F.least("mine", "with"), "q": F.greatest("mine", "with")})
     node = ["cluster", "p", "q"]
@@ -481,10 +483,11 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not refuted.isEmpty():
         # what hid behind a link that failed is in one cluster of candidates with it
         cluster = stage(connected_components(links.select("a", "b")).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
-        open_ = cluster.join(refuted.select(F.col("a").alias("rep")).join(cluster, "rep").select("cluster").distinct(), "cluster", "left_semi")
+        failed = stage(refuted.select(F.col("a").alias("rep")).join(cluster, "rep").select("cluster").distinct(), "failed")
+        open_ = cluster.join(maybe_broadcast(failed, 16), "cluster", "left_semi")
         trees = open_.join(found, "rep", "left").select("rep", "cluster", F.coalesce("component", "rep").alias("tree"))
         several = trees.groupBy("cluster").agg(F.count("*").alias("n"), F.min("tree").alias("least"), F.max("tree").alias("most")).where("n > 2 and least < most").select("cluster")
-        members = stage(trees.join(several, "cluster", "left_semi"), "members")
+        members = stage(trees.join(maybe_broadcast(stage(several, "several"), 16), "cluster", "left_semi"), "members")
         sets = _sets(members, reps, docs, text_col)
         more = decide_clusters(members.join(reps.select("rep", *words), "rep").join(sets, "rep"))
         found = connected_components(known.unionByName(stage(more, "more"))).withColumnRenamed("node", "rep")
