@@ -13,7 +13,8 @@ MONTHS = "January|February|March|April|May|June|July|August|September|October|No
 DATE = rf"(?:{MONTHS})\s+\d{{1,2}},\s+\d{{4}}"
 FROM_MARK = r"(?:w\s*\.\s*e\s*\.\s*f\s*\.?|effective(?:ly)?\s+from|with\s+effect\s+from)\s+(?:the\s+)?"
 STATUS_SIGNAL = r"suspension|suspended|revocation|recommencement|available\s+for\s+trading"
-NAME = r"\b[A-Z][A-Za-z0-9&.'’()/-]*(?:\s+[A-Z][A-Za-z0-9&.'’()/-]*){0,8}\s+(?:Limited|Ltd\.?)\b"
+#: A word ends where an ASCII letter, digit or underscore does: spelled out, as ``\\b`` takes other letters for parts of a word on some Java versions.
+NAME = r"(?<![A-Za-z0-9_])[A-Z][A-Za-z0-9&.'’()/-]*(?:\s+[A-Z][A-Za-z0-9&.'’()/-]*){0,8}\s+(?:Limited(?![A-Za-z0-9_])|Ltd(?:\.(?=[A-Za-z0-9_])|(?![A-Za-z0-9_])))"
 NAME_STOPS = ("NATIONAL STOCK EXCHANGE", "PRESS RELEASE", "CAPITAL MARKET", "LISTING AGREEMENT", "TRADING IN", "SECURITIES OF")
 RELEASE_HEAD = r"(?i)press\s+release\s+no\.\s*\d+"
 STATUS_ACTION = r"revocation\s+of\s+(?:the\s+)?suspension|recommencement\s+of\s+trading|(?:will|shall|would|are|be)\s+suspended\s+from\s+trading|proposed suspension"
@@ -32,7 +33,7 @@ def effective_date(text: Column) -> Column:
 
 def article_date(text: Column) -> Column:
     """The first date written out."""
-    return _date(F.regexp_extract(text, rf"(?i)\b({DATE})\b", 1))
+    return _date(F.regexp_extract(text, rf"(?i)(?<![A-Za-z0-9_])({DATE})(?![A-Za-z0-9_])", 1))
 
 
 def suspension_type(text: Column) -> Column:

@@ -178,3 +178,9 @@ def test_stability_counts_against_the_mean_size(spark):
     m = spark.createDataFrame(rows, "date date, security_id string, liquid boolean, top boolean")
     got = [(r.members, r.entries, r.exits, r.turnover, round(r.top_overlap, 4), r.flags) for r in audit.universe_stability(m, "liquid", "top").orderBy("date").collect()]
     assert got == [(2, 2, 0, 2.0, 0.0, "OK"), (2, 1, 1, 1.0, 0.3333, "LARGE_LIQUID_V1_TURNOVER,LOW_TOP750_OVERLAP"), (2, 0, 0, 0.0, 1.0, "OK")]
+
+
+def test_words_of_notices_end_at_letters_that_are_not_ascii(spark):
+    rows = spark.createDataFrame([("ÈELLE Red Bolt Limited was suspended éMarch 5, 2001é",)], "t string")
+    got = rows.select(text.candidate_names(F.col("t")).alias("n"), text.article_date(F.col("t")).alias("d")).first()
+    assert (got.n, str(got.d)) == (["ELLE Red Bolt Limited"], "2001-03-05")
