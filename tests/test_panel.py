@@ -184,3 +184,11 @@ def test_words_of_notices_end_at_letters_that_are_not_ascii(spark):
     rows = spark.createDataFrame([("ÈELLE Red Bolt Limited was suspended éMarch 5, 2001é",)], "t string")
     got = rows.select(text.candidate_names(F.col("t")).alias("n"), text.article_date(F.col("t")).alias("d")).first()
     assert (got.n, str(got.d)) == (["ELLE Red Bolt Limited"], "2001-03-05")
+
+
+def test_returns_from_a_close_of_zero_are_reviewed(spark):
+    rows = [("S", D("2020-01-01"), 0.0), ("S", D("2020-01-02"), 0.0), ("S", D("2020-01-03"), 5.0), ("S", D("2020-01-04"), 5.1), ("S", D("2020-01-05"), None), ("S", D("2020-01-06"), 1.0)]
+    adjusted = spark.createDataFrame(rows, "security_id string, date date, price_return_adjusted_close double")
+    events = spark.createDataFrame([], "security_id string, event_type string, event_date date")
+    got = {str(r.date): (str(r.adjusted_return), r.classification) for r in actions.return_outliers(adjusted, events).collect()}
+    assert got == {"2020-01-02": ("nan", "EXTREME_RETURN_GT_60_PCT_REVIEW"), "2020-01-03": ("inf", "EXTREME_RETURN_GT_60_PCT_REVIEW")}
