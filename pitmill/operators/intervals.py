@@ -22,6 +22,18 @@ def interval_join(rows: DataFrame, spans: DataFrame, key: str | list[str], date:
     return rows.join(s, on & (rows[date] >= s[start]) & (s[end].isNull() | (rows[date] <= s[end])), how).drop(*[f"{k}_k" for k in keys])
 
 
+def holders(points: DataFrame, spans: DataFrame, key: str, date: str, holder: str, start: str = "effective_from", end: str = "effective_to") -> DataFrame:
+    """``(key, date, least, most)``: the smallest and the greatest ``holder`` of the key's spans that hold the date; points without one are left out.
+
+    There is one holder if both are the same. Points that are equal, and spans of a key with the same bounds, are one row each before they meet, so that
+    pairs of a key grow with the dates there are, not with its holders or its points.
+    """
+    asked = points.select(F.col(key).alias("key_"), F.col(date).alias("date_")).where("key_ is not null and date_ is not null").distinct()
+    bounds = spans.groupBy(F.col(key).alias("k_"), F.col(start).alias("from_"), F.col(end).alias("to_")).agg(F.min(holder).alias("least"), F.max(holder).alias("most"))
+    held = asked.join(bounds, (F.col("key_") == F.col("k_")) & (F.col("date_") >= F.col("from_")) & (F.col("to_").isNull() | (F.col("date_") <= F.col("to_"))))
+    return held.groupBy(F.col("key_").alias(key), F.col("date_").alias(date)).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+
+
 def last_and_next(points: DataFrame, rows: DataFrame, key: str, date: str, row: list[str], at: str = "date") -> DataFrame:
     """``points`` with ``before`` and ``next``: the key's last row before the point's date and its first one on or after it, as structs of ``at`` and ``row``.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.functions.text import compact_name
-from pitmill.operators.intervals import last_and_next, overlay_intervals
+from pitmill.operators.intervals import holders, last_and_next, overlay_intervals
 from pitmill.operators.matching import names_within
 from pitmill.plans.numbering import numbered
 from pitmill.plans.staging import stage
@@ -76,13 +76,13 @@ def unknown_terminal_events(master: DataFrame, coverage_end=None) -> DataFrame:
 
 def resolve_by_symbol(events: DataFrame, master: DataFrame, symbol: str = "historical_symbol", date: str = "terminal_event_date") -> DataFrame:
     """Events with the only entity whose symbol span holds the date, else the only one that ever had the symbol."""
-    ids = master.select(F.col("symbol").alias("s_"), F.col("security_id").alias("i_"), "effective_from", "effective_to")
-    valid = (F.col(date) >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col(date) <= F.col("effective_to")))
-    found = events.select("event_id", symbol, date).join(ids, F.col(symbol) == F.col("s_")).groupBy("event_id").agg(
-        F.count_distinct(F.when(valid, F.col("i_"))).alias("n_valid"), F.min(F.when(valid, F.col("i_"))).alias("valid_id"), F.count_distinct("i_").alias("n_any"), F.min("i_").alias("any_id"))
-    resolved = F.when(F.col("n_valid") == 1, F.col("valid_id")).when((F.col("n_valid") == 0) & (F.col("n_any") == 1), F.col("any_id"))
-    how = F.when(F.col("n_valid") == 1, "DATE_VALID_SYMBOL").when((F.col("n_valid") == 0) & (F.col("n_any") == 1), "UNIQUE_SYMBOL").otherwise("UNRESOLVED")
-    return events.join(found, "event_id", "left").withColumns({"resolved_id": resolved, "identity_match": how}).drop("n_valid", "valid_id", "n_any", "any_id")
+    spans = master.select(F.col("symbol").alias(symbol), "security_id", "effective_from", "effective_to")
+    valid = holders(events, spans, symbol, date, "security_id").withColumnsRenamed({"least": "valid_id", "most": "valid_most_"})
+    ever = spans.groupBy(symbol).agg(F.min("security_id").alias("any_id"), F.max("security_id").alias("any_most_"))
+    found = events.join(valid, [symbol, date], "left").join(ever, symbol, "left")
+    one, only = F.col("valid_id") == F.col("valid_most_"), F.col("valid_id").isNull() & (F.col("any_id") == F.col("any_most_"))
+    how = F.when(one, "DATE_VALID_SYMBOL").when(only, "UNIQUE_SYMBOL").otherwise("UNRESOLVED")
+    return found.select(*events.columns, F.when(one, F.col("valid_id")).when(only, F.col("any_id")).alias("resolved_id"), how.alias("identity_match"))
 
 
 @dataclass(frozen=True)
@@ -129,15 +129,16 @@ def normalize_terminal_events(sources: list[NoticeSource], master: DataFrame, ea
         starts.append((r["k_"], first))
         first += r["n"]
     start = F.broadcast(master.sparkSession.createDataFrame(starts, "k_ int, start_ long"))
-    spans = master.select(_letters("symbol").alias("s_"), F.struct("security_id", "effective_from", "effective_to").alias("x")).groupBy("s_").agg(F.collect_list("x").alias("spans_"))
-    found = rows.join(start, "k_").join(spans, _letters("historical_symbol") == F.col("s_"), "left")
-    day = F.col("terminal_event_date")
-    valid = F.filter("spans_", lambda x: (x.effective_from <= day) & (x.effective_to.isNull() | (day <= x.effective_to)))
-    ids = F.array_distinct(F.transform(F.when(F.size(valid) > 0, valid).otherwise(F.col("spans_")), lambda x: x.security_id))
-    one = F.coalesce(F.size(ids) == 1, F.lit(False))
+    spans = master.select(_letters("symbol").alias("s_"), "security_id", "effective_from", "effective_to")
+    rows = rows.join(start, "k_").withColumn("s_", _letters("historical_symbol"))
+    valid = holders(rows, spans, "s_", "terminal_event_date", "security_id")
+    ever = spans.groupBy("s_").agg(F.min("security_id").alias("any_"), F.max("security_id").alias("any_most_"))
+    found = rows.join(valid, ["s_", "terminal_event_date"], "left").join(ever, "s_", "left")
+    least, most = F.coalesce("least", "any_"), F.coalesce("most", "any_most_")
+    one = F.coalesce(least == most, F.lit(False))
     number = F.col("start_") + F.col("n_")
     out = found.select(
-        F.concat(F.lit(TERM_ID), F.lpad(number.cast("string"), F.greatest(F.lit(6), F.length(number.cast("string"))), F.lit("0"))).alias("event_id"), F.when(one, F.get(ids, F.lit(0))).alias("security_id"), F.lit(None).cast("string").alias("issuer_id"),
+        F.concat(F.lit(TERM_ID), F.lpad(number.cast("string"), F.greatest(F.lit(6), F.length(number.cast("string"))), F.lit("0"))).alias("event_id"), F.when(one, least).alias("security_id"), F.lit(None).cast("string").alias("issuer_id"),
         "terminal_event_date", "historical_symbol", "company_name", "terminal_event_type", F.lit(None).cast("double").alias("terminal_value"), F.lit(None).cast("string").alias("terminal_value_basis"), F.lit("UNKNOWN").alias("terminal_value_quality"),
         F.when(one, "OFFICIAL_NSE_NOTICE").otherwise("IDENTITY_REVIEW_REQUIRED").alias("event_quality"), F.when(one, "SYMBOL_DATE_MATCH").otherwise("IDENTITY_REVIEW_REQUIRED").alias("identity_match_quality"), "source", "notes")
     return out if earlier is None else earlier.select(*out.columns).unionByName(out)
@@ -195,10 +196,11 @@ def suspension_event_blocks(notices: DataFrame, master: DataFrame, id_col: str =
     events = blocks.select("evidence_id", id_col, "block_no", block_type(F.col("block")).alias("event_type"), effective_date(F.col("block")).alias("effective_date"), "published_date", compact_name(F.substring("block", 1, focus)).alias("focus"))
     names = master.select(compact_name(F.col("company_name")).alias("name"), "security_id", "first_seen", "last_seen").where(F.length("name") >= least).distinct()
     hits = names_within(events, "evidence_id", "focus", names, least=least)
-    points = events.select("evidence_id", F.coalesce("effective_date", "published_date").alias("point"))
-    dated = hits.join(points, "evidence_id").join(names, "name").where(F.col("point").between(F.col("first_seen"), F.col("last_seen")))
-    one = dated.groupBy("evidence_id").agg(F.count_distinct("security_id").alias("n"), F.min("security_id").alias("security_id"))
-    unique = F.coalesce(F.col("n") == 1, F.lit(False))
+    points = hits.join(events.select("evidence_id", F.coalesce("effective_date", "published_date").alias("point")), "evidence_id")
+    # a name may be many entities': only the ends of those seen on a date meet the releases, however many there are
+    seen = holders(points, names, "name", "point", "security_id", "first_seen", "last_seen")
+    one = points.join(seen, ["name", "point"]).groupBy("evidence_id").agg(F.min("least").alias("security_id"), F.max("most").alias("most_"))
+    unique = F.coalesce(F.col("security_id") == F.col("most_"), F.lit(False))
     return events.join(one, "evidence_id", "left").select(
         "evidence_id", id_col, "block_no", "event_type", "effective_date", F.when(unique, F.col("security_id")).alias("security_id"),
         F.when(unique, "EXACT_NAME_BLOCK_DATE_MATCH").otherwise("EVENT_LEVEL_IDENTITY_REVIEW_REQUIRED").alias("identity_match_quality"))

@@ -192,3 +192,37 @@ def test_returns_from_a_close_of_zero_are_reviewed(spark):
     events = spark.createDataFrame([], "security_id string, event_type string, event_date date")
     got = {str(r.date): (str(r.adjusted_return), r.classification) for r in actions.return_outliers(adjusted, events).collect()}
     assert got == {"2020-01-02": ("nan", "EXTREME_RETURN_GT_60_PCT_REVIEW"), "2020-01-03": ("inf", "EXTREME_RETURN_GT_60_PCT_REVIEW")}
+
+
+def _join_rows(df) -> int:
+    """Rows that the joins of a finished plan gave, adaptive stages included."""
+    def walk(p):
+        name, kids = p.nodeName(), p.children()
+        if name == "AdaptiveSparkPlan":
+            return walk(p.executedPlan())
+        if "QueryStage" in name:
+            return walk(p.plan())
+        own = p.metrics().apply("numOutputRows").value() if "Join" in name and p.metrics().contains("numOutputRows") else 0
+        return own + sum(walk(kids.apply(k)) for k in range(kids.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_many_entities_of_one_symbol_or_name_do_not_meet_every_event(spark):
+    n = 300
+    day = "date_add(date '2020-01-01', cast(id % 3 as int))"
+    master = spark.range(n).selectExpr("concat('S', id) as security_id", "'AB' as symbol", "'Great Big Cog Limited' as company_name", f"{day} as effective_from", "date '2020-01-02' as effective_to", f"{day} as first_seen", "date '2020-01-02' as last_seen")
+    master = master.where("effective_from < date '2020-01-02' or security_id = 'S2'")
+    more = spark.sql("select 'T' as security_id, 'CD' as symbol, 'Other Small Cog Limited' as company_name, date '2020-01-01' as effective_from, cast(null as date) as effective_to, date '2020-01-01' as first_seen, date '2021-01-01' as last_seen")
+    master = master.unionByName(more)
+    events = spark.range(n).selectExpr("concat('E', id) as event_id", "case when id % 100 = 7 then 'CD' else 'AB' end as historical_symbol", "date '2020-01-02' as terminal_event_date")
+    found = status.resolve_by_symbol(events, master)
+    rows = found.collect()
+    assert sorted((r.event_id, r.resolved_id, r.identity_match) for r in rows if r.resolved_id) == [(f"E{k}", "T", "DATE_VALID_SYMBOL") for k in (107, 207, 7)] and len(rows) == n
+    assert _join_rows(found) < 10 * n
+    notices = events.selectExpr("event_id as doc_id", "concat('press release no. 1 recommencement of trading w.e.f. January 2, 2020 ', case when historical_symbol = 'CD' then 'Other Small Cog Limited' else 'Great Big Cog Limited' end) as body")
+    found = status.suspension_event_blocks(notices, master)
+    assert {r.security_id for r in found.collect()} == {None, "T"} and _join_rows(found) < 10 * n
+    source = status.NoticeSource(events, "historical_symbol", "event_id", "X", "Y", ("event_id",), "terminal_event_date")
+    found = status.normalize_terminal_events([source], master)
+    assert sorted(r.security_id for r in found.collect() if r.security_id) == ["T"] * 3 and "collect_list" not in found._jdf.queryExecution().toString()
