@@ -51,8 +51,12 @@ _COUNTS = [f"{m}_{n}" for n in (20, 60, 126, 252) for m in ("valid_trade_days",
 _VALUES = [f"{m}_{n}" for n in (20, 60, 126, 252) for m in ("median_traded_value", "average_traded_value")]
 
 
-def features_of(spark: SparkSession, d: str) -> DataFrame:
-    return features.liquidity_features(table(spark, d, "panel"), table(spark, d, "calendar"))
+#: What windows need of the panel; other columns would be sorted and sent along for nothing.
+PRICES = ("security_id", "date", "series", "instrument_type", "raw_close", "volume", "traded_value")
+
+
+def features_of(spark: SparkSession, d: str, windows: tuple[int, ...] = features.WINDOWS, at: DataFrame | None = None, rank: int = 126) -> DataFrame:
+    return features.liquidity_features(table(spark, d, "panel").select(*PRICES), table(spark, d, "calendar"), windows, rank, at=at)
 
 
 @query(f"""WITH {features_sql()} SELECT security_id, date, history_sessions, observed_history_sessions, listing_age_calendar_days, {', '.join(_COUNTS)}, {', '.join(f'round({c} + 1e-7, 4) AS {c}' for c in _VALUES)},
@@ -73,7 +77,7 @@ SELECT security_id, date, history_sessions, listing_age_calendar_days, valid_tra
 
 @query(_OBSERVED)
 def h11_observation_liquidity(spark: SparkSession, d: str) -> DataFrame:
-    out = features.observation_liquidity(table(spark, d, "panel"), (60,))
+    out = features.observation_liquidity(table(spark, d, "panel").select("security_id", "date", "raw_close", "volume", "traded_value"), (60,))
     return out.select("security_id", "date", "history_sessions", "listing_age_calendar_days", "valid_trade_days_60", "zero_volume_days_60", _ROUND("median_traded_value_60", 4), _ROUND("average_traded_value_60", 4), "stale_price_days_60", _ROUND("liquidity_percentile_60", 8), "liquidity_bucket_60")
 
 

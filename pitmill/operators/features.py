@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.operators.calendar import number_sessions
-from pitmill.operators.rolling import rolling_medians
+from pitmill.operators.rolling import rolling_windows
 
 WINDOWS = (20, 60, 126, 252)
 
@@ -27,12 +27,17 @@ def session_grid(rows: DataFrame, sessions: DataFrame, key: str = "security_id")
     return grid.join(placed.withColumn("observed", F.lit(True)), [key, "session_number"], "left").withColumn("observed", F.coalesce("observed", F.lit(False)))
 
 
+def _figures(n: int) -> dict[str, str]:
+    return {"median": f"median_traded_value_{n}", "average": f"average_traded_value_{n}", "valid": f"valid_trade_days_{n}"}
+
+
 def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[int, ...] = WINDOWS, rank_window: int = 126, stale_window: int = 60, at: DataFrame | None = None) -> DataFrame:
     """Rolling counts, medians and averages over official sessions, for each observed row.
 
     Windows count sessions, absent ones too, between an entity's first and last session; EQ rows
     only, where there is a series. A window of n sessions is a RANGE frame over session numbers, so
-    absent sessions need no rows: they are the sessions of the window less the observed ones. One
+    absent sessions need no rows: they are the sessions of the window less the observed ones. All figures of a window
+    are kept up as rows enter and leave it (``rolling_windows``): select before the columns that are needed, as all pass through Python. One
     shuffle by entity serves all windows and medians, one by date the ranks. With ``at``, a table of a few dates, only rows
     of these dates are returned.
     """
@@ -49,29 +54,31 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
         "observed_history_sessions": F.row_number().over(by).cast("long"),
         "first_session": F.min("date").over(entity),
     })
+    made = placed.withColumn("positive_", volume > 0)
+    if at is not None:
+        made = made.join(F.broadcast(at.select("date").distinct().withColumn("only_", F.lit(True))), "date", "left")
+    figures = {n: _figures(n) | {"rows": f"rows_{n}_", "positive": f"positive_volume_days_{n}"} for n in windows}
+    stale = f"stale_price_days_{stale_window}"
+    made = rolling_windows(made, "security_id", "session_number", "observed_history_sessions", "traded_value", figures, "positive_", {stale: ("stale_", stale_window)}, None if at is None else "only_")
     out = {}
     for n in windows:
-        w = by.rangeBetween(1 - n, 0)
+        held = F.col(f"rows_{n}_")
         out |= {
-            f"valid_trade_days_{n}": F.count("traded_value").over(w),
-            f"positive_volume_days_{n}": F.count_if(volume > 0).over(w),
-            f"zero_volume_days_{n}": F.count_if(volume <= 0).over(w),
-            f"absent_observation_days_{n}": F.least("history_sessions", F.lit(n)) - F.count(F.lit(1)).over(w),
-            f"average_traded_value_{n}": F.avg("traded_value").over(w),
+            f"valid_trade_days_{n}": F.col(f"valid_trade_days_{n}"),
+            f"positive_volume_days_{n}": F.col(f"positive_volume_days_{n}"),
+            f"zero_volume_days_{n}": held - F.col(f"positive_volume_days_{n}"),
+            f"absent_observation_days_{n}": F.least("history_sessions", F.lit(n)) - held,
+            f"average_traded_value_{n}": F.col(f"average_traded_value_{n}"),
         }
-    out[f"stale_price_days_{stale_window}"] = F.count_if("stale_").over(by.rangeBetween(1 - stale_window, 0))
-    made = placed.withColumns(out)
-    if at is not None:
-        made = made.join(F.broadcast(at.select("date").distinct().withColumn("only_", F.lit(True))), "date", "left")
-    medians = {f"median_traded_value_{n}": n for n in windows}
-    made = rolling_medians(made, "security_id", "session_number", "observed_history_sessions", "traded_value", medians, None if at is None else "only_")
+    out[stale] = F.col(stale)
+    medians = [f"median_traded_value_{n}" for n in windows]
     metric = f"median_traded_value_{rank_window}"
     day = Window.partitionBy("date")
     pct = F.cume_dist().over(day.orderBy(F.asc_nulls_last(metric)))
     rank = F.row_number().over(day.orderBy(F.desc_nulls_last(metric), "security_id"))
     ranked = made.withColumns({f"liquidity_percentile_{rank_window}": pct, f"liquidity_rank_{rank_window}": rank.cast("long")})
     return ranked.select(
-        *keep, "history_sessions", "observed_history_sessions", *out, *medians,
+        *keep, "history_sessions", "observed_history_sessions", *[c.alias(k) for k, c in out.items()], *medians,
         F.col("history_sessions").alias("listing_age_sessions"),
         F.datediff("date", "first_session").cast("long").alias("listing_age_calendar_days"),
         F.col("raw_close").alias("price"),
@@ -84,21 +91,22 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
 def observation_liquidity(prices: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """The older features whose windows count an entity's rows, not sessions; shares are taken of the 60-row median."""
     by = Window.partitionBy("security_id").orderBy("date")
-    volume = F.coalesce(F.col("volume"), F.lit(0))
-    out = {"history_sessions": F.row_number().over(by).cast("long"), "listing_age_calendar_days": F.datediff("date", F.min("date").over(Window.partitionBy("security_id"))).cast("long")}
-    for n in windows:
-        w = by.rowsBetween(1 - n, 0)
-        out |= {f"valid_trade_days_{n}": F.count("traded_value").over(w), f"zero_volume_days_{n}": F.count_if(volume <= 0).over(w), f"average_traded_value_{n}": F.avg("traded_value").over(w)}
-    medians = {f"median_traded_value_{n}": n for n in windows}
-    if 60 in windows:  # the frame's own first row has no row before it in the frame
-        same = prices.withColumn("same_", (F.col("raw_close") == F.lag("raw_close").over(by)).cast("int"))
-        out["stale_price_days_60"] = F.coalesce(F.sum("same_").over(by.rowsBetween(-58, 0)), F.lit(0).cast("long"))
-        made = rolling_medians(same.withColumns(out).drop("same_"), "security_id", "history_sessions", "history_sessions", "traded_value", medians)
+    out = {
+        "history_sessions": F.row_number().over(by).cast("long"), "listing_age_calendar_days": F.datediff("date", F.min("date").over(Window.partitionBy("security_id"))).cast("long"),
+        "positive_": F.coalesce(F.col("volume"), F.lit(0)) > 0, "same_": F.col("raw_close") == F.lag("raw_close").over(by),
+    }
+    figures = {n: _figures(n) | {"rows": f"rows_{n}_", "positive": f"positive_{n}_"} for n in windows}
+    # the frame's own first row has no row before it in the frame
+    marks = {"stale_price_days_60": ("same_", 59)} if 60 in windows else {}
+    rows = prices.withColumns({k: c for k, c in out.items() if marks or k != "same_"})
+    made = rolling_windows(rows, "security_id", "history_sessions", "history_sessions", "traded_value", figures, "positive_", marks)
+    made = made.withColumns({f"zero_volume_days_{n}": F.col(f"rows_{n}_") - F.col(f"positive_{n}_") for n in windows}).drop(*[f"{x}_{n}_" for n in windows for x in ("rows", "positive")])
+    if 60 in windows:
         day = Window.partitionBy("date", F.col("median_traded_value_60").isNull())
         share = F.row_number().over(day.orderBy("median_traded_value_60", "security_id")) / F.count(F.lit(1)).over(day)
         pct = F.when(F.col("median_traded_value_60").isNotNull(), share)
         return made.withColumn("liquidity_percentile_60", pct).withColumn("liquidity_bucket_60", F.when(F.col("liquidity_percentile_60").isNotNull(), quintile(F.col("liquidity_percentile_60"))))
-    return rolling_medians(prices.withColumns(out), "security_id", "history_sessions", "history_sessions", "traded_value", medians).withColumn("liquidity_percentile_60", F.lit(None).cast("double")).withColumn("liquidity_bucket_60", F.lit(None).cast("string"))
+    return made.withColumn("liquidity_percentile_60", F.lit(None).cast("double")).withColumn("liquidity_bucket_60", F.lit(None).cast("string"))
 
 
 def liquidity_as_of(prices: DataFrame, at, window: int = 60) -> DataFrame:

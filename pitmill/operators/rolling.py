@@ -1,4 +1,4 @@
-"""Order statistics over sliding windows."""
+"""Order statistics, counts and averages over sliding windows."""
 
 from __future__ import annotations
 
@@ -6,53 +6,97 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 
-def rolling_medians(rows: DataFrame, key: str, place: str, number: str, value: str, windows: dict[str, int], only: str | None = None) -> DataFrame:
-    """``rows`` with the interpolated median of ``value`` over the last so many places, a column for each of ``windows``.
+def rolling_windows(rows: DataFrame, key: str, place: str, number: str, value: str, windows: dict[int, dict[str, str]], positive: str | None = None, marks: dict[str, tuple[str, int]] | None = None, only: str | None = None) -> DataFrame:
+    """``rows`` with figures of ``value`` over the last so many places, for each of ``windows``.
 
+    A window's dict names its columns: ``median`` (interpolated), ``average`` and ``valid`` (how many there are) of the values that are not null, ``rows`` and
+    ``positive`` (rows, and those of them where the boolean column ``positive`` holds). ``marks`` are further counts: name to (boolean column, places).
     ``rows`` must come in partitions that hold whole keys, as a window over the key leaves them (its order is kept, not made again); ``number`` counts
     a key's rows from 1, and ``place`` is what windows are measured in (session numbers, or the row's own number). A window
-    is a sorted list that a value enters and leaves by bisection, so a row costs the logarithm of the window and a task holds one window
-    of values, however long a key's history is. Nulls don't count; a window without values is null. With ``only``, a
-    boolean column, other rows enter the windows but are not returned.
+    is a sorted list that a value enters and leaves by bisection, so a row costs the logarithm of the window, and its sum, and a task holds one window
+    of values, however long a key's history is. A median or average of no values is null. With ``only``, a
+    boolean column, other rows enter the windows but are not returned. ``positive`` and marked columns are not returned. Every column of ``rows`` passes through
+    Python: select before what is needed.
     """
-    names, spans = list(windows), list(windows.values())
-    fields = [f for f in rows.schema.fields if f.name != only]
+    marks = marks or {}
+    inner = {only, positive, *[c for c, _ in marks.values()]}
+    fields = [f for f in rows.schema.fields if f.name not in inner]
     columns = [f.name for f in fields]
-    schema = StructType(fields + [StructField(k, DoubleType()) for k in names])
+    made = [(n, what, name) for n, named in windows.items() for what, name in named.items()]
+    new = [StructField(name, DoubleType() if what in ("median", "average") else LongType()) for _, what, name in made] + [StructField(k, LongType()) for k in marks]
+    kinds = [pa.float64() if isinstance(f.dataType, DoubleType) else pa.int64() for f in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from bisect import bisect_left, insort
         from collections import deque
+        from math import fsum
+
+        def mean(kept: list[float]) -> float:
+            try:
+                return fsum(kept) / len(kept)
+            except (OverflowError, ValueError):  # infinite values, or a sum beyond the doubles
+                return sum(kept) / len(kept)
 
-        states = [([], deque()) for _ in spans]
+        states = {n: ([], deque(), deque()) for n in windows}
+        marked = {k: deque() for k in marks}
         for batch in batches:
             col = lambda name, b=batch: b.column(b.schema.get_field_index(name))
-            at, first, values = col(place).to_pylist(), col(number).to_pylist(), col(value).to_pylist()
-            wanted = col(only).to_pylist() if only else None
+            at, first, values = (col(c).to_pylist() for c in (place, number, value))
+            ups = col(positive).to_pylist() if positive else [False] * len(at)
+            wanted = col(only).to_pylist() if only else [True] * len(at)
             found = []
-            for k, span in enumerate(spans):
-                kept, queue = states[k]
-                out = []
-                for i, p in enumerate(at):
-                    if first[i] == 1:
+            for n, named in windows.items():
+                kept, queue, positives = states[n]
+                out = {what: [] for what in named}
+                figures = {"median": lambda k=kept: (k[(len(k) - 1) // 2] + k[len(k) // 2]) / 2 if k else None, "average": lambda k=kept: mean(k) if k else None, "valid": kept.__len__, "rows": queue.__len__, "positive": positives.__len__}
+                adds = [(out[what].append, figures[what]) for what in named]
+                for p, f, v, up, want in zip(at, first, values, ups, wanted, strict=True):
+                    if f == 1:
                         kept.clear()
                         queue.clear()
-                    while queue and queue[0][0] <= p - span:
-                        del kept[bisect_left(kept, queue.popleft()[1])]
-                    v = values[i]
+                        positives.clear()
+                    last = p - n
+                    while queue and queue[0][0] <= last:
+                        gone = queue.popleft()[1]
+                        if gone is not None:
+                            del kept[bisect_left(kept, gone)]
+                    while positives and positives[0] <= last:
+                        positives.popleft()
+                    queue.append((p, v))
                     if v is not None:
                         insort(kept, v)
-                        queue.append((p, v))
-                    if wanted is None or wanted[i]:
-                        n = len(kept)
-                        out.append((kept[(n - 1) // 2] + kept[n // 2]) / 2 if n else None)
-                found.append(pa.array(out, pa.float64()))
+                    if up:
+                        positives.append(p)
+                    if want:
+                        for add, figure in adds:
+                            add(figure())
+                found += [out[what] for what in named]
+            for k, (column, n) in marks.items():
+                held, out = marked[k], []
+                for p, f, yes, want in zip(at, first, col(column).to_pylist(), wanted, strict=True):
+                    if f == 1:
+                        held.clear()
+                    while held and held[0] <= p - n:
+                        held.popleft()
+                    if yes:
+                        held.append(p)
+                    if want:
+                        out.append(len(held))
+                found.append(out)
             own = pa.RecordBatch.from_arrays([col(c) for c in columns], columns)
-            if wanted is not None:
+            if only:
                 own = own.filter(pa.array([bool(x) for x in wanted], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*own.columns, *found], [*columns, *names])
+            yield pa.RecordBatch.from_arrays([*own.columns, *[pa.array(x, t) for x, t in zip(found, kinds, strict=True)]], [*columns, *[f.name for f in new]])
+
+    return rows.sortWithinPartitions(key, place).mapInArrow(run, StructType(fields + new))
 
-    return rows.sortWithinPartitions(key, place).mapInArrow(run, schema)
+
+def rolling_medians(rows: DataFrame, key: str, place: str, number: str, value: str, windows: dict[str, int], only: str | None = None) -> DataFrame:
+    """``rows`` with the interpolated median of ``value`` over the last so many places, a column for each of ``windows`` (see ``rolling_windows``)."""
+    first = {n: name for name, n in reversed(windows.items())}
+    made = rolling_windows(rows, key, place, number, value, {n: {"median": name} for n, name in first.items()}, only=only)
+    columns = [c for c in rows.columns if c != only]
+    return made.select(*columns, *[made[first[n]].alias(name) for name, n in windows.items()])

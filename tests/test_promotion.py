@@ -120,3 +120,23 @@ def test_medians_of_sliding_windows(spark):
 
     due = {(s, p): (want(s, p, 3), want(s, p, 60)) for s, p in value}
     assert got == due and some == {k: v for k, v in due.items() if k[1] % 5 == 0} and features.WINDOWS == (20, 60, 126, 252)
+
+
+def test_window_figures_are_kept_up_in_one_pass(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from pitmill.operators import features
+    from pitmill.operators.rolling import rolling_windows
+
+    rows = spark.range(600).selectExpr("concat('S', id % 3) as security_id", "id div 3 + id div 40 as place", "case when id % 7 = 0 then null else (id * 37 % 101) * 0.5D end as value", "id % 4 = 0 as up", "id % 5 = 0 as same")
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("security_id").orderBy("place")))
+    w = Window.partitionBy("security_id").orderBy("place").rangeBetween(-8, 0)
+    want = rows.select("security_id", "place", F.count("value").over(w).alias("v"), F.avg("value").over(w).alias("a"), F.count_if("up").over(w).alias("p"), F.count(F.lit(1)).over(w).alias("r"), F.count_if("same").over(w.rangeBetween(-3, 0)).alias("s"))
+    got = rolling_windows(rows, "security_id", "place", "number", "value", {9: {"valid": "v", "average": "a", "positive": "p", "rows": "r"}}, "up", {"s": ("same", 4)}).select(*want.columns)
+    key = lambda r: (r.security_id, r.place)
+    for a, b in zip(sorted(want.collect(), key=key), sorted(got.collect(), key=key), strict=True):
+        assert (a.v, a.p, a.r, a.s) == (b.v, b.p, b.r, b.s) and (a.a is None) == (b.a is None) and abs((a.a or 0) - (b.a or 0)) < 1e-9
+    prices = rows.selectExpr("security_id", "date_add(date '2020-01-01', cast(place as int)) as date", "value as raw_close", "cast(place as bigint) as volume", "value as traded_value")
+    for made in (features.observation_liquidity(prices), features.liquidity_features(prices, prices.select("date").distinct())):
+        assert "-251" not in made._jdf.queryExecution().toString()  # no frame of a window is read again for each row
