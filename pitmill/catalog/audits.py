@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pitmill.catalog.domain import _ADJUSTED, _BOUNDARIES, _R, _STATUS, adjusted_of, boundaries_of, intervals_of
 from pitmill.catalog.inputs import sql, table
+from pitmill.catalog.panel import PRICES
 from pitmill.operators import audit, intervals, leakage, promotion, regression, universe
 from pitmill.operators.actions import adjust_as_of
 from pitmill.operators.features import liquidity_as_of, liquidity_features, observation_liquidity
@@ -421,7 +422,7 @@ def h48_research_quality(spark: SparkSession, d: str) -> DataFrame:
 SELECT 'liquidity' AS operator, 0 AS leaking_rows UNION ALL SELECT 'calendar_age', 0 UNION ALL SELECT 'leaking_total', 2 * count(*) FROM x WHERE date <= date '1999-06-30' AND round(a, 2) <> round(b, 2)""")
 def h53_pit_audit(spark: SparkSession, d: str) -> DataFrame:
     """Results up to a date must not change when every later row does; an operator that sums over all dates is found."""
-    p = table(spark, d, "panel")
+    p = table(spark, d, "panel").select("security_id", "date", "raw_close", "volume", "traded_value")
     cents = F.col("traded_value").cast("decimal(20,2)")
     ops = {
         "liquidity": lambda x: observation_liquidity(x, (60,)).select("security_id", "date", "median_traded_value_60"),
@@ -439,21 +440,24 @@ SELECT unnest({list(_DATED)}) AS operator, scenario, 0 AS leaking_rows FROM sc U
 def h53_leakage_scenarios(spark: SparkSession, d: str) -> DataFrame:
     """Every operator with a date under every scenario; the control looks at all rows of all tables and is found in each."""
     at = "1998-06-30"
-    cal = table(spark, d, "calendar")
-    t = {"prices": table(spark, d, "panel"), "symbols": table(spark, d, "handover").unionByName(table(spark, d, "master").select("symbol", "security_id", "effective_from", "effective_to")), "events": table(spark, d, "events_in")}
+    cal, day = table(spark, d, "calendar"), spark.sql(f"SELECT date '{at}' AS date")
+    t = {"prices": table(spark, d, "panel").select(*PRICES, "symbol_at_date"), "symbols": table(spark, d, "handover").unionByName(table(spark, d, "master").select("symbol", "security_id", "effective_from", "effective_to")), "events": table(spark, d, "events_in")}
 
     def control(x: dict) -> DataFrame:
         seen = [v.agg(F.sum(F.xxhash64(*v.columns).cast("decimal(20,0)")).alias(k)) for k, v in x.items()]
         return x["prices"].select("security_id", "date").crossJoin(F.broadcast(seen[0].crossJoin(seen[1]).crossJoin(seen[2])))
 
+    def rows(x: dict, *more: str) -> DataFrame:
+        return x["prices"].select("security_id", "date", "series", "raw_close", "volume", "traded_value", *more)
+
     def symbols(x: dict) -> DataFrame:
         asked = x["prices"].where(F.col("date") <= F.lit(at).cast("date")).select(F.col("symbol_at_date").alias("symbol"), "date").distinct()
         return intervals.point_in_time(asked, x["symbols"], "symbol", "security_id")
 
     ops = {
-        "liquidity": lambda x: liquidity_as_of(x["prices"], at), "session_liquidity": lambda x: liquidity_features(x["prices"], cal, (20, 126)).select("security_id", "date", "history_sessions", "median_traded_value_126", "liquidity_rank_126"),
-        "active": lambda x: universe.active_on(x["prices"], at), "adjusted": lambda x: adjust_as_of(x["prices"], x["events"], at, ids=False).select("security_id", "date", "price_return_adjustment_factor"),
-        "symbols": symbols, "top": lambda x: universe.top_n(liquidity_features(x["prices"], cal, (60, 126)), at, 20).select("security_id", "date", "liquidity_rank_126"), "control": control,
+        "liquidity": lambda x: liquidity_as_of(x["prices"], at), "session_liquidity": lambda x: liquidity_features(rows(x), cal, (20, 126)).select("security_id", "date", "history_sessions", "median_traded_value_126", "liquidity_rank_126"),
+        "active": lambda x: universe.active_on(x["prices"], at), "adjusted": lambda x: adjust_as_of(x["prices"].select("security_id", "date", "raw_close"), x["events"], at, ids=False).select("security_id", "date", "price_return_adjustment_factor"),
+        "symbols": symbols, "top": lambda x: universe.top_n(liquidity_features(rows(x, "instrument_type"), cal, (126,), at=day), at, 20).select("security_id", "date", "liquidity_rank_126"), "control": control,
     }
     return leakage.leakage_report(ops, t, at)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitmill.operators.calendar import number_sessions
+from pitmill.operators.leakage import differing_rows
 from pitmill.operators.universe import month_ends, profile_predicate
 from pitmill.plans.staging import stage
 from pitmill.spec import ProfileSpec
@@ -429,7 +430,11 @@ def pit_audit(op, panel: DataFrame, at, changed: DataFrame) -> DataFrame:
 
 def pit_report(ops: dict, panel: DataFrame, at, changed: DataFrame) -> DataFrame:
     """``(operator, leaking_rows)`` of each named operator."""
-    parts = [pit_audit(op, panel, at, changed).agg(F.count("*").alias("leaking_rows")).select(F.lit(name).alias("operator"), "leaking_rows") for name, op in ops.items()]
+    cut = F.lit(at).cast("date")
+    later = panel.where(F.col("date") <= cut).unionByName(changed.where(F.col("date") > cut).select(*panel.columns))
+    a, b = stage(panel, "audit"), stage(later, "audit-changed")  # once for all operators
+    upto = lambda df: df.where(F.col("date") <= cut)
+    parts = [differing_rows(upto(op(a)), upto(op(b))).select(F.lit(name).alias("operator"), "leaking_rows") for name, op in ops.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

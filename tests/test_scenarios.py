@@ -96,3 +96,24 @@ def test_gaps_are_counted_in_sessions_before_the_date(spark):
     master = spark.createDataFrame([(s, sym, "I" if s != "C" else None, f"N{s}", f"E{s}", D("2020-01-01"), D("2020-02-01"), None) for s, sym in (("A", "X"), ("A", "Y"), ("B", "X"), ("C", "X"))], "security_id string, symbol string, isin string, company_name string, listing_episode_id string, first_seen date, last_seen date, listing_history_left_censored boolean")
     got = {r.security_id: (r.symbol_count, r.max_symbol_security_count, r.max_isin_security_count, r.max_isin_symbol_count, r.max_absent_official_sessions, r.has_left_censored_episode) for r in audit.episode_audit(master, m, prices, cal, "2020-01-20").collect()}
     assert got == {"A": (2, 2, 2, 2, 3, False), "B": (1, 2, 2, 2, 0, False)}
+
+
+def test_scenarios_leave_no_tables_and_skip_what_is_not_read(spark):
+    from pitmill.operators import leakage
+    from pitmill.plans import staging
+
+    one = lambda text: spark.sql(text)
+    t = {"prices": one("select 'S' as security_id, date '2020-01-01' as date, 'A' as symbol_at_date, 1.0D as raw_close, 2L as volume, 3.0D as traded_value union all select 'S', date '2020-03-01', 'A', 1.0D, 2L, 3.0D"), "symbols": one("select 'A' as symbol, 'S' as security_id, date '2020-01-01' as effective_from, cast(null as date) as effective_to"), "events": one("select 'E' as event_id, 'S' as security_id, date '2020-02-15' as event_date, 0.5D as price_factor")}
+    runs = []
+
+    def prices(x):
+        runs.append(1)
+        return x["prices"].select("security_id", "date")
+
+    def all_rows(x):
+        return x["prices"].select("security_id", "date").crossJoin(x["prices"].agg({"raw_close": "sum"}))
+
+    since = staging.mark()
+    got = {(r.operator, r.scenario): r.leaking_rows for r in leakage.leakage_report({"prices": prices, "all": all_rows}, t, "2020-02-01").collect()}
+    assert {k for k, n in got.items() if n} == {("all", s) for s in ("future_listing", "changed_values", "dead_entity")} and len(got) == 12
+    assert len(runs) == 5 and staging.mark() == since  # once before, and for four scenarios that change prices
