@@ -15,7 +15,8 @@ Tasks walk node pairs up to ``MOST`` differing bits. A node with more than ``max
 pair of blocks is a task. Pairs within ``SURE`` bits are links, the others are verified by the exact Jaccard similarity of
 their shingles. The first walk leaves a pair out where closer pairs, verified or not, connect it already; where one of these fails,
 what candidates connect (a cluster) is walked again with the shingles at hand: there only verified links connect (``decide_clusters``), so
-no pair is left out on the strength of a link that isn't one.
+no pair is left out on the strength of a link that isn't one. A few tries go before the others: what they bring together is decided first, and the others
+leave pairs within one such cluster out. So a large group of near copies has links of a few tries, not of all of them.
 
 Defined results: null or blank texts have fingerprint zero and are linked like any other; repeated
 rows get equal results; rows with a null id keep their fingerprint and, if no row of the component
@@ -49,6 +50,8 @@ FRONT, LEAVES, FLUSH = 1 << 19, 1 << 18, 1 << 15
 WORDS, SHINGLE, SIMILARITY, SURE, MOST = 4, 5, 0.8, 20, 52
 #: Share of the pairs at the threshold that no trie may bring together.
 MISS = 0.02
+#: Tries that go before the others at least, and one in so many of many.
+FIRST, FIRST_SHARE = 4, 12
 #: Shingles of the texts of a block of a cluster that is walked again.
 BLOCK_SHINGLES = 2 << 20
 
@@ -208,26 +211,32 @@ def _walk(nodes: DataFrame, node: list[str], words: list[str], budgets: tuple[in
     """Links ``(a, b, far)`` within the nodes of ``nodes``: columns of a node's name, the first its level, fingerprint words, and ``rep``.
 
     Where the name ends in ``side`` (0 or 1), the two sides of a node are walked against each other; -1 stands for a node by itself.
+    Rows of one ``settled``, where there is this column, are one tree from the start.
     """
-    names = [*node, *words, "rep"]
+    known = ["settled"] if "settled" in nodes.columns else []
+    names = [*node, *words, "rep", *known]
 
     def links(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         key = np.stack([rows[k] for k in node])
         begin = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
         end = np.append(begin[1:], key.shape[1])
         bits, levels, out = np.stack([rows[k] for k in words]), key[0][begin], [np.empty((3, 0), np.int64)]
+        label = None
+        if known:
+            _, first, tree = np.unique(rows["settled"], return_index=True, return_inverse=True)
+            label = first[tree]
         alone = np.ones(len(begin), bool)
         if node[-1] == "side":
             alone = key[-1][begin] == -1
             two = np.flatnonzero(~alone[:-1] & (key[:-1, begin[1:]] == key[:-1, begin[:-1]]).all(axis=0))  # the sides of a node are next to each other
             for k in two.tolist():
                 pair = tuple(np.array([x]) for x in (begin[k], end[k], begin[k + 1], end[k + 1], 0))
-                out.append(trie_links(bits, pair, budgets, int(levels[k])))
+                out.append(trie_links(bits, pair, budgets, int(levels[k]), label))
         for level in np.unique(levels):
             mine = (levels == level) & (end - begin > 1) & alone
             if mine.any():
                 b, e = begin[mine], end[mine]
-                out.append(trie_links(bits, (b, e, b, e, np.zeros(len(b), np.int64)), budgets, int(level)))
+                out.append(trie_links(bits, (b, e, b, e, np.zeros(len(b), np.int64)), budgets, int(level), label))
         i, j, far = np.concatenate(out, axis=1)
         return pa.RecordBatch.from_arrays([pa.array(rows["rep"][i]), pa.array(rows["rep"][j]), pa.array(far)], ["a", "b", "far"])
 
@@ -339,10 +348,24 @@ def plan_tries(n: int) -> tuple[int, int]:
 
 
 def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
-    """Links ``(a, b, far)`` of at most ``MOST`` bits between ``(w0 .. w3, rep)`` rows; the fingerprints must be distinct."""
-    words, node = [f"w{k}" for k in range(WORDS)], ["level", "top"]
+    """Links ``(a, b, far)`` of at most ``MOST`` bits between ``(w0 .. w3, rep)`` rows; the fingerprints must be distinct.
+
+    With ``settled``, a further column, only what links rows of different values of it.
+    """
+    return _trie_links_of(fps, *plan_tries(fps.count()), 17, max_node)
+
+
+def first_links(fps: DataFrame) -> DataFrame | None:
+    """Links as ``similar_links`` has them, of a few further tries; None where there are hardly more tries than that."""
     bits, tries = plan_tries(fps.count())
-    rng = np.random.default_rng(17)
+    few = max(FIRST, tries // FIRST_SHARE)
+    return _trie_links_of(fps, bits, few, 18, MAX_NODE) if tries > 2 * few else None
+
+
+def _trie_links_of(fps: DataFrame, bits: int, tries: int, seed: int, max_node: int) -> DataFrame:
+    words, node = [f"w{k}" for k in range(WORDS)], ["level", "top"]
+    carried = [*words, "rep", *(["settled"] if "settled" in fps.columns else [])]
+    rng = np.random.default_rng(seed)
     picked = np.stack([rng.permutation(WORDS * BITS)[:bits] for _ in range(tries)])
 
     @lean
@@ -357,9 +380,9 @@ def similar_links(fps: DataFrame, max_node: int = MAX_NODE) -> DataFrame:
                 top += np.arange(tries) << bits  # a node's name holds its trie
                 columns = [pa.array(np.zeros(n * tries, np.int32)), pa.array(top.ravel())]
                 at = pa.array(np.repeat(np.arange(n), tries))
-                yield pa.RecordBatch.from_arrays([*columns, *[c.take(at) for c in batch.columns]], [*node, *words, "rep"])
+                yield pa.RecordBatch.from_arrays([*columns, *[c.take(at) for c in batch.columns]], [*node, *carried])
 
-    nodes = fps.select(*words, "rep").mapInArrow(spread, "level int, top long, " + ", ".join(f"{w} long" for w in words) + ", rep long")
+    nodes = fps.select(*carried).mapInArrow(spread, "level int, top long, " + ", ".join(f"{c} long" for c in carried))
     nodes, named = _blocks(stage(nodes, "tries"), node, max_node)
     links = _walk(nodes, named, words, (4, 10, SURE, 28, 36, 44, MOST), max_node)
     return links.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("far").alias("far"))
@@ -419,14 +442,14 @@ def decide_clusters(rows: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
     """Verified links ``(a, b)`` within clusters, so that they and the known trees connect what pairs of at most ``MOST`` bits that are similar connect.
 
     ``rows``: ``(cluster, tree, w0 .. w3, rep, shingles)``. A cluster of more than ``block_shingles`` is dealt into blocks, and every two blocks of it, and every block
-    by itself, are one task's, so no pair is lost and no task holds more than two blocks.
+    by itself, are one task's, so no pair is lost and no task holds more than two blocks. With ``settled``, a further column, pairs of one value of it are decided already.
     """
     words = [f"w{k}" for k in range(WORDS)]
     size = rows.groupBy("cluster").agg(F.ceil(F.sum(F.size("shingles")) / block_shingles).cast("int").alias("g"))
     size = maybe_broadcast(stage(size, "sizes"), 24)
     dealt = rows.join(size, "cluster").withColumn("g", F.greatest("g", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("g")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     dealt = dealt.withColumns({"p": F.least("mine", "with"), "q": F.greatest("mine", "with")})
-    node = ["cluster", "p", "q"]
+    node, known = ["cluster", "p", "q"], ["settled"] if "settled" in rows.columns else []
 
     def decided(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
@@ -438,7 +461,8 @@ def decide_clusters(rows: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
         order = np.lexsort((*bits[::-1], mine))
         bits, rep = bits[:, order], np.asarray(col("rep"))[order]
         _, first, tree = np.unique(np.asarray(col("tree"))[order], return_index=True, return_inverse=True)
-        accept = lambda i, j: similar(flat[off[order[i]] : off[order[i] + 1]], flat[off[order[j]] : off[order[j] + 1]])
+        settled = np.asarray(col("settled"))[order] if known else rep
+        accept = lambda i, j: settled[i] != settled[j] and similar(flat[off[order[i]] : off[order[i] + 1]], flat[off[order[j]] : off[order[j] + 1]])
         n, cut = len(rep), int((mine == p).sum())
         pair = (0, n, 0, n, 0) if p == q else (0, cut, cut, n, 0)
         budgets = (SURE, 28, 36, 44, MOST)
@@ -462,7 +486,39 @@ def decide_clusters(rows: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
         if held:
             yield decided(held)
 
-    return dealt.select(*node, "mine", "tree", *words, "rep", "shingles").repartition(*node).sortWithinPartitions(*node).mapInArrow(run, "a long, b long")
+    return dealt.select(*node, "mine", "tree", *words, "rep", *known, "shingles").repartition(*node).sortWithinPartitions(*node).mapInArrow(run, "a long, b long")
+
+
+def _components(links: DataFrame, name: str, before: DataFrame | None = None) -> DataFrame:
+    """``(rep, name)``: what ``links`` connect, with what is in one of the components ``before``."""
+    links = links.select("a", "b")
+    if before is not None:
+        links = links.unionByName(before.select(F.col("rep").alias("a"), F.col(name).alias("b")))
+    return stage(connected_components(links).select(F.col("node").alias("rep"), F.col("component").alias(name)), name)
+
+
+def _decided(links: DataFrame, reps: DataFrame, docs: DataFrame, text_col: str, trees: DataFrame | None = None, clusters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(rep, tree)`` of what verified links connect and ``(rep, cluster)`` of what ``links`` connect, verified or not: within a cluster all pairs of at most ``MOST`` bits are decided.
+
+    ``trees`` and ``clusters``: what earlier links, decided likewise, have made; ``links`` are between such clusters.
+    """
+    words = [f"w{k}" for k in range(WORDS)]
+    unsure = links.where(F.col("far") > SURE)
+    verified = stage(_verified(unsure, _sets(unsure.select(F.explode(F.array("a", "b")).alias("rep")), reps, docs, text_col)), "verified")
+    found = _components(links.where(F.col("far") <= SURE).select("a", "b").unionByName(verified), "tree", trees)
+    if clusters is None and unsure.select("a", "b").join(verified, ["a", "b"], "left_anti").isEmpty():
+        return found, found.withColumnRenamed("tree", "cluster")
+    # what hid behind a link that failed, or behind one that joins other trees of a cluster, is in one cluster of candidates with it
+    cluster = _components(links, "cluster", clusters)
+    touched = stage(links.select(F.col("a").alias("rep")).join(cluster, "rep").select("cluster").distinct(), "touched")
+    open_ = cluster.join(maybe_broadcast(touched, 16), "cluster", "left_semi")
+    held = open_.join(found, "rep", "left").select("rep", "cluster", F.coalesce("tree", "rep").alias("tree"))
+    several = held.groupBy("cluster").agg(F.count("*").alias("n"), F.min("tree").alias("least"), F.max("tree").alias("most")).where("n > 2 and least < most").select("cluster")
+    members = stage(held.join(maybe_broadcast(stage(several, "several"), 16), "cluster", "left_semi"), "members")
+    rows = members.join(reps.select("rep", *words), "rep").join(_sets(members, reps, docs, text_col), "rep")
+    if clusters is not None:
+        rows = rows.join(clusters.withColumnRenamed("cluster", "settled"), "rep", "left").withColumn("settled", F.coalesce("settled", "rep"))
+    return _components(stage(decide_clusters(rows), "more"), "tree", found), cluster
 
 
 def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -474,24 +530,13 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = [f"w{k}" for k in range(WORDS)]
     prints = _prints(docs, id_col, text_col)
     reps = stage(prints.groupBy(*words).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("first"), F.min("sha").alias("sha")).withColumn("rep", F.monotonically_increasing_id()), "reps")
-    links = stage(similar_links(reps), "links")
-    unsure = links.where(F.col("far") > SURE)
-    verified = stage(_verified(unsure, _sets(unsure.select(F.explode(F.array("a", "b")).alias("rep")), reps, docs, text_col)), "verified")
-    known = links.where(F.col("far") <= SURE).select("a", "b").unionByName(verified)
-    found = stage(connected_components(known).withColumnRenamed("node", "rep"), "trees")
-    refuted = stage(unsure.select("a", "b").join(verified, ["a", "b"], "left_anti"), "refuted")
-    if not refuted.isEmpty():
-        # what hid behind a link that failed is in one cluster of candidates with it
-        cluster = stage(connected_components(links.select("a", "b")).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
-        failed = stage(refuted.select(F.col("a").alias("rep")).join(cluster, "rep").select("cluster").distinct(), "failed")
-        open_ = cluster.join(maybe_broadcast(failed, 16), "cluster", "left_semi")
-        trees = open_.join(found, "rep", "left").select("rep", "cluster", F.coalesce("component", "rep").alias("tree"))
-        several = trees.groupBy("cluster").agg(F.count("*").alias("n"), F.min("tree").alias("least"), F.max("tree").alias("most")).where("n > 2 and least < most").select("cluster")
-        members = stage(trees.join(maybe_broadcast(stage(several, "several"), 16), "cluster", "left_semi"), "members")
-        sets = _sets(members, reps, docs, text_col)
-        more = decide_clusters(members.join(reps.select("rep", *words), "rep").join(sets, "rep"))
-        found = connected_components(known.unionByName(stage(more, "more"))).withColumnRenamed("node", "rep")
-    placed = reps.join(found, "rep", "left").select(*words, "first", F.coalesce("component", "rep").alias("c"))
+    trees, clusters = None, None
+    early = first_links(reps)
+    if early is not None:
+        trees, clusters = _decided(stage(early, "links"), reps, docs, text_col)
+    rest = reps if clusters is None else reps.join(clusters, "rep", "left").withColumn("settled", F.coalesce("cluster", "rep"))
+    found, _ = _decided(stage(similar_links(rest), "links"), reps, docs, text_col, trees, clusters)
+    placed = reps.join(found, "rep", "left").select(*words, "first", F.coalesce("tree", "rep").alias("c"))
     least = placed.groupBy("c").agg(F.min("first").alias("first"))
     kept = placed.join(least.select("c", F.col("first").alias("kept")), "c").select(*words, "kept")
     named = prints.where("doc_id is not null").select("doc_id", "sha", *words).distinct()

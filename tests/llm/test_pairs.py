@@ -307,3 +307,25 @@ def test_decontamination_keeps_clashing_columns(spark):
     docs = spark.createDataFrame([(1, f"x {item} y", "s", "t"), (2, "clean text", "s", None)], "doc_id long, text string, sha string, sha_ string")
     got = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert [tuple(r) for r in got.collect()] == [(2, "clean text", "s", None)] and got.columns == docs.columns
+
+
+def test_links_of_a_large_group_do_not_grow_with_the_tries(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(3000)]
+    base = list(rng.choice(words, 200))
+    rows = []
+    for k in range(240):  # near copies: pairs at a similarity of 0.9
+        own = list(base)
+        own[int(rng.integers(200))] = f"own{k}"
+        rows.append((k, " ".join(own)))
+    rows += [(1000 + k, " ".join(rng.choice(words, 80))) for k in range(30)]
+    edges, whole = [], simhash.connected_components
+
+    def counted(links, *rest):
+        edges.append(links.count())
+        return whole(links, *rest)
+
+    monkeypatch.setattr(simhash, "connected_components", counted)
+    kept = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {0, *range(1000, 1030)}
+    assert max(edges) <= 6 * 240  # a few tries' links; each of the 53 tries has a forest of its own
