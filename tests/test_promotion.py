@@ -140,3 +140,28 @@ def test_window_figures_are_kept_up_in_one_pass(spark):
     prices = rows.selectExpr("security_id", "date_add(date '2020-01-01', cast(place as int)) as date", "value as raw_close", "cast(place as bigint) as volume", "value as traded_value")
     for made in (features.observation_liquidity(prices), features.liquidity_features(prices, prices.select("date").distinct())):
         assert "-251" not in made._jdf.queryExecution().toString()  # no frame of a window is read again for each row
+
+
+def _priced(spark):
+    prices = spark.createDataFrame([(s, D(f"2020-01-{k:02d}"), float(k)) for s in ("A", "B", "C") for k in range(1, 9)], "security_id string, date date, raw_close double")
+    events = [("E1", "A", 3, "SPLIT", 0.5, None), ("E2", "A", 5, "BONUS", 0.8, None), ("E3", "A", 5, "DIVIDEND", None, 1.0), ("E4", "B", 6, "DIVIDEND", None, 2.0), ("E8", "B", 4, "SPLIT", 0.25, None), ("E5", None, 4, "SPLIT", 0.5, None)]
+    schema = "event_id string, security_id string, event_date date, event_type string, price_factor double, cash_dividend_per_share double"
+    return prices, spark.createDataFrame([(i, s, D(f"2020-01-{k:02d}"), *rest) for i, s, k, *rest in events], schema)
+
+
+def test_ids_of_events_meet_the_rows_in_one_join(spark):
+    prices, events = _priced(spark)
+    made = actions.adjust_prices(prices, events)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1  # a join a list carried the first list's ids along
+    got = {(r.security_id, r.date.day): (r.source_event_ids, r.total_return_event_ids) for r in made.collect()}
+    assert got["A", 1] == (["E1", "E2"], ["E3"]) and got["A", 3] == (["E2"], ["E3"]) and got["A", 5] == ([], []) and got["B", 4] == ([], ["E4"]) and got["C", 1] == ([], [])
+
+
+def test_price_side_needs_no_other_rows(spark):
+    prices, events = _priced(spark)
+    columns = ("security_id", "date", "price_return_adjustment_factor", "price_return_adjusted_close", "adjustment_quality", "source_event_count")
+    rows = lambda df: sorted(tuple(r) for r in df.select(*columns).collect())
+    whole = rows(actions.adjust_prices(prices, events, ids=False))
+    assert rows(actions.price_adjustments(prices, events)) == whole
+    assert rows(actions.price_adjustments(prices.where("day(date) = 2"), events)) == [r for r in whole if r[1].day == 2]
