@@ -11,8 +11,9 @@ from pitmill.catalog.domain import _ADJUSTED, _BOUNDARIES, _R, _STATUS, adjusted
 from pitmill.catalog.inputs import sql, table
 from pitmill.catalog.panel import PRICES
 from pitmill.operators import audit, intervals, leakage, promotion, regression, universe
-from pitmill.operators.actions import adjust_as_of
+from pitmill.operators.actions import adjust_as_of, price_adjustments
 from pitmill.operators.features import liquidity_as_of, liquidity_features, observation_liquidity
+from pitmill.plans.staging import stage
 from pitmill.spec import ProfileSpec
 
 QUERIES: dict = {}
@@ -265,11 +266,9 @@ def d23_top_contributors(spark: SparkSession, d: str) -> DataFrame:
 
 def _releases(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Adjusted prices and events without and with the events of even keys."""
-    from pitmill.operators.actions import adjust_prices
-
     p, e = table(spark, d, "panel"), table(spark, d, "events_in")
     old = e.where("event_id not like '%8'")
-    return adjust_prices(p, old), adjust_prices(p, e), old, e
+    return price_adjustments(p, old), price_adjustments(p, e), old, e
 
 
 _TWO = """
@@ -292,8 +291,12 @@ UNION ALL SELECT 'membership_' || universe_flag, count(*) FROM df GROUP BY 1 UNI
 
 
 def _counters(spark: SparkSession, d: str) -> DataFrame:
-    a, b, _, _ = _releases(spark, d)
-    return regression.regression_counters(table(spark, d, "monthly_in"), table(spark, d, "candidate_in"), a, b, FLAGS)
+    e = table(spark, d, "events_in")
+    columns = [*regression.MONTHLY, *[c for c, _ in FLAGS.values()]]
+    monthly = stage(table(spark, d, "monthly_in"), "monthly")  # read by many counters, and by the candidate
+    candidate = stage(table(spark, d, "candidate_in", {"monthly_in": monthly}).select(*columns), "candidate")
+    paired = regression.paired_factors(table(spark, d, "panel"), e.where("event_id not like '%8'"), e)
+    return regression.regression_counters(monthly.select(*columns), candidate, paired, FLAGS)
 
 
 @query(f"WITH {_COUNTERS} SELECT * FROM ct")

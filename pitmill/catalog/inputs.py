@@ -203,8 +203,10 @@ def sql(text: str) -> str:
     return f"{start} {with_}, {body[5:]}" if body[:5].upper() == "WITH " else f"{start} {with_} {body}"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or an input, as a DataFrame."""
+def table(spark: SparkSession, sf_dir: str, name: str, held: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A given table or an input, as a DataFrame; those ``held`` are taken as they are, wherever they are needed."""
+    if held and name in held:
+        return held[name]
     if name in SELECTS:
-        return spark.sql(SELECTS[name], **{x: table(spark, sf_dir, x) for x in _needs(name)})
+        return spark.sql(SELECTS[name], **{x: table(spark, sf_dir, x, held) for x in _needs(name)})
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -165,3 +165,14 @@ def test_price_side_needs_no_other_rows(spark):
     whole = rows(actions.adjust_prices(prices, events, ids=False))
     assert rows(actions.price_adjustments(prices, events)) == whole
     assert rows(actions.price_adjustments(prices.where("day(date) = 2"), events)) == [r for r in whole if r[1].day == 2]
+
+
+def test_both_releases_factors_in_one_pass(spark):
+    from pitmill.operators import regression
+
+    prices, events = _priced(spark)
+    old = events.where("event_id not like '%8'")
+    rows = lambda df: sorted(tuple(r) for r in df.select("security_id", "date", "r0", "f0", "r1", "f1").collect())
+    got = rows(regression.paired_factors(prices, old, events))
+    assert got == rows(regression.paired_prices(actions.price_adjustments(prices, old), actions.price_adjustments(prices, events)))
+    assert [r[3] != r[5] for r in got if r[0] == "B"] == [True] * 3 + [False] * 5
