@@ -329,3 +329,33 @@ def test_links_of_a_large_group_do_not_grow_with_the_tries(spark, monkeypatch):
     kept = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {0, *range(1000, 1030)}
     assert max(edges) <= 6 * 240  # a few tries' links; each of the 53 tries has a forest of its own
+
+
+def test_components_of_few_edges_leave_few_files(spark, monkeypatch):
+    """Few edges stay in a few partitions from round to round, however many shuffle partitions are set; the way of many edges gives the same."""
+    from pitmill.operators import graph
+
+    held = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    parts, cut = [], graph.cut
+
+    def counted(df):
+        out = cut(df)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(graph, "cut", counted)
+    chain = [(k, k + 1) for k in range(1, 6)] + [(100, k) for k in range(101, 105)] + [(200, 200), (None, 7), (300, 299)]
+    edges = spark.createDataFrame(chain, "a long, b long")
+    want = {k: 1 for k in range(1, 7)} | {k: 100 for k in range(100, 105)} | {299: 299, 300: 299}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = graph.connected_components(edges)
+        assert dict(found.collect()) == want and found.count() == len(want)
+        assert max(parts[1:]) <= 4
+        monkeypatch.setattr(graph, "SMALL", 0)
+        assert dict(graph.connected_components(edges).collect()) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
