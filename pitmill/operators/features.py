@@ -88,6 +88,17 @@ def liquidity_features(prices: DataFrame, calendar: DataFrame, windows: tuple[in
     )
 
 
+def recent(prices: DataFrame, calendar: DataFrame, at, sessions: int) -> DataFrame:
+    """Rows of the last ``sessions`` sessions up to ``at``: all that figures of windows of so many sessions depend on at that date (not histories).
+
+    The first of these dates is one value, so that the condition reaches what ``prices`` are made of.
+    """
+    end = F.lit(at).cast("date")
+    days = calendar.select(F.col("date").cast("date").alias("date")).where(F.col("date") <= end).distinct()
+    first = days.orderBy(F.desc("date")).limit(sessions).agg(F.min("date")).first()[0]
+    return prices.where(F.col("date").between(F.lit(first).cast("date"), end))
+
+
 def observation_liquidity(prices: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """The older features whose windows count an entity's rows, not sessions; shares are taken of the 60-row median."""
     by = Window.partitionBy("security_id").orderBy("date")

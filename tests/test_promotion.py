@@ -176,3 +176,28 @@ def test_both_releases_factors_in_one_pass(spark):
     got = rows(regression.paired_factors(prices, old, events))
     assert got == rows(regression.paired_prices(actions.price_adjustments(prices, old), actions.price_adjustments(prices, events)))
     assert [r[3] != r[5] for r in got if r[0] == "B"] == [True] * 3 + [False] * 5
+
+
+def test_figures_of_wanted_rows_only(spark):
+    """Figures of few rows are those that all rows get, whatever the batches, and a date's own need only the sessions before it."""
+    from pitmill.operators import features
+    from pitmill.operators.rolling import rolling_windows
+
+    prices = spark.range(900).where("id % 11 <> 3").selectExpr("concat('S', id % 4) as security_id", "date_add(date '2020-01-01', cast(id div 4 as int)) as date", "(id * 37 % 101) * 0.5D as raw_close", "case when id % 5 = 0 then 0 else id end as volume", "case when id % 7 = 0 then null else (id * 53 % 211) * 0.5D end as traded_value")
+    days = spark.sql("SELECT explode(sequence(date '2020-01-01', date '2020-08-20')) AS date").where("dayofmonth(date) % 6 <> 0")
+    at = days.where("dayofmonth(date) = 17 or date = date '2020-01-01'")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 23)
+    try:
+        whole = features.liquidity_features(prices, days, (20, 60), 60)
+        few = features.liquidity_features(prices, days, (20, 60), 60, at=at)
+        want = sorted(map(str, whole.join(at, "date", "left_semi").select(sorted(whole.columns)).collect()))
+        assert sorted(map(str, few.select(sorted(whole.columns)).collect())) == want and want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    day = spark.sql("SELECT date '2020-07-17' AS date")
+    held = features.recent(prices, days, "2020-07-17", 60)
+    assert 0 < held.count() < prices.count() // 3 and features.recent(prices, days, "2019-01-01", 60).count() == 0
+    columns = ["security_id", "median_traded_value_60", "average_traded_value_60", "liquidity_rank_60"]
+    got = [sorted(map(tuple, features.liquidity_features(x, days, (60,), 60, at=day).select(columns).collect())) for x in (prices, held)]
+    assert got[0] == got[1] and len(got[0]) > 1
+    assert rolling_windows(prices.limit(0).selectExpr("*", "1 as place", "1 as number", "true as w"), "security_id", "place", "number", "traded_value", {3: {"rows": "r"}}, only="w").count() == 0
