@@ -104,25 +104,27 @@ def a17_one_to_one(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _year_files(spark: SparkSession, d: str) -> str:
-    """The panel as one folder of files a year, of two header eras; the later one names neither ISIN nor value."""
+    """The panel as one folder of files a year, of two header eras; the later one names neither ISIN nor value. Rows are written where they are, so no task holds a year."""
     path, rows = staged_path(spark, "eras"), table(spark, d, "panel").withColumn("year", F.year("date"))
     old = rows.where("year < 1998").select("year", F.col("symbol_at_date").alias(" symbol"), F.col("series").alias("Series"), F.col("isin").alias("ISIN"), F.col("traded_value").alias("Total Traded Value"))
     new = rows.where("year >= 1998").select("year", F.col("symbol_at_date").alias("TckrSymb"), F.col("series").alias("SctySrs"), F.col("raw_close").alias("ClsPric"))
-    old.repartition("year").write.partitionBy("year").option("header", True).csv(f"{path}/old")
-    new.repartition("year").write.partitionBy("year").option("header", True).csv(f"{path}/new")
+    old.write.partitionBy("year").option("header", True).csv(f"{path}/old")
+    new.write.partitionBy("year").option("header", True).csv(f"{path}/new")
     return path
 
 
 @query("SELECT year(date) AS year, CASE WHEN year(date) < 1998 THEN 'SYMBOL,SERIES,ISIN,TOTAL_TRADED_VALUE' ELSE 'TCKRSYMB,SCTYSRS,CLSPRIC' END AS columns, count(*) FILTER (WHERE series = 'EQ') > 0 AS has_eq_series, year(date) < 1998 AS has_isin, year(date) < 1998 AS has_traded_value, count(*) FILTER (WHERE series = 'EQ') AS eq_rows, count(*) AS total_rows FROM {panel} GROUP BY 1")
 def a13_source_profile(spark: SparkSession, d: str) -> DataFrame:
     got = files.profile_source_schema(spark, f"{_year_files(spark, d)}/*/year=*")
-    return got.select(F.regexp_extract("source_file", r"year=(\d+)", 1).cast("int").alias("year"), F.array_join("columns", ",").alias("columns"), "has_eq_series", "has_isin", "has_traded_value", "eq_rows", "total_rows")
+    year = F.regexp_extract("source_file", r"year=(\d+)", 1).cast("int").alias("year")  # a year has several files
+    any_ = [F.bool_or(c).alias(c) for c in ("has_eq_series", "has_isin", "has_traded_value")]
+    return got.groupBy(year, F.array_join("columns", ",").alias("columns")).agg(*any_, F.sum("eq_rows").alias("eq_rows"), F.sum("total_rows").alias("total_rows"))
 
 
 @query("SELECT year(date) AS year, CASE WHEN year(date) < 1998 THEN 'OK' ELSE 'MISSING_COLUMN' END AS reason FROM {panel} GROUP BY 1")
 def a12_input_files(spark: SparkSession, d: str) -> DataFrame:
     got = files.audit_input_files(spark, f"{_year_files(spark, d)}/*/year=*", ["SYMBOL", "SERIES"])
-    return got.select(F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year"), "reason")
+    return got.select(F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year"), "reason").distinct()
 
 
 @query("SELECT year(date) AS year, series, count(*) AS rows FROM {panel} GROUP BY 1, 2")

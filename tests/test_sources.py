@@ -95,3 +95,24 @@ def test_late_rows_are_counted(spark, tmp_path):
         found, n = ingest.run_counted(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
         late += n
     assert late == 1 and sorted(r.k for r in found.collect()) == [1, 2, 3, 5]
+
+
+def test_files_of_a_year_are_several_tasks_work(spark):
+    """No task writes a whole year, and what is said of a year covers all of its files."""
+    from pyspark.sql import functions as F
+
+    from pitmill.catalog import flows
+    from pitmill.catalog.inputs import table
+
+    d, off = "/root/testdata/sf0.001", "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(off, "false")
+    try:
+        path = flows._year_files(spark, d)
+        files = spark.read.format("binaryFile").load(f"{path}/*/year=*").select(F.regexp_extract("path", r"year=(\d+)", 1).alias("year"))
+        assert files.groupBy("year").count().agg(F.min("count")).first()[0] > 1
+        got = {r.year: (r.eq_rows, r.total_rows) for r in flows.a13_source_profile(spark, d).collect()}
+    finally:
+        spark.conf.unset(off)
+    want = table(spark, d, "panel").groupBy(F.year("date").alias("year")).agg(F.count_if(F.col("series") == "EQ").alias("e"), F.count("*").alias("n")).collect()
+    assert got == {r.year: (r.e, r.n) for r in want}
+    assert flows.a12_input_files(spark, d).count() == len(want)
