@@ -40,7 +40,7 @@ def names_within(texts: DataFrame, id_col: str, text_col: str, names: DataFrame,
     if least is not None:
         listed = listed.where(F.length("name") >= least)
     kind = dict(texts.dtypes)[id_col]
-    rows = texts.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).where("text_ is not null")
+    rows = texts.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
     size = listed.agg(F.sum(F.octet_length("name") + 16).alias("n")).first()["n"] or 0
     if size <= small:
         held = texts.sparkSession.sparkContext.broadcast(_by_block([r["name"] for r in listed.collect()], least))  # at most ``small`` bytes of names
@@ -51,6 +51,8 @@ def names_within(texts: DataFrame, id_col: str, text_col: str, names: DataFrame,
             for batch in batches:
                 own, found = [], []
                 for k, text in enumerate(batch.column(1).to_pylist()):
+                    if text is None:  # a condition before this would make the texts, which may be long expressions, twice
+                        continue
                     if least is None:
                         words = [w for w in text.split(" ") if w]
                         met = known & set(words) | known & {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
@@ -64,6 +66,7 @@ def names_within(texts: DataFrame, id_col: str, text_col: str, names: DataFrame,
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array(found, pa.string())], [id_col, "name"])
 
         return rows.mapInArrow(run, f"`{id_col}` {kind}, name string")
+    rows = rows.where("text_ is not null")
     met = rows.select("id_", F.explode(_blocks(F.col("text_"), least)).alias("block_")).join(listed.withColumn("block_", _block(F.col("name"), least)), "block_").select("id_", "name").distinct()
     both = met.join(rows, "id_")
     inside = F.contains("text_", "name") if least is not None else F.contains(F.concat(F.lit(" "), "text_", F.lit(" ")), F.concat(F.lit(" "), "name", F.lit(" ")))

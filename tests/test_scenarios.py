@@ -117,3 +117,12 @@ def test_scenarios_leave_no_tables_and_skip_what_is_not_read(spark):
     got = {(r.operator, r.scenario): r.leaking_rows for r in leakage.leakage_report({"prices": prices, "all": all_rows}, t, "2020-02-01").collect()}
     assert {k for k, n in got.items() if n} == {("all", s) for s in ("future_listing", "changed_values", "dead_entity")} and len(got) == 12
     assert len(runs) == 5 and staging.mark() == since  # once before, and for four scenarios that change prices
+
+
+def test_texts_that_names_are_looked_up_in_are_made_once(spark):
+    from pitmill.operators import matching
+
+    t = spark.sql("SELECT * FROM VALUES (1, 'RED BOLT LTD'), (2, NULL) AS v(n, x)").selectExpr("n", "CASE WHEN x RLIKE 'B' THEN regexp_replace(x, 'O', 'O') ELSE upper(x) END AS t")
+    found = matching.names_within(t, "n", "t", spark.sql("SELECT 'RED BOLT' AS name"))
+    assert list(map(tuple, found.collect())) == [(1, "RED BOLT")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("regexp_replace") <= 1
