@@ -65,51 +65,61 @@ def row_invariants(monthly: DataFrame, spec: ProfileSpec, top: str = "top750_liq
 
 
 def table_invariants(monthly: DataFrame, required: DataFrame, prices: DataFrame, calendar: DataFrame, top: str = "top750_liquidity", start=None, instrument_type: str = "ORDINARY_EQUITY") -> DataFrame:
-    """Counters of the rules that need other rows or tables."""
-    one = lambda df, name: df.agg(F.count("*").alias("value")).select(F.lit(name).alias("metric"), "value")
+    """Counters of the rules that need other rows or tables; those that need the same rows together are counted in one pass."""
     inside = monthly.where(_yes("liquid_v1_eligible") | _yes(top))
     scope = inside.groupBy("security_id").agg(
         F.bool_or(_yes("liquid_v1_eligible")).alias("l"), F.bool_or(_yes(top)).alias("t"), F.min("date").alias("a"), F.max("date").alias("b"), F.min("rank_126").alias("r0"), F.max("rank_126").alias("r1"),
-        F.max("median_traded_value_60").alias("m60"), F.max("positive_volume_days_60").alias("p60"))
-    both = required.join(scope, "security_id")
-    differs = lambda *p: reduce(lambda x, y: x | y, [~F.col(a).eqNullSafe(F.col(b)) for a, b in p])
-    first = prices.groupBy("security_id").agg(F.min("date").alias("first_"))
-    ends = month_ends(calendar if start is None else calendar.where(F.col("date") >= F.lit(start).cast("date")))
-    seen = monthly.select("date").distinct()
-    by_month = monthly.groupBy("date").agg(F.count_if(_yes("liquid_v1_eligible")).alias("n"), F.avg("history_sessions").alias("h"))
+        F.max("median_traded_value_60").alias("m60"), F.max("positive_volume_days_60").alias("p60"), F.lit(True).alias("in_scope_"))
+    both = required.withColumn("in_required_", F.lit(True)).join(scope, "security_id", "full")
+    there, scoped = F.col("in_required_").isNotNull(), F.col("in_scope_").isNotNull()
+    differs = lambda *p: there & scoped & reduce(lambda x, y: x | y, [~F.col(a).eqNullSafe(F.col(b)) for a, b in p])
+    kind = F.col("instrument_type").eqNullSafe(instrument_type) & ~F.coalesce(F.col("instrument_type_quality") == "UNRESOLVED", F.lit(True)) if {"instrument_type", "instrument_type_quality"} <= set(required.columns) else F.lit(True)
+    of_required = {
+        "required_artifact_instrument_classification_failures": there & ~kind,
+        "required_scope_missing_from_required_artifact": ~there,
+        "required_artifact_security_without_monthly_scope": ~scoped,
+        "required_artifact_flag_failures": differs(("enters_liquid_v1", "l"), ("enters_top750", "t")),
+        "required_artifact_date_range_failures": differs(("first_research_date", "a"), ("last_research_date", "b")),
+        "required_artifact_rank_evidence_failures": differs(("best_rank_126", "r0"), ("worst_rank_126", "r1")),
+        "required_artifact_liquidity_evidence_failures": differs(("max_median_traded_value_60", "m60"), ("max_positive_volume_days_60", "p60")),
+        "required_artifact_identity_quality_failures": there & ~_yes(F.col("research_identity_quality").isin(*STRONG)),
+        "required_artifact_price_adjustment_failures": there & (~_yes("price_adjustment_ok") | F.coalesce(F.col("price_adjustment_quality").isin("UNRESOLVED_CORPORATE_ACTION", "RAW_ONLY_UNKNOWN"), F.lit(True))),
+        "required_artifact_status_failures": there & (~_yes("active_trading_ok") | F.coalesce(F.col("status_quality").isin("UNKNOWN_STATUS", "UNRESOLVED"), F.lit(True))),
+    }
+
+    ends = month_ends(calendar if start is None else calendar.where(F.col("date") >= F.lit(start).cast("date"))).withColumnsRenamed({"month": "month_", "date": "end_"})
     w = Window.orderBy("date")  # a row a month
-    moves = by_month.withColumns({"n0": F.lag("n").over(w), "n1": F.lead("n").over(w), "h0": F.lag("h").over(w)})
+    by_month = monthly.groupBy("date").agg(F.count_if(_yes("liquid_v1_eligible")).alias("n"), F.avg("history_sessions").alias("h"))
+    months = by_month.withColumns({"n0": F.lag("n").over(w), "n1": F.lead("n").over(w), "h0": F.lag("h").over(w)})
+    months = months.join(ends, F.trunc("date", "month") == F.col("month_"), "left").join(calendar.select("date").distinct().withColumn("session_", F.lit(True)), "date", "left")
+    of_months = {
+        "non_month_final_session_dates": F.col("date") != F.col("end_"),
+        "non_calendar_dates": F.col("session_").isNull(),
+        "zero_liquid_collapse_months": F.expr("n = 0 and coalesce(n0, 0) >= 100 and coalesce(n1, 0) >= 100"),
+        "population_history_reset_months": F.expr("h0 >= 300 and h < h0 * 0.5"),
+    }
+    begins = (~F.min("date").eqNullSafe(F.lit(start).cast("date"))).cast("long") if start else F.lit(0)
+
+    wy = Window.orderBy("y")  # a row a year
     years = monthly.groupBy(F.year("date").alias("y")).agg(F.count_distinct("security_id").alias("n"))
-    wy = Window.orderBy("y")
     spikes = years.withColumns({"n0": F.lag("n").over(wy), "n1": F.lead("n").over(wy)})
-    begins = monthly.agg(F.min("date").alias("d")).where(~F.col("d").eqNullSafe(F.lit(start).cast("date"))) if start else monthly.limit(0)
-    kind = F.col("instrument_type").eqNullSafe(instrument_type) & ~F.coalesce(F.col("instrument_type_quality") == "UNRESOLVED", F.lit(True)) if {"instrument_type", "instrument_type_quality"} <= set(required.columns) else F.lit(True)
+    first = prices.groupBy("security_id").agg(F.min("date").alias("first_"))
+    rows = monthly.groupBy("date", "security_id").agg(F.count("*").alias("n")).join(first, "security_id", "left")
+    counted = lambda rules: [F.count_if(v).alias(k) for k, v in rules.items()]
     parts = [
-        one(begins, "monthly_snapshot_start_mismatch"),
-        one(required.where(~kind), "required_artifact_instrument_classification_failures"),
-        one(monthly.groupBy("date", "security_id").count().where("count > 1"), "duplicate_month_security_rows"),
-        one(seen.join(ends, F.trunc(seen["date"], "month") == ends["month"]).where(seen["date"] != ends["date"]), "non_month_final_session_dates"),
-        one(seen.join(calendar.select("date").distinct(), "date", "left_anti"), "non_calendar_dates"),
-        one(scope.join(required, "security_id", "left_anti"), "required_scope_missing_from_required_artifact"),
-        one(required.join(scope, "security_id", "left_anti"), "required_artifact_security_without_monthly_scope"),
-        one(both.where(differs(("enters_liquid_v1", "l"), ("enters_top750", "t"))), "required_artifact_flag_failures"),
-        one(both.where(differs(("first_research_date", "a"), ("last_research_date", "b"))), "required_artifact_date_range_failures"),
-        one(both.where(differs(("best_rank_126", "r0"), ("worst_rank_126", "r1"))), "required_artifact_rank_evidence_failures"),
-        one(both.where(differs(("max_median_traded_value_60", "m60"), ("max_positive_volume_days_60", "p60"))), "required_artifact_liquidity_evidence_failures"),
-        one(required.where(~_yes(F.col("research_identity_quality").isin(*STRONG))), "required_artifact_identity_quality_failures"),
-        one(required.where(~_yes("price_adjustment_ok") | F.coalesce(F.col("price_adjustment_quality").isin("UNRESOLVED_CORPORATE_ACTION", "RAW_ONLY_UNKNOWN"), F.lit(True))), "required_artifact_price_adjustment_failures"),
-        one(required.where(~_yes("active_trading_ok") | F.coalesce(F.col("status_quality").isin("UNKNOWN_STATUS", "UNRESOLVED"), F.lit(True))), "required_artifact_status_failures"),
-        one(monthly.join(first, "security_id").where("date < first_"), "future_listing_rows"),
-        one(moves.where("n = 0 and coalesce(n0, 0) >= 100 and coalesce(n1, 0) >= 100"), "zero_liquid_collapse_months"),
-        one(spikes.where("n > n0 * 1.5 and n1 < n / 1.5"), "active_security_count_spike_reversal_failures"),
-        one(moves.where("h0 >= 300 and h < h0 * 0.5"), "population_history_reset_months"),
+        both.agg(*counted(of_required)),
+        months.agg(begins.alias("monthly_snapshot_start_mismatch"), *counted(of_months)),
+        spikes.agg(F.count_if(F.expr("n > n0 * 1.5 and n1 < n / 1.5")).alias("active_security_count_spike_reversal_failures")),
+        rows.agg(F.count_if(F.col("n") > 1).alias("duplicate_month_security_rows"), F.coalesce(F.sum(F.when(F.expr("date < first_"), F.col("n"))), F.lit(0)).alias("future_listing_rows")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [unpivot(p) for p in parts])
 
 
 def validate_release(monthly: DataFrame, required: DataFrame, prices: DataFrame, calendar: DataFrame, spec: ProfileSpec, top: str = "top750_liquidity", start=None) -> DataFrame:
-    """``(metric, value)``: violation counters; a sound release has only zeros."""
-    monthly, required = stage(monthly, "monthly"), stage(required, "required")  # each is read by many counters
+    """``(metric, value)``: violation counters; a sound release has only zeros.
+
+    ``monthly`` is read once for each kind of counter, so one that is costly to make should be staged.
+    """
     return row_invariants(monthly, spec, top, start).unionByName(table_invariants(monthly, required, prices, calendar, top, start, spec.instrument_type))
 
 
