@@ -192,10 +192,17 @@ _REFINED = f"""{_BOUNDARIES}, {_DAYS}, st AS (SELECT DISTINCT date AS s, date AS
 rb AS (SELECT s AS boundary_date, {', '.join(f'coalesce({k}, 0) AS {k}' for k in _SCOPED)}, {_PASSES} AS passes FROM ro JOIN en USING (s) LEFT JOIN mc USING (s))"""
 
 
+def _history(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """The tables that starts are judged by; the snapshots, of the columns that these read, and the sessions are made once."""
+    monthly = table(spark, d, "monthly_in").select("date", "security_id", "history_sessions", "liquid_v1_eligible", "top25_liquidity", "research_identity_ok", "price_adjustment_ok", "instrument_type_quality", "status_quality")
+    held = {"monthly_in": stage(monthly, "monthly"), "calendar": stage(table(spark, d, "calendar"), "calendar")}
+    t = lambda name: table(spark, d, name, held)
+    return t("promotion_in"), t("calendar"), t("promotion_events"), boundaries_of(spark, d, held), t("adjusted_in"), t("windows_in")
+
+
 @query(f"WITH {_REFINED} SELECT * FROM rb")
 def h27_refined_boundary(spark: SparkSession, d: str) -> DataFrame:
-    t = lambda name: table(spark, d, name)
-    return promotion.refined_boundaries(t("promotion_in"), t("calendar"), t("promotion_events"), boundaries_of(spark, d), t("adjusted_in"), t("windows_in"), "2000-01-01", "top25_liquidity")
+    return promotion.refined_boundaries(*_history(spark, d), "2000-01-01", "top25_liquidity")
 
 
 #: The candidates as starts; ``rb`` of the snapshots comes in under other names.
@@ -216,8 +223,7 @@ gs AS (SELECT *, pit_universe_gate_pass AND price_action_gate_pass AND NOT bound
 
 
 def _audit(spark: SparkSession, d: str) -> DataFrame:
-    t = lambda name: table(spark, d, name)
-    return promotion.candidate_audit(t("promotion_in"), t("calendar"), t("promotion_events"), boundaries_of(spark, d), t("adjusted_in"), t("windows_in"), STARTS, "2000-01-01", "top25_liquidity")
+    return promotion.candidate_audit(*_history(spark, d), STARTS, "2000-01-01", "top25_liquidity")
 
 
 @query(f"WITH {_AUDIT} SELECT *, CASE WHEN all_gates_pass THEN 'PASS' ELSE 'FAIL' END AS status FROM gs")

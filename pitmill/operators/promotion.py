@@ -81,8 +81,8 @@ def _scan(monthly: DataFrame, calendar: DataFrame, events: DataFrame, boundaries
     snapshots = scope.groupBy("date").agg(
         F.count("*").alias("monthly_rows"), F.lit(1).cast("long").alias("monthly_snapshots"), F.count_if("model_handoff_history_ready_300").alias("fully_warmed_rows"),
         F.count_if("signal_history_ready_252").alias("signal_ready_252_rows"), F.count_if("signal_history_ready_273").alias("signal_ready_273_rows"))
-    # only the snapshots' rows of the daily features are joined
-    known = windows.select("security_id", "date", "liquidity_window_definition").join(F.broadcast(inside.select("date").distinct()), "date")
+    # only the snapshots' rows of the daily features are joined, and the others are left out before they are made
+    known = windows.select("security_id", "date", "liquidity_window_definition").join(F.broadcast(inside.select("date").distinct()), "date", "left_semi")
     required = inside.join(known, ["security_id", "date"], "left").groupBy("date").agg(
         F.count("*").alias("required_rows"), F.count_if("model_handoff_history_ready_300").alias("fully_warmed_required_rows"),
         F.count_if(~F.col("liquidity_window_definition").eqNullSafe(F.lit(SESSION_WINDOW))).alias("session_liquidity_window_failures"))

@@ -50,3 +50,21 @@ def test_release_snapshots_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(audit, "stage", lambda df, label: pytest.fail(f"{label} is written again"))
     made = entry.queries()["h31_release_invariants"](spark, SF)
     assert staged == ["monthly"] and _reads(made, "l_extendedprice") == 0 and made.count() == 30
+
+
+def test_history_of_starts_is_made_once(spark, monkeypatch):
+    from pitmill.catalog import audits
+
+    staged = []
+    monkeypatch.setattr(audits, "stage", lambda df, label: staged.append(label) or df.localCheckpoint())
+    made = entry.queries()["h26_candidate_audit"](spark, SF)
+    assert sorted(staged) == ["calendar", "monthly"]
+    assert _reads(made, "l_extendedprice") == 1 and _reads(made, "l_shipdate") == 3  # boundaries; and window definitions and adjusted prices
+    assert made.count() == 4
+
+
+def test_rows_that_cannot_meet_are_left_out_before_they_are_made(spark):
+    for name in ("h26_candidate_audit", "h15_boundary_validation"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        below = [any("LeftSemi" in x and "strategy=broadcast" in x for x in plan[k + 1 : k + 3]) for k, x in enumerate(plan) if "Aggregate [l_suppkey" in x]
+        assert sum(below) == (2 if name[:3] == "h26" else 1), name
