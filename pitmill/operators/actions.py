@@ -145,24 +145,43 @@ def _named(columns: dict[str, str]) -> dict[str, str]:
     return {"review_rationale" if k == "rationale" else k: kind for k, kind in columns.items()}
 
 
+def _scaled(x: Column, power: Column) -> Column:
+    """``x`` times two to the ``power``, rounded once: in two steps, as the power itself may lie beyond the doubles."""
+    p = F.greatest(F.least(power, F.lit(2040)), F.lit(-2140))
+    half = F.floor(p / 2)
+    return x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), p - half)
+
+
+def _factors_from(events: DataFrame, name: str) -> DataFrame:
+    """``(security_id, date, {name}_factor_, {name}_count_)`` for each date of an entity's events: the product of the factors dated then or later, and how many there are.
+
+    The running product is kept between 0.5 and 4 and its power of two apart, and rounded once where it is asked for: a product of many factors that passed
+    the range of doubles on its way, or moved on within the denormal numbers, lost its digits.
+    """
+    order = Window.partitionBy("security_id").orderBy(F.desc("event_date"), "factor")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    size = F.abs("factor")
+    e = events.select("security_id", "event_date", F.col("factor").cast("double").alias("factor"))
+    e = e.withColumn("power_", F.floor(F.sum(F.when((size > 0) & (size < float("inf")), F.log2(size)).otherwise(0.0)).over(so_far)))
+    e = e.withColumn("step_", F.col("power_") - F.lag("power_", 1, 0).over(order))
+    e = e.withColumns({"held_": F.product(_scaled(F.col("factor"), -F.col("step_"))).over(so_far), "count_": F.row_number().over(order).cast("long"), "next_": F.lead(F.struct("event_date")).over(order)})
+    last = e.where("next_ is null or not (next_.event_date <=> event_date)")
+    return last.select("security_id", F.col("event_date").alias("date"), F.coalesce(_scaled(F.col("held_"), F.col("power_")), F.lit(1.0)).alias(f"{name}_factor_"), F.col("count_").alias(f"{name}_count_"))
+
+
 def suffix_factors(rows: DataFrame, events: dict[str, DataFrame]) -> DataFrame:
     """``rows`` with, for each name in ``events``, ``{name}_factor``, the product of the factors of all events of the entity dated after the row, and ``{name}_count``, how many there are.
 
-    Events ``(security_id, event_date, factor)`` and rows are laid together and sorted by entity and date, from the end, and the product runs along: an entity's
-    events are read once, however many rows it has. The count points into the entity's list of events (``event_ids``): the last so many.
+    The product runs along an entity's events ``(security_id, event_date, factor)`` once, from the end; then rows and the events' dates are laid together and sorted by
+    entity and date, and a row takes what the next date has. The count points into the entity's list of events (``event_ids``): the last so many.
     """
-    parts = []
+    both = rows.withColumn("later_", F.lit(0))
     for name, e in events.items():
-        each = e.groupBy("security_id", "event_date").agg(F.product("factor").alias(f"{name}_factor"), F.count("*").alias(f"{name}_count"))
-        parts.append(each.withColumnRenamed("event_date", "date").withColumn("later_", F.lit(1)))
-    own = rows.select("security_id", "date", F.struct("*").alias("row_"), F.lit(0).alias("later_"))
-    both = own
-    for p in parts:
-        both = both.unionByName(p, allowMissingColumns=True)
+        both = both.unionByName(_factors_from(e, name).withColumn("later_", F.lit(1)), allowMissingColumns=True)
     # a row comes before the events of its own date, which don't count for it
     down = Window.partitionBy("security_id").orderBy(F.desc("date"), "later_").rowsBetween(Window.unboundedPreceding, 0)
-    made = {f"{k}_factor": F.coalesce(F.product(f"{k}_factor").over(down), F.lit(1.0)) for k in events} | {f"{k}_count": F.coalesce(F.sum(f"{k}_count").over(down), F.lit(0)) for k in events}
-    return both.withColumns(made).where("later_ = 0").select("row_.*", *made)
+    made = {f"{k}_{what}": F.coalesce(F.last(f"{k}_{what}_", ignorenulls=True).over(down), F.lit(none)) for k in events for what, none in (("factor", 1.0), ("count", 0))}
+    return both.select(*rows.columns, "later_", *[c.alias(k) for k, c in made.items()]).where("later_ = 0").drop("later_")
 
 
 def event_ids(rows: DataFrame, events: dict[str, DataFrame]) -> DataFrame:

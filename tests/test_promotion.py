@@ -178,6 +178,31 @@ def test_both_releases_factors_in_one_pass(spark):
     assert [r[3] != r[5] for r in got if r[0] == "B"] == [True] * 3 + [False] * 5
 
 
+def test_products_of_many_factors_are_rounded_once(spark):
+    """Products that end in the denormal numbers, or pass the range of doubles on their way, are those of exact fractions."""
+    from fractions import Fraction
+    from math import prod
+
+    factors = {"D": [0.8 if k % 3 else 0.5 for k in range(2200)], "U": [1e200, 1e200, 1e-300, 1e-290, 1e250] * 9, "Z": [0.5] * 3000, "O": [3.0] * 900, "B": [5e-324, 1e308, 1e308], "I": [0.5, float("inf"), 0.5], "N": [0.5, 0.0, 2.0]}
+    day = D("2020-01-01")
+    events = spark.createDataFrame([(k, day + timedelta(days=n), x) for k, xs in factors.items() for n, x in enumerate(xs)], "security_id string, event_date date, factor double")
+    rows = spark.createDataFrame([(k, day + timedelta(days=n)) for k, xs in factors.items() for n in range(-1, len(xs), 61)], "security_id string, date date")
+    got = {(r.security_id, (r.date - day).days): (r.x_factor, r.x_count) for r in actions.suffix_factors(rows, {"x": events}).collect()}
+    assert len(got) == rows.count()
+    for (k, n), (factor, count) in got.items():
+        later = factors[k][n + 1 :]
+        assert count == len(later)
+        if k == "I":
+            assert factor == prod(later)
+            continue
+        exact = prod(map(Fraction, later))
+        if exact > Fraction(1.7e308):
+            assert factor == float("inf")
+            continue
+        assert factor < float("inf") and abs(Fraction(factor) - exact) <= max(exact / 10**12, Fraction(5e-324) * Fraction(51, 100)), (k, n)
+    assert any(0 < got["D", n][0] < 2e-308 for n in range(-1, 2200, 61))
+
+
 def test_figures_of_wanted_rows_only(spark):
     """Figures of few rows are those that all rows get, whatever the batches, and a date's own need only the sessions before it."""
     from pitmill.operators import features
