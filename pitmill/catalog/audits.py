@@ -13,7 +13,7 @@ from pitmill.catalog.panel import PRICES
 from pitmill.operators import audit, intervals, leakage, promotion, regression, universe
 from pitmill.operators.actions import adjust_as_of, price_adjustments
 from pitmill.operators.features import liquidity_as_of, liquidity_features, observation_liquidity
-from pitmill.plans.staging import stage
+from pitmill.plans.staging import mark, release, stage
 from pitmill.spec import ProfileSpec
 
 QUERIES: dict = {}
@@ -451,8 +451,11 @@ SELECT unnest({list(_DATED)}) AS operator, scenario, 0 AS leaking_rows FROM sc U
 def h53_leakage_scenarios(spark: SparkSession, d: str) -> DataFrame:
     """Every operator with a date under every scenario; the control looks at all rows of all tables and is found in each."""
     at = "1998-06-30"
-    cal, day = table(spark, d, "calendar"), spark.sql(f"SELECT date '{at}' AS date")
-    t = {"prices": table(spark, d, "panel").select(*PRICES, "symbol_at_date"), "symbols": table(spark, d, "handover").unionByName(table(spark, d, "master").select("symbol", "security_id", "effective_from", "effective_to")), "events": table(spark, d, "events_in")}
+    begun = mark()
+    held = {"panel": stage(table(spark, d, "panel").select(*PRICES, "symbol_at_date", "listing_episode_id", "isin", "company_name"), "panel")}
+    held["spans"] = stage(table(spark, d, "spans", held), "spans")
+    cal, day = stage(table(spark, d, "calendar"), "calendar"), spark.sql(f"SELECT date '{at}' AS date")
+    t = {"prices": held["panel"].select(*PRICES, "symbol_at_date"), "symbols": table(spark, d, "handover", held).unionByName(table(spark, d, "master", held).select("symbol", "security_id", "effective_from", "effective_to")), "events": stage(table(spark, d, "events_in"), "events")}
 
     def control(x: dict) -> DataFrame:
         seen = [v.agg(F.sum(F.xxhash64(*v.columns).cast("decimal(20,0)")).alias(k)) for k, v in x.items()]
@@ -466,11 +469,13 @@ def h53_leakage_scenarios(spark: SparkSession, d: str) -> DataFrame:
         return intervals.point_in_time(asked, x["symbols"], "symbol", "security_id")
 
     ops = {
-        "liquidity": lambda x: liquidity_as_of(x["prices"], at), "session_liquidity": lambda x: liquidity_features(rows(x), cal, (20, 126)).select("security_id", "date", "history_sessions", "median_traded_value_126", "liquidity_rank_126"),
+        "liquidity": lambda x: liquidity_as_of(x["prices"], at), "session_liquidity": lambda x: liquidity_features(rows(x), cal, (20, 126), columns=("security_id", "date", "history_sessions", "median_traded_value_126", "liquidity_rank_126")),
         "active": lambda x: universe.active_on(x["prices"], at), "adjusted": lambda x: adjust_as_of(x["prices"].select("security_id", "date", "raw_close"), x["events"], at, ids=False).select("security_id", "date", "price_return_adjustment_factor"),
-        "symbols": symbols, "top": lambda x: universe.top_n(liquidity_features(rows(x, "instrument_type"), cal, (126,), at=day), at, 20).select("security_id", "date", "liquidity_rank_126"), "control": control,
+        "symbols": symbols, "top": lambda x: universe.top_n(liquidity_features(rows(x, "instrument_type"), cal, (126,), at=day, columns=("security_id", "date", "instrument_type", "median_traded_value_126", "liquidity_rank_126")), at, 20).select("security_id", "date", "liquidity_rank_126"), "control": control,
     }
-    return leakage.leakage_report(ops, t, at)
+    report = leakage.leakage_report(ops, t, at)
+    release(spark, begun)
+    return report
 
 
 @query("""WITH s AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM {calendar}), me AS (SELECT max(date) AS date FROM {calendar} GROUP BY date_trunc('month', date)), e AS (SELECT s.date AS month_end, s.n FROM s JOIN me USING (date))

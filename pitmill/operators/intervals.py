@@ -51,10 +51,14 @@ def last_and_next(points: DataFrame, rows: DataFrame, key: str, date: str, row:
 
 
 def point_in_time(requests: DataFrame, spans: DataFrame, key: str, value: str, date: str = "date") -> DataFrame:
-    """For each request the only ``value`` valid on its date; ``lookup`` tells FOUND, MISSING or AMBIGUOUS."""
+    """For each request the only ``value`` valid on its date; ``lookup`` tells FOUND, MISSING or AMBIGUOUS.
+
+    Spans of a key with the same bounds are counted before they meet the requests, so that pairs grow with the bounds there are.
+    """
     numbered = requests.withColumn("request_", F.monotonically_increasing_id())  # equal requests stay apart
-    hit = interval_join(numbered, spans.select(key, "effective_from", "effective_to", value), key, date).groupBy("request_", *requests.columns).agg(F.count("effective_from").alias("n"), F.min(value).alias(value))
-    return hit.select(*requests.columns, F.when(F.col("n") == 1, F.col(value)).alias(value), F.when(F.col("n") == 1, "FOUND").when(F.col("n") == 0, "MISSING").otherwise("AMBIGUOUS").alias("lookup"))
+    bounds = spans.groupBy(key, "effective_from", "effective_to").agg(F.count(F.lit(1)).alias("spans_"), F.min(value).alias("value_"))
+    hit = interval_join(numbered, bounds, key, date).groupBy("request_", *requests.columns).agg(F.coalesce(F.sum("spans_"), F.lit(0)).alias("n"), F.min("value_").alias("value_"))
+    return hit.select(*requests.columns, F.when(F.col("n") == 1, F.col("value_")).alias(value), F.when(F.col("n") == 1, "FOUND").when(F.col("n") == 0, "MISSING").otherwise("AMBIGUOUS").alias("lookup"))
 
 
 def history_between(spans: DataFrame, begin, finish, start: str = "effective_from", end: str = "effective_to") -> DataFrame:

@@ -126,3 +126,49 @@ def test_texts_that_names_are_looked_up_in_are_made_once(spark):
     found = matching.names_within(t, "n", "t", spark.sql("SELECT 'RED BOLT' AS name"))
     assert list(map(tuple, found.collect())) == [(1, "RED BOLT")]
     assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("regexp_replace") <= 1
+
+
+def test_operators_of_unchanged_columns_are_not_run_again(spark, monkeypatch, tmp_path):
+    from pitmill.operators import intervals
+
+    days = [D("2020-01-01") + timedelta(days=k) for k in range(6)]
+    spark.createDataFrame([(d, s, f"SY{s}", 10.0 + k) for k, d in enumerate(days) for s in "AB"], "date date, security_id string, symbol_at_date string, raw_close double").write.parquet(f"{tmp_path}/prices")
+    spark.createDataFrame([("SYA", "A", days[0], None)], "symbol string, security_id string, effective_from date, effective_to date").write.parquet(f"{tmp_path}/symbols")
+    spark.createDataFrame([("E1", "A", days[1], 0.5)], "event_id string, security_id string, event_date date, price_factor double").write.parquet(f"{tmp_path}/events")
+    tables = {k: spark.read.parquet(f"{tmp_path}/{k}") for k in ("prices", "symbols", "events")}
+    by = Window.partitionBy("security_id").orderBy("date")
+    ops = {
+        "age": lambda x: x["prices"].select("date", "security_id", F.row_number().over(by).alias("age")),
+        "up to the date": lambda x: x["prices"].where(F.col("date") <= F.lit("2020-01-03").cast("date")).select("date", "security_id"),
+        "total": lambda x: x["prices"].select("date", "security_id", F.sum("raw_close").over(Window.partitionBy("security_id")).alias("total")),
+    }
+    staged, digests = [], []
+    stage, digest = leakage.stage, leakage.digest
+    monkeypatch.setattr(leakage, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    monkeypatch.setattr(leakage, "digest", lambda df: digests.append(df.columns[-1]) or digest(df))
+    got = {(r.operator, r.scenario): r.leaking_rows for r in leakage.leakage_report(ops, tables, "2020-01-03").collect()}
+    assert {k: n for k, n in got.items() if n} == {("total", "changed_values"): 12, ("total", "dead_entity"): 12} and len(got) == 18
+    assert not [x for x in staged if not x.startswith("before-")]  # picking rows and columns of files needs no copy
+    assert digests.count("age") == 2 and digests.count("security_id") == 0  # new and ended entities; nothing for what reads no later rows
+    assert digests.count("total") == 2  # found once, then counted
+    spans = spark.range(400).selectExpr("'S' AS symbol", "concat('E', id) AS security_id", "date '2020-01-01' AS effective_from", "CAST(NULL AS date) AS effective_to")
+    asked = spark.range(50).selectExpr("'S' AS symbol", "date '2020-02-01' AS date")
+    found = intervals.point_in_time(asked, spans, "symbol", "security_id")
+    assert {r.lookup for r in found.collect()} == {"AMBIGUOUS"} and found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # spans of the same bounds meet as one
+
+
+def test_wanted_columns_alone_are_made(spark):
+    from pitmill.operators import features
+
+    prices = spark.range(600).where("id % 11 <> 3").selectExpr("concat('S', id % 4) AS security_id", "date_add(date '2020-01-01', cast(id div 4 as int)) AS date", "(id * 37 % 101) * 0.5D AS raw_close", "id % 5 AS volume", "case when id % 7 > 0 then (id * 53 % 211) * 0.5D end AS traded_value")
+    cal = spark.sql("SELECT explode(sequence(date '2020-01-01', date '2020-05-20')) AS date").where("dayofmonth(date) % 6 <> 0")
+    rows = lambda df, columns: sorted(map(str, df.select(*columns).collect()))
+    for at in (None, cal.where("dayofmonth(date) = 16")):
+        whole = features.liquidity_features(prices, cal, (20, 40), 40, at=at).cache()
+        for columns in (("security_id", "date", "history_sessions", "median_traded_value_40"), ("security_id", "date", "zero_volume_days_20", "absent_observation_days_40", "price"), ("security_id", "liquidity_rank_40", "stale_price_days_60", "volume"), ("date", "listing_age_calendar_days")):
+            few = features.liquidity_features(prices, cal, (20, 40), 40, at=at, columns=columns)
+            assert set(few.columns) == set(columns) and rows(few, columns) == rows(whole, columns)
+            assert "average_traded_value" not in few._jdf.queryExecution().optimizedPlan().toString()
+    old = features.observation_liquidity(prices.where("date <= '2020-04-20'")).where("date = '2020-04-20'")
+    new = features.observation_liquidity(prices.where("date <= '2020-04-20'"), last=F.lit("2020-04-20").cast("date"))
+    assert rows(new, sorted(old.columns)) == rows(old, sorted(old.columns)) and new.count() > 1
