@@ -158,6 +158,24 @@ def test_ids_of_events_meet_the_rows_in_one_join(spark):
     assert got["A", 1] == (["E1", "E2"], ["E3"]) and got["A", 3] == (["E2"], ["E3"]) and got["A", 5] == ([], []) and got["B", 4] == ([], ["E4"]) and got["C", 1] == ([], [])
 
 
+def test_ids_are_put_together_by_dates_and_taken_as_stretches(spark):
+    """No task lists the single events of an entity; texts are the lists of ids, without nulls."""
+    ids = ["E1", "Ü2", None, "E,4", "", "E6", "E7", "E8"]
+    events = spark.createDataFrame([(x, s, D("2020-01-01") + timedelta(days=(5 * k) % 4), "DIVIDEND" if k % 3 == 0 else "SPLIT", None if k % 3 == 0 else 1 + k / 2, 1.0 if k % 3 == 0 else None) for s in "ABN" for k, x in enumerate(ids) if s != "N" or x is None], "event_id string, security_id string, event_date date, event_type string, price_factor double, cash_dividend_per_share double")
+    prices = spark.createDataFrame([(s, D("2019-12-31") + timedelta(days=k), 10.0) for s in ("A", "B", "C", "N", None) for k in range(6)], "security_id string, date date, raw_close double")
+    for separator in (",", " ü "):
+        lists = {(r.security_id, r.date): r for r in actions.adjust_prices(prices, events).collect()}
+        made = actions.adjust_prices(prices, events, separator=separator)
+        texts = {(r.security_id, r.date): r for r in made.collect()}
+        assert len(texts) == len(lists) == 30
+        for k, r in texts.items():
+            assert (r.source_event_ids, r.total_return_event_ids) == tuple(separator.join(x for x in lists[k][c] if x is not None) for c in ("source_event_ids", "total_return_event_ids"))
+    assert lists["A", D("2019-12-31")].source_event_ids == ["", "Ü2", "E6", None, "E8"] and lists["A", D("2020-01-03")].total_return_event_ids == ["E,4"]
+    for df in (actions.adjust_prices(prices, events), made):
+        plan = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "collect_list(CASE" in x]
+        assert plan and all("Aggregate [security_id" in x and "event_date" in x.split("]")[0] for x in plan)
+
+
 def test_price_side_needs_no_other_rows(spark):
     prices, events = _priced(spark)
     columns = ("security_id", "date", "price_return_adjustment_factor", "price_return_adjusted_close", "adjustment_quality", "source_event_count")
